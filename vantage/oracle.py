@@ -56,6 +56,12 @@ SELECT s_suppkey, '{"latest":{"start":' || CAST(s_suppkey*60 AS VARCHAR) || ',"e
  || ',"local":{"modes":' || CAST(s_suppkey%7 AS VARCHAR) || ',"accepted":[' || CAST(s_suppkey%5 AS VARCHAR) || ',' || CAST(s_suppkey%3 AS VARCHAR) || ']},"messages":0,"tracks":{"all":0}},"total":{"start":0,"end":'
  || CAST(s_suppkey*60 AS VARCHAR) || ',"local":{},"messages":' || CAST(s_suppkey*11 AS VARCHAR) || ',"tracks":{"all":' || CAST(s_suppkey AS VARCHAR) || ',"single_message":1,"unreliable":2}}}' AS doc
 FROM supplier"""),
+    "hourly": (("captures",), """
+SELECT *, CAST(capture_ts AS DATE) AS capture_date, CAST(hour(capture_ts) AS INTEGER) AS capture_hour FROM captures
+WHERE lat IS NOT NULL AND lon IS NOT NULL AND gs IS NOT NULL AND track IS NOT NULL"""),
+    "daily": (("hourly",), """
+SELECT * EXCLUDE (rn) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY capture_date, hex, observation_epoch
+ ORDER BY observation_time, source_file, capture_ts) AS rn FROM hourly) WHERE rn = 1"""),
 }
 
 # Shared DuckDB expressions (mirror vantage.functions.columns).
