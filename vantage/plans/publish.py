@@ -13,7 +13,7 @@ LEVEL_NAMES = {"hourly": ("hourly/", 3), "daily": ("daily/", 3), "weekly": ("wee
 def file_date(name_col: str, level: str):
     _, part = LEVEL_NAMES[level]
     raw = F.regexp_replace(F.split_part(F.col(name_col), F.lit("_"), F.lit(part)), r"\.parquet$", "")
-    return F.try_to_date(raw, F.lit("yyyy-MM-dd"))
+    return F.try_to_date(raw, "yyyy-MM-dd")
 
 
 def publish_plan(files: DataFrame, existing: DataFrame, level: str, days_back: int, today: str) -> DataFrame:
