@@ -10,7 +10,7 @@ __all__ = [
     "c", "alt_ft", "on_ground", "clean_callsign", "has_callsign", "epoch_seconds",
     "epoch_to_local", "year_int", "decade", "decade_label", "age", "week_ending",
     "week_start", "platform_label", "engines_label", "power_label", "size_class",
-    "path_label", "pct", "round6", "nav_modes_csv", "split_pair", "WHITESPACE",
+    "path_label", "pct", "round6", "half_even_div", "nav_modes_csv", "split_pair", "WHITESPACE",
 ]
 
 # Characters Python's str.strip() removes for ASCII text (fixed value).
@@ -130,6 +130,16 @@ def pct(part: Column, total: Column, digits: int = 2) -> Column:
     return F.round(F.try_divide(F.lit(100.0) * part, total), digits)
 
 
+def half_even_div(s: Column, d: Column) -> Column:
+    """Integer nearest to s / d (d > 0), ties to even, computed exactly with integer
+    arithmetic (no floating-point rounding of the quotient)."""
+    r = F.pmod(s, d)
+    q = ((s - r) / d).cast("long")
+    twice = r * 2
+    up = (twice > d) | ((twice == d) & (F.pmod(q, F.lit(2)) == 1))
+    return q + F.when(up, F.lit(1)).otherwise(F.lit(0))
+
+
 def round6(x: Column) -> Column:
     return F.round(x, 6)
 
