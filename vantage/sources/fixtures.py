@@ -28,7 +28,11 @@ def _s(x):
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    return obs_from_events(table(spark, sf_dir, "events"))
+
+
+def obs_from_events(e: DataFrame) -> DataFrame:
+    """The observation adapter over any events frame (batch or streaming)."""
     eid, uid = F.col("event_id"), F.col("user_id")
     fl = F.floor(F.col("value") * 100).cast("bigint")
     return e.select(
