@@ -28,7 +28,7 @@ def weather_route(objects: DataFrame, name: str = "name") -> DataFrame:
     n = F.col(name)
     ds = F.regexp_extract(n, DATE_IN_NAME, 1)
     d = F.when(ds != "", ds)
-    parsed = F.try_to_date(d, "yyyy-MM-dd")
+    parsed = d.try_cast("date")
     route = (F.when(d.isNull(), F.lit("no-date"))
              .when(parsed.isNull(), F.lit("bad-date"))
              .when((d > GAP[0]) & (d < GAP[1]), F.lit("gap"))
@@ -45,9 +45,13 @@ def route_counts(routed: DataFrame) -> DataFrame:
 
 
 def metar_temps(routed: DataFrame, content: str = "content") -> DataFrame:
-    """Every line's T-group temperature; objects announcing the moved API give none."""
-    m = routed.where((F.col("route") == "metar") & ~F.col(content).contains(API_MOVED))
-    lines = m.select("name", "obs_date", F.explode(F.split(F.col(content), LINE_BREAK)).alias("line"))
+    """Every line's T-group temperature; objects announcing the moved API give none.
+
+    The route test sits inside the projection (``when(route == ...)``) rather than in a
+    filter: a filter on ``route`` would be pushed below the routing projection and the
+    optimizer would inline the whole routing expression (regex + date parse) into it."""
+    take = (F.col("route") == "metar") & ~F.col(content).contains(API_MOVED)
+    lines = routed.select("name", "obs_date", F.explode(F.when(take, F.split(F.col(content), LINE_BREAK))).alias("line"))
     sign = F.when(F.regexp_extract("line", T_GROUP, 1) == "1", F.lit(-1)).otherwise(F.lit(1))
     temp = sign * F.regexp_extract("line", T_GROUP, 2).cast("int") / F.lit(10.0)
     return (lines.where(F.col("line").rlike(T_GROUP))
@@ -57,22 +61,34 @@ def metar_temps(routed: DataFrame, content: str = "content") -> DataFrame:
 def geojson_temps(routed: DataFrame, content: str = "content") -> DataFrame:
     """``features[].properties.temp``; unparsable content gives no rows."""
     schema = "struct<features: array<struct<properties: struct<temp: double>>>>"
-    g = routed.where(F.col("route") == "geojson").select("name", "obs_date", F.from_json(content, schema).alias("j"))
-    f = g.select("name", "obs_date", F.explode_outer("j.features").alias("f"))
+    feats = F.when(F.col("route") == "geojson", F.from_json(content, schema).getField("features"))
+    f = routed.select("name", "obs_date", F.explode(feats).alias("f"))
     return f.where(F.col("f.properties.temp").isNotNull()).select("name", "obs_date", F.col("f.properties.temp").alias("temp_c"))
 
 
 def json_temps(routed: DataFrame, content: str = "content") -> DataFrame:
     """``temp_c`` of an object or of each object of a list."""
-    g = routed.where(F.col("route") == "json").select(
-        "name", "obs_date", F.from_json(content, "array<struct<temp_c: double>>").alias("j"))
-    r = g.select("name", "obs_date", F.explode_outer("j").alias("r"))
+    rows = F.when(F.col("route") == "json", F.from_json(content, "array<struct<temp_c: double>>"))
+    r = routed.select("name", "obs_date", F.explode(rows).alias("r"))
     return r.where(F.col("r.temp_c").isNotNull()).select("name", "obs_date", F.col("r.temp_c").alias("temp_c"))
 
 
-def all_temps(objects: DataFrame) -> DataFrame:
+def all_temps(objects: DataFrame, content: str = "content") -> DataFrame:
+    """T1-T3 in one pass: each object is routed once and parsed by its route into an array
+    of temperatures (higher-order ``filter``/``transform``), exploded once."""
     r = weather_route(objects)
-    return metar_temps(r).unionByName(geojson_temps(r)).unionByName(json_temps(r))
+    c = F.col(content)
+    t = F.regexp_extract
+    metar = F.transform(F.filter(F.split(c, LINE_BREAK), lambda ln: ln.rlike(T_GROUP)),
+                        lambda ln: F.when(t(ln, T_GROUP, 1) == "1", F.lit(-1)).otherwise(F.lit(1))
+                        * t(ln, T_GROUP, 2).cast("int") / F.lit(10.0))
+    geo = F.transform(F.from_json(c, "struct<features: array<struct<properties: struct<temp: double>>>>")
+                      .getField("features"), lambda f: f["properties"]["temp"])
+    flat = F.transform(F.from_json(c, "array<struct<temp_c: double>>"), lambda x: x["temp_c"])
+    temps = (F.when((F.col("route") == "metar") & ~c.contains(API_MOVED), metar)
+             .when(F.col("route") == "geojson", geo).when(F.col("route") == "json", flat))
+    return (r.select("name", "obs_date", F.explode(temps).alias("temp_c"))
+            .where(F.col("temp_c").isNotNull()))
 
 
 def weather_weekly(temps: DataFrame) -> DataFrame:
