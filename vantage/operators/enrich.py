@@ -34,7 +34,7 @@ def _n():
 def estimated_size(df: DataFrame) -> int | None:
     """Optimizer's size estimate of a plan (bytes), or None when unavailable."""
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:
         return None
 

@@ -81,7 +81,7 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
 
 def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
     """One row per object with its whole text; bytes that are not UTF-8 are replaced."""
-    df = spark.read.option("wholetext", True).text(path)
+    df = spark.read.text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("name"), F.make_valid_utf8("value").alias("content"))
 
 

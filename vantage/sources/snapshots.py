@@ -12,7 +12,7 @@ from vantage.schemas import AIRCRAFT, SNAPSHOT
 def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     """Snapshot files (one multi-line JSON object each) with a fixed schema; the file name
     (ring-buffer slot) comes from the hidden ``_metadata`` column."""
-    df = spark.read.schema(SNAPSHOT).option("multiLine", True).option("mode", "PERMISSIVE").json(path)
+    df = spark.read.schema(SNAPSHOT).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
     return df.select("*", F.col("_metadata.file_name").alias("source_file"))
 
 

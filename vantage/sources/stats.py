@@ -10,7 +10,7 @@ from vantage.schemas import STATS_DOC, STATS_PERIODS
 
 
 def read_receiver_stats(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.schema(STATS_DOC).option("multiLine", True).json(path)
+    df = spark.read.schema(STATS_DOC).option("multiLine", "true").json(path)
     return unpivot(df.select("*", F.col("_metadata.file_name").alias("source_file")))
 
 
