@@ -7,7 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "c", "alt_ft", "on_ground", "clean_callsign", "has_callsign", "epoch_seconds",
+    "c", "alt_ft", "on_ground", "clean_callsign", "has_callsign", "epoch_seconds", "epoch_micros",
+    "ntz_from_micros",
     "epoch_to_local", "year_int", "decade", "decade_label", "age", "week_ending",
     "week_start", "platform_label", "engines_label", "power_label", "size_class",
     "path_label", "pct", "round6", "half_even_div", "nav_modes_csv", "split_pair", "WHITESPACE",
@@ -49,14 +50,31 @@ def has_callsign(col="flight", mode: str = "length") -> Column:
     return F.length(x) > 0
 
 
+def epoch_micros(ts="observation_time") -> Column:
+    """Microseconds since 1970-01-01 00:00 of a TIMESTAMP_NTZ read as UTC wall time.
+
+    Built from the calendar fields of the NTZ value (date, hour, minute, second with
+    fraction), so no session time zone is involved -- a cast to TIMESTAMP would be."""
+    t = c(ts)
+    days = F.unix_date(F.to_date(t)).cast("long")
+    secs = days * 86400 + F.hour(t).cast("long") * 3600 + F.minute(t).cast("long") * 60
+    frac = (F.date_part(F.lit("SECOND"), t) * 1000000).cast("long")
+    return secs * 1000000 + frac
+
+
 def epoch_seconds(ts="observation_time") -> Column:
-    """Epoch seconds of a TIMESTAMP_NTZ read as UTC wall time -- independent of the session zone."""
-    return F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {ts})") / F.lit(1e6)
+    """Epoch seconds (DOUBLE) of a TIMESTAMP_NTZ read as UTC wall time -- zone independent."""
+    return epoch_micros(ts) / F.lit(1e6)
+
+
+def ntz_from_micros(micros: Column) -> Column:
+    """TIMESTAMP_NTZ for epoch microseconds (UTC wall time), without any session zone."""
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def epoch_to_local(epoch="observation_epoch", tz: str = "UTC") -> Column:
     """Epoch seconds -> receiver-local wall time (TIMESTAMP_NTZ) for an explicit zone."""
-    utc_ntz = F.expr(f"timestampadd(MICROSECOND, CAST(round({epoch} * 1000000) AS BIGINT), TIMESTAMP_NTZ'1970-01-01 00:00:00')")
+    utc_ntz = ntz_from_micros(F.round(c(epoch) * 1000000).cast("long"))
     if tz.upper() == "UTC":
         return utc_ntz
     return F.convert_timezone(F.lit("UTC"), F.lit(tz), utc_ntz)
