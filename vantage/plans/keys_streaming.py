@@ -44,13 +44,8 @@ UNION ALL SELECT 'day', date_trunc('day', observation_time), date_trunc('day', o
 UNION ALL SELECT 'week', date_trunc('week', observation_time), date_trunc('week', observation_time) + INTERVAL 7 DAY, COUNT(*)
  FROM obs GROUP BY 2, 3""", "obs"))
 def _stream_tumbling(spark, sf):
-    parts = []
-    for grain in ST.WINDOWS:
-        out = ST.run_complete(ST.stream_tumbling(_stream_obs(spark, sf), grain), f"stream_tumbling_{grain}")
-        r = spark.read.parquet(out)
-        parts.append(r.select(F.lit(grain).alias("grain"), ST.ntz_of(F.col("w.start")).alias("window_start"),
-                              ST.ntz_of(F.col("w.end")).alias("window_end"), "observations"))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
-    return u
+    out = ST.run_complete(ST.stream_tumbling_all(_stream_obs(spark, sf)), "stream_tumbling")
+    r = spark.read.parquet(out)
+    start = F.col("start_us")
+    return r.select("grain", ST.ntz_of(F.timestamp_micros(start)).alias("window_start"),
+                    ST.ntz_of(F.timestamp_micros(start + F.col("size_us"))).alias("window_end"), "observations")

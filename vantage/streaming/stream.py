@@ -99,6 +99,27 @@ def stream_tumbling(stream_obs: DataFrame, grain: str, delay: str = WATERMARK) -
             .groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("observations")))
 
 
+def stream_tumbling_all(stream_obs: DataFrame, grains=tuple(WINDOWS), delay: str = WATERMARK) -> DataFrame:
+    """R3 for several grains in one streaming aggregation.  Spark allows one ``window()`` per
+    query, so the tumbling bounds are computed arithmetically from epoch microseconds
+    (start = floor((t - offset) / size) * size + offset), one row per grain, then grouped."""
+    units = {"hour": 3600, "day": 86400}
+    specs = []
+    for g in grains:
+        dur, start = WINDOWS[g]
+        n, unit = dur.split()
+        size = int(n) * units[unit.rstrip("s")] * 1000000
+        off = 0 if not start else int(start.split()[0]) * units[start.split()[1].rstrip("s")] * 1000000
+        specs.append((g, size, off))
+    us = F.unix_micros(F.col("event_ts"))
+    rows = F.array(*[F.struct(F.lit(g).alias("grain"),
+                              (F.floor((us - F.lit(off)) / F.lit(size)) * F.lit(size) + F.lit(off)).alias("start_us"),
+                              F.lit(size).alias("size_us")) for g, size, off in specs])
+    return (stream_obs.withColumn("event_ts", event_ts()).withWatermark("event_ts", delay)
+            .select(F.inline(rows))
+            .groupBy("grain", "start_us", "size_us").agg(F.count(F.lit(1)).alias("observations")))
+
+
 def upsert_batches(stream_obs: DataFrame, table_path: str, name: str, keys=D.OBS_KEY,
                    order=("source_file",)) -> str:
     """Insert-or-ignore every micro-batch into a keyed Parquet table.  A replayed batch
