@@ -117,3 +117,16 @@ def test_refresh_table(spark):
         assert spark.table(name).count() == 2
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
+def test_log_health_tail_and_age(spark):
+    from vantage.operators import quality as Q
+    logs = spark.createDataFrame([
+        ("a.log", "ok\nok\nTraceback (most recent call last)\nok\nok\nok\n", _t("2025-01-01 10:00:00")),
+        ("b.log", "ERROR early\nok\nok\nok\nok\nok\n", _t("2025-01-01 11:30:00")),
+        ("c.log", "Error\r\nok", _t("2025-01-01 12:00:00")),
+        ("d.log", "", _t("2025-01-01 12:00:00"))], "name string, content string, mtime timestamp_ntz")
+    r = {x.name: x for x in Q.log_health(logs, "content", 5, "mtime", "2025-01-01 12:00:00").collect()}
+    assert (r["a.log"].has_error, r["b.log"].has_error, r["c.log"].has_error, r["d.log"].has_error) == (True, False, True, False)
+    assert (r["a.log"].n_lines, r["c.log"].n_lines, r["d.log"].n_lines) == (6, 2, 0)
+    assert r["a.log"].age_hours == 2.0 and r["b.log"].age_hours == 0.5

@@ -106,6 +106,20 @@ def missing_hours(files: DataFrame, now: str, hours: int = 48) -> DataFrame:
     return missing_slots(files.select(F.col("capture_ts").alias("hour_ts")), "hour_ts", start, end, "1 HOUR")
 
 
+def hourly_status(files: DataFrame, now: str, hours: int = 48) -> DataFrame:
+    """M5 summary: expected vs found hourly captures in the window, and the latest file
+    (name, size, modification time) -- one aggregate over the listing."""
+    end = F.date_trunc("hour", _now(now)).cast("timestamp_ntz")
+    start = F.timestamp_add("HOUR", F.lit(-(hours - 1)), end)
+    inside = (F.col("capture_ts") >= start) & (F.col("capture_ts") <= end)
+    latest = F.struct("capture_ts", "name", "size", "mtime")
+    g = files.agg(F.count_distinct(F.when(inside, F.col("capture_ts"))).alias("found"),
+                  F.max_by(latest, "capture_ts").alias("l"))
+    return g.select(F.lit(hours).cast("long").alias("expected"), "found",
+                    F.col("l.name").alias("latest_file"), F.col("l.size").alias("latest_size"),
+                    F.col("l.mtime").alias("latest_mtime"))
+
+
 def missing_days(files: DataFrame, today: str, days: int = 7) -> DataFrame:
     """M6: days without any capture among the ``days`` days ending yesterday."""
     end = F.date_sub(F.lit(today).cast("date"), 1)
@@ -142,7 +156,8 @@ def weekly_health(daily: DataFrame, k: int = 4, col: str = "capture_date") -> Da
 LOG_ERROR_MARKERS = ["ERROR", "Error", "Traceback"]
 
 
-def log_health(logs: DataFrame, text_col: str = "content", tail: int = 5) -> DataFrame:
+def log_health(logs: DataFrame, text_col: str = "content", tail: int = 5, mtime_col: str | None = None,
+               now: str | None = None) -> DataFrame:
     """M8: does any of the last ``tail`` lines of each log contain an error marker?
 
     Lines split like text-mode ``readlines`` (``\\r\\n``, ``\\r`` and ``\\n`` end a line; a final
@@ -154,6 +169,8 @@ def log_health(logs: DataFrame, text_col: str = "content", tail: int = 5) -> Dat
             .withColumn("_t", F.when(F.size("_l") < tail, F.col("_l")).otherwise(F.slice("_l", -tail, tail)))
             .withColumn("n_lines", F.size("_l"))
             .withColumn("has_error", F.exists("_t", lambda x: x.rlike(pattern)))
+            .withColumns({"age_hours": F.timestamp_diff("SECOND", F.col(mtime_col), _now(now)) / F.lit(3600.0)}
+                         if mtime_col and now else {})
             .drop("_l", "_t"))
 
 

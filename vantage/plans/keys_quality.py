@@ -124,6 +124,16 @@ def _missing_hours(spark, sf):
     return Q.missing_hours(fx.files(spark, sf), MONITOR_NOW, 48)
 
 
+@register("hourly_status", sql(f"""
+SELECT CAST(48 AS BIGINT) AS expected,
+ COUNT(DISTINCT CASE WHEN capture_ts BETWEEN date_trunc('hour', TIMESTAMP '{MONITOR_NOW}') - INTERVAL 47 HOUR
+   AND date_trunc('hour', TIMESTAMP '{MONITOR_NOW}') THEN capture_ts END) AS found,
+ arg_max(name, capture_ts) AS latest_file, arg_max(size, capture_ts) AS latest_size, arg_max(mtime, capture_ts) AS latest_mtime
+FROM files""", "files"))
+def _hourly_status(spark, sf):
+    return Q.hourly_status(fx.files(spark, sf), MONITOR_NOW, 48)
+
+
 @register("missing_days", sql("WITH " + MISSING_DAYS + " SELECT * FROM md", "files"))
 def _missing_days(spark, sf):
     return Q.missing_days(fx.files(spark, sf), MONITOR_TODAY, 7)

@@ -121,9 +121,11 @@ def stream_tumbling_all(stream_obs: DataFrame, grains=tuple(WINDOWS), delay: str
 
 
 def upsert_batches(stream_obs: DataFrame, table_path: str, name: str, keys=D.OBS_KEY,
-                   order=("source_file",)) -> str:
+                   order=("source_file",), target_window=None) -> str:
     """Insert-or-ignore every micro-batch into a keyed Parquet table.  A replayed batch
-    finds its keys already present and appends nothing, so the sink stays exactly-once."""
+    finds its keys already present and appends nothing, so the sink stays exactly-once.
+    ``target_window=(col, lower_bound)`` limits the anti join to the recent part of the table
+    (e.g. capture dates the batch can overlap), so a batch never rescans all history."""
     spark = stream_obs.sparkSession
     base = shared_dir(spark, unique_name(name))
 
@@ -132,7 +134,8 @@ def upsert_batches(stream_obs: DataFrame, table_path: str, name: str, keys=D.OBS
             target = spark.read.parquet(table_path)
         except Exception:
             target = None
-        new = D.dedup(batch, keys, order) if target is None else D.append_new(target, batch, keys, order)
+        new = (D.dedup(batch, keys, order) if target is None
+               else D.append_new(target, batch, keys, order, target_window))
         new.write.mode("append").parquet(table_path)
 
     (stream_obs.writeStream.option("checkpointLocation", f"{base}/_checkpoint")
