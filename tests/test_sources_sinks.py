@@ -137,3 +137,30 @@ def test_s3_options_from_environment():
     assert opts["spark.hadoop.fs.s3a.path.style.access"] == "true"
     assert opts["spark.hadoop.fs.s3a.connection.ssl.enabled"] == "false"
     assert "spark.hadoop.fs.s3a.access.key" not in S.s3_options({})
+
+
+def test_level_jobs_end_to_end(spark, tmpdir_path):
+    from vantage.plans import jobs
+    from vantage.session import sizing_conf
+    raw = f"{tmpdir_path}/raw"
+    # two snapshots 30 s apart in one capture, a repeated aircraft (same key twice) in the next
+    _write(f"{raw}/c1/aircraft.json", _snapshot(1766016000.0, [
+        {"hex": "a1", "flight": "F1", "lat": 1.0, "lon": 2.0, "gs": 3.0, "track": 4.0, "rssi": -1.0},
+        {"hex": "a2", "flight": "F2", "lat": 1.0, "rssi": -1.0}]))                  # incomplete
+    _write(f"{raw}/c1/history_0.json", _snapshot(1766015970.0, [
+        {"hex": "a1", "flight": "F1", "lat": 1.0, "lon": 2.0, "gs": 3.0, "track": 4.0, "rssi": -1.0}]))
+    _write(f"{raw}/c2/history_0.json", _snapshot(1766016000.0, [
+        {"hex": "a1", "flight": "F1", "lat": 1.0, "lon": 2.0, "gs": 3.0, "track": 4.0, "rssi": -1.0}]))
+    root = f"{tmpdir_path}/levels"
+    s1 = jobs.build_hourly(spark, f"{raw}/c1/*.json", root, "2025-12-18 00:59:00").collect()
+    assert s1[0].total_records == 2
+    jobs.build_hourly(spark, f"{raw}/c2/*.json", root, "2025-12-18 01:00:00")
+    counts = jobs.build_daily(spark, root, ["2025-12-18"]).first()
+    assert (counts.rows_before, counts.rows_after, counts.removed) == (3, 2, 1)
+    jobs.build_daily(spark, root, ["2025-12-18"])                                      # rerun: idempotent
+    assert S.read_level(spark, root, "daily").count() == 2
+    wk = jobs.build_weekly(spark, root, ["2025-12-21"]).first()
+    assert (wk.total_records, wk.files_used) == (2, 1)
+    assert spark.read.parquet(f"{root}/weekly").count() == 2
+    conf = sizing_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
+    assert int(conf["spark.sql.shuffle.partitions"]) >= 400000

@@ -34,6 +34,23 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: st
     return spark
 
 
+def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                partition_bytes: int = 256 * 1024 * 1024) -> dict:
+    """Partition sizing for a cluster run: shuffle partitions so that the largest shuffle
+    (about the input size for the dedup / path jobs) lands near ``partition_bytes`` per
+    partition and never below 2 waves of tasks; AQE coalesces small ones and splits skewed
+    ones at runtime."""
+    slots = max(1, executors * cores_per_executor)
+    parts = max(2 * slots, -(-input_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes // 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(partition_bytes * 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    }
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
