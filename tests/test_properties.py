@@ -51,6 +51,16 @@ def test_segments_are_points_minus_paths(spark):
         assert PA.path_segments(o, bucket_seconds=b).count() == t.points - t.paths
 
 
+def test_hot_buckets_split_exactly(spark):
+    o = fx.obs(spark, SF_SMALL)
+    base = sorted(tuple(r) for r in PA.flight_paths(o).select("hex", "flight", "seq", "observation_epoch").collect())
+    hot = sorted(tuple(r) for r in PA.flight_paths(o, bucket_seconds=86400, hot_rows=1, fine_seconds=60)
+                 .select("hex", "flight", "seq", "observation_epoch").collect())
+    assert hot == base
+    seg = PA.path_segments(o, bucket_seconds=86400, hot_rows=1, fine_seconds=60)
+    assert sorted(tuple(r) for r in seg.collect()) == sorted(tuple(r) for r in PA.path_segments(o).collect())
+
+
 def test_segments_follow_time_order(spark):
     o = fx.obs(spark, SF_SMALL)
     s = PA.path_segments(o, bucket_seconds=60)

@@ -10,8 +10,10 @@ array -- and everything ordered along a path is computed per *time bucket* of th
 * segments: ``lead`` inside each bucket, plus one boundary segment from a bucket's last
   point to the next non-empty bucket's first point.
 
-A bucket holds at most one aircraft's reports for ``bucket_seconds``, a physical bound, so
-an aircraft or callsign that owns a third of all rows is still split into many tasks.
+A bucket holds one aircraft's reports for ``bucket_seconds``, so an aircraft or callsign
+that owns a third of all rows is split over many tasks.  A bucket that is still hot (more
+than ``hot_rows`` points) is split again into ``fine_seconds`` buckets nested inside it;
+the hot buckets are found by a partial/final count and joined back as a small relation.
 Results are exact: identical to a single window over the whole path.
 """
 
@@ -24,6 +26,8 @@ from vantage.functions.columns import path_label
 
 KEY = ("hex", "flight")
 BUCKET_SECONDS = 3600
+FINE_SECONDS = 1
+HOT_ROWS = 1_000_000
 
 
 def positioned(obs: DataFrame) -> DataFrame:
@@ -44,14 +48,29 @@ def path_points(obs: DataFrame, min_obs: int = 5) -> DataFrame:
     return positioned(obs).join(cand, list(KEY), "left_semi")
 
 
-def _bucketed(points: DataFrame, bucket_seconds: int) -> DataFrame:
-    return points.withColumn("_b", F.floor(F.col("observation_epoch") / bucket_seconds))
-
-
-def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def _bucketed(points: DataFrame, bucket_seconds: int, fine_seconds: int = FINE_SECONDS,
+              hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``_b`` = start second of the point's bucket: ``bucket_seconds`` wide, or
+    ``fine_seconds`` wide inside a coarse bucket holding more than ``hot_rows`` points.
+    Fine buckets nest in coarse ones, so ordering by ``_b`` is ordering by time."""
+    if bucket_seconds % fine_seconds:
+        raise ValueError("bucket_seconds must be a multiple of fine_seconds")
+    ep = F.col("observation_epoch")
+    coarse = (F.floor(ep / bucket_seconds) * bucket_seconds).cast("long")
+    p = points.withColumn("_c", coarse)
+    hot = (p.groupBy(*KEY, "_c").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > hot_rows).select(*KEY, "_c", F.lit(True).alias("_hot")))
+    fine = (F.floor(ep / fine_seconds) * fine_seconds).cast("long")
+    return (p.join(hot, [*KEY, "_c"], "left")
+            .withColumn("_b", F.when(F.col("_hot"), fine).otherwise(F.col("_c")))
+            .drop("_c", "_hot"))
+
+
+def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS,
+                 hot_rows: int = HOT_ROWS, fine_seconds: int = FINE_SECONDS) -> DataFrame:
     """W5 + W11: one row per point: hex, flight, label, seq (1-based, time order), time,
     lat, lon, alt_baro."""
-    p = _bucketed(path_points(obs, min_obs), bucket_seconds)
+    p = _bucketed(path_points(obs, min_obs), bucket_seconds, fine_seconds, hot_rows)
     per_bucket = p.groupBy(*KEY, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_n").over(wb), F.lit(0))).drop("_n")
@@ -62,9 +81,10 @@ def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_
                     "observation_time", "observation_epoch", "lat", "lon", "alt_baro"))
 
 
-def path_segments(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+def path_segments(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS,
+                  hot_rows: int = HOT_ROWS, fine_seconds: int = FINE_SECONDS) -> DataFrame:
     """Consecutive point pairs of every path (a path of n points gives n-1 segments)."""
-    p = _bucketed(path_points(obs, min_obs), bucket_seconds).select(
+    p = _bucketed(path_points(obs, min_obs), bucket_seconds, fine_seconds, hot_rows).select(
         *KEY, "_b", "observation_time", "observation_epoch", "lat", "lon", "alt_baro")
     pt = F.struct("observation_epoch", "observation_time", "lat", "lon", "alt_baro")
     wi = Window.partitionBy(*KEY, "_b").orderBy("observation_epoch")
