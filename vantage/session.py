@@ -60,11 +60,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = spark.sparkContext.getCheckpointDir() if hasattr(spark.sparkContext, "getCheckpointDir") else None
+        try:
+            base = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext handle (e.g. a remote session)
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="vantage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:
+            pass
     return base.rstrip("/") + "/" + name
 
 
