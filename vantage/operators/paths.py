@@ -48,20 +48,29 @@ def path_points(obs: DataFrame, min_obs: int = 5) -> DataFrame:
     return positioned(obs).join(cand, list(KEY), "left_semi")
 
 
-def _bucketed(points: DataFrame, bucket_seconds: int, fine_seconds: int = FINE_SECONDS,
-              hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``_b`` = start second of the point's bucket: ``bucket_seconds`` wide, or
-    ``fine_seconds`` wide inside a coarse bucket holding more than ``hot_rows`` points.
-    Fine buckets nest in coarse ones, so ordering by ``_b`` is ordering by time."""
+def _bucketed_points(obs: DataFrame, min_obs: int, bucket_seconds: int, fine_seconds: int = FINE_SECONDS,
+                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Path points with ``_b`` = start second of the point's bucket: ``bucket_seconds`` wide,
+    or ``fine_seconds`` wide inside a coarse bucket holding more than ``hot_rows`` points.
+    Fine buckets nest in coarse ones, so ordering by ``_b`` is ordering by time.
+
+    One count per (hex, flight, coarse bucket) (partial/final aggregate) yields both the
+    candidate flights (sum >= min_obs) and the hot buckets."""
     if bucket_seconds % fine_seconds:
         raise ValueError("bucket_seconds must be a multiple of fine_seconds")
     ep = F.col("observation_epoch")
-    coarse = (F.floor(ep / bucket_seconds) * bucket_seconds).cast("long")
-    p = points.withColumn("_c", coarse)
-    hot = (p.groupBy(*KEY, "_c").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > hot_rows).select(*KEY, "_c", F.lit(True).alias("_hot")))
+    pos = positioned(obs).withColumn("_c", (F.floor(ep / bucket_seconds) * bucket_seconds).cast("long"))
+    counts = pos.groupBy(*KEY, "_c").agg(F.count(F.lit(1)).alias("_n"))
+    cand = (counts.where(F.col("flight").isNotNull()).groupBy(*KEY).agg(F.sum("_n").alias("_p"))
+            .where(F.col("_p") >= min_obs).select(*KEY))
+    p = pos.join(cand, list(KEY), "left_semi")
+    if hot_rows is None:                       # caller guarantees no bucket is hot
+        return p.withColumnRenamed("_c", "_b")
+    # At most rows / hot_rows buckets can be hot, so this relation has a proven bound
+    # (<= 1e6 rows for 1e12 points at the default) and is broadcast: no shuffle of points.
+    hot = counts.where(F.col("_n") > hot_rows).select(*KEY, "_c", F.lit(True).alias("_hot"))
     fine = (F.floor(ep / fine_seconds) * fine_seconds).cast("long")
-    return (p.join(hot, [*KEY, "_c"], "left")
+    return (p.join(F.broadcast(hot), [*KEY, "_c"], "left")
             .withColumn("_b", F.when(F.col("_hot"), fine).otherwise(F.col("_c")))
             .drop("_c", "_hot"))
 
@@ -70,7 +79,7 @@ def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_
                  hot_rows: int = HOT_ROWS, fine_seconds: int = FINE_SECONDS) -> DataFrame:
     """W5 + W11: one row per point: hex, flight, label, seq (1-based, time order), time,
     lat, lon, alt_baro."""
-    p = _bucketed(path_points(obs, min_obs), bucket_seconds, fine_seconds, hot_rows)
+    p = _bucketed_points(obs, min_obs, bucket_seconds, fine_seconds, hot_rows)
     per_bucket = p.groupBy(*KEY, "_b").agg(F.count(F.lit(1)).alias("_n"))
     wb = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_n").over(wb), F.lit(0))).drop("_n")
@@ -84,7 +93,7 @@ def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_
 def path_segments(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS,
                   hot_rows: int = HOT_ROWS, fine_seconds: int = FINE_SECONDS) -> DataFrame:
     """Consecutive point pairs of every path (a path of n points gives n-1 segments)."""
-    p = _bucketed(path_points(obs, min_obs), bucket_seconds, fine_seconds, hot_rows).select(
+    p = _bucketed_points(obs, min_obs, bucket_seconds, fine_seconds, hot_rows).select(
         *KEY, "_b", "observation_time", "observation_epoch", "lat", "lon", "alt_baro")
     pt = F.struct("observation_epoch", "observation_time", "lat", "lon", "alt_baro")
     wi = Window.partitionBy(*KEY, "_b").orderBy("observation_epoch")
