@@ -42,3 +42,20 @@ def test_entry_smoke(spark):
     assert df.columns == ["decade_label", "unique_aircraft", "total_observations", "percentage",
                           "earliest_year", "latest_year", "avg_age"]
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_snapshot_file_stream_equals_batch(spark, tmpdir_path):
+    import json
+    from vantage.sources import snapshots as SN
+    land = f"{tmpdir_path}/landing"
+    for cap, now in (("capture=1", 1766016000.0), ("capture=2", 1766016030.0)):
+        os.makedirs(f"{land}/{cap}")
+        with open(f"{land}/{cap}/history_{cap[-1]}.json", "w") as f:
+            json.dump({"now": now, "messages": 1, "aircraft": [
+                {"hex": "a1", "flight": "F1 ", "lat": 1.0, "lon": 2.0, "gs": 3.0, "track": 4.0, "rssi": -1.0},
+                {"hex": "a2", "lat": 1.0, "rssi": -2.0}]}, f, indent=1)
+    out = ST.run_append(ST.stream_capture(ST.snapshot_stream(spark, land, max_files=1)), "t_snap")
+    got = sorted((r.hex, r.observation_epoch, r.flight, r.source_file) for r in spark.read.parquet(out).collect())
+    batch = R.complete_only(SN.flatten(SN.read_snapshots(spark, f"{land}/*/*.json")))
+    want = sorted((r.hex, r.observation_epoch, r.flight, r.source_file) for r in batch.collect())
+    assert got == want == [("a1", 1766016000.0, "F1", "history_1.json"), ("a1", 1766016030.0, "F1", "history_2.json")]
