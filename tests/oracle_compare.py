@@ -61,6 +61,17 @@ def norm(v):
     return str(v)
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+                 "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT",
+                 "smallint": "SMALLINT", "tinyint": "TINYINT"}
+
+
+def type_diff(sdf, con, sql_text):
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    d = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql_text).fetchall()}
+    return {c: (s.get(c), d.get(c)) for c in set(s) | set(d) if s.get(c) != d.get(c)}
+
+
 def rows_of(columns, records):
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     return sorted(tuple(norm(r[i]) for i in order) for r in records), [columns[i] for i in order]
@@ -82,8 +93,11 @@ def compare(spark, key, q, o, sf_dir, con=None):
     o_sorted, ocols_s = rows_of(ocols, orows)
     out = {"key": key, "rows": len(srows), "oracle_rows": len(orows), "spark_s": round(t1 - t0, 2),
            "duck_s": round(t2 - t1, 2)}
+    types = type_diff(sdf, con, o)
     if scols != ocols_s:
         out["status"] = f"COLUMNS {scols} vs {ocols_s}"
+    elif types:
+        out["status"] = f"TYPES {types}"
     elif s_sorted != o_sorted:
         diff = [(a, b) for a, b in zip(s_sorted, o_sorted) if a != b][:2]
         out["status"] = f"VALUES first diffs {diff}" if len(srows) == len(orows) else "ROWCOUNT"

@@ -164,7 +164,7 @@ def _pipeline_status(spark, sf):
 @register("log_health", sql("""
 WITH l AS (SELECT doc_id, text, CASE WHEN text = '' THEN []::VARCHAR[]
   ELSE regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n') END AS lines FROM documents)
-SELECT doc_id, text AS content, len(lines) AS n_lines,
+SELECT doc_id, text AS content, CAST(len(lines) AS INTEGER) AS n_lines,
  len(list_filter(CASE WHEN len(lines) < 5 THEN lines ELSE lines[-5:] END, lambda x: regexp_matches(x, 'ERROR|Error|Traceback'))) > 0 AS has_error
 FROM l"""))
 def _log_health(spark, sf):
