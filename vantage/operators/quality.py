@@ -6,7 +6,7 @@ that also carries every other counter, and one tiny final aggregate over it."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vantage.functions.columns import pct, week_ending

@@ -23,7 +23,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage import sinks
-from vantage.functions.columns import week_ending
 from vantage.plans import levels as L
 from vantage.sources import levels as S
 from vantage.sources import snapshots as SN

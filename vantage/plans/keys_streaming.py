@@ -22,8 +22,7 @@ def _stream_capture(spark, sf):
     return spark.read.parquet(out)
 
 
-@register("stream_dedup", sql("SELECT * EXCLUDE (capture_ts) FROM captures", "captures").replace(
-    "SELECT * EXCLUDE (capture_ts) FROM captures", "SELECT DISTINCT * EXCLUDE (capture_ts) FROM captures"))
+@register("stream_dedup", sql("SELECT DISTINCT * EXCLUDE (capture_ts) FROM captures", "captures"))
 def _stream_dedup(spark, sf):
     o = _stream_obs(spark, sf)
     hour = F.date_trunc("hour", "observation_time").cast("timestamp_ntz")
