@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-
 from vantage.functions.columns import clean_callsign, epoch_to_local
 from vantage.operators import reports as R
 from vantage.oracle import ALT_FT, WS, sql
