@@ -130,3 +130,26 @@ def test_log_health_tail_and_age(spark):
     assert (r["a.log"].has_error, r["b.log"].has_error, r["c.log"].has_error, r["d.log"].has_error) == (True, False, True, False)
     assert (r["a.log"].n_lines, r["c.log"].n_lines, r["d.log"].n_lines) == (6, 2, 0)
     assert r["a.log"].age_hours == 2.0 and r["b.log"].age_hours == 0.5
+
+
+def test_publish_plan_levels_and_retention(spark):
+    from vantage.plans import publish as P
+    files = spark.createDataFrame([
+        ("flights_daily_2025-12-20.parquet", _t("2025-12-21 01:00:00")),
+        ("flights_daily_2025-12-27.parquet", _t("2025-12-28 01:00:00")),
+        ("flights_daily_2025-12-10.parquet", _t("2025-12-11 01:00:00")),
+        ("flights_daily_bad.parquet", _t("2025-12-11 01:00:00"))], "name string, mtime timestamp_ntz")
+    existing = spark.createDataFrame([("daily/flights_daily_2025-12-20.parquet",)], "object_name string")
+    plan = {r.name: r.action for r in P.publish_plan(files, existing, "daily", 14, "2025-12-29").collect()}
+    assert plan == {"flights_daily_2025-12-20.parquet": "skip-exists", "flights_daily_2025-12-27.parquet": "upload",
+                    "flights_daily_2025-12-10.parquet": "outside-window", "flights_daily_bad.parquet": "unparsable"}
+    weekly = spark.createDataFrame([("flights_weekly_ending_2025-12-21.parquet", _t("2025-12-22 02:00:00")),
+                                    ("flights_weekly_ending_2025-12-28.parquet", _t("2025-12-29 02:00:00"))],
+                                   "name string, mtime timestamp_ntz")
+    none = spark.createDataFrame([], "object_name string")
+    # today is Sunday 2025-12-28: the last completed week ends 2025-12-21
+    wp = {r.name: r.action for r in P.publish_plan(weekly, none, "weekly", 1, "2025-12-28").collect()}
+    assert wp == {"flights_weekly_ending_2025-12-21.parquet": "upload",
+                  "flights_weekly_ending_2025-12-28.parquet": "outside-window"}
+    old = [r.name for r in P.retention_candidates(files, "2025-12-29 00:00:00", 7).collect()]
+    assert sorted(old) == ["flights_daily_2025-12-10.parquet", "flights_daily_2025-12-20.parquet", "flights_daily_bad.parquet"]
