@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import (alt_ft, decade, engines_label, has_callsign, pct, platform_label,
-                                       power_label, round6, size_class, year_int)
+from vantage.functions.columns import (alt_ft, decade, engines_label, exact_avg, has_callsign, pct,
+                                       platform_label, power_label, size_class, year_int)
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
 
@@ -90,7 +90,7 @@ def age_by_decade(obs: DataFrame, af: DataFrame, ref_year: int = 2025) -> DataFr
          .groupBy("decade")
          .agg(F.count_distinct("hex").alias("unique_aircraft"), F.sum("observations").alias("total_observations"),
               F.min("year_int").alias("earliest_year"), F.max("year_int").alias("latest_year"),
-              F.round(F.avg(F.lit(ref_year) - F.col("year_int")), 1).alias("avg_age")))
+              exact_avg(F.lit(ref_year) - F.col("year_int"), 1).alias("avg_age")))
     return (g.select(F.concat(F.col("decade").cast("string"), F.lit("s")).alias("decade_label"),
                      "unique_aircraft", "total_observations",
                      pct(F.col("total_observations"), F.sum("total_observations").over(Window.partitionBy())).alias("percentage"),
@@ -142,7 +142,7 @@ def age_by_type(obs: DataFrame, af: DataFrame, min_rows: int = 100, k: int = 15,
           .withColumn("age", F.lit(ref_year) - F.col("year_int")))
     return (hy.groupBy("icao_type", "manufacturer", "model")
             .agg(F.count_distinct("hex").alias("aircraft_count"), F.sum("observations").alias("total_observations"),
-                 F.round(F.avg("age"), 1).alias("avg_age"), F.min("age").alias("youngest"), F.max("age").alias("oldest"))
+                 exact_avg("age", 1).alias("avg_age"), F.min("age").alias("youngest"), F.max("age").alias("oldest"))
             .where(F.col("total_observations") > min_rows)
             .orderBy(F.desc("total_observations"), F.asc_nulls_last("icao_type"), F.asc_nulls_last("manufacturer"),
                      F.asc_nulls_last("model"))
@@ -231,7 +231,7 @@ def medical_activity(obs: DataFrame, af: DataFrame) -> DataFrame:
             .agg(_n().alias("observations"), F.min("observation_time").alias("first_seen"),
                  F.max("observation_time").alias("last_seen"),
                  F.count_distinct(F.to_date("observation_time")).alias("active_days"),
-                 round6(F.avg(alt_ft())).alias("avg_altitude"), round6(F.avg("gs")).alias("avg_speed")))
+                 exact_avg(alt_ft()).alias("avg_altitude"), exact_avg("gs").alias("avg_speed")))
 
 
 def medical_share(obs: DataFrame, af: DataFrame) -> DataFrame:
@@ -268,7 +268,7 @@ def top_flights_profile(obs: DataFrame, af: DataFrame, k: int = 10) -> DataFrame
     """Top-k flights first (small), then the registry attributes by a left join."""
     top = (obs.where(has_callsign("flight", "length")).groupBy("hex", "flight")
            .agg(_n().alias("observations"), F.count_distinct(F.to_date("observation_time")).alias("days"),
-                round6(F.avg(alt_ft())).alias("avg_altitude"), round6(F.avg("gs")).alias("avg_speed"))
+                exact_avg(alt_ft()).alias("avg_altitude"), exact_avg("gs").alias("avg_speed"))
            .orderBy(F.desc("observations"), "hex", "flight").limit(k))
     r = af.select("icao", "manufacturer", "model", "manufacture_year")
     return enrich(top, r, "left").drop("icao")
