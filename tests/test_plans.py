@@ -28,3 +28,13 @@ def test_scan_is_pruned_and_topk_is_map_side(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
     plan = Q["top_flights"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
+
+
+def test_enriched_reports_reduce_before_the_registry_join(spark):
+    import re
+    for key in ("age_by_decade", "category_summary", "size_distribution", "age_by_type"):
+        plan = Q[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        join = re.search(r"(BroadcastHashJoin|SortMergeJoin|ShuffledHashJoin) \[hex", plan)
+        assert join, key
+        below = plan[join.start():]
+        assert re.search(r"HashAggregate\(keys=\[hex#\d+\], functions=\[partial_count\(1\)\]", below), key
