@@ -199,7 +199,8 @@ SELECT observation_time, observation_epoch, hex,
  lat, lon, alt_baro, gs, track, category, rssi, messages, CAST(NULL AS VARCHAR) AS nav_modes, source_file FROM obs""", "obs"))
 def _snapshot_flatten(spark, sf):
     docs = SN.to_snapshot_docs(fx.obs(spark, sf))
-    flat = SN.flatten(SN.parse_snapshot_text(docs, "doc", "source_file"))
+    fields = ("hex", "flight", "lat", "lon", "alt_baro", "gs", "track", "category", "rssi", "messages", "nav_modes")
+    flat = SN.flatten(SN.parse_snapshot_text(docs, "doc", "source_file", fields))
     return flat.select("observation_time", "observation_epoch", "hex", "flight", "lat", "lon", "alt_baro", "gs",
                        "track", "category", "rssi", "messages", "nav_modes", "source_file")
 

@@ -28,6 +28,18 @@ SNAPSHOT = StructType([
     StructField("aircraft", ArrayType(AIRCRAFT)),
 ])
 
+
+
+def snapshot_schema(fields=None) -> StructType:
+    """SNAPSHOT with the aircraft struct narrowed to ``fields`` (in schema order): the JSON
+    parser then materialises only the columns a job uses."""
+    if not fields:
+        return SNAPSHOT
+    keep = StructType([f for f in AIRCRAFT.fields if f.name in set(fields)])
+    return StructType([StructField("now", DoubleType()), StructField("messages", LongType()),
+                       StructField("aircraft", ArrayType(keep))])
+
+
 _LOCAL = StructType([
     StructField("samples_processed", LongType()), StructField("samples_dropped", LongType()),
     StructField("modes", LongType()), StructField("bad", LongType()), StructField("unknown_icao", LongType()),

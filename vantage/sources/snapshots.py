@@ -6,19 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.functions.columns import clean_callsign, epoch_to_local, nav_modes_csv
-from vantage.schemas import AIRCRAFT, SNAPSHOT
+from vantage.schemas import snapshot_schema
 
 
-def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+def read_snapshots(spark: SparkSession, path: str, fields=None) -> DataFrame:
     """Snapshot files (one multi-line JSON object each) with a fixed schema; the file name
-    (ring-buffer slot) comes from the hidden ``_metadata`` column."""
-    df = spark.read.schema(SNAPSHOT).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
+    (ring-buffer slot) comes from the hidden ``_metadata`` column.  ``fields`` narrows the
+    aircraft fields that are parsed."""
+    df = spark.read.schema(snapshot_schema(fields)).option("multiLine", "true").option("mode", "PERMISSIVE").json(path)
     return df.select("*", F.col("_metadata.file_name").alias("source_file"))
 
 
-def parse_snapshot_text(docs: DataFrame, text_col: str = "doc", file_col: str = "source_file") -> DataFrame:
+def parse_snapshot_text(docs: DataFrame, text_col: str = "doc", file_col: str = "source_file",
+                        fields=None) -> DataFrame:
     """Same as ``read_snapshots`` for documents already held in a string column."""
-    p = F.from_json(F.col(text_col), SNAPSHOT)
+    p = F.from_json(F.col(text_col), snapshot_schema(fields))
     return docs.select(p.alias("_s"), F.col(file_col).alias("source_file")).select("_s.*", "source_file")
 
 
@@ -27,7 +29,7 @@ def flatten(snapshots: DataFrame, tz: str = "UTC") -> DataFrame:
     nav modes joined to CSV (P3); ``observation_time`` = receiver-local wall time of ``now``."""
     rows = snapshots.select("now", "source_file", F.inline(F.col("aircraft")))
     out = [epoch_to_local("now", tz).alias("observation_time"), F.col("now").alias("observation_epoch")]
-    for f in AIRCRAFT.fields:
+    for f in snapshots.schema["aircraft"].dataType.elementType.fields:
         if f.name == "flight":
             out.append(clean_callsign("flight").alias("flight"))
         elif f.name == "nav_modes":

@@ -56,9 +56,9 @@ def read_stream(spark: SparkSession, path: str, fmt: str = "parquet", schema=Non
 def snapshot_stream(spark: SparkSession, landing: str, tz: str = "UTC", max_files: int | None = None) -> DataFrame:
     """R1 source: snapshot JSON files landing under unique names (e.g. ``capture=<ts>/history_17.json``),
     parsed with the fixed schema and flattened to observations (same code as the batch path)."""
-    from vantage.schemas import SNAPSHOT
+    from vantage.schemas import snapshot_schema
     from vantage.sources.snapshots import flatten
-    r = (spark.readStream.schema(SNAPSHOT).option("multiLine", "true").option("recursiveFileLookup", "true")
+    r = (spark.readStream.schema(snapshot_schema()).option("multiLine", "true").option("recursiveFileLookup", "true")
          .option("pathGlobFilter", "*.json"))
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
