@@ -6,8 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 
-from vantage.llm import bytebpe, pieces, planes
-from vantage.llm.common import documents, scratch
+from pyspark.sql import functions as F
+
+from vantage.llm import bytebpe, digest_index, licenses, pieces, planes, simhash, suffixes, toxicity, zquality
+from vantage.llm.common import documents, id_remainder, scratch
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -30,6 +32,69 @@ def op1(spark, sf_dir):
     return planes.document_checksums(spark, path)
 
 
+def licence_sql() -> str:
+    """The scan of ``licenses`` as DuckDB SQL: rules are applied one after the other."""
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    lookup = " ".join(f"WHEN {quote(s)} THEN '|{i}|'" for i, s in licenses.SENTENCES.items())
+    steps, last = [], "r0"
+    for k, (name, ids) in enumerate(licenses.RULES, 1):
+        ids = quote("".join(f"|{i}|" for i in ids))
+        steps.append(f"r{k} AS (SELECT * REPLACE (replace(rest, {ids}, '|~|') AS rest, CASE WHEN contains(rest, {ids}) "
+                     f"THEN list_append(hits, {quote(name)}) ELSE hits END AS hits) FROM {last})")
+        last = f"r{k}"
+    count = "len(list_filter(string_split({}, '|'), x -> x NOT IN ('', '.', '~')))"
+    return f"""
+    WITH cut AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '[\\n\\r]+|[.!?;:]+[ \\t]+') AS parts FROM documents),
+    plain AS (SELECT doc_id, list_transform(parts, s -> trim(regexp_replace(translate(s, '{licenses.UPPER}',
+        '{licenses.LOWER}'), '[^a-z0-9]+', ' ', 'g'))) AS parts FROM cut),
+    r0 AS (SELECT doc_id, regexp_replace(array_to_string(list_transform(parts, s -> CASE CASE WHEN regexp_matches(s,
+        '^copyright (c )?[0-9]{{4}}') THEN 'copyright' ELSE s END {lookup} ELSE '|.|' END), ''), '(\\|\\.\\|)+', '|.|', 'g')
+        AS sentence_ids, sentence_ids AS rest, CAST([] AS VARCHAR[]) AS hits FROM plain),
+    {", ".join(steps)}
+    SELECT doc_id, sentence_ids, {count.format('sentence_ids')} AS n_sentences,
+           array_to_string(list_filter(hits, (x, i) -> list_position(hits, x) = i), ',') AS licenses,
+           len(hits) AS n_rules, {count.format('rest')} AS n_left
+    FROM {last}"""
+
+
+@_query("op2_license_sentences", licence_sql())
+def op2(spark, sf_dir):
+    return licenses.scan(documents(spark, sf_dir, "doc_id", "text")).drop("text")
+
+
+def _labelled(spark, sf_dir, label: str, mod: int, held_out: int):
+    """Texts with their label, without the rows that are held out."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(label).alias("label"))
+    return documents(spark, sf_dir, "doc_id", "text").where(id_remainder(mod) != held_out).join(labels, "doc_id")
+
+
+def toxicity_scorer(spark, sf_dir):
+    return toxicity.fit_from(_labelled(spark, sf_dir, "toxic", 4, 2))
+
+
+def _judged(scored, mod: int, held_out: int):
+    return scored.select("doc_id", (id_remainder(mod) == held_out).alias("held_out"), "score",
+                         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@_query("op3_channel_toxicity")
+def op3(spark, sf_dir):
+    scorer = toxicity_scorer(spark, sf_dir)
+    return _judged(toxicity.with_scores(documents(spark, sf_dir, "doc_id", "text"), scorer), 4, 2)
+
+
+@_query("op4_digest_index", """
+    WITH d AS (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
+    SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+           doc_id = max(doc_id) OVER same AS kept, text_sha256
+    FROM d WINDOW same AS (PARTITION BY text_sha256)""")
+def op4(spark, sf_dir):
+    index = digest_index.fresh_index(spark)
+    marked = digest_index.mark_duplicates(documents(spark, sf_dir, "doc_id", "text"), index)
+    index.close()
+    return marked
+
+
 @_query("op5_byte_bpe")
 def op5(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -37,10 +102,26 @@ def op5(spark, sf_dir):
     return bytebpe.digests(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@_query("op6_compression_quality")
+def op6(spark, sf_dir):
+    scorer = zquality.fit_from(_labelled(spark, sf_dir, "quality", 5, 0))
+    return _judged(zquality.with_scores(documents(spark, sf_dir, "doc_id", "text"), scorer), 5, 0)
+
+
+@_query("op7_suffix_decontamination")
+def op7(spark, sf_dir):
+    marked = suffixes.mark_contaminated(documents(spark, sf_dir, "doc_id", "text"),
+                                        spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return marked.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+
+
+@_query("op8_simhash")
+def op8(spark, sf_dir):
+    return simhash.mark_components(documents(spark, sf_dir, "doc_id", "text"))
+
+
 @_query("op10_token_counts")
 def op10(spark, sf_dir):
-    from pyspark.sql import functions as F
-
     counted = pieces.with_token_counts(documents(spark, sf_dir, "doc_id", "text"),
                                        public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
