@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from vantage.llm import bytebpe, digest_index, licenses, pieces, planes, simhash, suffixes, toxicity, zquality
+from vantage.llm import bytebpe, digest_index, lbl, licenses, pieces, planes, simhash, suffixes, toxicity, zquality
 from vantage.llm.common import documents, id_remainder, scratch
 
 QUERIES: dict[str, Callable] = {}
@@ -42,17 +42,17 @@ def licence_sql() -> str:
         steps.append(f"r{k} AS (SELECT * REPLACE (replace(rest, {ids}, '|~|') AS rest, CASE WHEN contains(rest, {ids}) "
                      f"THEN list_append(hits, {quote(name)}) ELSE hits END AS hits) FROM {last})")
         last = f"r{k}"
-    count = "len(list_filter(string_split({}, '|'), x -> x NOT IN ('', '.', '~')))"
+    count = "len(list_filter(string_split({}, '|'), lambda x: x NOT IN ('', '.', '~')))"
     return f"""
     WITH cut AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '[\\n\\r]+|[.!?;:]+[ \\t]+') AS parts FROM documents),
-    plain AS (SELECT doc_id, list_transform(parts, s -> trim(regexp_replace(translate(s, '{licenses.UPPER}',
+    plain AS (SELECT doc_id, list_transform(parts, lambda s: trim(regexp_replace(translate(s, '{licenses.UPPER}',
         '{licenses.LOWER}'), '[^a-z0-9]+', ' ', 'g'))) AS parts FROM cut),
-    r0 AS (SELECT doc_id, regexp_replace(array_to_string(list_transform(parts, s -> CASE CASE WHEN regexp_matches(s,
+    r0 AS (SELECT doc_id, regexp_replace(array_to_string(list_transform(parts, lambda s: CASE CASE WHEN regexp_matches(s,
         '^copyright (c )?[0-9]{{4}}') THEN 'copyright' ELSE s END {lookup} ELSE '|.|' END), ''), '(\\|\\.\\|)+', '|.|', 'g')
         AS sentence_ids, sentence_ids AS rest, CAST([] AS VARCHAR[]) AS hits FROM plain),
     {", ".join(steps)}
     SELECT doc_id, sentence_ids, {count.format('sentence_ids')} AS n_sentences,
-           array_to_string(list_filter(hits, (x, i) -> list_position(hits, x) = i), ',') AS licenses,
+           array_to_string(list_filter(hits, lambda x, i: list_position(hits, x) = i), ',') AS licenses,
            len(hits) AS n_rules, {count.format('rest')} AS n_left
     FROM {last}"""
 
@@ -126,3 +126,11 @@ def op10(spark, sf_dir):
                                        public_tokenizers.path("piece_bpe_32k.model"))
     return counted.select("doc_id", F.octet_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_bytes"),
                           "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"))
+
+
+@_query("op9_log_bilinear")
+def op9(spark, sf_dir):
+    held_out = id_remainder(7) == 2
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    marked = lbl.score_documents(docs, ~held_out)
+    return marked.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
