@@ -111,7 +111,7 @@ def main(argv):
     from vantage.session import build_session
     sf_dir = argv[1] if len(argv) > 1 and argv[1].startswith("/") else "/root/testdata/sf0.01"
     keys = [a for a in argv[1:] if not a.startswith("/")]
-    Q, O = load_all()
+    Q, O = load_all()  # noqa: E741
     tz = os.environ.get("VANTAGE_TEST_TZ")
     spark = build_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf_dir)

@@ -51,20 +51,52 @@ def test_segments_are_points_minus_paths(spark):
         assert PA.path_segments(o, bucket_seconds=b).count() == t.points - t.paths
 
 
-def test_hot_buckets_split_exactly(spark):
+def test_equal_times_have_one_order(spark):
+    """Ties, NULL epochs and NULL times: every point is entered once and left once, whatever the bucket size."""
+    rows = [("a", "F1", None if t is None else f"2024-01-01 00:00:0{t}", e, f"s{k}", float(k), 1.0)
+            for k, (t, e) in enumerate([(0, 0.0), (1, None), (2, 2.0), (2, 2.0), (2, None), (5, 5.0), (None, 6.0), (None, None)])]
+    o = spark.createDataFrame(rows, "hex string, flight string, t string, observation_epoch double, source_file string, lat double, lon double") \
+        .withColumn("observation_time", F.col("t").cast("timestamp_ntz")) \
+        .withColumns({c: F.lit(None).cast("double") for c in ("gs", "track", "rssi")}).withColumn("alt_baro", F.lit("100"))
+    for b in (1, 60, 10 ** 6):
+        p = [r.lat for r in PA.flight_paths(o, 5, b).orderBy("seq").collect()]
+        assert p == [0.0, 1.0, 4.0, 2.0, 3.0, 5.0, 7.0, 6.0]
+        s = PA.path_segments(o, 5, b).orderBy("seq").collect()
+        assert [(r.from_lat, r.to_lat) for r in s] == list(zip(p, p[1:]))
+    e = PA.path_endpoints(o).first()
+    assert (e.start_lat, e.end_lat) == (0.0, 6.0)
+
+
+def test_single_points_are_no_path(spark):
     o = fx.obs(spark, SF_SMALL)
-    base = sorted(tuple(r) for r in PA.flight_paths(o).select("hex", "flight", "seq", "observation_epoch").collect())
-    hot = sorted(tuple(r) for r in PA.flight_paths(o, bucket_seconds=86400, hot_rows=1, fine_seconds=60)
-                 .select("hex", "flight", "seq", "observation_epoch").collect())
-    assert hot == base
-    seg = PA.path_segments(o, bucket_seconds=86400, hot_rows=1, fine_seconds=60)
-    assert sorted(tuple(r) for r in seg.collect()) == sorted(tuple(r) for r in PA.path_segments(o).collect())
+    assert PA.flight_paths(o, 1).groupBy("hex", "flight").count().where("count < 2").count() == 0
+
+
+def test_ages_round_half_up_and_averages_keep_nan(spark):
+    from vantage.functions.columns import avg_half_up
+    from vantage.operators import reports as R
+    ages = spark.createDataFrame([(27,), (27,), (27,), (28,), (None,)], "a int")
+    assert ages.agg(avg_half_up("a").alias("x")).first().x == 27.3      # 27.25
+    assert ages.where("a is null").agg(avg_half_up("a").alias("x")).first().x is None
+    assert spark.createDataFrame([(-27,), (-27,), (-27,), (-28,)], "a int").agg(avg_half_up("a").alias("x")).first().x == -27.3
+    nan = spark.createDataFrame([(float("nan"), 1), (1.0, 3)], "rssi double, messages long")
+    r = R.signal_stats(nan).first()
+    assert r.avg_rssi != r.avg_rssi and r.avg_messages == 2.0
+
+
+def test_coverage_just_under_half_fails(spark):
+    from vantage.operators import quality as Q
+    rows = [(f"a{k}", float(k), "2024-01-01 00:00:00", 1.0 if k < 49_999 else None, 1.0, "1") for k in range(100_000)]
+    o = spark.createDataFrame(rows, "hex string, observation_epoch double, t string, lat double, lon double, alt_baro string") \
+        .withColumn("observation_time", F.col("t").cast("timestamp_ntz"))
+    r = {x["check"]: x.status for x in Q.validation_report(o, "2024-01-02 00:00:00").collect()}
+    assert r["position_coverage_pct"] == "FAIL"
 
 
 def test_segments_follow_time_order(spark):
     o = fx.obs(spark, SF_SMALL)
     s = PA.path_segments(o, bucket_seconds=60)
-    assert s.where(F.col("to_time") <= F.col("from_time")).count() == 0
+    assert s.where(F.col("to_time") < F.col("from_time")).count() == 0
 
 
 def test_keyed_append_rejects_null_keys_and_is_idempotent(spark):

@@ -166,3 +166,23 @@ def test_level_jobs_end_to_end(spark, tmpdir_path):
     assert spark.read.parquet(f"{root}/weekly").count() == 2
     conf = sizing_conf(100 * 1024 ** 4, executors=1000, cores_per_executor=4)
     assert int(conf["spark.sql.shuffle.partitions"]) >= 400000
+
+
+def test_one_date_is_written_by_several_tasks(spark, tmpdir_path):
+    from vantage import sinks
+    from vantage.sources import fixtures as fx
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    o = fx.obs(spark, "/root/testdata/sf0.01").withColumn("capture_date", F.lit("2024-01-01").cast("date"))
+    o = o.union(o).union(o).union(o)                    # a day from several input tasks
+    try:
+        spark.conf.set(key, "64k")
+        for write in (lambda: sinks.write_level(o, tmpdir_path, "hourly"), lambda: sinks.publish(o, tmpdir_path + "/out")):
+            path = write()
+            once = spark.read.parquet(path)
+            n = once.select(F.input_file_name().alias("f")).distinct().count()
+            assert n > 1 and once.count() == o.count()
+            write()                                     # a rerun replaces the date
+            assert spark.read.parquet(path).count() == o.count()
+    finally:
+        spark.conf.set(key, before)

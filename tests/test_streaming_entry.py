@@ -18,18 +18,89 @@ def test_foreach_batch_upsert_is_idempotent(spark, tmpdir_path):
     o.write.parquet(f"{src}/part2")            # re-delivers the first part
     table = f"{tmpdir_path}/table"
     stream = spark.readStream.schema(o.schema).option("recursiveFileLookup", "true").parquet(src)
-    ST.upsert_batches(stream, table, "upsert")
+    ST.upsert_batches(stream, table, f"{tmpdir_path}/c1")
     out = spark.read.parquet(table)
     assert out.count() == o.count()
     assert out.groupBy("hex", "observation_epoch").count().where("count > 1").count() == 0
     # a second run over the same files (new checkpoint = replay) appends nothing
-    ST.upsert_batches(spark.readStream.schema(o.schema).option("recursiveFileLookup", "true").parquet(src), table, "upsert")
+    ST.upsert_batches(spark.readStream.schema(o.schema).option("recursiveFileLookup", "true").parquet(src), table, f"{tmpdir_path}/c2")
     assert spark.read.parquet(table).count() == o.count()
 
 
-def test_stream_equals_batch(spark):
-    o = ST.read_stream(spark, SF_SMALL, glob="events.parquet")
-    out = ST.run_append(ST.stream_capture(fx.obs_from_events(o)), "t_capture")
+def test_null_keys_are_rejected_in_the_first_batch_too(spark, tmpdir_path):
+    rows = [("a", 1.0, "f"), (None, 1.0, "f"), ("b", None, "f"), ("a", 1.0, "g")]
+    src = f"{tmpdir_path}/in"
+    spark.createDataFrame(rows, "hex string, observation_epoch double, source_file string").write.parquet(src)
+    ST.upsert_batches(ST.read_stream(spark, src), f"{tmpdir_path}/t", f"{tmpdir_path}/c")
+    assert [tuple(r) for r in spark.read.parquet(f"{tmpdir_path}/t").collect()] == [("a", 1.0, "f")]
+
+
+def test_keys_take_a_table_stored_as_a_folder(spark, tmpdir_path):
+    from tests.oracle_compare import compare, duck
+    from vantage.plans.catalog import load_all
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{tmpdir_path}/events.parquet")
+    queries, oracle = load_all()
+    for key in ("stream_capture", "stream_dedup", "stream_tumbling"):
+        got = queries[key](spark, tmpdir_path)
+        con = duck(SF_SMALL)
+        assert compare(spark, key, lambda *_, got=got: got, oracle[key], SF_SMALL, con)["status"] == "ok", key
+
+
+def test_watermark_acts_over_batches_and_a_restart_resumes(spark, tmpdir_path):
+    """One file per batch.  A repeat within two hours is dropped; once the watermark has
+    passed a key, its state is gone.  A second start with the same folders reads new files only."""
+    src, sink, point = (f"{tmpdir_path}/{x}" for x in ("in", "out", "point"))
+
+    def land(n, rows):
+        (spark.createDataFrame([(h, 1e6 + t, n) for h, t in rows], "hex string, observation_epoch double, n int")
+         .coalesce(1).write.mode("append").parquet(src))
+
+    def run():
+        stream = ST.read_stream(spark, src, max_files=1)
+        ST.run_append(ST.stream_dedup(stream).drop("event_ts"), sink, point)
+        return sorted((r.hex, r.observation_epoch - 1e6, r.n) for r in spark.read.parquet(sink).collect())
+
+    land(0, [("a", 0), ("b", 10)])
+    assert run() == [("a", 0.0, 0), ("b", 10.0, 0)]
+    land(1, [("a", 0), ("c", 20_000)])             # a repeat; the watermark then passes 12,800
+    assert run() == [("a", 0.0, 0), ("b", 10.0, 0), ("c", 20000.0, 1)]
+    land(2, [("d", 100), ("c", 20_000), ("e", 19_000)])     # too late; a repeat; late but inside
+    assert run() == [("a", 0.0, 0), ("b", 10.0, 0), ("c", 20000.0, 1), ("e", 19000.0, 2)]
+    assert run() == [("a", 0.0, 0), ("b", 10.0, 0), ("c", 20000.0, 1), ("e", 19000.0, 2)]
+
+
+def test_windows_are_updated_over_batches(spark, tmpdir_path):
+    src, sink, point = (f"{tmpdir_path}/{x}" for x in ("in", "out", "point"))
+    for n, epochs in enumerate([[0, 10, 3600], [20, 3700, 7200]]):
+        spark.createDataFrame([(float(e),) for e in epochs], "observation_epoch double").coalesce(1).write.mode("append").parquet(src)
+        ST.run_update(ST.stream_tumbling(ST.read_stream(spark, src, max_files=1), "hour"), sink, point)
+    now = ST.latest(spark.read.parquet(sink), ["window_start", "window_end"], ["observations"])
+    assert sorted(r.observations for r in now.collect()) == [1, 2, 3]
+
+
+def test_cluster_without_shared_folder_is_refused():
+    import pytest
+    from vantage.session import shared_dir
+
+    class Conf:
+        def get(self, key, default=None):
+            return {"spark.master": "yarn"}.get(key, default)
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            @staticmethod
+            def getCheckpointDir():
+                return None
+
+    with pytest.raises(ValueError):
+        shared_dir(Session(), "x")
+
+
+def test_stream_equals_batch(spark, tmpdir_path):
+    o = ST.read_stream(spark, f"{SF_SMALL}/events.parque[t]")
+    out = ST.run_append(ST.stream_capture(fx.obs_from_events(o)), f"{tmpdir_path}/out", f"{tmpdir_path}/point")
     assert spark.read.parquet(out).count() == R.complete_only(fx.obs(spark, SF_SMALL)).count()
 
 
@@ -54,7 +125,7 @@ def test_snapshot_file_stream_equals_batch(spark, tmpdir_path):
             json.dump({"now": now, "messages": 1, "aircraft": [
                 {"hex": "a1", "flight": "F1 ", "lat": 1.0, "lon": 2.0, "gs": 3.0, "track": 4.0, "rssi": -1.0},
                 {"hex": "a2", "lat": 1.0, "rssi": -2.0}]}, f, indent=1)
-    out = ST.run_append(ST.stream_capture(ST.snapshot_stream(spark, land, max_files=1)), "t_snap")
+    out = ST.run_append(ST.stream_capture(ST.snapshot_stream(spark, land, max_files=1)), f"{tmpdir_path}/out", f"{tmpdir_path}/point")
     got = sorted((r.hex, r.observation_epoch, r.flight, r.source_file) for r in spark.read.parquet(out).collect())
     batch = R.complete_only(SN.flatten(SN.read_snapshots(spark, f"{land}/*/*.json")))
     want = sorted((r.hex, r.observation_epoch, r.flight, r.source_file) for r in batch.collect())

@@ -11,7 +11,7 @@ __all__ = [
     "ntz_from_micros",
     "epoch_to_local", "year_int", "decade", "decade_label", "age", "week_ending",
     "week_start", "platform_label", "engines_label", "power_label", "size_class",
-    "path_label", "pct", "round6", "half_even_div", "exact_avg", "nav_modes_csv", "split_pair", "WHITESPACE",
+    "path_label", "pct", "round6", "half_even_div", "avg_half_up", "nav_modes_csv", "split_pair", "WHITESPACE",
 ]
 
 # Characters Python's str.strip() removes for ASCII text (fixed value).
@@ -158,16 +158,14 @@ def half_even_div(s: Column, d: Column) -> Column:
     return q + F.when(up, F.lit(1)).otherwise(F.lit(0))
 
 
-def exact_avg(x, digits: int = 6) -> Column:
-    """Mean rounded half-to-even to ``digits`` decimals, computed exactly: values are summed
-    as integers of 10^-digits units (DECIMAL(38,0), no overflow, order independent) and the
-    quotient is rounded with integer arithmetic.  Aggregate expression; NULL when no value."""
+def avg_half_up(x, digits: int = 1) -> Column:
+    """Mean of an integer column rounded half away from zero to ``digits`` decimals, exactly: the
+    sum is an integer, so the tie is decided by integer division.  NULL when there is no value."""
     scale = 10 ** digits
-    v = c(x)
-    s = F.sum(F.round(v.cast("double") * scale).cast("decimal(38,0)"))
-    n = F.count(v)
-    q = half_even_div(s, n.cast("decimal(38,0)"))
-    return F.when(n > 0, q / F.lit(float(scale)))
+    total, n = F.sum(c(x).cast("long")), F.count(c(x))
+    twice = F.abs(total) * (2 * scale) + n
+    units = F.floor((twice - F.pmod(twice, 2 * n)) / (2 * n))
+    return F.when(n > 0, F.signum(total) * units / F.lit(float(scale)))
 
 
 def round6(x: Column) -> Column:

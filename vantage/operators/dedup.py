@@ -40,4 +40,4 @@ def append_new(target: DataFrame, batch: DataFrame, keys=OBS_KEY, order=("source
     if target_window is not None:
         col, lo = target_window
         t = target.where(F.col(col) >= lo).select(*keys)
-    return first.join(t.distinct(), list(keys), "left_anti")
+    return first.join(t, list(keys), "left_anti")

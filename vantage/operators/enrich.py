@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import (alt_ft, decade, engines_label, exact_avg, has_callsign, pct,
+from vantage.functions.columns import (alt_ft, avg_half_up, decade, engines_label, has_callsign, pct,
                                        platform_label, power_label, size_class, year_int)
 
 DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
@@ -90,7 +90,7 @@ def age_by_decade(obs: DataFrame, af: DataFrame, ref_year: int = 2025) -> DataFr
          .groupBy("decade")
          .agg(F.count_distinct("hex").alias("unique_aircraft"), F.sum("observations").alias("total_observations"),
               F.min("year_int").alias("earliest_year"), F.max("year_int").alias("latest_year"),
-              exact_avg(F.lit(ref_year) - F.col("year_int"), 1).alias("avg_age")))
+              avg_half_up(F.lit(ref_year) - F.col("year_int"), 1).alias("avg_age")))
     return (g.select(F.concat(F.col("decade").cast("string"), F.lit("s")).alias("decade_label"),
                      "unique_aircraft", "total_observations",
                      pct(F.col("total_observations"), F.sum("total_observations").over(Window.partitionBy())).alias("percentage"),
@@ -142,7 +142,7 @@ def age_by_type(obs: DataFrame, af: DataFrame, min_rows: int = 100, k: int = 15,
           .withColumn("age", F.lit(ref_year) - F.col("year_int")))
     return (hy.groupBy("icao_type", "manufacturer", "model")
             .agg(F.count_distinct("hex").alias("aircraft_count"), F.sum("observations").alias("total_observations"),
-                 exact_avg("age", 1).alias("avg_age"), F.min("age").alias("youngest"), F.max("age").alias("oldest"))
+                 avg_half_up("age", 1).alias("avg_age"), F.min("age").alias("youngest"), F.max("age").alias("oldest"))
             .where(F.col("total_observations") > min_rows)
             .orderBy(F.desc("total_observations"), F.asc_nulls_last("icao_type"), F.asc_nulls_last("manufacturer"),
                      F.asc_nulls_last("model"))
@@ -224,14 +224,19 @@ def medical_layers(obs: DataFrame, af: DataFrame) -> DataFrame:
 
 
 def medical_activity(obs: DataFrame, af: DataFrame) -> DataFrame:
-    """Medical aircraft, rotary and fixed wing: rows, first/last, active days, avg alt/speed."""
+    """Medical aircraft, rotary and fixed wing: rows, first/last, active days, avg alt/speed.
+    Observations are reduced to one row per aircraft and day before the registry is joined."""
+    alt = alt_ft()
+    per = (obs.groupBy("hex", F.to_date("observation_time").alias("day"))
+           .agg(_n().alias("n"), F.min("observation_time").alias("first"), F.max("observation_time").alias("last"),
+                F.sum(alt).alias("alt"), F.count(alt).alias("n_alt"), F.sum("gs").alias("gs"), F.count("gs").alias("n_gs")))
     r = medical(af, rotary=None).select("icao", "registration", "owner_operator", "short_type")
-    j = enrich(obs, r, "inner")
+    j = enrich(per, r, "inner")
     return (j.groupBy("hex", "registration", "owner_operator", "short_type")
-            .agg(_n().alias("observations"), F.min("observation_time").alias("first_seen"),
-                 F.max("observation_time").alias("last_seen"),
-                 F.count_distinct(F.to_date("observation_time")).alias("active_days"),
-                 exact_avg(alt_ft()).alias("avg_altitude"), exact_avg("gs").alias("avg_speed")))
+            .agg(F.sum("n").alias("observations"), F.min("first").alias("first_seen"), F.max("last").alias("last_seen"),
+                 F.count_distinct("day").alias("active_days"),
+                 F.try_divide(F.sum("alt").cast("double"), F.sum("n_alt")).alias("avg_altitude"),
+                 F.try_divide(F.sum("gs"), F.sum("n_gs")).alias("avg_speed")))
 
 
 def medical_share(obs: DataFrame, af: DataFrame) -> DataFrame:
@@ -268,7 +273,7 @@ def top_flights_profile(obs: DataFrame, af: DataFrame, k: int = 10) -> DataFrame
     """Top-k flights first (small), then the registry attributes by a left join."""
     top = (obs.where(has_callsign("flight", "length")).groupBy("hex", "flight")
            .agg(_n().alias("observations"), F.count_distinct(F.to_date("observation_time")).alias("days"),
-                exact_avg(alt_ft()).alias("avg_altitude"), exact_avg("gs").alias("avg_speed"))
+                F.avg(alt_ft()).alias("avg_altitude"), F.avg("gs").alias("avg_speed"))
            .orderBy(F.desc("observations"), "hex", "flight").limit(k))
     r = af.select("icao", "manufacturer", "model", "manufacture_year")
     return enrich(top, r, "left").drop("icao")

@@ -1,33 +1,29 @@
 """Flight paths, segments and GeoJSON features.
 
-A path is the positioned observations of one ``(hex, flight)`` in time order.  Paths are
-kept in long form (one row per point with its sequence number) -- never collected into one
-array -- and everything ordered along a path is computed per *time bucket* of the path:
-
-* ``seq``: a point's rank inside its bucket (window over (hex, flight, bucket)) plus the
-  number of points in earlier buckets (a running sum over the per-bucket counts, which are
-  few: one row per bucket);
-* segments: ``lead`` inside each bucket, plus one boundary segment from a bucket's last
-  point to the next non-empty bucket's first point.
-
-A bucket holds one aircraft's reports for ``bucket_seconds``, so an aircraft or callsign
-that owns a third of all rows is split over many tasks.  A bucket that is still hot (more
-than ``hot_rows`` points) is split again into ``fine_seconds`` buckets nested inside it;
-the hot buckets are found by a partial/final count and joined back as a small relation.
-Results are exact: identical to a single window over the whole path.
+A path is the positioned observations of one ``(hex, flight)`` in time order: by observation
+time, and among equal times by epoch, source file and the position itself, one total order that
+sequence numbers, segments and end points all share.  A path of fewer than two points is not drawn.
+
+Paths are kept in long form (one row per point with its sequence number), never collected.  The
+points are shuffled once, by ``(hex, flight, time bucket)``, so an aircraft or callsign that owns a
+third of all rows is spread over its buckets; rank and next point come from a window inside the
+bucket, and a table with one row per bucket, made by a partial aggregate, adds how many points
+came before and which point opens the next bucket.  End points, altitudes and totals need no order
+at all: they are one aggregate per path, folded before any shuffle.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import path_label
+from vantage.functions.columns import epoch_micros, path_label
 
 KEY = ("hex", "flight")
-BUCKET_SECONDS = 3600
-FINE_SECONDS = 1
-HOT_ROWS = 1_000_000
+BUCKET_SECONDS = 60      # of a path's points that are ordered together
+LEAST_POINTS = 2         # a line needs two
+# What a point carries, in the order that settles equal times.
+POINT = ("observation_time", "observation_epoch", "source_file", "lat", "lon", "alt_baro", "gs", "track", "rssi")
 
 
 def positioned(obs: DataFrame) -> DataFrame:
@@ -41,83 +37,64 @@ def flight_candidates(obs: DataFrame, min_obs: int = 5) -> DataFrame:
             .where(F.col("points") >= min_obs))
 
 
-def path_points(obs: DataFrame, min_obs: int = 5) -> DataFrame:
-    """Positioned points of the paths to draw: NULL callsigns never match a path lookup and
-    drop out; the candidates are applied as one left-semi join (not a query per flight)."""
-    cand = flight_candidates(obs, min_obs).where(F.col("flight").isNotNull()).select(*KEY)
-    return positioned(obs).join(cand, list(KEY), "left_semi")
-
-
-def _bucketed_points(obs: DataFrame, min_obs: int, bucket_seconds: int, fine_seconds: int = FINE_SECONDS,
-                     hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """Path points with ``_b`` = start second of the point's bucket: ``bucket_seconds`` wide,
-    or ``fine_seconds`` wide inside a coarse bucket holding more than ``hot_rows`` points.
-    Fine buckets nest in coarse ones, so ordering by ``_b`` is ordering by time.
-
-    One count per (hex, flight, coarse bucket) (partial/final aggregate) yields both the
-    candidate flights (sum >= min_obs) and the hot buckets."""
-    if bucket_seconds % fine_seconds:
-        raise ValueError("bucket_seconds must be a multiple of fine_seconds")
-    ep = F.col("observation_epoch")
-    pos = positioned(obs).withColumn("_c", (F.floor(ep / bucket_seconds) * bucket_seconds).cast("long"))
-    counts = pos.groupBy(*KEY, "_c").agg(F.count(F.lit(1)).alias("_n"))
-    cand = (counts.where(F.col("flight").isNotNull()).groupBy(*KEY).agg(F.sum("_n").alias("_p"))
-            .where(F.col("_p") >= min_obs).select(*KEY))
-    p = pos.join(cand, list(KEY), "left_semi")
-    if hot_rows is None:                       # caller guarantees no bucket is hot
-        return p.withColumnRenamed("_c", "_b")
-    # At most rows / hot_rows buckets can be hot, so this relation has a proven bound
-    # (<= 1e6 rows for 1e12 points at the default) and is broadcast: no shuffle of points.
-    hot = counts.where(F.col("_n") > hot_rows).select(*KEY, "_c", F.lit(True).alias("_hot"))
-    fine = (F.floor(ep / fine_seconds) * fine_seconds).cast("long")
-    return (p.join(F.broadcast(hot), [*KEY, "_c"], "left")
-            .withColumn("_b", F.when(F.col("_hot"), fine).otherwise(F.col("_c")))
-            .drop("_c", "_hot"))
-
-
-def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS,
-                 hot_rows: int = HOT_ROWS, fine_seconds: int = FINE_SECONDS) -> DataFrame:
-    """W5 + W11: one row per point: hex, flight, label, seq (1-based, time order), time,
-    lat, lon, alt_baro."""
-    p = _bucketed_points(obs, min_obs, bucket_seconds, fine_seconds, hot_rows)
-    per_bucket = p.groupBy(*KEY, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    wb = Window.partitionBy(*KEY).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = per_bucket.withColumn("_off", F.coalesce(F.sum("_n").over(wb), F.lit(0))).drop("_n")
-    wi = Window.partitionBy(*KEY, "_b").orderBy("observation_epoch")
-    return (p.join(offsets, [*KEY, "_b"])
-            .select(*KEY, path_label().alias("label"),
-                    (F.col("_off") + F.row_number().over(wi)).alias("seq"),
-                    "observation_time", "observation_epoch", "lat", "lon", "alt_baro"))
-
-
-def path_segments(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS,
-                  hot_rows: int = HOT_ROWS, fine_seconds: int = FINE_SECONDS) -> DataFrame:
-    """Consecutive point pairs of every path (a path of n points gives n-1 segments)."""
-    p = _bucketed_points(obs, min_obs, bucket_seconds, fine_seconds, hot_rows).select(
-        *KEY, "_b", "observation_time", "observation_epoch", "lat", "lon", "alt_baro")
-    pt = F.struct("observation_epoch", "observation_time", "lat", "lon", "alt_baro")
-    wi = Window.partitionBy(*KEY, "_b").orderBy("observation_epoch")
-    inner = (p.withColumn("_to", F.lead(pt).over(wi)).where(F.col("_to").isNotNull())
-             .select(*KEY, F.struct("observation_epoch", "observation_time", "lat", "lon", "alt_baro").alias("_from"), "_to"))
-    ends = p.groupBy(*KEY, "_b").agg(F.min_by(pt, "observation_epoch").alias("_first"),
-                                     F.max_by(pt, "observation_epoch").alias("_last"))
-    wb = Window.partitionBy(*KEY).orderBy("_b")
-    bound = (ends.withColumn("_to", F.lead("_first").over(wb)).where(F.col("_to").isNotNull())
-             .select(*KEY, F.col("_last").alias("_from"), "_to"))
-    seg = inner.unionByName(bound)
-    return seg.select(*KEY,
-                      F.col("_from.observation_time").alias("from_time"), F.col("_from.lat").alias("from_lat"),
-                      F.col("_from.lon").alias("from_lon"), F.col("_from.alt_baro").alias("from_alt"),
-                      F.col("_to.observation_time").alias("to_time"), F.col("_to.lat").alias("to_lat"),
-                      F.col("_to.lon").alias("to_lon"), F.col("_to.alt_baro").alias("to_alt"))
+def _named(obs: DataFrame) -> DataFrame:
+    """Points that can be on a path: NULL identifiers never match a path lookup."""
+    return positioned(obs).where(F.col("hex").isNotNull() & F.col("flight").isNotNull())
+
+
+def _least(min_obs: int) -> int:
+    return max(min_obs, LEAST_POINTS)
+
+
+def _point() -> Column:
+    """A point as a struct whose ordering is the path's: times first, NULL time last."""
+    return F.struct(F.col("observation_time").isNull().alias("untimed"), *POINT)
+
+
+def path_rows(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Every point of every path: hex, flight, seq (from 1), pt and next (the point after it, NULL
+    at the end)."""
+    micros = F.floor(epoch_micros("observation_time") / (bucket_seconds * 1_000_000))
+    last = F.lit(2 ** 62)      # points without a time come after all others
+    points = _named(obs).select(*KEY, F.coalesce(micros, last).cast("long").alias("bucket"), _point().alias("pt"))
+    buckets = points.groupBy(*KEY, "bucket").agg(F.count(F.lit(1)).alias("n"), F.min("pt").alias("first"))
+    path = Window.partitionBy(*KEY)
+    earlier = path.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = (buckets.select(*KEY, "bucket", F.sum("n").over(path).alias("points"),
+                             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"),
+                             F.lead("first").over(path.orderBy("bucket")).alias("opens"))
+              .where(F.col("points") >= _least(min_obs)))
+    inside = Window.partitionBy(*KEY, "bucket").orderBy("pt")
+    return (points.join(placed, [*KEY, "bucket"])
+            .select(*KEY, (F.col("before") + F.row_number().over(inside)).alias("seq"), "pt",
+                    F.coalesce(F.lead("pt").over(inside), F.col("opens")).alias("next")))
+
+
+def flight_paths(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """W5 + W11: one row per point: hex, flight, label, seq, time, epoch, position, altitude, speed,
+    track, signal."""
+    names = [n for n in POINT if n != "source_file"]
+    return path_rows(obs, min_obs, bucket_seconds).select(
+        *KEY, path_label().alias("label"), "seq", *[F.col(f"pt.{n}").alias(n) for n in names])
+
+
+def path_segments(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """Consecutive point pairs of every path (a path of n points gives n-1 segments), with the
+    speed and track at each end."""
+    short = {"observation_time": "time", "lat": "lat", "lon": "lon", "alt_baro": "alt", "gs": "speed", "track": "track"}
+    ends = [F.col(f"{side}.{n}").alias(f"{to}_{s}") for side, to in (("pt", "from"), ("next", "to")) for n, s in short.items()]
+    return (path_rows(obs, min_obs, bucket_seconds).where(F.col("next").isNotNull())
+            .select(*KEY, path_label().alias("label"), "seq", *ends))
+
+
+def _per_path(obs: DataFrame, min_obs: int, *aggregates: Column) -> DataFrame:
+    return (_named(obs).groupBy(*KEY).agg(F.count(F.lit(1)).alias("points"), *aggregates)
+            .where(F.col("points") >= _least(min_obs)))
 
 
 def path_endpoints(obs: DataFrame, min_obs: int = 5) -> DataFrame:
-    """First and last point of every path (min_by / max_by: partial aggregation)."""
-    pt = F.struct("observation_time", "lat", "lon")
-    g = (path_points(obs, min_obs).groupBy(*KEY)
-         .agg(F.min_by(pt, "observation_epoch").alias("s"), F.max_by(pt, "observation_epoch").alias("e"),
-              F.count(F.lit(1)).alias("points")))
+    """First and last point of every path."""
+    g = _per_path(obs, min_obs, F.min(_point()).alias("s"), F.max(_point()).alias("e"))
     return g.select(*KEY, path_label().alias("label"), "points",
                     F.col("s.observation_time").alias("start_time"), F.col("s.lat").alias("start_lat"),
                     F.col("s.lon").alias("start_lon"), F.col("e.observation_time").alias("end_time"),
@@ -133,9 +110,8 @@ def path_altitude(obs: DataFrame, min_obs: int = 5) -> DataFrame:
     a = F.col("alt_baro")
     usable = a.isNotNull() & (a != "ground")
     as_int = F.when(usable & a.rlike(INT_TEXT), F.trim(a).cast("int"))
-    g = (path_points(obs, min_obs).groupBy(*KEY)
-         .agg(F.count_if(usable).alias("_u"), F.count_if(usable & ~a.rlike(INT_TEXT)).alias("_bad"),
-              F.min(as_int).alias("min_alt"), F.max(as_int).alias("max_alt")))
+    g = _per_path(obs, min_obs, F.count_if(usable).alias("_u"), F.count_if(usable & ~a.rlike(INT_TEXT)).alias("_bad"),
+                  F.min(as_int).alias("min_alt"), F.max(as_int).alias("max_alt"))
     info = (F.when(F.col("_u") == 0, F.lit("ground")).when(F.col("_bad") > 0, F.lit("varies"))
             .otherwise(F.concat(F.col("min_alt").cast("string"), F.lit("-"), F.col("max_alt").cast("string"), F.lit(" ft"))))
     return g.select(*KEY, info.alias("alt_info"),
@@ -145,25 +121,40 @@ def path_altitude(obs: DataFrame, min_obs: int = 5) -> DataFrame:
 
 def path_totals(obs: DataFrame, min_obs: int = 5) -> DataFrame:
     """Number of paths and points drawn."""
-    return (path_points(obs, min_obs).groupBy(*KEY).agg(F.count(F.lit(1)).alias("n"))
-            .agg(F.count(F.lit(1)).alias("paths"), F.sum("n").alias("points")))
+    return _per_path(obs, min_obs).agg(F.count(F.lit(1)).alias("paths"), F.sum("points").alias("points"))
+
+
+def iso_time(ts: Column) -> Column:
+    """ISO 8601 text of a time; microseconds are written only when there are any."""
+    whole, parts = "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return F.when(ts == F.date_trunc("second", ts).cast("timestamp_ntz"), F.date_format(ts, whole)).otherwise(F.date_format(ts, parts))
+
+
+def path_features(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """The features of every path in columns: kind (point, segment), hex, flight, label, seq,
+    times, coordinates, altitude, speed and track (of the segment's first point).  Points and
+    segments are two projections of one pass."""
+    point, nxt = F.col("pt"), F.col("next")
+    pair = lambda p: F.array(p["lon"], p["lat"])
+    one = F.struct(F.lit("point").alias("kind"), F.array(iso_time(point["observation_time"])).alias("times"),
+                   F.array(pair(point)).alias("coordinates"))
+    two = F.struct(F.lit("segment").alias("kind"),
+                   F.array(iso_time(point["observation_time"]), iso_time(nxt["observation_time"])).alias("times"),
+                   F.array(pair(point), pair(nxt)).alias("coordinates"))
+    made = F.when(nxt.isNull(), F.array(one)).otherwise(F.array(one, two))
+    return (path_rows(obs, min_obs, bucket_seconds)
+            .select(*KEY, path_label().alias("label"), "seq", "pt", F.explode(made).alias("f"))
+            .select("f.kind", *KEY, "label", "seq", "f.times", "f.coordinates", F.col("pt.alt_baro").alias("altitude"),
+                    F.col("pt.gs").alias("speed"), F.col("pt.track").alias("track")))
 
 
 def geojson_features(obs: DataFrame, min_obs: int = 5, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """GeoJSON Feature text per point (time-stamped) and per segment (LineString)."""
-    iso = "yyyy-MM-dd'T'HH:mm:ss"
-    pts = flight_paths(obs, min_obs, bucket_seconds)
-    pf = F.to_json(F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.lit("Point").alias("type"), F.array("lon", "lat").alias("coordinates")).alias("geometry"),
-        F.struct(F.date_format("observation_time", iso).alias("time"), F.col("label").alias("flight"),
-                 "hex", F.col("alt_baro").alias("altitude"), "seq").alias("properties")))
-    seg = path_segments(obs, min_obs, bucket_seconds)
-    sf = F.to_json(F.struct(
-        F.lit("Feature").alias("type"),
-        F.struct(F.lit("LineString").alias("type"),
-                 F.array(F.array("from_lon", "from_lat"), F.array("to_lon", "to_lat")).alias("coordinates")).alias("geometry"),
-        F.struct(F.array(F.date_format("from_time", iso), F.date_format("to_time", iso)).alias("times"),
-                 "hex", "flight").alias("properties")))
-    return (pts.select(F.lit("point").alias("kind"), "hex", "flight", pf.alias("feature"))
-            .unionByName(seg.select(F.lit("segment").alias("kind"), "hex", "flight", sf.alias("feature"))))
+    """K8: GeoJSON Feature text per point (time-stamped) and per segment (LineString)."""
+    point = F.col("kind") == "point"
+    properties = F.struct(F.col("times")[0].alias("time"), F.when(~point, F.col("times")).alias("times"),
+                          F.col("label").alias("flight"), "hex", "altitude", "speed", "track", "seq")
+    place = F.struct(F.lit("Point").alias("type"), F.col("coordinates")[0].alias("coordinates"))
+    line = F.struct(F.lit("LineString").alias("type"), "coordinates")
+    text = F.when(point, F.to_json(F.struct(F.lit("Feature").alias("type"), place.alias("geometry"), properties.alias("properties")))) \
+            .otherwise(F.to_json(F.struct(F.lit("Feature").alias("type"), line.alias("geometry"), properties.alias("properties"))))
+    return path_features(obs, min_obs, bucket_seconds).select("kind", "hex", "flight", text.alias("feature"))

@@ -39,11 +39,17 @@ def _totals(per_key: DataFrame, group=()) -> DataFrame:
                  F.sum("old").alias("old_rows")))
 
 
+def _below_half(part: Column, total: Column) -> Column:
+    """Is the share of ``part`` under 50 %?  In integers, so no rounding decides; no rows: yes."""
+    return F.coalesce((part * 2 < total) | (total == 0), F.lit(True))
+
+
 def validation_report(obs: DataFrame, now: str, max_age_days: int = 365) -> DataFrame:
     """One row per check -- (check, value, status).  FAIL when duplicate keys > 0,
     NULL hex > 0, position coverage < 50 % or future rows > 0; old rows are INFO only."""
     t = _totals(_key_counters(obs, now, max_age_days))
     pos_pct = F.coalesce(pct(F.col("with_position"), F.col("total_records")), F.lit(0.0))
+    low = _below_half(F.col("with_position"), F.col("total_records"))
 
     def chk(name, value, fail):
         status = F.lit("INFO") if fail is None else F.when(fail, F.lit("FAIL")).otherwise(F.lit("PASS"))
@@ -53,7 +59,7 @@ def validation_report(obs: DataFrame, now: str, max_age_days: int = 365) -> Data
         chk("total_records", F.col("total_records"), None),
         chk("duplicate_keys", F.col("duplicate_keys"), F.col("duplicate_keys") > 0),
         chk("missing_hex", F.col("missing_hex"), F.col("missing_hex") > 0),
-        chk("position_coverage_pct", pos_pct, pos_pct < 50),
+        chk("position_coverage_pct", pos_pct, low),
         chk("altitude_coverage_pct", pct(F.col("with_altitude"), F.col("total_records")), None),
         chk("ground_pct", pct(F.col("on_ground"), F.col("total_records")), None),
         chk("future_rows", F.col("future_rows"), F.col("future_rows") > 0),
@@ -70,7 +76,7 @@ def validation_by_capture(obs: DataFrame, now: str, max_age_days: int = 365, col
     """The same gate for every capture date of a level, in one grouped pass."""
     t = _totals(_key_counters(obs, now, max_age_days, (col,)), (col,))
     pos_pct = F.coalesce(pct(F.col("with_position"), F.col("total_records")), F.lit(0.0))
-    passed = ~((F.col("duplicate_keys") > 0) | (F.col("missing_hex") > 0) | (pos_pct < 50) | (F.col("future_rows") > 0))
+    passed = ~((F.col("duplicate_keys") > 0) | (F.col("missing_hex") > 0) | _below_half(F.col("with_position"), F.col("total_records")) | (F.col("future_rows") > 0))
     return t.select(col, "total_records", "duplicate_keys", "missing_hex", pos_pct.alias("position_pct"),
                     "future_rows", "old_rows", passed.alias("passed"))
 

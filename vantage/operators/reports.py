@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import alt_ft, exact_avg, has_callsign, pct
+from vantage.functions.columns import alt_ft, has_callsign, pct
 
 def _n():
     return F.count(F.lit(1))
@@ -93,16 +93,16 @@ def category_share(obs: DataFrame, k: int = 10) -> DataFrame:
 def signal_stats(obs: DataFrame) -> DataFrame:
     """A13"""
     return (obs.where(F.col("rssi").isNotNull())
-            .agg(exact_avg("rssi").alias("avg_rssi"), F.min("rssi").alias("min_rssi"),
-                 F.max("rssi").alias("max_rssi"), exact_avg("messages").alias("avg_messages")))
+            .agg(F.avg("rssi").alias("avg_rssi"), F.min("rssi").alias("min_rssi"),
+                 F.max("rssi").alias("max_rssi"), F.avg("messages").alias("avg_messages")))
 
 
 def signal_stats_full(obs: DataFrame) -> DataFrame:
     """A14"""
     return (obs.where(F.col("rssi").isNotNull())
-            .agg(_n().alias("records_with_rssi"), exact_avg("rssi").alias("avg_rssi"),
+            .agg(_n().alias("records_with_rssi"), F.avg("rssi").alias("avg_rssi"),
                  F.min("rssi").alias("min_rssi"), F.max("rssi").alias("max_rssi"),
-                 exact_avg("messages").alias("avg_messages"), F.max("messages").alias("max_messages")))
+                 F.avg("messages").alias("avg_messages"), F.max("messages").alias("max_messages")))
 
 
 def top_flights(obs: DataFrame, k: int = 10) -> DataFrame:
@@ -182,7 +182,7 @@ def daily_activity(obs: DataFrame) -> DataFrame:
     """A21"""
     return (obs.groupBy(F.to_date("observation_time").alias("date"))
             .agg(_n().alias("observations"), F.count_distinct("hex").alias("aircraft"),
-                 F.count_distinct("flight").alias("flights"), exact_avg("gs").alias("avg_ground_speed"),
+                 F.count_distinct("flight").alias("flights"), F.avg("gs").alias("avg_ground_speed"),
                  F.count_if(F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("with_position"))
             .orderBy("date"))
 
@@ -221,7 +221,7 @@ def per_source_file(obs: DataFrame) -> DataFrame:
 def centroid(obs: DataFrame) -> DataFrame:
     """A35"""
     return (obs.where(F.col("lat").isNotNull() & F.col("lon").isNotNull())
-            .agg(exact_avg("lat").alias("center_lat"), exact_avg("lon").alias("center_lon")))
+            .agg(F.avg("lat").alias("center_lat"), F.avg("lon").alias("center_lon")))
 
 
 def time_extent(obs: DataFrame) -> DataFrame:

@@ -70,17 +70,6 @@ YEAR = "TRY_CAST(manufacture_year AS INTEGER)"
 WS = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
 
 
-def avg_sql(x: str, digits: int = 6) -> str:
-    """DuckDB twin of ``functions.columns.exact_avg``: exact mean, half-to-even."""
-    scale = 10 ** digits
-    sm = f"SUM(CAST(round(CAST({x} AS DOUBLE) * {scale}) AS HUGEINT))"
-    d = f"COUNT({x})"
-    r = f"((({sm}) % {d} + {d}) % {d})"
-    q0 = f"((({sm}) - {r}) // {d})"
-    return (f"(CASE WHEN {d} > 0 THEN CAST({q0} + CASE WHEN 2 * {r} > {d} OR (2 * {r} = {d} AND {q0} % 2 <> 0) "
-            f"THEN 1 ELSE 0 END AS DOUBLE) / {float(scale)} END)")
-
-
 def week_ending(d: str) -> str:
     """Sunday ending the Monday-Sunday week of date d (DuckDB isodow: Monday=1 .. Sunday=7)."""
     return f"(CAST({d} AS DATE) + CAST(7 - isodow(CAST({d} AS DATE)) AS INTEGER))"

@@ -50,8 +50,7 @@ a AS (SELECT capture_date, COUNT(*) AS rows_after FROM daily GROUP BY 1)
 SELECT b.capture_date, rows_before, COALESCE(rows_after, 0) AS rows_after, rows_before - COALESCE(rows_after, 0) AS removed
 FROM b LEFT JOIN a USING (capture_date)""", "daily"))
 def _dedup_counts(spark, sf):
-    h = hourly(spark, sf)
-    return L.dedup_counts(h, L.daily_level(h))
+    return L.dedup_effect(hourly(spark, sf))
 
 
 SUMMARY = """SELECT {k}, COUNT(*) AS total_records, COUNT(DISTINCT hex) AS unique_aircraft, MIN(observation_time) AS earliest,

@@ -49,6 +49,7 @@ t AS (SELECT {{g}} CAST(SUM(n) AS BIGINT) AS total_records, COUNT(*) FILTER (WHE
   CAST(SUM(pos) AS BIGINT) AS with_position, CAST(SUM(alt) AS BIGINT) AS with_altitude,
   CAST(SUM(ground) AS BIGINT) AS on_ground, CAST(SUM(future) AS BIGINT) AS future_rows, CAST(SUM(old) AS BIGINT) AS old_rows
  FROM k GROUP BY ALL)"""
+LOW = "COALESCE(100.0::DOUBLE * with_position / NULLIF(total_records, 0), 0.0) < 50"
 PCT = "COALESCE(ROUND(100.0::DOUBLE * {a} / NULLIF({b}, 0), 2), 0.0)"
 
 
@@ -58,7 +59,7 @@ c AS (
  UNION ALL SELECT 'duplicate_keys', duplicate_keys, CASE WHEN duplicate_keys > 0 THEN 'FAIL' ELSE 'PASS' END FROM t
  UNION ALL SELECT 'missing_hex', missing_hex, CASE WHEN missing_hex > 0 THEN 'FAIL' ELSE 'PASS' END FROM t
  UNION ALL SELECT 'position_coverage_pct', {PCT.format(a='with_position', b='total_records')},
-   CASE WHEN {PCT.format(a='with_position', b='total_records')} < 50 THEN 'FAIL' ELSE 'PASS' END FROM t
+   CASE WHEN {LOW} THEN 'FAIL' ELSE 'PASS' END FROM t
  UNION ALL SELECT 'altitude_coverage_pct', ROUND(100.0::DOUBLE * with_altitude / NULLIF(total_records, 0), 2), 'INFO' FROM t
  UNION ALL SELECT 'ground_pct', ROUND(100.0::DOUBLE * on_ground / NULLIF(total_records, 0), 2), 'INFO' FROM t
  UNION ALL SELECT 'future_rows', future_rows, CASE WHEN future_rows > 0 THEN 'FAIL' ELSE 'PASS' END FROM t
@@ -73,7 +74,7 @@ def _validation_report(spark, sf):
 @register("validation_by_capture", sql("WITH " + KEYED.format(g="capture_date,") + f"""
 SELECT capture_date, total_records, duplicate_keys, missing_hex, {PCT.format(a='with_position', b='total_records')} AS position_pct,
  future_rows, old_rows,
- NOT (duplicate_keys > 0 OR missing_hex > 0 OR {PCT.format(a='with_position', b='total_records')} < 50 OR future_rows > 0) AS passed
+ NOT (duplicate_keys > 0 OR missing_hex > 0 OR {LOW} OR future_rows > 0) AS passed
 FROM t""", "hourly"))
 def _validation_by_capture(spark, sf):
     return Q.validation_by_capture(hourly(spark, sf), NOW, MAX_AGE_DAYS)

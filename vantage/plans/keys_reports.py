@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from vantage.functions.columns import clean_callsign, epoch_to_local
 from vantage.operators import reports as R
-from vantage.oracle import ALT_FT, WS, avg_sql, sql
+from vantage.oracle import ALT_FT, WS, sql
 from vantage.plans.catalog import register
 from vantage.sources import fixtures as fx
 
@@ -79,15 +79,15 @@ def _category_share(spark, sf):
 
 
 @register("signal_stats", sql(f"""
-SELECT {avg_sql('rssi')} AS avg_rssi, MIN(rssi) AS min_rssi, MAX(rssi) AS max_rssi,
- {avg_sql('messages')} AS avg_messages FROM obs WHERE rssi IS NOT NULL""", "obs"))
+SELECT AVG(rssi) AS avg_rssi, MIN(rssi) AS min_rssi, MAX(rssi) AS max_rssi,
+ AVG(messages) AS avg_messages FROM obs WHERE rssi IS NOT NULL""", "obs"))
 def _signal_stats(spark, sf):
     return R.signal_stats(_obs(spark, sf))
 
 
 @register("signal_stats_full", sql(f"""
-SELECT COUNT(*) AS records_with_rssi, {avg_sql('rssi')} AS avg_rssi, MIN(rssi) AS min_rssi, MAX(rssi) AS max_rssi,
- {avg_sql('messages')} AS avg_messages, MAX(messages) AS max_messages FROM obs WHERE rssi IS NOT NULL""", "obs"))
+SELECT COUNT(*) AS records_with_rssi, AVG(rssi) AS avg_rssi, MIN(rssi) AS min_rssi, MAX(rssi) AS max_rssi,
+ AVG(messages) AS avg_messages, MAX(messages) AS max_messages FROM obs WHERE rssi IS NOT NULL""", "obs"))
 def _signal_stats_full(spark, sf):
     return R.signal_stats_full(_obs(spark, sf))
 
@@ -152,7 +152,7 @@ def _altitude_bands_ground(spark, sf):
 
 @register("daily_activity", sql(f"""
 SELECT CAST(observation_time AS DATE) AS date, COUNT(*) AS observations, COUNT(DISTINCT hex) AS aircraft,
- COUNT(DISTINCT flight) AS flights, {avg_sql('gs')} AS avg_ground_speed,
+ COUNT(DISTINCT flight) AS flights, AVG(gs) AS avg_ground_speed,
  COUNT(*) FILTER (WHERE lat IS NOT NULL AND lon IS NOT NULL) AS with_position
 FROM obs GROUP BY 1 ORDER BY 1""", "obs"))
 def _daily_activity(spark, sf):
@@ -180,7 +180,7 @@ def _null_profile(spark, sf):
 
 
 @register("centroid", sql(f"""
-SELECT {avg_sql('lat')} AS center_lat, {avg_sql('lon')} AS center_lon
+SELECT AVG(lat) AS center_lat, AVG(lon) AS center_lon
 FROM obs WHERE lat IS NOT NULL AND lon IS NOT NULL""", "obs"))
 def _centroid(spark, sf):
     return R.centroid(_obs(spark, sf))

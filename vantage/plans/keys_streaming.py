@@ -7,18 +7,26 @@ from pyspark.sql import functions as F
 
 from vantage.oracle import sql
 from vantage.plans.catalog import register
+from vantage.session import shared_dir, unique_name
 from vantage.sources import fixtures as fx
 from vantage.streaming import stream as ST
 
 
 def _stream_obs(spark, sf):
-    return fx.obs_from_events(ST.read_stream(spark, sf, glob="events.parquet"))
+    # a pattern that names one table, be it a file or a folder of files
+    return fx.obs_from_events(ST.read_stream(spark, f"{sf.rstrip('/')}/events.parque[t]"))
+
+
+def _folders(spark, name: str) -> tuple[str, str]:
+    """A sink and a checkpoint of this query run."""
+    base = shared_dir(spark, unique_name(name))
+    return f"{base}/data", f"{base}/checkpoint"
 
 
 @register("stream_capture", sql("""
 SELECT * FROM obs WHERE lat IS NOT NULL AND lon IS NOT NULL AND gs IS NOT NULL AND track IS NOT NULL""", "obs"))
 def _stream_capture(spark, sf):
-    out = ST.run_append(ST.stream_capture(_stream_obs(spark, sf)), "stream_capture")
+    out = ST.run_append(ST.stream_capture(_stream_obs(spark, sf)), *_folders(spark, "stream_capture"))
     return spark.read.parquet(out)
 
 
@@ -31,7 +39,7 @@ def _stream_dedup(spark, sf):
     copies = (o.withColumn("capture_ts", hour + F.expr("INTERVAL 1 HOUR"))
               .unionByName(o.withColumn("capture_ts", hour + F.expr("INTERVAL 2 HOUR")))
               .unionByName(o.where(F.col("event_id") % 97 == 0).withColumn("capture_ts", hour + F.expr("INTERVAL 480 HOUR"))))
-    out = ST.run_append(ST.stream_dedup(copies).drop("capture_ts", "event_ts"), "stream_dedup")
+    out = ST.run_append(ST.stream_dedup(copies).drop("capture_ts", "event_ts"), *_folders(spark, "stream_dedup"))
     return spark.read.parquet(out)
 
 
@@ -43,8 +51,11 @@ UNION ALL SELECT 'day', date_trunc('day', observation_time), date_trunc('day', o
 UNION ALL SELECT 'week', date_trunc('week', observation_time), date_trunc('week', observation_time) + INTERVAL 7 DAY, COUNT(*)
  FROM obs GROUP BY 2, 3""", "obs"))
 def _stream_tumbling(spark, sf):
-    out = ST.run_complete(ST.stream_tumbling_all(_stream_obs(spark, sf)), "stream_tumbling")
-    r = spark.read.parquet(out)
-    start = F.col("start_us")
-    return r.select("grain", ST.ntz_of(F.timestamp_micros(start)).alias("window_start"),
-                    ST.ntz_of(F.timestamp_micros(start + F.col("size_us"))).alias("window_end"), "observations")
+    out = None
+    for grain in ST.WINDOWS:
+        sink = ST.run_update(ST.stream_tumbling(_stream_obs(spark, sf), grain), *_folders(spark, "stream_tumbling"))
+        now = ST.latest(spark.read.parquet(sink), ["window_start", "window_end"], ["observations"])
+        one = now.select(F.lit(grain).alias("grain"), ST.ntz_of(F.col("window_start")).alias("window_start"),
+                         ST.ntz_of(F.col("window_end")).alias("window_end"), "observations")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -45,7 +45,7 @@ def daily_level(hourly: DataFrame, dates=None) -> DataFrame:
 
 
 def dedup_counts(hourly: DataFrame, daily: DataFrame) -> DataFrame:
-    """A2: rows before / after / removed per capture date."""
+    """A2: rows before / after / removed per capture date, of two stored levels."""
     b = hourly.groupBy("capture_date").agg(F.count(F.lit(1)).alias("rows_before"))
     a = daily.groupBy("capture_date").agg(F.count(F.lit(1)).alias("rows_after"))
     return (b.join(a, "capture_date", "left")
@@ -53,6 +53,14 @@ def dedup_counts(hourly: DataFrame, daily: DataFrame) -> DataFrame:
             .withColumn("removed", F.col("rows_before") - F.col("rows_after")))
 
 
+def dedup_effect(hourly: DataFrame) -> DataFrame:
+    """A2 ahead of the build: what deduplication does to each capture date, from one scan (a
+    partial count per key, then one per date)."""
+    per_key = hourly.groupBy("capture_date", *D.OBS_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return (per_key.groupBy("capture_date").agg(F.sum("n").alias("rows_before"), F.count(F.lit(1)).alias("rows_after"))
+            .withColumn("removed", F.col("rows_before") - F.col("rows_after")))
+
+
 def weekly_level(daily: DataFrame, dedup: bool = False) -> DataFrame:
     """M3: daily rows of a Monday-Sunday week (by capture date) under ``week_ending``.
     UNION ALL by default (as published); ``dedup=True`` removes keys repeated across days."""
@@ -66,13 +74,23 @@ def weekly_rollup(daily: DataFrame, dedup: bool = False) -> DataFrame:
     """M3 + M12: per week, rows, days (files) used, aircraft, and the duplicate-key warning
     count (keys seen on more than one day), in one pass over the week's rows."""
     w = weekly_level(daily, dedup)
-    per_key = (w.groupBy("week_ending", "hex", "observation_epoch")
-               .agg(F.count(F.lit(1)).alias("n")))
-    dups = per_key.groupBy("week_ending").agg(F.count_if(F.col("n") > 1).alias("duplicate_keys"))
-    g = (w.groupBy("week_ending")
-         .agg(F.count(F.lit(1)).alias("total_records"), F.count_distinct("capture_date").alias("files_used"),
-              F.count_distinct("hex").alias("unique_aircraft")))
-    return g.join(dups, "week_ending", "left")
+    per_key = w.groupBy("week_ending", "capture_date", *D.OBS_KEY).agg(F.count(F.lit(1)).alias("n"))
+    return _week_totals(per_key)
+
+
+def _week_totals(per_day_key: DataFrame) -> DataFrame:
+    """Totals of each week from its rows per (week, day, key).  Aircraft and days are reduced to
+    one row per (week, day, hex) and (week, key) first, so nothing counts distinct raw rows."""
+    days = F.collect_set("capture_date")       # at most seven dates of a week
+    per_key = (per_day_key.groupBy("week_ending", *D.OBS_KEY)
+               .agg(F.sum("n").alias("n"), days.alias("days")))
+    per_hex = (per_key.groupBy("week_ending", "hex")
+               .agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("dups"),
+                    F.array_distinct(F.flatten(F.collect_set("days"))).alias("days")))
+    return (per_hex.groupBy("week_ending")
+            .agg(F.sum("n").alias("total_records"),
+                 F.size(F.array_distinct(F.flatten(F.collect_set("days")))).cast("long").alias("files_used"),
+                 F.count("hex").alias("unique_aircraft"), F.sum("dups").alias("duplicate_keys")))
 
 
 def week_bounds(df: DataFrame, date_col: str) -> DataFrame:

@@ -54,9 +54,10 @@ def sizing_conf(input_bytes: int, executors: int, cores_per_executor: int,
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A folder under the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster that setting names shared storage (HDFS / object store) and is used as is.
-    Only when it is unset (local tests) do we create a scratch folder and register it, so
-    later ``DataFrame.checkpoint()`` calls land in the same place.
+    On a cluster that setting names shared storage (HDFS / object store) and is used as is; without
+    it a cluster run is refused, as a folder of one machine is invisible to the others.  On a local
+    master a scratch folder is made and registered, so later ``DataFrame.checkpoint()`` calls land
+    in the same place.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -65,6 +66,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         except Exception:  # no SparkContext handle (e.g. a remote session)
             base = None
     if not base:
+        master = spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines see")
         base = tempfile.mkdtemp(prefix="vantage-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
         try:

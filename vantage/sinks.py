@@ -8,14 +8,20 @@ from pyspark.sql import functions as F
 
 def write_level(df: DataFrame, root: str, level: str, partition_cols=("capture_date",), mode: str = "overwrite") -> str:
     """K1: partitioned Parquet; with dynamic partition overwrite only the dates present in
-    ``df`` are replaced (re-running a day is idempotent).  Rows are clustered by the
-    partition columns first so each task writes few files per date."""
+    ``df`` are replaced (re-running a day is idempotent)."""
     path = f"{root.rstrip('/')}/{level}"
-    (df.repartition(*partition_cols).write.mode(mode)
-       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+    _write_partitions(df, path, partition_cols, mode)
     return path
 
 
+def _write_partitions(df: DataFrame, path: str, partition_cols, mode: str) -> None:
+    """Rows are rebalanced by the partition columns: small dates meet in one task, and a date of
+    more than ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` is split over several tasks and
+    files, so one large date (a backfill, a single day's build) is never one task."""
+    (df.hint("rebalance", *partition_cols).write.mode(mode)
+       .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
+
+
 def refresh_table(df: DataFrame, name: str) -> None:
     """K2: full refresh (drop + create as select)."""
     df.write.mode("overwrite").saveAsTable(name)
@@ -23,8 +29,7 @@ def refresh_table(df: DataFrame, name: str) -> None:
 
 def publish(df: DataFrame, uri: str, partition_cols=("capture_date",)) -> str:
     """K5: copy a result to a second location (``file:``, ``hdfs:``, ``s3a:`` ...)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_cols).parquet(uri))
+    _write_partitions(df, uri, partition_cols, "overwrite")
     return uri
 
 

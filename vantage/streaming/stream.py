@@ -9,10 +9,10 @@ R2  duplicate removal on (hex, observation_epoch) with a 2-hour event-time water
 R3  tumbling hour / day / Monday-aligned week counts (``window``);
 R4  idempotent upsert of each micro-batch into a keyed table (``foreachBatch`` + anti join).
 
-Checkpoints and sink folders live under the cluster's shared checkpoint folder
-(``vantage.session.shared_dir``), so a restarted driver or a lost executor resumes from the
-last committed batch.  Event time is a TIMESTAMP built from epoch microseconds (a
-watermark needs TIMESTAMP, and this keeps it independent of the session time zone).
+Every runner takes its sink and its checkpoint folder: started again with the same two, it resumes
+after the last committed batch.  On a cluster both belong on shared storage.  Event time is a
+TIMESTAMP built from epoch microseconds (a watermark needs TIMESTAMP, and this keeps it independent
+of the session time zone).  Runners drain what has arrived and return, so a scheduler may call them.
 """
 
 from __future__ import annotations
@@ -21,7 +21,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage.operators import dedup as D
-from vantage.session import shared_dir, unique_name
 
 WATERMARK = "2 hours"
 # Tumbling windows (fixed values): name -> (duration, start offset).  The epoch began on a
@@ -66,31 +65,33 @@ def snapshot_stream(spark: SparkSession, landing: str, tz: str = "UTC", max_file
     return flatten(raw.select("*", F.col("_metadata.file_name").alias("source_file")), tz)
 
 
-def run_append(df: DataFrame, name: str, partition_cols=()) -> str:
-    """Drain a stream into a Parquet sink (exactly-once file sink) with ``availableNow``."""
-    spark = df.sparkSession
-    base = shared_dir(spark, unique_name(name))
+def run_append(df: DataFrame, sink: str, checkpoint: str, partition_cols=()) -> str:
+    """Drain a stream into a Parquet folder (exactly-once file sink)."""
     w = (df.writeStream.format("parquet").outputMode("append")
-         .option("checkpointLocation", f"{base}/_checkpoint").option("path", f"{base}/data"))
+         .option("checkpointLocation", checkpoint).option("path", sink))
     if partition_cols:
         w = w.partitionBy(*partition_cols)
     w.trigger(availableNow=True).start().awaitTermination()
-    return f"{base}/data"
+    return sink
 
 
-def run_complete(df: DataFrame, name: str) -> str:
-    """Drain an aggregating stream in complete mode; each micro-batch replaces the sink
-    folder with the full result (idempotent on replay)."""
-    spark = df.sparkSession
-    base = shared_dir(spark, unique_name(name))
-    out = f"{base}/data"
+def run_update(df: DataFrame, sink: str, checkpoint: str) -> str:
+    """Drain an aggregating stream in update mode: each batch writes the groups that it changed
+    under its own ``batch_id``, so a replayed batch replaces its own rows only and readers never
+    meet a half-written result.  ``latest`` reads the current state."""
 
-    def write(batch: DataFrame, _id: int):
-        batch.write.mode("overwrite").parquet(out)
+    def write(batch: DataFrame, batch_id: int):
+        batch.write.mode("overwrite").parquet(f"{sink}/batch_id={batch_id}")
 
-    (df.writeStream.outputMode("complete").option("checkpointLocation", f"{base}/_checkpoint")
+    (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
        .foreachBatch(write).trigger(availableNow=True).start().awaitTermination())
-    return out
+    return sink
+
+
+def latest(updates: DataFrame, keys, values) -> DataFrame:
+    """The last written values of each group of ``run_update``'s sink."""
+    newest = F.max_by(F.struct(*values), "batch_id").alias("v")
+    return updates.groupBy(*keys).agg(newest).select(*keys, *[F.col(f"v.{v}").alias(v) for v in values])
 
 
 def stream_capture(stream_obs: DataFrame, cols=("lat", "lon", "gs", "track")) -> DataFrame:
@@ -105,52 +106,32 @@ def stream_dedup(stream_obs: DataFrame, keys=D.OBS_KEY, delay: str = WATERMARK)
 
 
 def stream_tumbling(stream_obs: DataFrame, grain: str, delay: str = WATERMARK) -> DataFrame:
-    """Rows per tumbling window of the given grain."""
+    """Rows per tumbling window of the given grain; windows older than the watermark leave the
+    state."""
     dur, start = WINDOWS[grain]
     w = F.window("event_ts", dur, startTime=start) if start else F.window("event_ts", dur)
     return (stream_obs.withColumn("event_ts", event_ts()).withWatermark("event_ts", delay)
-            .groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("observations")))
-
-
-def stream_tumbling_all(stream_obs: DataFrame, grains=tuple(WINDOWS), delay: str = WATERMARK) -> DataFrame:
-    """R3 for several grains in one streaming aggregation.  Spark allows one ``window()`` per
-    query, so the tumbling bounds are computed arithmetically from epoch microseconds
-    (start = floor((t - offset) / size) * size + offset), one row per grain, then grouped."""
-    units = {"hour": 3600, "day": 86400}
-    specs = []
-    for g in grains:
-        dur, start = WINDOWS[g]
-        n, unit = dur.split()
-        size = int(n) * units[unit.rstrip("s")] * 1000000
-        off = 0 if not start else int(start.split()[0]) * units[start.split()[1].rstrip("s")] * 1000000
-        specs.append((g, size, off))
-    us = F.unix_micros(F.col("event_ts"))
-    rows = F.array(*[F.struct(F.lit(g).alias("grain"),
-                              (F.floor((us - F.lit(off)) / F.lit(size)) * F.lit(size) + F.lit(off)).alias("start_us"),
-                              F.lit(size).alias("size_us")) for g, size, off in specs])
-    return (stream_obs.withColumn("event_ts", event_ts()).withWatermark("event_ts", delay)
-            .select(F.inline(rows))
-            .groupBy("grain", "start_us", "size_us").agg(F.count(F.lit(1)).alias("observations")))
+            .groupBy(w.alias("w")).agg(F.count(F.lit(1)).alias("observations"))
+            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "observations"))
 
 
-def upsert_batches(stream_obs: DataFrame, table_path: str, name: str, keys=D.OBS_KEY,
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def upsert_batches(stream_obs: DataFrame, table_path: str, checkpoint: str, keys=D.OBS_KEY,
                    order=("source_file",), target_window=None) -> str:
-    """Insert-or-ignore every micro-batch into a keyed Parquet table.  A replayed batch
-    finds its keys already present and appends nothing, so the sink stays exactly-once.
-    ``target_window=(col, lower_bound)`` limits the anti join to the recent part of the table
-    (e.g. capture dates the batch can overlap), so a batch never rescans all history."""
+    """Insert-or-ignore every micro-batch into a keyed Parquet table.  Rows with a NULL key
+    part are rejected in every batch.  A replayed batch finds its keys already present and appends
+    nothing, so the sink stays exactly-once.  ``target_window=(col, lower_bound)`` limits the anti
+    join to the recent part of the table, so a batch never rescans all history."""
     spark = stream_obs.sparkSession
-    base = shared_dir(spark, unique_name(name))
 
     def upsert(batch: DataFrame, _id: int):
-        try:
-            target = spark.read.parquet(table_path)
-        except Exception:
-            target = None
-        new = (D.dedup(batch, keys, order) if target is None
-               else D.append_new(target, batch, keys, order, target_window))
-        new.write.mode("append").parquet(table_path)
-
-    (stream_obs.writeStream.option("checkpointLocation", f"{base}/_checkpoint")
+        target = (spark.read.parquet(table_path) if path_exists(spark, table_path) else batch.limit(0))
+        D.append_new(target, batch, keys, order, target_window).write.mode("append").parquet(table_path)
+
+    (stream_obs.writeStream.option("checkpointLocation", checkpoint)
        .foreachBatch(upsert).trigger(availableNow=True).start().awaitTermination())
     return table_path
