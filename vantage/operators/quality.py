@@ -112,18 +112,24 @@ def missing_hours(files: DataFrame, now: str, hours: int = 48) -> DataFrame:
     return missing_slots(files.select(F.col("capture_ts").alias("hour_ts")), "hour_ts", start, end, "1 HOUR")
 
 
-def hourly_status(files: DataFrame, now: str, hours: int = 48) -> DataFrame:
-    """M5 summary: expected vs found hourly captures in the window, and the latest file
-    (name, size, modification time) -- one aggregate over the listing."""
+def hourly_status(files: DataFrame, hourly: DataFrame, now: str, hours: int = 48) -> DataFrame:
+    """M5 summary: expected and found hourly captures of the window, its newest file (name, size,
+    modification time) and what that file holds (rows, aircraft; an empty file is listed with 0
+    rows).  ``ok`` as the monitor judges: something was found, and the file of the current hour, if
+    there is one, is not empty."""
     end = F.date_trunc("hour", _now(now)).cast("timestamp_ntz")
     start = F.timestamp_add("HOUR", F.lit(-(hours - 1)), end)
-    inside = (F.col("capture_ts") >= start) & (F.col("capture_ts") <= end)
-    latest = F.struct("capture_ts", "name", "size", "mtime")
-    g = files.agg(F.count_distinct(F.when(inside, F.col("capture_ts"))).alias("found"),
-                  F.max_by(latest, "capture_ts").alias("l"))
-    return g.select(F.lit(hours).cast("long").alias("expected"), "found",
-                    F.col("l.name").alias("latest_file"), F.col("l.size").alias("latest_size"),
-                    F.col("l.mtime").alias("latest_mtime"))
+    seen = files.where((F.col("capture_ts") >= start) & (F.col("capture_ts") <= end))
+    g = seen.agg(F.count_distinct("capture_ts").alias("found"), F.max_by(F.struct("capture_ts", "name", "size", "mtime"), "capture_ts").alias("l"))
+    held = (hourly.where((F.col("capture_ts") >= start) & (F.col("capture_ts") <= end)).groupBy("capture_ts", "hex").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy("capture_ts").agg(F.sum("n").alias("rows"), F.count("hex").alias("aircraft")))
+    j = g.withColumn("capture_ts", F.col("l.capture_ts")).join(held, "capture_ts", "left")
+    rows = F.when(F.col("capture_ts").isNotNull(), F.coalesce("rows", F.lit(0)))
+    empty = F.coalesce((F.col("capture_ts") == end) & (rows == 0), F.lit(False))
+    return j.select(F.lit(hours).cast("long").alias("expected"), "found", F.col("l.name").alias("latest_file"),
+                    F.col("l.size").alias("latest_size"), F.col("l.mtime").alias("latest_mtime"), rows.alias("latest_rows"),
+                    F.when(F.col("capture_ts").isNotNull(), F.coalesce("aircraft", F.lit(0))).alias("latest_aircraft"),
+                    ((F.col("found") > 0) & ~empty).alias("ok"))
 
 
 def missing_days(files: DataFrame, today: str, days: int = 7) -> DataFrame:
@@ -134,28 +140,37 @@ def missing_days(files: DataFrame, today: str, days: int = 7) -> DataFrame:
     return missing_slots(present, "date", start, end, "1 DAY")
 
 
+def _per_file(level: DataFrame, col: str) -> DataFrame:
+    """Rows and aircraft of each file of a level (aircraft are folded to one row per file first)."""
+    return (level.groupBy(col, "hex").agg(F.count(F.lit(1)).alias("n"))
+            .groupBy(col).agg(F.sum("n").alias("rows"), F.count("hex").alias("aircraft")))
+
+
 def capture_health(level: DataFrame, files: DataFrame, min_size: int = 512 * 1024, min_rows: int = 1000,
                    col: str = "capture_date") -> DataFrame:
-    """Per capture date rows and aircraft (one grouped pass) joined with the listed
-    bytes of that date; flags for small files and low row counts (thresholds are parameters)."""
-    g = level.groupBy(col).agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("hex").alias("aircraft"))
-    s = files.groupBy(F.to_date("capture_ts").alias(col)).agg(F.sum("size").alias("size_bytes"),
-                                                             F.count(F.lit(1)).alias("files"))
-    j = g.join(s, col, "left")
-    small = F.coalesce(F.col("size_bytes"), F.lit(0)) < min_size
-    low = F.col("rows") < min_rows
-    return j.select(col, "rows", "aircraft", F.coalesce("size_bytes", F.lit(0)).alias("size_bytes"),
-                    F.coalesce("files", F.lit(0)).alias("files"), small.alias("small_file"), low.alias("low_rows"),
+    """Per daily file rows and aircraft beside its own listed size (``files``: ``col`` and
+    size); flags for small files and low row counts (thresholds are parameters)."""
+    j = _per_file(level, col).join(files.select(col, "size"), col, "left")
+    size = F.coalesce(F.col("size"), F.lit(0))
+    small, low = size < min_size, F.col("rows") < min_rows
+    return j.select(col, "rows", "aircraft", size.alias("size_bytes"), small.alias("small_file"), low.alias("low_rows"),
                     (~small & ~low).alias("ok"))
 
 
-def weekly_health(daily: DataFrame, k: int = 4, col: str = "capture_date") -> DataFrame:
-    """M7: the latest ``k`` weeks: rows, days present, aircraft."""
-    w = daily.withColumn("week_ending", week_ending(col))
-    return (w.groupBy("week_ending")
-            .agg(F.count(F.lit(1)).alias("total_records"), F.count_distinct(col).alias("files_used"),
-                 F.count_distinct("hex").alias("unique_aircraft"))
-            .orderBy(F.desc("week_ending")).limit(k))
+def weekly_health(weekly: DataFrame, files: DataFrame, k: int = 4) -> DataFrame:
+    """M7: the latest ``k`` weekly files: size, rows, days present, aircraft.  ``weekly`` has
+    week_ending and capture_date; ``files`` lists week_ending and size."""
+    newest = files.orderBy(F.desc("week_ending")).limit(k)      # k rows of the listing
+    kept = weekly.join(F.broadcast(newest.select("week_ending")), "week_ending", "left_semi")
+    per = (kept.groupBy("week_ending", "capture_date", "hex").agg(F.count(F.lit(1)).alias("n"))
+           .groupBy("week_ending", "hex").agg(F.sum("n").alias("n"), F.bit_or(F.expr("shiftleft(1, weekday(capture_date))")).alias("days")))
+    g = (per.groupBy("week_ending")
+         .agg(F.sum("n").alias("total_records"), F.count("hex").alias("unique_aircraft"),
+              F.bit_count(F.bit_or("days")).cast("long").alias("files_used")))
+    zero = F.lit(0).cast("long")
+    return (newest.join(g, "week_ending", "left")
+            .select("week_ending", F.col("size").alias("size_bytes"), F.coalesce("total_records", zero).alias("total_records"),
+                    F.coalesce("files_used", zero).alias("files_used"), F.coalesce("unique_aircraft", zero).alias("unique_aircraft")))
 
 
 # Markers of a failed run in a log's tail (fixed values).
@@ -164,7 +179,8 @@ LOG_ERROR_MARKERS = ["ERROR", "Error", "Traceback"]
 
 def log_health(logs: DataFrame, text_col: str = "content", tail: int = 5, mtime_col: str | None = None,
                now: str | None = None) -> DataFrame:
-    """M8: does any of the last ``tail`` lines of each log contain an error marker?
+    """M8: does any of the last ``tail`` lines of each log contain an error marker, and how many
+    hours ago was it written (``mtime_col``, ``now``)?  The log's text is not carried on.
 
     Lines split like text-mode ``readlines`` (``\\r\\n``, ``\\r`` and ``\\n`` end a line; a final
     newline does not start an empty line).  The whole text is scanned."""
@@ -177,21 +193,31 @@ def log_health(logs: DataFrame, text_col: str = "content", tail: int = 5, mtime_
             .withColumn("has_error", F.exists("_t", lambda x: x.rlike(pattern)))
             .withColumns({"age_hours": F.timestamp_diff("SECOND", F.col(mtime_col), _now(now)) / F.lit(3600.0)}
                          if mtime_col and now else {})
-            .drop("_l", "_t"))
-
-
-def pipeline_status(files: DataFrame, daily: DataFrame, now: str, today: str, **health) -> DataFrame:
-    """M9: per component the number of problems and ok; 'overall' = all components ok."""
-    h = missing_hours(files, now).agg(F.count(F.lit(1)).alias("problems")).withColumn("component", F.lit("hourly"))
-    lo = F.date_sub(F.lit(today).cast("date"), 7)
-    recent = capture_health(daily.where(F.col("capture_date") >= lo), files, **health)
-    md = missing_days(files, today).agg(F.count(F.lit(1)).alias("m"))
-    flagged = recent.agg(F.count_if(~F.col("ok")).alias("f"))
-    d = md.unionByName(flagged.withColumnRenamed("f", "m")).agg(F.sum("m").alias("problems")) \
-        .withColumn("component", F.lit("daily"))
-    w = weekly_health(daily).agg((F.count(F.lit(1)) == 0).cast("long").alias("problems")) \
-        .withColumn("component", F.lit("weekly"))
-    comp = h.unionByName(d).unionByName(w).withColumn("ok", F.col("problems") == 0)
-    overall = comp.agg(F.sum("problems").alias("problems"), F.bool_and("ok").alias("ok")) \
-        .withColumn("component", F.lit("overall"))
+            .drop("_l", "_t", text_col))
+
+
+def pipeline_status(files: DataFrame, hourly: DataFrame, daily: DataFrame, daily_files: DataFrame,
+                    weekly_files: DataFrame, now: str, hours: int = 48, days: int = 7, **health) -> DataFrame:
+    """M9: per component what was expected, found and flagged, and ok; one clock for all.
+
+    The verdicts are the monitor's: hourly as ``hourly_status``; daily when any file of the last
+    ``days`` days exists; weekly when any file exists.  Missing slots and flagged small files are
+    counted, but do not fail a component.  'overall' is ok when all components are."""
+    today = F.to_date(_now(now))
+    h = hourly_status(files, hourly, now, hours).select(
+        F.lit("hourly").alias("component"), "expected", "found", (~F.col("ok")).cast("long").alias("flagged"), "ok")
+    inside = F.col("capture_date").between(F.date_sub(today, days), F.date_sub(today, 1))
+    recent = capture_health(daily.where(inside), daily_files.where(inside), **health)
+    zero = F.lit(0).cast("long")
+    listed = daily_files.where(inside).agg(F.count_distinct("capture_date").alias("found"), F.max(zero).alias("flagged"))
+    flagged = recent.agg(zero.alias("found"), F.count_if(~F.col("ok")).alias("flagged"))
+    d = (listed.unionByName(flagged).agg(F.sum("found").alias("found"), F.sum("flagged").alias("flagged"))
+         .select(F.lit("daily").alias("component"), F.lit(days).cast("long").alias("expected"), "found",
+                 F.coalesce("flagged", zero).alias("flagged"), (F.col("found") > 0).alias("ok")))
+    w = weekly_files.agg(F.count(F.lit(1)).alias("found")).select(
+        F.lit("weekly").alias("component"), F.lit(1).cast("long").alias("expected"), "found",
+        F.lit(0).cast("long").alias("flagged"), (F.col("found") > 0).alias("ok"))
+    comp = h.unionByName(d).unionByName(w)
+    overall = comp.agg(F.lit("overall").alias("component"), F.sum("expected").alias("expected"), F.sum("found").alias("found"),
+                       F.sum("flagged").alias("flagged"), F.bool_and("ok").alias("ok"))
     return comp.unionByName(overall)

@@ -7,7 +7,7 @@ text, ``from_json`` for both JSON layouts (a lone object parses as a one-element
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vantage.functions.columns import half_even_div, week_ending
@@ -39,9 +39,14 @@ def weather_route(objects: DataFrame, name: str = "name") -> DataFrame:
     return objects.withColumn("obs_date", parsed).withColumn("route", route)
 
 
-def route_counts(routed: DataFrame) -> DataFrame:
-    """T4 counters: objects per route (processed = metar + json + geojson)."""
-    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("objects"))
+def route_counts(routed: DataFrame, content: str = "content") -> DataFrame:
+    """T4 counters per route: objects, how many were processed (given to a parser) and how many
+    failed (a date that is none, or content that could not be read)."""
+    parsed = F.col("route").isin("metar", "json", "geojson")
+    unread = F.col(content).isNull() & ~F.col("route").isin("no-date", "gap", "other")
+    error = (F.col("route") == "bad-date") | unread
+    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("objects"), F.count_if(parsed & ~unread).alias("processed"),
+                                       F.count_if(error).alias("errors"))
 
 
 def metar_temps(routed: DataFrame, content: str = "content") -> DataFrame:
@@ -58,19 +63,27 @@ def metar_temps(routed: DataFrame, content: str = "content") -> DataFrame:
             .select("name", "obs_date", temp.alias("temp_c")))
 
 
+def _geojson(content: Column) -> Column:
+    """Temperatures of ``features[].properties.temp``: numbers, or text that reads as a number."""
+    found = F.from_json(content, "struct<features: array<struct<properties: struct<temp: string>>>>")
+    return F.transform(found["features"], lambda f: f["properties"]["temp"].try_cast("double"))
+
+
+def _flat_json(content: Column) -> Column:
+    found = F.from_json(content, "array<struct<temp_c: string>>")
+    return F.transform(found, lambda x: x["temp_c"].try_cast("double"))
+
+
 def geojson_temps(routed: DataFrame, content: str = "content") -> DataFrame:
     """``features[].properties.temp``; unparsable content gives no rows."""
-    schema = "struct<features: array<struct<properties: struct<temp: double>>>>"
-    feats = F.when(F.col("route") == "geojson", F.from_json(content, schema).getField("features"))
-    f = routed.select("name", "obs_date", F.explode(feats).alias("f"))
-    return f.where(F.col("f.properties.temp").isNotNull()).select("name", "obs_date", F.col("f.properties.temp").alias("temp_c"))
+    r = routed.select("name", "obs_date", F.explode(F.when(F.col("route") == "geojson", _geojson(F.col(content)))).alias("temp_c"))
+    return r.where(F.col("temp_c").isNotNull())
 
 
 def json_temps(routed: DataFrame, content: str = "content") -> DataFrame:
     """``temp_c`` of an object or of each object of a list."""
-    rows = F.when(F.col("route") == "json", F.from_json(content, "array<struct<temp_c: double>>"))
-    r = routed.select("name", "obs_date", F.explode(rows).alias("r"))
-    return r.where(F.col("r.temp_c").isNotNull()).select("name", "obs_date", F.col("r.temp_c").alias("temp_c"))
+    r = routed.select("name", "obs_date", F.explode(F.when(F.col("route") == "json", _flat_json(F.col(content)))).alias("temp_c"))
+    return r.where(F.col("temp_c").isNotNull())
 
 
 def all_temps(objects: DataFrame, content: str = "content") -> DataFrame:
@@ -82,11 +95,8 @@ def all_temps(objects: DataFrame, content: str = "content") -> DataFrame:
     metar = F.transform(F.filter(F.split(c, LINE_BREAK), lambda ln: ln.rlike(T_GROUP)),
                         lambda ln: F.when(t(ln, T_GROUP, 1) == "1", F.lit(-1)).otherwise(F.lit(1))
                         * t(ln, T_GROUP, 2).cast("int") / F.lit(10.0))
-    geo = F.transform(F.from_json(c, "struct<features: array<struct<properties: struct<temp: double>>>>")
-                      .getField("features"), lambda f: f["properties"]["temp"])
-    flat = F.transform(F.from_json(c, "array<struct<temp_c: double>>"), lambda x: x["temp_c"])
     temps = (F.when((F.col("route") == "metar") & ~c.contains(API_MOVED), metar)
-             .when(F.col("route") == "geojson", geo).when(F.col("route") == "json", flat))
+             .when(F.col("route") == "geojson", _geojson(c)).when(F.col("route") == "json", _flat_json(c)))
     return (r.select("name", "obs_date", F.explode(temps).alias("temp_c"))
             .where(F.col("temp_c").isNotNull()))
 

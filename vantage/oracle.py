@@ -10,7 +10,7 @@ from __future__ import annotations
 VIEWS: dict[str, tuple[tuple[str, ...], str]] = {
     "obs": ((), """
 SELECT ts AS observation_time, epoch_us(ts)/1e6 AS observation_epoch,
- 'a' || lpad(CAST(user_id AS VARCHAR),5,'0') AS hex,
+ CASE WHEN user_id%10=0 THEN 'b' ELSE 'a' END || lpad(CAST(user_id AS VARCHAR),5,'0') AS hex,
  CASE WHEN event_id%7=0 THEN NULL WHEN event_id%11=0 THEN '' ELSE upper(substr(event_type,1,3)) || CAST(user_id%40 AS VARCHAR) END AS flight,
  CASE WHEN event_id%5=0 THEN NULL ELSE 44 + CAST(event_id%1000 AS DOUBLE)/1000 END AS lat,
  CASE WHEN event_id%5=0 OR event_id%13=0 THEN NULL ELSE -94 + CAST(event_id%777 AS DOUBLE)/777 END AS lon,
@@ -29,10 +29,10 @@ SELECT 'a' || lpad(CAST(c_custkey AS VARCHAR),5,'0') AS icao,
  substr(c_mktsegment,1,4) AS icao_type,
  CASE WHEN c_custkey%23=0 THEN '19xx' WHEN c_custkey%19=0 THEN NULL WHEN c_custkey%29=0 THEN '1850' ELSE CAST(1946+(c_custkey*37)%80 AS VARCHAR) END AS manufacture_year,
  n_name AS manufacturer, c_mktsegment AS model,
- CASE c_custkey%8 WHEN 0 THEN 'LIFE LINK III' WHEN 1 THEN 'Sanford Medical Center' WHEN 2 THEN 'Latitude Air Ambulance' ELSE c_name END AS owner_operator,
+ CASE c_custkey%8 WHEN 0 THEN 'North LIFE LINK Air' WHEN 1 THEN 'Lakeside Medical Flight' WHEN 2 THEN 'Prairie Air Ambulance' ELSE c_name END AS owner_operator,
  CASE c_custkey%11 WHEN 0 THEN 'L1P' WHEN 1 THEN 'L2J' WHEN 2 THEN 'L4J' WHEN 3 THEN 'L2T' WHEN 4 THEN 'L1T' WHEN 5 THEN 'H2T' WHEN 6 THEN 'H1T' WHEN 7 THEN 'L3J' WHEN 8 THEN 'G1P' WHEN 9 THEN 'L0-' ELSE NULL END AS short_type,
  c_custkey%31=0 AS military
-FROM customer JOIN nation ON c_nationkey=n_nationkey WHERE c_custkey%10<>0"""),
+FROM customer JOIN nation ON c_nationkey=n_nationkey"""),
     "captures": (("obs",), """
 SELECT o.*, date_trunc('hour', observation_time) + INTERVAL '1' HOUR AS capture_ts FROM obs o
 UNION ALL SELECT o.*, date_trunc('hour', observation_time) + INTERVAL '2' HOUR FROM obs o
@@ -40,15 +40,16 @@ UNION ALL SELECT o.*, date_trunc('hour', observation_time) + INTERVAL '480' HOUR
     "files": (("captures",), """
 SELECT 'flights_hourly_' || substr(CAST(capture_ts AS VARCHAR),1,10) || '_' || substr(CAST(capture_ts AS VARCHAR),12,2) || '00.parquet' AS name,
  'hourly' AS level, capture_ts, COUNT(*)*37 AS size, capture_ts + INTERVAL '1' MINUTE AS mtime
-FROM captures WHERE hour(capture_ts)%5<>0 GROUP BY capture_ts"""),
+FROM captures GROUP BY capture_ts"""),
+    "files_with_gaps": (("files",), "SELECT * FROM files WHERE hour(capture_ts)%5<>0"),
     "weather_objects": ((), """
 SELECT o_orderkey, 'wx/' || substr(CAST(o_orderdate + INTERVAL '25' YEAR AS VARCHAR),1,10)
    || CASE o_orderkey%3 WHEN 0 THEN '_metar.txt' WHEN 1 THEN '_geo.json' ELSE 'T12:15.json' END AS name,
  CASE o_orderkey%3
   WHEN 0 THEN CASE WHEN o_orderkey%50=0 THEN 'API endpoint has moved' WHEN o_orderkey%9=0 THEN 'METAR KMSP AUTO RMK AO2'
        ELSE 'METAR KMSP AUTO RMK AO2 T' || CASE WHEN o_orderkey%4=0 THEN '1' ELSE '0' END || lpad(CAST(o_orderkey%400 AS VARCHAR),3,'0') || '1' || lpad(CAST(o_orderkey%200 AS VARCHAR),3,'0') END
-  WHEN 1 THEN CASE WHEN o_orderkey%40=0 THEN 'not json' ELSE '{"features":[{"properties":{"temp":' || CAST(o_orderkey%30 AS VARCHAR) || '}},{"properties":{}}]}' END
-  ELSE CASE WHEN o_orderkey%2=0 THEN '{"temp_c":' || CAST(o_orderkey%25 AS VARCHAR) || '.5}' ELSE '[{"temp_c":' || CAST(o_orderkey%25 AS VARCHAR) || '.5},{"x":1}]' END
+  WHEN 1 THEN CASE WHEN o_orderkey%40=0 THEN 'not json' ELSE '{"features":[{"properties":{"temp":' || CASE WHEN o_orderkey%4=1 THEN '"' ELSE '' END || CAST(o_orderkey%30 AS VARCHAR) || CASE WHEN o_orderkey%4=1 THEN '"' ELSE '' END || '}},{"properties":{}}]}' END
+  ELSE CASE WHEN o_orderkey%2=0 THEN '{"temp_c":' || CASE WHEN o_orderkey%4=1 THEN '"' ELSE '' END || CAST(o_orderkey%25 AS VARCHAR) || '.5' || CASE WHEN o_orderkey%4=1 THEN '"' ELSE '' END || '}' ELSE '[{"temp_c":' || CAST(o_orderkey%25 AS VARCHAR) || '.5},{"x":1}]' END
  END AS content
 FROM orders"""),
     "stats_docs": ((), """

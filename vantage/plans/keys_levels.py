@@ -116,7 +116,7 @@ days AS (SELECT week_ending, CAST(unnest(generate_series(week_ending - 6, week_e
 SELECT week_ending, days.capture_date, p.capture_date IS NOT NULL AS present
 FROM days LEFT JOIN p ON days.capture_date = p.capture_date""", "daily"))
 def _week_members(spark, sf):
-    return L.week_members(daily(spark, sf))
+    return L.week_members(hourly(spark, sf))     # deduplication removes no date
 
 
 REGEN_SQL = f"""
@@ -131,14 +131,14 @@ plan AS (SELECT dates.date, COALESCE(h.hourly_files, 0) AS hourly_files, d.date
 
 @register("regeneration_plan", sql(REGEN_SQL + "SELECT * FROM plan", "daily", "files"))
 def _regeneration_plan(spark, sf):
-    built = daily(spark, sf).where(F.col("capture_date") < F.lit(DAILY_BUILT_BEFORE).cast("date"))
+    built = hourly(spark, sf).where(F.col("capture_date") < F.lit(DAILY_BUILT_BEFORE).cast("date"))
     return L.regeneration_plan(fx.files(spark, sf), built, *REGEN)
 
 
 @register("regenerate_daily", sql(REGEN_SQL + """
 SELECT * FROM daily WHERE capture_date IN (SELECT date FROM plan WHERE action = 'regenerate')""", "daily", "files"))
 def _regenerate_daily(spark, sf):
-    built = daily(spark, sf).where(F.col("capture_date") < F.lit(DAILY_BUILT_BEFORE).cast("date"))
+    built = hourly(spark, sf).where(F.col("capture_date") < F.lit(DAILY_BUILT_BEFORE).cast("date"))
     plan = L.regeneration_plan(fx.files(spark, sf), built, *REGEN)
     return L.regenerate_daily(hourly(spark, sf), plan)
 
@@ -148,14 +148,20 @@ FILE_INFO = """SELECT COUNT(*) AS total_records, COUNT(DISTINCT hex) AS unique_a
  WHERE capture_date IN (SELECT DISTINCT capture_date FROM daily ORDER BY capture_date DESC LIMIT {n})"""
 
 
+def _latest(spark, sf, n):
+    """Deduplication removes no date, so the hourly level names the latest dates and only their rows
+    are deduplicated."""
+    return L.daily_level(S.latest_captures(hourly(spark, sf), n))
+
+
 @register("file_info", sql(FILE_INFO.format(n=1), "daily"))
 def _file_info(spark, sf):
-    return R.file_info(S.latest_captures(daily(spark, sf), 1))
+    return R.file_info(_latest(spark, sf, 1))
 
 
 @register("overall_stats", sql(FILE_INFO.format(n=LATEST_N), "daily"))
 def _overall_stats(spark, sf):
-    return R.file_info(S.latest_captures(daily(spark, sf), LATEST_N))
+    return R.file_info(_latest(spark, sf, LATEST_N))
 
 
 @register("latest_n_days", sql(f"""
@@ -163,7 +169,7 @@ SELECT capture_date, COUNT(*) AS rows, COUNT(DISTINCT hex) AS unique_aircraft FR
 WHERE capture_date IN (SELECT DISTINCT capture_date FROM daily ORDER BY capture_date DESC LIMIT {LATEST_N})
 GROUP BY capture_date""", "daily"))
 def _latest_n_days(spark, sf):
-    d = S.latest_captures(daily(spark, sf), LATEST_N)
+    d = _latest(spark, sf, LATEST_N)
     return d.groupBy("capture_date").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("hex").alias("unique_aircraft"))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from vantage.operators import quality as Q
 from vantage.operators import reports as R
 from vantage.oracle import sql, week_ending
+from vantage.plans import levels as L
 from vantage.plans import publish as P
 from vantage.plans.catalog import register
 from vantage.plans.keys_levels import daily, hourly
@@ -16,7 +17,8 @@ from vantage.sources import fixtures as fx
 NOW = "2024-01-25 00:00:00"
 MAX_AGE_DAYS = 20
 MONITOR_NOW = "2024-01-20 12:30:00"
-MONITOR_TODAY = "2024-02-25"
+MONITOR_TODAY = "2024-01-20"
+QUIET_TODAY = "2024-02-25"          # a week in which captures stop
 PUBLISH_TODAY = "2024-01-20"
 UPLOADED_BEFORE = "2024-01-16"
 RETENTION_NOW = "2024-01-20 00:00:00"
@@ -98,79 +100,99 @@ def _daily_inventory(spark, sf):
     return Q.daily_inventory(daily(spark, sf))
 
 
+DAILY_FILES = "df AS (SELECT capture_date, COUNT(*) * 41 AS size FROM daily GROUP BY capture_date)"
 HEALTH = """
-g AS (SELECT capture_date, COUNT(*) AS rows, COUNT(DISTINCT hex) AS aircraft FROM daily {w} GROUP BY 1),
-s AS (SELECT CAST(capture_ts AS DATE) AS capture_date, CAST(SUM(size) AS BIGINT) AS size_bytes, COUNT(*) AS files FROM files GROUP BY 1),
-health AS (SELECT g.capture_date, rows, aircraft, COALESCE(size_bytes, 0) AS size_bytes, COALESCE(files, 0) AS files,
- COALESCE(size_bytes, 0) < 524288 AS small_file, rows < 1000 AS low_rows,
- NOT (COALESCE(size_bytes, 0) < 524288) AND NOT (rows < 1000) AS ok FROM g LEFT JOIN s USING (capture_date))"""
+held AS (SELECT capture_date, COUNT(*) AS rows, COUNT(DISTINCT hex) AS aircraft FROM daily GROUP BY capture_date),
+health AS (SELECT capture_date, rows, aircraft, size AS size_bytes, size < 512 * 1024 AS small_file, rows < 1000 AS low_rows,
+ size >= 512 * 1024 AND rows >= 1000 AS ok FROM held JOIN df USING (capture_date))"""
 
 
-@register("capture_health", sql("WITH " + HEALTH.format(w="") + " SELECT * FROM health", "daily", "files"))
+@register("capture_health", sql("WITH " + DAILY_FILES + "," + HEALTH + " SELECT * FROM health", "daily"))
 def _capture_health(spark, sf):
-    return Q.capture_health(daily(spark, sf), fx.files(spark, sf))
+    d = daily(spark, sf)
+    return Q.capture_health(d, fx.level_files(d, "capture_date"))
 
 
 MISSING_HOURS = f"""
 mh AS (SELECT * FROM (SELECT CAST(unnest(generate_series(date_trunc('hour', TIMESTAMP '{MONITOR_NOW}') - INTERVAL 47 HOUR,
    date_trunc('hour', TIMESTAMP '{MONITOR_NOW}'), INTERVAL 1 HOUR)) AS TIMESTAMP) AS hour_ts) e
- WHERE hour_ts NOT IN (SELECT capture_ts FROM files))"""
+ WHERE hour_ts NOT IN (SELECT capture_ts FROM files_with_gaps))"""
 MISSING_DAYS = f"""
-md AS (SELECT * FROM (SELECT CAST(unnest(generate_series(DATE '{MONITOR_TODAY}' - 7, DATE '{MONITOR_TODAY}' - 1, INTERVAL 1 DAY)) AS DATE) AS date) e
- WHERE date NOT IN (SELECT CAST(capture_ts AS DATE) FROM files))"""
+md AS (SELECT * FROM (SELECT CAST(unnest(generate_series(DATE '{QUIET_TODAY}' - 7, DATE '{QUIET_TODAY}' - 1, INTERVAL 1 DAY)) AS DATE) AS date) e
+ WHERE date NOT IN (SELECT CAST(capture_ts AS DATE) FROM files_with_gaps))"""
 
 
-@register("missing_hours", sql("WITH " + MISSING_HOURS + " SELECT * FROM mh", "files"))
+@register("missing_hours", sql("WITH " + MISSING_HOURS + " SELECT * FROM mh", "files_with_gaps"))
 def _missing_hours(spark, sf):
-    return Q.missing_hours(fx.files(spark, sf), MONITOR_NOW, 48)
+    return Q.missing_hours(fx.files_with_gaps(spark, sf), MONITOR_NOW, 48)
 
 
-@register("hourly_status", sql(f"""
-SELECT CAST(48 AS BIGINT) AS expected,
- COUNT(DISTINCT CASE WHEN capture_ts BETWEEN date_trunc('hour', TIMESTAMP '{MONITOR_NOW}') - INTERVAL 47 HOUR
-   AND date_trunc('hour', TIMESTAMP '{MONITOR_NOW}') THEN capture_ts END) AS found,
- arg_max(name, capture_ts) AS latest_file, arg_max(size, capture_ts) AS latest_size, arg_max(mtime, capture_ts) AS latest_mtime
-FROM files""", "files"))
+STATUS = f"""
+seen AS (SELECT * FROM files_with_gaps WHERE capture_ts BETWEEN date_trunc('hour', TIMESTAMP '{MONITOR_NOW}') - INTERVAL 47 HOUR
+   AND date_trunc('hour', TIMESTAMP '{MONITOR_NOW}')),
+newest AS (SELECT COUNT(DISTINCT capture_ts) AS found, arg_max(name, capture_ts) AS latest_file, arg_max(size, capture_ts) AS latest_size,
+  arg_max(mtime, capture_ts) AS latest_mtime, MAX(capture_ts) AS last_ts FROM seen),
+status AS (SELECT CAST(48 AS BIGINT) AS expected, found, latest_file, latest_size, latest_mtime,
+  CASE WHEN last_ts IS NOT NULL THEN (SELECT COUNT(*) FROM hourly WHERE capture_ts = last_ts) END AS latest_rows,
+  CASE WHEN last_ts IS NOT NULL THEN (SELECT COUNT(DISTINCT hex) FROM hourly WHERE capture_ts = last_ts) END AS latest_aircraft,
+  found > 0 AND NOT COALESCE(last_ts = date_trunc('hour', TIMESTAMP '{MONITOR_NOW}')
+    AND (SELECT COUNT(*) FROM hourly WHERE capture_ts = last_ts) = 0, FALSE) AS ok FROM newest)"""
+
+
+@register("hourly_status", sql("WITH " + STATUS + " SELECT * FROM status", "files_with_gaps", "hourly"))
 def _hourly_status(spark, sf):
-    return Q.hourly_status(fx.files(spark, sf), MONITOR_NOW, 48)
+    return Q.hourly_status(fx.files_with_gaps(spark, sf), hourly(spark, sf), MONITOR_NOW, 48)
 
 
-@register("missing_days", sql("WITH " + MISSING_DAYS + " SELECT * FROM md", "files"))
+@register("missing_days", sql("WITH " + MISSING_DAYS + " SELECT * FROM md", "files_with_gaps"))
 def _missing_days(spark, sf):
-    return Q.missing_days(fx.files(spark, sf), MONITOR_TODAY, 7)
+    return Q.missing_days(fx.files_with_gaps(spark, sf), QUIET_TODAY, 7)
 
 
 WEEKLY_HEALTH = f"""
-wh AS (SELECT {week_ending('capture_date')} AS week_ending, COUNT(*) AS total_records, COUNT(DISTINCT capture_date) AS files_used,
- COUNT(DISTINCT hex) AS unique_aircraft FROM daily GROUP BY 1 ORDER BY week_ending DESC LIMIT 4)"""
+wk AS (SELECT {week_ending('capture_date')} AS week_ending, * FROM daily),
+wh AS (SELECT week_ending, COUNT(*) * 41 AS size_bytes, COUNT(*) AS total_records, COUNT(DISTINCT capture_date) AS files_used,
+ COUNT(DISTINCT hex) AS unique_aircraft FROM wk GROUP BY week_ending ORDER BY week_ending DESC LIMIT 4)"""
 
 
 @register("weekly_health", sql("WITH " + WEEKLY_HEALTH + " SELECT * FROM wh", "daily"))
 def _weekly_health(spark, sf):
-    return Q.weekly_health(daily(spark, sf), 4)
+    w = L.weekly_level(daily(spark, sf))
+    return Q.weekly_health(w, fx.level_files(w, "week_ending"), 4)
+
 
+RECENT = f"capture_date BETWEEN DATE '{MONITOR_TODAY}' - 7 AND DATE '{MONITOR_TODAY}' - 1"
 
-@register("pipeline_status", sql("WITH " + MISSING_HOURS + "," + MISSING_DAYS + "," + WEEKLY_HEALTH + ","
-                                 + HEALTH.format(w=f"WHERE capture_date >= DATE '{MONITOR_TODAY}' - 7") + """,
-comp AS (
- SELECT 'hourly' AS component, (SELECT COUNT(*) FROM mh) AS problems
- UNION ALL SELECT 'daily', (SELECT COUNT(*) FROM md) + (SELECT COUNT(*) FILTER (WHERE NOT ok) FROM health)
- UNION ALL SELECT 'weekly', CAST((SELECT COUNT(*) FROM wh) = 0 AS BIGINT))
-SELECT component, CAST(problems AS BIGINT) AS problems, problems = 0 AS ok FROM comp
-UNION ALL SELECT 'overall', CAST(SUM(problems) AS BIGINT), bool_and(problems = 0) FROM comp""", "daily", "files"))
+
+@register("pipeline_status", sql("WITH " + STATUS + "," + DAILY_FILES + "," + HEALTH + f""",
+parts AS (
+ SELECT 'hourly' AS component, expected, found, CAST(NOT ok AS BIGINT) AS flagged, ok FROM status
+ UNION ALL SELECT 'daily', 7, (SELECT COUNT(*) FROM df WHERE {RECENT}), (SELECT COUNT(*) FROM health WHERE {RECENT} AND NOT ok),
+  (SELECT COUNT(*) FROM df WHERE {RECENT}) > 0
+ UNION ALL SELECT 'weekly', 1, (SELECT COUNT(DISTINCT {week_ending('capture_date')}) FROM daily), 0, (SELECT COUNT(*) FROM daily) > 0)
+SELECT * FROM parts
+UNION ALL SELECT 'overall', CAST(SUM(expected) AS BIGINT), CAST(SUM(found) AS BIGINT), CAST(SUM(flagged) AS BIGINT), bool_and(ok) FROM parts""",
+                                 "daily", "files_with_gaps"))
 def _pipeline_status(spark, sf):
-    return Q.pipeline_status(fx.files(spark, sf), daily(spark, sf), MONITOR_NOW, MONITOR_TODAY)
+    d = daily(spark, sf)
+    return Q.pipeline_status(fx.files_with_gaps(spark, sf), hourly(spark, sf), d, fx.level_files(d, "capture_date"),
+                             fx.level_files(L.weekly_level(d), "week_ending"), MONITOR_NOW)
+
+
+LOG_NOW = "2024-03-01 00:00:00"
 
 
-@register("log_health", sql("""
+@register("log_health", sql(f"""
 WITH l AS (SELECT doc_id, text, CASE WHEN text = '' THEN []::VARCHAR[]
   ELSE regexp_split_to_array(regexp_replace(text, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n') END AS lines FROM documents)
-SELECT doc_id, text AS content, CAST(len(lines) AS INTEGER) AS n_lines,
- len(list_filter(CASE WHEN len(lines) < 5 THEN lines ELSE lines[-5:] END, lambda x: regexp_matches(x, 'ERROR|Error|Traceback'))) > 0 AS has_error
+SELECT doc_id, CAST(len(lines) AS INTEGER) AS n_lines,
+ len(list_filter(CASE WHEN len(lines) < 5 THEN lines ELSE lines[-5:] END, lambda x: regexp_matches(x, 'ERROR|Error|Traceback'))) > 0 AS has_error,
+ date_diff('second', TIMESTAMP '2024-01-01 00:00:00' + to_minutes(doc_id % 50000), TIMESTAMP '{LOG_NOW}') / 3600.0::DOUBLE AS age_hours
 FROM l"""))
 def _log_health(spark, sf):
-    docs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
-    return Q.log_health(docs, "content", 5)
+    written = F.timestamp_add("MINUTE", F.col("doc_id") % 50000, F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    logs = fx.table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"), written.alias("mtime"))
+    return Q.log_health(logs, "content", 5, "mtime", LOG_NOW).drop("mtime")
 
 
 @register("publish_plan", sql(f"""

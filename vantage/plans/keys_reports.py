@@ -123,38 +123,39 @@ def _most_observed(spark, sf):
     return R.most_observed(_obs(spark, sf))
 
 
-def _band_case(x: str, bands, top: str) -> str:
-    """CASE ladder generated from a band table of (upper bound, label) pairs."""
-    return "CASE " + " ".join(f"WHEN {x} < {hi} THEN '{lab}'" for hi, lab in bands) + f" ELSE '{top}' END"
+# Fixed values of the altitude reports, written out on their own: where each band begins (feet).
+AIRBORNE_BANDS = [(None, "< 5,000 ft"), (5000, "5,000-10,000 ft"), (10000, "10,000-20,000 ft"), (20000, "20,000-30,000 ft"), (30000, "30,000-40,000 ft"), (40000, "> 40,000 ft")]
+GROUND_BANDS = [(None, "0-5k ft"), (5000, "5k-10k ft"), (10000, "10k-20k ft"), (20000, "20k-30k ft"), (30000, "30k-40k ft"), (40000, "40k+ ft")]
+
+
+def bands(name: str, rows) -> str:
+    """A table of bands (place, lowest foot or NULL, label) to which an altitude is joined as of."""
+    values = ", ".join(f"({k}, {'-2147483648' if lo is None else lo}, '{lab}')" for k, (lo, lab) in enumerate(rows, 1))
+    return f"{name}(place, lowest, label) AS (VALUES {values})"
 
 
 @register("altitude_bands", sql(f"""
-WITH airborne AS (SELECT {ALT_FT} AS a FROM obs WHERE alt_baro <> 'ground' AND {ALT_FT} IS NOT NULL)
-SELECT {_band_case("a", R.BANDS_AIRBORNE, R.TOP_AIRBORNE)} AS altitude_range, COUNT(*) AS count
-FROM airborne GROUP BY 1 ORDER BY MIN(a)""", "obs"))
+WITH {bands("band", AIRBORNE_BANDS)}, heights AS (SELECT {ALT_FT} AS ft FROM obs WHERE alt_baro <> 'ground')
+SELECT label AS altitude_range, COUNT(*) AS count FROM heights ASOF JOIN band ON ft >= lowest GROUP BY place, label ORDER BY place""", "obs"))
 def _altitude_bands(spark, sf):
     return R.altitude_bands(_obs(spark, sf))
 
 
-_RANKS = " ".join(f"WHEN '{lab}' THEN {i}" for i, (_, lab) in enumerate(R.BANDS_GROUND, start=1))
-
-
 @register("altitude_bands_ground", sql(f"""
-WITH labelled AS (SELECT CASE WHEN alt_baro = 'ground' THEN 'Ground' ELSE {_band_case(ALT_FT, R.BANDS_GROUND, R.TOP_GROUND)} END
-                  AS altitude_range FROM obs WHERE alt_baro IS NOT NULL),
-counted AS (SELECT altitude_range, COUNT(*) AS observations FROM labelled GROUP BY altitude_range)
-SELECT altitude_range, observations, ROUND(100.0::DOUBLE * observations / SUM(observations) OVER (), 1) AS percentage,
- CASE altitude_range WHEN 'Ground' THEN 0 {_RANKS} ELSE 6 END AS sort_rank
-FROM counted ORDER BY sort_rank""", "obs"))
+WITH {bands("band", GROUND_BANDS)},
+heights AS (SELECT alt_baro = 'ground' AS grounded, {ALT_FT} AS ft FROM obs WHERE alt_baro IS NOT NULL),
+placed AS (SELECT 0 AS place, 'Ground' AS label FROM heights WHERE grounded
+ UNION ALL SELECT place, label FROM heights ASOF JOIN band ON ft >= lowest WHERE NOT grounded)
+SELECT label AS altitude_range, COUNT(*) AS observations, place AS sort_rank,
+ ROUND(100.0::DOUBLE * COUNT(*) / (SELECT COUNT(*) FROM heights), 1) AS percentage FROM placed GROUP BY place, label""", "obs"))
 def _altitude_bands_ground(spark, sf):
     return R.altitude_bands_ground(_obs(spark, sf))
 
 
-@register("daily_activity", sql(f"""
-SELECT CAST(observation_time AS DATE) AS date, COUNT(*) AS observations, COUNT(DISTINCT hex) AS aircraft,
- COUNT(DISTINCT flight) AS flights, AVG(gs) AS avg_ground_speed,
- COUNT(*) FILTER (WHERE lat IS NOT NULL AND lon IS NOT NULL) AS with_position
-FROM obs GROUP BY 1 ORDER BY 1""", "obs"))
+@register("daily_activity", sql("""
+WITH days AS (SELECT CAST(observation_time AS DATE) AS date, *, lat + lon IS NOT NULL AS placed FROM obs)
+SELECT date, COUNT(*) AS observations, COUNT(DISTINCT hex) AS aircraft, COUNT(DISTINCT flight) AS flights,
+ AVG(gs) AS avg_ground_speed, COUNT(*) FILTER (WHERE placed) AS with_position FROM days GROUP BY date""", "obs"))
 def _daily_activity(spark, sf):
     return R.daily_activity(_obs(spark, sf))
 
@@ -166,15 +167,14 @@ def _hourly_activity(spark, sf):
     return R.hourly_activity(_obs(spark, sf))
 
 
-@register("null_profile", sql("""
-WITH g AS (SELECT COUNT(*) AS total_records, COUNT(*) - COUNT(hex) AS missing_hex,
- COUNT(*) FILTER (WHERE lat IS NULL OR lon IS NULL) AS missing_position, COUNT(*) - COUNT(gs) AS missing_ground_speed,
- COUNT(*) - COUNT(track) AS missing_track, COUNT(*) - COUNT(alt_baro) AS missing_altitude FROM obs)
-SELECT *, ROUND(100.0::DOUBLE * missing_hex / NULLIF(total_records, 0), 2) AS missing_hex_pct,
- ROUND(100.0::DOUBLE * missing_position / NULLIF(total_records, 0), 2) AS missing_position_pct,
- ROUND(100.0::DOUBLE * missing_ground_speed / NULLIF(total_records, 0), 2) AS missing_ground_speed_pct,
- ROUND(100.0::DOUBLE * missing_track / NULLIF(total_records, 0), 2) AS missing_track_pct,
- ROUND(100.0::DOUBLE * missing_altitude / NULLIF(total_records, 0), 2) AS missing_altitude_pct FROM g""", "obs"))
+# What each line of the profile calls missing.
+ABSENT = {"hex": "hex IS NULL", "position": "lat IS NULL OR lon IS NULL", "ground_speed": "gs IS NULL", "track": "track IS NULL",
+          "altitude": "alt_baro IS NULL"}
+
+
+@register("null_profile", sql("SELECT COUNT(*) AS total_records, " + ", ".join(
+    f"COUNT(*) FILTER (WHERE {c}) AS missing_{n}, ROUND(100.0::DOUBLE * COUNT(*) FILTER (WHERE {c}) / NULLIF(COUNT(*), 0), 2) AS missing_{n}_pct"
+    for n, c in ABSENT.items()) + " FROM obs", "obs"))
 def _null_profile(spark, sf):
     return R.null_profile(_obs(spark, sf))
 

@@ -7,16 +7,19 @@ from vantage.oracle import sql, week_ending
 from vantage.plans.catalog import register
 from vantage.sources import fixtures as fx
 
-ROUTED = r"""
-routed AS (SELECT *, TRY_CAST(NULLIF(regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1), '') AS DATE) AS obs_date,
- CASE WHEN NULLIF(regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1), '') IS NULL THEN 'no-date'
-  WHEN TRY_CAST(regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1) AS DATE) IS NULL THEN 'bad-date'
-  WHEN regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1) > '2025-09-16' AND regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1) < '2026-03-13' THEN 'gap'
-  WHEN ends_with(name, '.txt') THEN 'metar'
-  WHEN contains(name, ':15') AND ends_with(name, '.json') AND regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1) >= '2026-03-13' THEN 'json'
-  WHEN ends_with(name, '.json') AND regexp_extract(name, '(\d{4}-\d{2}-\d{2})', 1) <= '2023-11-30' THEN 'geojson'
-  ELSE 'other' END AS route
- FROM weather_objects)"""
+# Fixed values of the routing rules, written out here on their own (see operators/weather.py).
+DAY_IN_NAME = r"(\d{4}-\d{2}-\d{2})"
+USABLE_UNTIL, USABLE_FROM = "2025-09-16", "2026-03-13"
+GEOJSON_UNTIL = "2023-11-30"
+
+ROUTED = f"""
+dated AS (SELECT *, NULLIF(regexp_extract(name, '{DAY_IN_NAME}', 1), '') AS day FROM weather_objects),
+routed AS (SELECT * EXCLUDE (day), TRY_CAST(day AS DATE) AS obs_date,
+ CASE WHEN day IS NULL THEN 'no-date' WHEN obs_date IS NULL THEN 'bad-date'
+  WHEN obs_date > DATE '{USABLE_UNTIL}' AND obs_date < DATE '{USABLE_FROM}' THEN 'gap' WHEN name LIKE '%.txt' THEN 'metar'
+  WHEN name LIKE '%:15%.json' AND obs_date >= DATE '{USABLE_FROM}' THEN 'json'
+  WHEN name LIKE '%.json' AND obs_date <= DATE '{GEOJSON_UNTIL}' THEN 'geojson' ELSE 'other' END AS route
+ FROM dated)"""
 METAR = r"""
 ml AS (SELECT name, obs_date, unnest(regexp_split_to_array(content, '\r\n|\r|\n')) AS line FROM routed
        WHERE route = 'metar' AND NOT contains(content, 'API endpoint has moved')),
@@ -24,21 +27,24 @@ mt AS (SELECT name, obs_date, CASE WHEN regexp_extract(line, 'T([01])(\d{3})([01
         * CAST(regexp_extract(line, 'T([01])(\d{3})([01])(\d{3})', 2) AS INTEGER) / 10.0::DOUBLE AS temp_c
        FROM ml WHERE regexp_matches(line, 'T([01])(\d{3})([01])(\d{3})'))"""
 GEO = """
-gj AS (SELECT name, obs_date, unnest(from_json(content, '{"features":[{"properties":{"temp":"DOUBLE"}}]}').features) AS f
+gj AS (SELECT name, obs_date, unnest(from_json(content, '{"features":[{"properties":{"temp":"VARCHAR"}}]}').features) AS f
        FROM routed WHERE route = 'geojson' AND json_valid(content)),
-gt AS (SELECT name, obs_date, f.properties.temp AS temp_c FROM gj WHERE f.properties.temp IS NOT NULL)"""
+gt AS (SELECT name, obs_date, TRY_CAST(f.properties.temp AS DOUBLE) AS temp_c FROM gj WHERE TRY_CAST(f.properties.temp AS DOUBLE) IS NOT NULL)"""
 JS = """
-jj AS (SELECT name, obs_date, unnest(CASE WHEN json_type(content) = 'ARRAY' THEN from_json(content, '[{"temp_c":"DOUBLE"}]')
-        ELSE [from_json(content, '{"temp_c":"DOUBLE"}')] END) AS r
+jj AS (SELECT name, obs_date, unnest(CASE WHEN json_type(content) = 'ARRAY' THEN from_json(content, '[{"temp_c":"VARCHAR"}]')
+        ELSE [from_json(content, '{"temp_c":"VARCHAR"}')] END) AS r
        FROM routed WHERE route = 'json' AND json_valid(content)),
-jt AS (SELECT name, obs_date, r.temp_c AS temp_c FROM jj WHERE r.temp_c IS NOT NULL)"""
+jt AS (SELECT name, obs_date, TRY_CAST(r.temp_c AS DOUBLE) AS temp_c FROM jj WHERE TRY_CAST(r.temp_c AS DOUBLE) IS NOT NULL)"""
 
 
 def _routed(spark, sf):
     return W.weather_route(fx.weather_objects(spark, sf))
 
 
-@register("weather_route", sql("WITH " + ROUTED + " SELECT route, COUNT(*) AS objects FROM routed GROUP BY route",
+@register("weather_route", sql("WITH " + ROUTED + """ SELECT route, COUNT(*) AS objects,
+ COUNT(*) FILTER (WHERE route IN ('metar', 'json', 'geojson') AND content IS NOT NULL) AS processed,
+ COUNT(*) FILTER (WHERE route = 'bad-date' OR (content IS NULL AND route IN ('metar', 'json', 'geojson'))) AS errors
+FROM routed GROUP BY route""",
                                "weather_objects"))
 def _weather_route(spark, sf):
     return W.route_counts(_routed(spark, sf))

@@ -81,18 +81,20 @@ def weekly_rollup(daily: DataFrame, dedup: bool = False) -> DataFrame:
 def _week_totals(per_day_key: DataFrame) -> DataFrame:
     """Totals of each week from its rows per (week, day, key).  Aircraft and days are reduced to
     one row per (week, day, hex) and (week, key) first, so nothing counts distinct raw rows."""
-    days = F.collect_set("capture_date")       # at most seven dates of a week
     per_key = (per_day_key.groupBy("week_ending", *D.OBS_KEY)
-               .agg(F.sum("n").alias("n"), days.alias("days")))
+               .agg(F.sum("n").alias("n"), F.bit_or(day_bit("capture_date")).alias("days")))
     per_hex = (per_key.groupBy("week_ending", "hex")
-               .agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("dups"),
-                    F.array_distinct(F.flatten(F.collect_set("days"))).alias("days")))
+               .agg(F.sum("n").alias("n"), F.count_if(F.col("n") > 1).alias("dups"), F.bit_or("days").alias("days")))
     return (per_hex.groupBy("week_ending")
-            .agg(F.sum("n").alias("total_records"),
-                 F.size(F.array_distinct(F.flatten(F.collect_set("days")))).cast("long").alias("files_used"),
+            .agg(F.sum("n").alias("total_records"), F.bit_count(F.bit_or("days")).cast("long").alias("files_used"),
                  F.count("hex").alias("unique_aircraft"), F.sum("dups").alias("duplicate_keys")))
 
 
+def day_bit(date: str) -> F.Column:
+    """One of seven bits: the days of a week are united and counted without a set of dates."""
+    return F.expr(f"shiftleft(1, weekday({date}))")
+
+
 def week_bounds(df: DataFrame, date_col: str) -> DataFrame:
     """M4: Monday start and Sunday end of the week of every distinct date."""
     d = df.select(F.col(date_col).alias("date")).distinct()

@@ -6,7 +6,8 @@ with them.  The DuckDB twins of these views live in ``vantage.oracle`` (same for
 obs              one row per observation (36-column model, the columns the reports use)
 airframes        registry rows (customer x nation)
 captures         obs rows as seen by hourly captures (overlap of two hours + stale copies)
-files            hourly file listing (every 5th hour missing)
+files            hourly file listing (``files_with_gaps``: every 5th hour missing)
+level_files      listing of a stored level, one file per date
 weather_objects  weather files: METAR text, GeoJSON, flat JSON
 stats_docs       receiver stats JSON documents
 """
@@ -38,7 +39,7 @@ def obs_from_events(e: DataFrame) -> DataFrame:
     return e.select(
         F.col("ts").alias("observation_time"),
         epoch_seconds("ts").alias("observation_epoch"),
-        F.concat(F.lit("a"), F.lpad(_s(uid), 5, "0")).alias("hex"),
+        F.concat(F.when(uid % 10 == 0, F.lit("b")).otherwise(F.lit("a")), F.lpad(_s(uid), 5, "0")).alias("hex"),
         F.when(eid % 7 == 0, F.lit(None).cast("string"))
          .when(eid % 11 == 0, F.lit(""))
          .otherwise(F.concat(F.upper(F.substring("event_type", 1, 3)), _s(uid % 40))).alias("flight"),
@@ -69,10 +70,9 @@ def airframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     short = F.when(k % 11 == 0, "L1P")
     for i, code in enumerate(["L2J", "L4J", "L2T", "L1T", "H2T", "H1T", "L3J", "G1P", "L0-"], start=1):
         short = short.when(k % 11 == i, code)
-    owner = (F.when(k % 8 == 0, "LIFE LINK III").when(k % 8 == 1, "Sanford Medical Center")
-             .when(k % 8 == 2, "Latitude Air Ambulance").otherwise(F.col("c_name")))
+    owner = (F.when(k % 8 == 0, "North LIFE LINK Air").when(k % 8 == 1, "Lakeside Medical Flight")
+             .when(k % 8 == 2, "Prairie Air Ambulance").otherwise(F.col("c_name")))
     return (cu.join(na, cu.c_nationkey == na.n_nationkey)
-            .where(k % 10 != 0)
             .select(
                 F.concat(F.lit("a"), F.lpad(_s(k), 5, "0")).alias("icao"),
                 F.when(k % 17 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("N"), _s(k))).alias("registration"),
@@ -100,8 +100,8 @@ def captures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly file listing: name, level, capture_ts, size, mtime (every 5th hour missing)."""
-    cap = captures(spark, sf_dir).where(F.hour("capture_ts") % 5 != 0)
+    """Hourly file listing: name, level, capture_ts, size, mtime."""
+    cap = captures(spark, sf_dir)
     ts = F.col("capture_ts").cast("string")
     return (cap.groupBy("capture_ts").agg(F.count(F.lit(1)).alias("n"))
             .select(F.concat(F.lit("flights_hourly_"), F.substring(ts, 1, 10), F.lit("_"),
@@ -111,6 +111,16 @@ def files(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("capture_ts") + F.expr("INTERVAL 1 MINUTE")).alias("mtime")))
 
 
+def files_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The listing of a pipeline that misses every fifth hour: input of the reports on missing slots."""
+    return files(spark, sf_dir).where(F.hour("capture_ts") % 5 != 0)
+
+
+def level_files(level: DataFrame, col: str, bytes_per_row: int = 41) -> DataFrame:
+    """Listing of a daily or weekly level: one file per value of ``col``, with its own size."""
+    return level.groupBy(col).agg((F.count(F.lit(1)) * bytes_per_row).alias("size"))
+
+
 def weather_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
@@ -120,10 +130,11 @@ def weather_objects(spark: SparkSession, sf_dir: str) -> DataFrame:
              .when(k % 9 == 0, F.lit("METAR KMSP AUTO RMK AO2"))
              .otherwise(F.concat(F.lit("METAR KMSP AUTO RMK AO2 T"), F.when(k % 4 == 0, "1").otherwise("0"),
                                  F.lpad(_s(k % 400), 3, "0"), F.lit("1"), F.lpad(_s(k % 200), 3, "0"))))
+    quote = F.when(k % 4 == 1, F.lit('"')).otherwise(F.lit(""))      # numbers as text are numbers too
     geo = (F.when(k % 40 == 0, F.lit("not json"))
-           .otherwise(F.concat(F.lit('{"features":[{"properties":{"temp":'), _s(k % 30),
+           .otherwise(F.concat(F.lit('{"features":[{"properties":{"temp":'), quote, _s(k % 30), quote,
                                F.lit('}},{"properties":{}}]}'))))
-    flat = (F.when(k % 2 == 0, F.concat(F.lit('{"temp_c":'), _s(k % 25), F.lit(".5}")))
+    flat = (F.when(k % 2 == 0, F.concat(F.lit('{"temp_c":'), quote, _s(k % 25), F.lit(".5"), quote, F.lit("}")))
             .otherwise(F.concat(F.lit('[{"temp_c":'), _s(k % 25), F.lit('.5},{"x":1}]'))))
     content = F.when(k % 3 == 0, metar).when(k % 3 == 1, geo).otherwise(flat)
     return o.select("o_orderkey", F.concat(F.lit("wx/"), d, suffix).alias("name"), content.alias("content"))

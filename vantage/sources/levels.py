@@ -27,27 +27,40 @@ def read_level(spark: SparkSession, root: str, level: str, dates=None, pattern:
     return df
 
 
-def latest_captures(df: DataFrame, n: int, col: str = "capture_date") -> DataFrame:
-    """Rows of the latest ``n`` values of ``col``.  The n values are a bounded relation
+def latest_captures(df: DataFrame, n: int, col: str = "capture_date", dates_of: DataFrame | None = None) -> DataFrame:
+    """Rows of the latest ``n`` values of ``col``.  ``dates_of`` may name a cheaper frame with
+    the same dates (the level that ``df`` is built from).  The n values are a bounded relation
     (n rows), so broadcasting them is safe; on a partitioned level this becomes a dynamic
     partition-pruning filter."""
-    latest = df.select(col).distinct().orderBy(F.desc(col)).limit(n)
+    latest = (df if dates_of is None else dates_of).select(col).distinct().orderBy(F.desc(col)).limit(n)
     return df.join(F.broadcast(latest), col, "left_semi")
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast a drifted frame to the canonical schema: numeric-typed text columns become text
-    (DOUBLE 100.0 -> '100.0'); missing columns are added as NULL; extra columns are kept."""
+    (DOUBLE 100.0 -> '100.0'), a value that does not fit becomes NULL (``cast_rejects`` counts
+    those); missing columns are added as NULL; extra columns are kept."""
     have = {f.name: f.dataType for f in df.schema.fields}
     cols = []
     for f in schema.fields:
         if f.name not in have:
             continue
-        cols.append(F.col(f.name).cast(f.dataType).alias(f.name) if have[f.name] != f.dataType else F.col(f.name))
+        cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name) if have[f.name] != f.dataType else F.col(f.name))
     extra = [F.col(n) for n in df.columns if n not in schema.fieldNames()]
     return df.select(*cols, *extra)
 
 
+def cast_rejects(df: DataFrame, schema: StructType = OBSERVATION) -> DataFrame:
+    """(column, rejected): values of each drifted column that ``conform`` turns into NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    drifted = [f for f in schema.fields if f.name in have and have[f.name] != f.dataType]
+    counts = df.agg(*[F.count_if(F.col(f.name).isNotNull() & F.col(f.name).try_cast(f.dataType).isNull()).alias(f.name)
+                      for f in drifted] or [F.lit(0).alias("_none")])
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column"), F.col(f.name).alias("rejected")) for f in drifted]) if drifted \
+        else F.array().cast("array<struct<column: string, rejected: bigint>>")
+    return counts.select(F.inline(rows))
+
+
 def union_by_name(dfs, schema: StructType = OBSERVATION) -> DataFrame:
     """Schema-evolving union.  Each input is conformed to the canonical schema, then
     ``unionByName(allowMissingColumns=True)`` fills absent columns with NULL."""
@@ -59,13 +72,33 @@ def union_by_name(dfs, schema: StructType = OBSERVATION) -> DataFrame:
 
 
 def read_drifted(spark: SparkSession, paths, schema: StructType = OBSERVATION) -> DataFrame:
-    """S7 over files: group the files by their footer schema (one metadata read per file, on
-    the driver -- a listing-sized loop, not data), read each group as one scan, conform, union."""
-    groups: dict[str, list[str]] = {}
-    for p in paths:
-        s = spark.read.parquet(p).schema
-        groups.setdefault(s.json(), []).append(p)
-    return union_by_name([spark.read.parquet(*ps) for ps in groups.values()], schema)
+    """S7 over files whose column types differ.  The footers are read by tasks, a share of the files
+    each; the driver gets one row per distinct schema with its files, reads each group as one scan,
+    conforms it and unions the groups."""
+    paths = list(paths)
+    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), 256)))
+    schemas = listed.mapInPandas(_footers, "path string, fields string")
+    groups = schemas.groupBy("fields").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
+    found = [spark.read.parquet(*r["paths"]) for r in sorted(groups, key=lambda r: r["paths"][0])]
+    return union_by_name(found, schema)
+
+
+def _footers(batches):
+    """(path, column names and types) of Parquet files or folders, from their footers alone."""
+    import pandas as pd
+    from pyarrow import fs
+    from pyarrow import parquet as pq
+    for batch in batches:
+        rows = []
+        for path in batch["path"]:
+            uri = path if "://" in path else "file://" + path if path.startswith("/") else path
+            store, inner = fs.FileSystem.from_uri(uri)
+            if store.get_file_info(inner).type == fs.FileType.Directory:
+                inner = sorted(f.path for f in store.get_file_info(fs.FileSelector(inner, recursive=True))
+                               if f.path.endswith(".parquet"))[0]
+            read = pq.read_schema(inner, filesystem=store)
+            rows.append((path, ", ".join(f"{f.name} {f.type}" for f in read)))
+        yield pd.DataFrame(rows, columns=["path", "fields"])
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
