@@ -35,8 +35,7 @@ def drop_leaks(spark, docs, sf_dir):
 
 def encode(spark, docs, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    found = bytebpe.digests(bytebpe.encode(docs.select("doc_id", "text"), ranks), ranks)
-    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bytebpe.digests(docs.select("doc_id", "text"), ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [

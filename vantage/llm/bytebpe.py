@@ -18,6 +18,7 @@ import base64
 import hashlib
 import sys
 import unicodedata
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -30,6 +31,7 @@ from vantage.llm.merges import merge_pairs
 
 REMEMBER = 400_000     # remembered slices a worker holds at most
 LONGEST = 64           # longer slices are merged each time
+SHORT = 32             # bytes of a slice that is merged without a heap
 CHUNK = 1 << 20        # characters that are scanned together, at least one text
 
 # codepoint classes
@@ -159,6 +161,8 @@ def boundaries(codes: np.ndarray) -> np.ndarray:
 
 def slices(text: str) -> list[str]:
     """The matches of the pattern in ``text``, which they cover without gaps."""
+    if not text:
+        return []
     codes = np.frombuffer(text.encode("utf-32-le"), np.uint32)
     starts = boundaries(codes).tolist()
     return [text[a:b] for a, b in zip(starts, starts[1:] + [len(text)], strict=True)]
@@ -185,12 +189,36 @@ class BytePairs:
         rank = self.ranks.get(piece)
         if rank is not None:
             return rank.to_bytes(4, "little")
-        symbols, _ = merge_pairs([self.single[b] for b in piece], self.ranks)
+        if len(piece) > SHORT:
+            symbols, _ = merge_pairs([self.single[b] for b in piece], self.ranks)
+        else:
+            symbols = self._merge_short(piece)
         return b"".join(self.ranks[s].to_bytes(4, "little") for s in symbols if s is not None)
 
+    def _merge_short(self, piece: bytes) -> list[bytes]:
+        """The same merges on a short slice, where a scan for the lowest rank beats a heap."""
+        get, none = self.ranks.get, len(self.bytes)
+        symbols = [self.single[b] for b in piece]
+        ranks = [get(piece[k:k + 2], none) for k in range(len(piece) - 1)]
+        while ranks:
+            low = min(ranks)
+            if low == none:
+                break
+            k = ranks.index(low)
+            symbols[k] += symbols.pop(k + 1)
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = get(symbols[k] + symbols[k + 1], none)
+            if k:
+                ranks[k - 1] = get(symbols[k - 1] + symbols[k], none)
+        return symbols
+
     def encode_all(self, texts: list[str]) -> list[bytes]:
+        return list(self.encode_each(texts))
+
+    def encode_each(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text.  Texts are scanned together up to CHUNK characters."""
-        out, i, known = [], 0, self.known.__getitem__
+        i, known = 0, self.known.__getitem__
         while i < len(texts):
             j, size = i, 0
             while j < len(texts) and (j == i or size + len(texts[j]) <= CHUNK):
@@ -198,11 +226,10 @@ class BytePairs:
                 j += 1
             part = texts[i:j]
             if len(part) == 1:
-                out.append(b"".join(map(known, slices(part[0]))))
+                yield b"".join(map(known, slices(part[0])))
             else:
-                out.extend(self._encode_joined(part))
+                yield from self._encode_joined(part)
             i = j
-        return out
 
     def _encode_joined(self, texts: list[str]) -> list[bytes]:
         # A text is followed by a space and a line end: they make the text's last white space
@@ -283,24 +310,23 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
     return df.withColumn(out, decoded(F.col(ids)))
 
 
-def digests(df: DataFrame, ranks_path: str, ids: str = "ids", ends: str = "ends") -> DataFrame:
-    """``df`` with n_tokens, ids_sha256 and decoded_sha256 of encoded texts; the decoded length
-    is held against the last retained offset."""
+def digests(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
+    """``df`` with n_tokens, ids_sha256 (of the decimal ids with spaces between) and decoded_sha256.
+    Each text is encoded and its ids decoded where it lies, so ids never leave the worker; the
+    decoded length is held against the last offset."""
     small_batches(df.sparkSession)
 
-    @F.pandas_udf("ids_sha256 string, decoded_sha256 string")
-    def digest(found: pd.Series, offsets: pd.Series) -> pd.DataFrame:
-        coder = _coder(ranks_path)
-        rows = []
-        for x, to in zip(found, offsets, strict=True):
-            text = coder.decode(x)
-            if len(text) != (int.from_bytes(to[-8:], "little") if to else 0):
+    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def digest(texts: pd.Series) -> pd.DataFrame:
+        coder, rows = _coder(ranks_path), []
+        for ids in coder.encode_each([t if t is not None else "" for t in texts]):
+            decoded, ends = coder.decode(ids), coder.ends(ids)
+            if len(decoded) != int.from_bytes(ends[-8:], "little"):
                 raise ValueError("decoded length differs from the last offset")
-            decimal = " ".join(map(coder.decimals.__getitem__, np.frombuffer(x, "<u4").tolist()))
-            rows.append((hashlib.sha256(decimal.encode("ascii")).hexdigest(), hashlib.sha256(text).hexdigest()))
-        return pd.DataFrame(rows, columns=["ids_sha256", "decoded_sha256"])
+            decimal = " ".join(map(coder.decimals.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+            rows.append((len(ids) // 4, hashlib.sha256(decimal.encode("ascii")).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     both = fresh_name(df, "digest")
-    return (df.withColumn(both, digest(F.col(ids), F.col(ends)))
-              .withColumns({"n_tokens": (F.length(ids) / 4).cast("long"), "ids_sha256": F.col(both)["ids_sha256"],
-                            "decoded_sha256": F.col(both)["decoded_sha256"]}).drop(both))
+    return (df.withColumn(both, digest(F.col(text)))
+              .withColumns({c: F.col(both)[c] for c in ("n_tokens", "ids_sha256", "decoded_sha256")}).drop(both))

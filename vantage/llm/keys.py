@@ -98,8 +98,7 @@ def op4(spark, sf_dir):
 @_query("op5_byte_bpe")
 def op5(spark, sf_dir):
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = bytebpe.encode(documents(spark, sf_dir, "doc_id", "text"), ranks)
-    return bytebpe.digests(encoded, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bytebpe.digests(documents(spark, sf_dir, "doc_id", "text"), ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 @_query("op6_compression_quality")
