@@ -280,7 +280,8 @@ def _averaged(made: DataFrame) -> bytes | None:
 
 
 def scored(df: DataFrame, known: Vocabulary, model: LogBilinear, counts: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` without ``text``, with n_tokens, n_known, train_tokens, base_score, score."""
+    """``df`` without ``text``, with n_tokens, n_known, train_tokens, base_score, score (which take
+    the places of columns of these names)."""
     small_batches(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast((known, model))
     # per text: what the broadcast tables give, and the words whose counts are to be joined
@@ -303,7 +304,8 @@ def scored(df: DataFrame, known: Vocabulary, model: LogBilinear, counts: DataFra
                          score, b" ".join([words[k] for k in rare.tolist()])))
         return pd.DataFrame(rows, columns=["n_tokens", "n_known", "logs", "score", "rest"])
 
-    names = [c for c in df.columns if c != text]
+    added = {text, "n_tokens", "n_known", "train_tokens", "base_score", "score"}
+    names = [c for c in df.columns if c not in added]
     made = stage(df.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), first(text_bytes(text)).alias("f"),
                            F.monotonically_increasing_id().alias("id")).select("row", "id", "f.*"), "scores")
     # words have no spaces, so the bytes between them are theirs
