@@ -38,3 +38,40 @@ def test_enriched_reports_reduce_before_the_registry_join(spark):
         assert join, key
         below = plan[join.start():]
         assert re.search(r"HashAggregate\(keys=\[hex#\d+\], functions=\[partial_count\(1\)\]", below), key
+
+
+def test_paths_shuffle_points_once_without_broadcast(spark):
+    """With broadcasting off, as for large inputs: points move by (hex, flight, bucket) only, so no
+    aircraft or flight is one task."""
+    import re
+    from vantage.operators import paths as PA
+    from vantage.sources import fixtures as fx
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        for build in (PA.flight_paths, PA.path_segments, PA.path_features):
+            plan = build(fx.obs(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+            assert "Broadcast" not in plan
+            ordered = [x for x in plan.split("\n") if "Window [" in x and "pt#" in x]
+            assert ordered and all(re.search(r"windowspecdefinition\(hex#\d+, flight#\d+, bucket", x) for x in ordered)
+            moved = [x for x in re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)]
+            assert sum("bucket" not in x for x in moved) == 1       # the table of buckets, by path
+        for build in (PA.path_endpoints, PA.path_altitude, PA.path_totals):
+            plan = build(fx.obs(spark, SF_SMALL))._jdf.queryExecution().executedPlan().toString()
+            assert "Join" not in plan and plan.count("Scan parquet") == 1 and "partial_" in plan
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_reports_scan_and_deduplicate_once(spark):
+    for key in ("dedup_counts", "weekly_rollup", "backfill_weeks", "week_members"):
+        plan = Q[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Scan parquet") <= (2 if key == "week_members" else 1), key
+        assert plan.count("Window [row_number()") <= 1, key
+
+
+def test_medical_activity_reduces_before_the_registry(spark):
+    plan = Q["medical_activity"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    below = plan[plan.index("Join"):]
+    assert "partial_min(observation_time" in below and "partial_min(observation_time" not in plan[:plan.index("Join")]

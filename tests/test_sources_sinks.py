@@ -186,3 +186,56 @@ def test_one_date_is_written_by_several_tasks(spark, tmpdir_path):
             assert spark.read.parquet(path).count() == o.count()
     finally:
         spark.conf.set(key, before)
+
+
+def test_jobs_regenerate_backfill_publish_weather(spark, tmpdir_path):
+    from vantage import sinks
+    from vantage.plans import jobs
+    from vantage.plans import levels as L
+    from vantage.sources import fixtures as fx
+    root = f"{tmpdir_path}/levels"
+    hourly = L.hourly_level(fx.captures(spark, "/root/testdata/sf0.001")).where("capture_date between '2024-01-08' and '2024-01-14'")
+    sinks.write_level(hourly, root, "hourly", ("capture_date", "capture_hour"))
+    n_days = hourly.select("capture_date").distinct().count()
+    jobs.build_daily(spark, root, ["2024-01-09"])
+    plan = {str(r.date): r.action for r in jobs.regenerate(spark, root, "2024-01-07", "2024-01-14").collect()}
+    assert plan["2024-01-07"] == "skip-no-input" and plan["2024-01-09"] == "skip-exists" and plan["2024-01-10"] == "regenerate"
+    daily = spark.read.parquet(f"{root}/daily")
+    assert daily.select("capture_date").distinct().count() == n_days
+    assert daily.count() == L.daily_level(hourly).count()
+    assert {r.action for r in jobs.regenerate(spark, root, "2024-01-08", "2024-01-14", force=True).collect()} == {"regenerate"}
+    daily = spark.read.parquet(f"{root}/daily")
+    week = jobs.backfill(spark, root, "2024-01-10", "2024-01-12").collect()
+    assert [str(r.week_ending) for r in week] == ["2024-01-14"] and week[0].total_records == daily.count()
+    out = f"{tmpdir_path}/remote"
+    plan = jobs.publish(spark, root, out, "daily", 3, "2024-01-13").collect()
+    assert sorted(str(r.file_date) for r in plan if r.action == "upload") == ["2024-01-10", "2024-01-11", "2024-01-12"]
+    sent = spark.read.parquet(f"{out}/daily")
+    assert sent.count() == daily.where("capture_date between '2024-01-10' and '2024-01-12'").count()
+    jobs.publish(spark, root, out, "weekly", 2, "2024-01-16")
+    assert spark.read.parquet(f"{out}/weekly").count() == daily.count()
+    _write(f"{tmpdir_path}/wx/2023-01-02_geo.json", '{"features":[{"properties":{"temp":"12.5"}},{"properties":{"temp":7.5}},{"properties":{"temp":"x"}}]}', "w")
+    _write(f"{tmpdir_path}/wx/2023-13-45_metar.txt", "METAR T01231045", "w")
+    routes = {r.route: (r.objects, r.processed, r.errors) for r in jobs.build_weather(spark, f"{tmpdir_path}/wx", root).collect()}
+    assert routes == {"geojson": (1, 1, 0), "bad-date": (1, 0, 1)}
+    assert [(r.avg_temp_c, r.obs_count) for r in spark.read.parquet(f"{root}/weather_weekly").collect()] == [(10.0, 2)]
+
+
+def test_drift_is_cast_leniently_and_counted(spark, tmpdir_path):
+    bad = spark.createDataFrame([("a1", "12.5"), ("a2", "fast"), ("a3", None)], "hex string, gs string")
+    good = spark.createDataFrame([("a4", 3.0)], "hex string, gs double")
+    bad.write.parquet(f"{tmpdir_path}/x.parquet")
+    good.write.parquet(f"{tmpdir_path}/y.parquet")
+    u = S.read_drifted(spark, [f"{tmpdir_path}/x.parquet", f"{tmpdir_path}/y.parquet"])
+    assert sorted((r.hex, r.gs) for r in u.collect() if r.gs is not None) == [("a1", 12.5), ("a4", 3.0)] and u.count() == 4
+    assert [tuple(r) for r in S.cast_rejects(bad).collect()] == [("gs", 1)]
+    assert S.cast_rejects(good).count() == 0
+
+
+def test_unreadable_snapshots_are_counted(spark, tmpdir_path):
+    from vantage.sources import snapshots as SN
+    _write(f"{tmpdir_path}/s/a.json", '{"now": 1.0, "aircraft": [{"hex": "a1"}]}', "w")
+    _write(f"{tmpdir_path}/s/b.json", '{"now": 1.0, "aircr', "w")
+    read = SN.read_snapshots(spark, f"{tmpdir_path}/s/*.json")
+    assert tuple(SN.rejected_snapshots(read).first()) == (2, 1)
+    assert SN.flatten(read).count() == 1

@@ -12,6 +12,10 @@ rerun after a failure is idempotent.
     python -m vantage.plans.jobs hourly <snapshots-glob> <root> <capture-ts>
     python -m vantage.plans.jobs daily  <root> <date> [<date> ...]
     python -m vantage.plans.jobs weekly <root> <sunday> [<sunday> ...]
+    python -m vantage.plans.jobs regenerate <root> <first-date> <last-date> [force]
+    python -m vantage.plans.jobs backfill <root> <first-date> <last-date>
+    python -m vantage.plans.jobs publish <root> <target-uri> <level> <days-back> <today>
+    python -m vantage.plans.jobs weather <objects> <root>
 """
 
 from __future__ import annotations
@@ -23,9 +27,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vantage import sinks
+from vantage.operators import weather as W
 from vantage.plans import levels as L
+from vantage.plans import publish as P
 from vantage.sources import levels as S
 from vantage.sources import snapshots as SN
+from vantage.streaming.stream import path_exists
 
 
 def build_hourly(spark: SparkSession, snapshots: str, root: str, capture_ts: str, tz: str = "UTC") -> DataFrame:
@@ -54,6 +61,66 @@ def build_weekly(spark: SparkSession, root: str, sundays, dedup: bool = False) -
     return L.weekly_rollup(daily, dedup).where(F.col("week_ending").isin([F.lit(s).cast("date") for s in sundays]))
 
 
+def regenerate(spark: SparkSession, root: str, start: str, end: str, force: bool = False) -> DataFrame:
+    """Rebuild the daily partitions of a date range that have hourly input and are missing (or
+    all of them with ``force``), in one job.  Returns the plan."""
+    days = [str(d) for d in _dates(start, end)]
+    present = _partitions(spark, f"{root}/daily", "capture_date")
+    hours = S.read_level(spark, root, "hourly", dates=days).select("capture_ts").distinct()
+    plan = _settled(L.regeneration_plan(hours, present, start, end, force))
+    todo = [str(r["date"]) for r in plan.collect() if r["action"] == "regenerate"]
+    if todo:
+        build_daily(spark, root, todo)
+    return plan
+
+
+def backfill(spark: SparkSession, root: str, start: str, end: str) -> DataFrame:
+    """Build every week that touches the date range, in one job."""
+    return build_weekly(spark, root, sorted({str(_week_days(d)[-1]) for d in _dates(start, end)}))
+
+
+def publish(spark: SparkSession, root: str, uri: str, level: str, days_back: int, today: str) -> DataFrame:
+    """K5/K6: copy the partitions of ``level`` that lie in the window and are not at ``uri`` yet.
+    Returns the plan; a failed copy is repeated by the next run, as partitions are committed whole."""
+    col = "week_ending" if level == "weekly" else "capture_date"
+    prefix = {"hourly": "flights_hourly_", "daily": "flights_daily_", "weekly": "flights_weekly_ending_"}[level]
+    name = F.concat(F.lit(prefix), F.col(col).cast("string"), F.lit(".parquet"))
+    here = _partitions(spark, f"{root}/{level}", col).select(name.alias("name"))
+    there = _partitions(spark, f"{uri.rstrip('/')}/{level}", col)
+    plan = _settled(P.publish_plan(here, there.select(F.concat(F.lit(f"{level}/"), name).alias("object_name")), level, days_back, today))
+    days = [str(r["file_date"]) for r in plan.collect() if r["action"] == "upload"]
+    if days:
+        cols = ("capture_date", "capture_hour") if level == "hourly" else (col,)
+        part = spark.read.parquet(f"{root}/{level}").where(F.col(col).isin([F.lit(d).cast("date") for d in days]))
+        sinks.publish(part, f"{uri.rstrip('/')}/{level}", cols)
+    return plan
+
+
+def build_weather(spark: SparkSession, objects: str, root: str) -> DataFrame:
+    """Weather files -> the weekly temperature table.  Returns the counts per route."""
+    read = S.read_text_objects(spark, objects)
+    W.weather_weekly(W.all_temps(read)).write.mode("overwrite").parquet(f"{root.rstrip('/')}/weather_weekly")
+    return W.route_counts(W.weather_route(read))
+
+
+def _settled(plan: DataFrame) -> DataFrame:
+    """A plan's rows (one per date) as they are before the job changes what they were read from."""
+    return plan.sparkSession.createDataFrame(plan.collect(), plan.schema)
+
+
+def _partitions(spark: SparkSession, path: str, col: str) -> DataFrame:
+    """The dates that a stored level has, from its folders' names."""
+    empty = spark.createDataFrame([], f"{col} date")
+    if not path_exists(spark, path):
+        return empty
+    return spark.read.parquet(path).select(F.col(col).cast("date").alias(col)).distinct()
+
+
+def _dates(start: str, end: str):
+    a, b = dt.date.fromisoformat(str(start)), dt.date.fromisoformat(str(end))
+    return [a + dt.timedelta(days=k) for k in range((b - a).days + 1)]
+
+
 def _week_days(sunday: str):
     """The seven dates of the Monday-Sunday week containing ``sunday`` (a parameter, so plain
     calendar arithmetic; the dates become a partition filter)."""
@@ -65,15 +132,14 @@ def _week_days(sunday: str):
 def main(argv):
     from vantage.session import build_session
     spark = build_session(app="vantage-jobs")
-    cmd = argv[1]
-    if cmd == "hourly":
-        build_hourly(spark, argv[2], argv[3], argv[4]).show(truncate=False)
-    elif cmd == "daily":
-        build_daily(spark, argv[2], argv[3:]).show(truncate=False)
-    elif cmd == "weekly":
-        build_weekly(spark, argv[2], argv[3:]).show(truncate=False)
-    else:
+    run = {"hourly": lambda a: build_hourly(spark, *a), "daily": lambda a: build_daily(spark, a[0], a[1:]),
+           "weekly": lambda a: build_weekly(spark, a[0], a[1:]),
+           "regenerate": lambda a: regenerate(spark, *a[:3], force=a[3:] == ["force"]),
+           "backfill": lambda a: backfill(spark, *a), "weather": lambda a: build_weather(spark, *a),
+           "publish": lambda a: publish(spark, *a[:3], int(a[3]), a[4])}
+    if len(argv) < 2 or argv[1] not in run:
         raise SystemExit(__doc__)
+    run[argv[1]](argv[2:]).show(truncate=False)
 
 
 if __name__ == "__main__":

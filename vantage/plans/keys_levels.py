@@ -8,9 +8,11 @@ from vantage.functions.columns import alt_ft, on_ground
 from vantage.operators import dedup as D
 from vantage.operators import reports as R
 from vantage.oracle import ALT_FT, WS, sql, week_ending
+from vantage import sinks
 from vantage.plans import levels as L
 from vantage.plans.catalog import register
 from vantage.schemas import OBSERVATION
+from vantage.session import shared_dir, unique_name
 from vantage.sources import fixtures as fx
 from vantage.sources import levels as S
 from vantage.sources import snapshots as SN
@@ -198,16 +200,18 @@ def _union_by_name(spark, sf):
                     on_ground().alias("on_ground"))
 
 
+_GIVEN = ("lat", "lon", "alt_baro", "gs", "track", "category", "rssi", "messages")
+_BARE = {"rssi": "rssi", "alt_baro": "'ground'"}
+
+
 @register("snapshot_flatten", sql(f"""
-SELECT observation_time, observation_epoch, hex,
- CASE WHEN flight IS NULL OR flight = '' THEN NULL ELSE trim(flight, {WS}) END AS flight,
- lat, lon, alt_baro, gs, track, category, rssi, messages, CAST(NULL AS VARCHAR) AS nav_modes, source_file FROM obs""", "obs"))
+SELECT observation_time, observation_epoch, hex, CASE WHEN flight = '' THEN NULL ELSE trim(flight, {WS}) END AS flight,
+ {", ".join(_GIVEN)}, {", ".join(f"{x} AS {n}" for n, x in fx.SNAPSHOT_FIELDS.items())},
+ CASE event_id % 3 WHEN 0 THEN 'autopilot,vnav' WHEN 1 THEN 'tcas' END AS nav_modes, source_file FROM obs
+UNION ALL SELECT observation_time, observation_epoch, '~' || hex, '',
+ {", ".join(_BARE.get(n, "NULL") for n in (*_GIVEN, *fx.SNAPSHOT_FIELDS))}, NULL, source_file FROM obs""", "obs"))
 def _snapshot_flatten(spark, sf):
-    docs = SN.to_snapshot_docs(fx.obs(spark, sf))
-    fields = ("hex", "flight", "lat", "lon", "alt_baro", "gs", "track", "category", "rssi", "messages", "nav_modes")
-    flat = SN.flatten(SN.parse_snapshot_text(docs, "doc", "source_file", fields))
-    return flat.select("observation_time", "observation_epoch", "hex", "flight", "lat", "lon", "alt_baro", "gs",
-                       "track", "category", "rssi", "messages", "nav_modes", "source_file")
+    return SN.flatten(SN.parse_snapshot_text(fx.snapshot_docs(spark, sf), "doc", "source_file"))
 
 
 def _stats_sql_periods(src: str, file_expr: str) -> str:
@@ -295,6 +299,15 @@ def _db_summary(spark, sf):
                  F.max("observation_time").alias("latest")))
 
 
-@register("file_listing")
+@register("file_listing", sql("""
+SELECT 'capture_date=' || CAST(capture_date AS VARCHAR) AS folder, COUNT(*) AS rows FROM daily GROUP BY capture_date""", "daily"))
 def _file_listing(spark, sf):
-    return S.list_files(spark, sf, "*.parquet").drop("path")
+    """S9 over a level written for it: the listing names every date's folder, and the rows are read
+    back from the listed files."""
+    root = shared_dir(spark, unique_name("listing"))
+    sinks.write_level(daily(spark, sf).select("hex", "capture_date"), root, "daily")
+    folder = F.regexp_extract("path", "(capture_date=[^/]+)/", 1)
+    listed = S.list_files(spark, f"{root}/daily", "*.parquet").select(folder.alias("folder")).distinct()
+    stored = S.read_level(spark, root, "daily").groupBy(F.concat(F.lit("capture_date="), F.col("capture_date").cast("string")).alias("folder")) \
+        .agg(F.count(F.lit(1)).alias("rows"))
+    return listed.join(stored, "folder")

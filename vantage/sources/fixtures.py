@@ -63,6 +63,47 @@ def obs_from_events(e: DataFrame) -> DataFrame:
     )
 
 
+# Snapshot fields that the tables do not give, as expressions that both engines read.
+SNAPSHOT_FIELDS = {
+    "type": "CASE WHEN event_id % 4 = 0 THEN 'adsb_icao' END",
+    "alt_geom": "CASE WHEN event_id % 3 = 0 THEN CAST(event_id % 40000 AS STRING) END",
+    "baro_rate": "CAST(event_id % 128 - 64 AS INT)", "geom_rate": "CASE WHEN event_id % 2 = 0 THEN CAST(event_id % 96 AS INT) END",
+    "squawk": "CAST(event_id % 7777 AS STRING)", "emergency": "CASE WHEN event_id % 50 = 0 THEN 'none' END",
+    "nav_qnh": "CASE WHEN event_id % 5 = 1 THEN CAST(event_id % 40 AS DOUBLE) + 990.5 END",
+    "nav_altitude_mcp": "CASE WHEN event_id % 5 = 2 THEN CAST(event_id % 30000 AS INT) END",
+    "nav_altitude_fms": "CASE WHEN event_id % 5 = 3 THEN CAST(event_id % 31000 AS INT) END",
+    "nav_heading": "CASE WHEN event_id % 5 = 4 THEN CAST(event_id % 360 AS DOUBLE) / 2 END",
+    "seen": "CAST(event_id % 10 AS DOUBLE) / 2", "seen_pos": "CASE WHEN event_id % 5 <> 0 THEN CAST(event_id % 20 AS DOUBLE) / 4 END",
+    "nic": "CAST(event_id % 9 AS INT)", "rc": "CAST(event_id % 500 AS INT)", "nic_baro": "CAST(event_id % 2 AS INT)",
+    "nac_p": "CAST(event_id % 11 AS INT)", "nac_v": "CAST(event_id % 4 AS INT)", "sil": "CAST(event_id % 3 AS INT)",
+    "sil_type": "CASE WHEN event_id % 6 = 0 THEN 'perhour' END", "gva": "CAST(event_id % 2 AS INT)",
+    "sda": "CAST(event_id % 3 AS INT)", "version": "CASE WHEN event_id % 3 <> 0 THEN CAST(event_id % 3 AS INT) END",
+}
+
+
+def snapshot_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Snapshot documents of two aircraft each: the observation with all its fields, and one of a
+    non-standard address that has hardly any."""
+    from vantage.schemas import AIRCRAFT
+    from vantage.sources.snapshots import to_snapshot_docs
+    modes = (F.when(F.col("event_id") % 3 == 0, F.array(F.lit("autopilot"), F.lit("vnav")))
+             .when(F.col("event_id") % 3 == 1, F.array(F.lit("tcas"))))
+    o = obs(spark, sf_dir).withColumns({n: F.expr(x) for n, x in SNAPSHOT_FIELDS.items()}).withColumn("nav_modes", modes)
+    full = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AIRCRAFT.fields])
+    bare = {"hex": F.concat(F.lit("~"), F.col("hex")), "flight": F.lit("   "), "rssi": F.col("rssi"), "alt_baro": F.lit("ground")}
+    other = F.struct(*[bare.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in AIRCRAFT.fields])
+    return to_snapshot_docs(o, [full, other])
+
+
+def airframe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The registry under the field names of its files."""
+    a = airframes(spark, sf_dir)
+    return a.select("icao", F.col("registration").alias("reg"), F.col("icao_type").alias("icaotype"),
+                    F.col("manufacture_year").alias("year"), "manufacturer", "model", F.col("owner_operator").alias("ownop"),
+                    F.lit(None).cast("boolean").alias("faa_pia"), F.lit(None).cast("boolean").alias("faa_ladd"), "short_type",
+                    F.col("military").alias("mil"))
+
+
 def airframes(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer")
     na = table(spark, sf_dir, "nation")

@@ -40,11 +40,17 @@ def flatten(snapshots: DataFrame, tz: str = "UTC") -> DataFrame:
     return rows.select(*out)
 
 
-def to_snapshot_docs(obs: DataFrame) -> DataFrame:
-    """Observation rows -> snapshot JSON text (one document per row) with its slot name.
-    Used to feed the JSON path from the driver tables; no grouping, so no group can grow."""
-    ac = F.struct(*[F.col(c) for c in ("hex", "flight", "lat", "lon", "alt_baro", "gs", "track", "category",
-                                       "rssi", "messages")])
+def rejected_snapshots(snapshots: DataFrame) -> DataFrame:
+    """(read, rejected): documents, and those that gave no ``now`` or no aircraft list (unreadable
+    or of another shape), which ``flatten`` passes over."""
+    bad = F.col("now").isNull() | F.col("aircraft").isNull()
+    return snapshots.agg(F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("rejected"))
+
+
+def to_snapshot_docs(obs: DataFrame, aircraft) -> DataFrame:
+    """Rows -> snapshot JSON text with its slot name: one document per row, holding the aircraft
+    structs ``aircraft`` (columns).  Used to feed the JSON path from the driver tables; no grouping,
+    so no group can grow."""
     doc = F.to_json(F.struct(F.col("observation_epoch").alias("now"), F.col("event_id").alias("messages"),
-                             F.array(ac).alias("aircraft")))
+                             F.array(*aircraft).alias("aircraft")))
     return obs.select(doc.alias("doc"), "source_file")
