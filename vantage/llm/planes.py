@@ -27,7 +27,7 @@ from vantage.llm.common import small_batches
 
 BLOCK = 1 << 16        # ids in a block
 LEVEL = 3              # zstandard level
-REMEMBER = 400_000     # remembered words a worker holds at most
+REMEMBER = 1_000_000     # remembered words a worker holds at most
 LONGEST = 64           # longer words are encoded each time
 
 FILE_SCHEMA = ("shard int, block int, first long, n_ids int, kind string, planes binary, plane_ends array<int>, "
@@ -68,24 +68,38 @@ class WordEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
+        self.tails = {"": b""}
+        for mark in ".,":
+            self.tails[mark] = np.array(self.library.encode(mark, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
+        used = set().union(*words)
+        if len(self.known) + len(used) > REMEMBER:
+            self.known = {w: self.known[w] for w in used & self.known.keys()}
         known = self.known
-        new = list({w for ws in words for w in ws if w not in known})
-        if len(known) + len(new) > REMEMBER:
-            self.known = known = {"": b""}
-            new = list({w for ws in words for w in ws if w})
-        for a in range(0, len(new), 4096):
-            part = new[a:a + 4096]
+        # a full stop or comma after a Latin letter is a token of its own, and ASCII letters lose their
+        # case, unless a special token may be about: these need no call of their own
+        new = {w: self._core(w) for w in used - known.keys()}
+        cores = list({c for c, _ in new.values()} - known.keys())
+        for a in range(0, len(cores), 4096):
+            part = cores[a:a + 4096]
             for w, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
                 known[w] = np.array(found.ids, "<u4").tobytes()
+        for w, (core, tail) in new.items():
+            known[w] = known[core] + self.tails[tail]
         out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in words]
-        for w in new:
-            if len(w) > LONGEST:
-                del known[w]
+        for w in [w for w in new if len(w) > LONGEST] + [c for c in cores if len(c) > LONGEST]:
+            known.pop(w, None)
         return out
 
+    def _core(self, word: str) -> tuple[str, str]:
+        """(what the library is asked for, the mark after it)."""
+        tail = ""
+        if len(word) > 1 and word[-1] in self.tails and word[-2].isalpha() and ord(word[-2].lower()[-1]) < 0x250:
+            word, tail = word[:-1], word[-1]
+        return (word.lower() if word.isascii() and "<" not in word else word), tail
+
 
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
