@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 
 from vantage.functions.columns import (alt_ft, avg_half_up, decade, engines_label, has_callsign, pct,
                                        platform_label, power_label, size_class, year_int)
+from vantage.operators import paths as P
 
-DEFAULT_BROADCAST_LIMIT = 64 * 1024 * 1024
+# Of the optimizer's estimate, which is of compressed files: several times that in memory.
+DEFAULT_BROADCAST_LIMIT = 8 * 1024 * 1024
 
 # Owner/operator patterns of medical operators (fixed values, matched case-insensitively).
 MEDICAL_PATTERNS = ["%life%link%", "%medical%", "%critical care%", "%air ambulance%"]
@@ -213,12 +215,26 @@ def medical_fleet(obs: DataFrame, af: DataFrame) -> DataFrame:
             .select("hex", "flight", "registration", "manufacturer", "model", "owner_operator").distinct())
 
 
+def _layer(owner: Column) -> Column:
+    """The 'Life Link' layer of the medical map, or the rest."""
+    return F.when(F.upper(owner).contains("LIFE LINK"), F.lit("Life Link")).otherwise(F.lit("Other"))
+
+
+def medical_paths(obs: DataFrame, af: DataFrame, min_obs: int = 2) -> DataFrame:
+    """W12 + W5: the paths of the medical fleet, point by point, each with its layer and operator.
+    The fleet's flights are few; its points are found by a semi join before paths are ordered."""
+    owner = F.coalesce(F.col("owner_operator"), F.lit("Unknown"))
+    fleet = (medical_fleet(obs, af).groupBy("hex", "flight")
+             .agg(F.min(owner).alias("operator")).withColumn("layer", _layer(F.col("operator"))))
+    points = P.flight_paths(obs.join(fleet.select("hex", "flight"), ["hex", "flight"], "left_semi"), min_obs)
+    return points.join(fleet, ["hex", "flight"])
+
+
 def medical_layers(obs: DataFrame, af: DataFrame) -> DataFrame:
     """Split the medical fleet into the 'Life Link' layer and the rest (NULL owner -> Unknown)."""
     m = medical_fleet(obs, af)
     owner = F.coalesce(F.col("owner_operator"), F.lit("Unknown"))
-    layer = F.when(F.upper(owner).contains("LIFE LINK"), F.lit("Life Link")).otherwise(F.lit("Other"))
-    return (m.groupBy(layer.alias("layer"))
+    return (m.groupBy(_layer(owner).alias("layer"))
             .agg(F.count(F.lit(1)).alias("flights"), F.count_distinct("hex").alias("aircraft"),
                  F.count_distinct(owner).alias("operators")))
 

@@ -38,28 +38,44 @@ def capture_summary(obs: DataFrame) -> DataFrame:
                    F.min("observation_time").alias("earliest"), F.max("observation_time").alias("latest"))
 
 
+def _met(obs: DataFrame, *columns: str, sums=()) -> DataFrame:
+    """One row per combination of ``columns`` that occurs: n rows, the time range and ``sums`` of
+    them.  Reports with several distinct counts run over this, as Spark expands their input once
+    per count; a combination is folded before any shuffle."""
+    return obs.groupBy(*columns).agg(_n().alias("n"), F.min("observation_time").alias("earliest"),
+                                     F.max("observation_time").alias("latest"), *sums)
+
+
 def summary_by(obs: DataFrame, *keys: str) -> DataFrame:
     """Rows, distinct hex, time range and distinct ring-slot files per group."""
-    return obs.groupBy(*keys).agg(
-        _n().alias("total_records"), F.count_distinct("hex").alias("unique_aircraft"),
-        F.min("observation_time").alias("earliest"), F.max("observation_time").alias("latest"),
+    return _met(obs, *keys, "hex", "source_file").groupBy(*keys).agg(
+        F.sum("n").alias("total_records"), F.count_distinct("hex").alias("unique_aircraft"),
+        F.min("earliest").alias("earliest"), F.max("latest").alias("latest"),
         F.count_distinct("source_file").alias("source_files"))
 
 
 def file_info(obs: DataFrame) -> DataFrame:
     """A7 / A27"""
-    return obs.agg(_n().alias("total_records"), F.count_distinct("hex").alias("unique_aircraft"),
-                   F.count_distinct("flight").alias("unique_flights"),
-                   F.min("observation_time").alias("earliest"), F.max("observation_time").alias("latest"))
+    return _met(obs, "hex", "flight").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total_records"), F.count_distinct("hex").alias("unique_aircraft"),
+        F.count_distinct("flight").alias("unique_flights"), F.min("earliest").alias("earliest"), F.max("latest").alias("latest"))
 
 
 def basic_info(obs: DataFrame) -> DataFrame:
     """A7 + distinct epochs + time span (seconds)."""
-    return obs.agg(_n().alias("total_records"), F.count_distinct("hex").alias("unique_aircraft"),
-                   F.count_distinct("flight").alias("unique_flights"),
-                   F.count_distinct("observation_epoch").alias("unique_timestamps"),
-                   F.min("observation_time").alias("earliest"), F.max("observation_time").alias("latest"),
-                   (F.max("observation_epoch") - F.min("observation_epoch")).alias("span_seconds"))
+    # a row becomes its three values, each with its column's number; equal values are folded before
+    # the only shuffle that grows with the rows, so counting distinct ones is counting rows after it
+    epoch = F.col("observation_epoch")
+    text = F.array(F.struct(F.lit(0).alias("c"), F.col("hex").alias("v")), F.struct(F.lit(1).alias("c"), F.col("flight").alias("v")),
+                   F.struct(F.lit(2).alias("c"), epoch.cast("string").alias("v")))
+    cells = (obs.select(F.explode(text).alias("cell"), "observation_time", epoch.alias("e"))
+             .groupBy("cell.c", "cell.v").agg(_n().alias("n"), F.min("observation_time").alias("earliest"),
+                                              F.max("observation_time").alias("latest"), F.min("e").alias("lo"), F.max("e").alias("hi")))
+    many = lambda k: F.count_if((F.col("c") == k) & F.col("v").isNotNull())
+    return cells.agg(F.coalesce(F.sum(F.when(F.col("c") == 0, F.col("n"))), F.lit(0)).alias("total_records"),
+                     many(0).alias("unique_aircraft"), many(1).alias("unique_flights"), many(2).alias("unique_timestamps"),
+                     F.min("earliest").alias("earliest"), F.max("latest").alias("latest"),
+                     (F.max("hi") - F.min("lo")).alias("span_seconds"))
 
 
 def unique_aircraft(obs: DataFrame) -> DataFrame:
@@ -180,10 +196,13 @@ def altitude_bands_ground(obs: DataFrame) -> DataFrame:
 
 def daily_activity(obs: DataFrame) -> DataFrame:
     """A21"""
-    return (obs.groupBy(F.to_date("observation_time").alias("date"))
-            .agg(_n().alias("observations"), F.count_distinct("hex").alias("aircraft"),
-                 F.count_distinct("flight").alias("flights"), F.avg("gs").alias("avg_ground_speed"),
-                 F.count_if(F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("with_position"))
+    placed = F.count_if(F.col("lat").isNotNull() & F.col("lon").isNotNull()).alias("placed")
+    folded = _met(obs.withColumn("date", F.to_date("observation_time")), "date", "hex", "flight",
+                  sums=(F.sum("gs").alias("gs"), F.count("gs").alias("n_gs"), placed))
+    return (folded.groupBy("date")
+            .agg(F.sum("n").alias("observations"), F.count_distinct("hex").alias("aircraft"),
+                 F.count_distinct("flight").alias("flights"), F.try_divide(F.sum("gs"), F.sum("n_gs")).alias("avg_ground_speed"),
+                 F.sum("placed").alias("with_position"))
             .orderBy("date"))
 
 
