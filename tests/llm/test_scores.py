@@ -126,7 +126,7 @@ def test_compression_tells_kinds_apart():
 
 
 def test_quality_of_odd_rows(spark, odd, empty):
-    scorer = zquality.fit_from(odd.withColumn("label", F.lit(None).cast("int")))
+    scorer = zquality.fit_from(odd, odd.withColumn("label", F.lit(None).cast("int")))
     rows = zquality.with_scores(odd, scorer, out="quality").collect()
     assert len(rows) == len(odd_texts()) and all(r.quality == 0.5 and r.score == 0.5 for r in rows)
     assert zquality.with_scores(empty, scorer).count() == 0

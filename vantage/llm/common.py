@@ -37,6 +37,29 @@ def id_remainder(mod: int, col: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(col).cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes: int, per_label: bool = False,
+                    text: str = "text", label: str = "label", key: str = "doc_id") -> list:
+    """About ``max_rows`` rows (t, y) of labelled texts, or as many of each label, on the driver.
+
+    Labels are chosen by a hash of ``key`` against the share that is wanted, at most twice as many;
+    they are few, so they are broadcast and the texts are read without a shuffle.  Only texts of at
+    most ``max_bytes`` count."""
+    known = labels.where(F.col(label).isNotNull()).select(F.col(key).alias("k"), F.col(label).cast("int").alias("y"))
+    totals = {r["y"]: r["n"] for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not per_label:
+        totals = {y: sum(totals.values()) for y in totals}
+    slot = F.pmod(F.xxhash64("k"), F.lit(1 << 30))
+    wanted = F.lit(False)
+    for y, n in totals.items():
+        wanted = wanted | ((F.col("y") == y) & (slot < int((1 << 30) * min(1.0, max_rows / n))))
+    most = 2 * max_rows * (len(totals) or 1) if per_label else 2 * max_rows
+    chosen = known.where(wanted).limit(most)
+    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t"))
+    found = (texts.where(F.octet_length("t") <= max_bytes).join(F.broadcast(chosen), "k")
+             .select(F.xxhash64("k").alias("h"), "t", "y").limit(most).collect())
+    return sorted(found, key=lambda r: (r["h"], r["t"]))
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """A column name that does not clash with those of ``df``."""
     taken = {c.lower() for c in df.columns}

@@ -62,14 +62,14 @@ def op2(spark, sf_dir):
     return licenses.scan(documents(spark, sf_dir, "doc_id", "text")).drop("text")
 
 
-def _labelled(spark, sf_dir, label: str, mod: int, held_out: int):
-    """Texts with their label, without the rows that are held out."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col(label).alias("label"))
-    return documents(spark, sf_dir, "doc_id", "text").where(id_remainder(mod) != held_out).join(labels, "doc_id")
+def _labels(spark, sf_dir, label: str, mod: int, held_out: int):
+    """Labels without those of the rows that are held out."""
+    return (spark.read.parquet(f"{sf_dir}/labels.parquet").where(id_remainder(mod) != held_out)
+            .select("doc_id", F.col(label).alias("label")))
 
 
 def toxicity_scorer(spark, sf_dir):
-    return toxicity.fit_from(_labelled(spark, sf_dir, "toxic", 4, 2))
+    return toxicity.fit_from(documents(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir, "toxic", 4, 2))
 
 
 def _judged(scored, mod: int, held_out: int):
@@ -103,7 +103,7 @@ def op5(spark, sf_dir):
 
 @_query("op6_compression_quality")
 def op6(spark, sf_dir):
-    scorer = zquality.fit_from(_labelled(spark, sf_dir, "quality", 5, 0))
+    scorer = zquality.fit_from(documents(spark, sf_dir, "doc_id", "text"), _labels(spark, sf_dir, "quality", 5, 0))
     return _judged(zquality.with_scores(documents(spark, sf_dir, "doc_id", "text"), scorer), 5, 0)
 
 
