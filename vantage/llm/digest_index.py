@@ -86,10 +86,10 @@ def deduplicated(df: DataFrame, index: DigestIndex, batch: int = 0, text: str =
     """Add a batch and return those of its rows that stay, all columns as they were."""
     rows = digest_rows(df, text, doc_id)
     index.add(rows, batch)
-    stays = index.verdicts(rows, batch).where("stays").select(F.col("digest").alias("_d"), F.col("doc_id").alias("_i"))
-    key, rank = fresh_name(df, "digest"), fresh_name(df, "rank")
+    key, rank, d, i = (fresh_name(df, x) for x in ("digest", "rank", "stay_digest", "stay_id"))
+    stays = index.verdicts(rows, batch).where("stays").select(F.col("digest").alias(d), F.col("doc_id").alias(i))
     keyed = df.withColumn(key, text_digest(text))
-    kept = keyed.join(stays, (F.col(key) == F.col("_d")) & F.col(doc_id).eqNullSafe(F.col("_i")), "left_semi")
+    kept = keyed.join(stays, (F.col(key) == F.col(d)) & F.col(doc_id).eqNullSafe(F.col(i)), "left_semi")
     one = Window.partitionBy(key, doc_id).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
     return kept.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1).drop(key, rank)
 
