@@ -6,9 +6,9 @@ A logistic calibration turns this difference into a probability of label 1, give
 compresses at all and how long it is, as the difference of a text that repeats itself, or that is
 short, means less.
 
-Training reads at most FIT_ROWS labelled texts of each kind of at most FIT_BYTES each, the first by
-a hash of ``doc_id`` (documented parameters of the classifier fit); half of each kind, by another
-hash, builds the dictionaries and the other half the calibration, as a text that shaped a
+Training reads about FIT_ROWS labelled texts of each kind of at most FIT_BYTES each, chosen by a
+hash of ``doc_id`` (documented parameters of the classifier fit; twice as many rows is the bound);
+half of each kind builds the dictionaries and the other half the calibration, as a text that shaped a
 dictionary compresses too well with it.
 
 Defined cases: a null or empty text gets the calibrated score of length 0; where the labels are too
@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import small_batches, text_bytes
+from vantage.llm.common import labelled_sample, small_batches, text_bytes
 
 FIT_ROWS = 2000
 FIT_BYTES = 32 * 1024
@@ -38,7 +38,9 @@ def _inputs(good, bad, n) -> np.ndarray:
     good, bad, n = (np.asarray(x, float) for x in (good, bad, n))
     difference = (bad - good) / (bad + good + 1)
     ratio = np.log((np.minimum(good, bad) + 1) / (n + 1))
-    return np.stack([difference, ratio, ratio * ratio, difference * ratio, np.log(n + 1)], 1)
+    length = np.log(n + 1)
+    own = [difference, ratio, length]
+    return np.stack(own + [a * b for k, a in enumerate(own) for b in own[k:]], 1)
 
 
 class CompressionScorer:
@@ -56,14 +58,14 @@ class CompressionScorer:
         return good, bad, len(text)
 
     def calibrate(self, texts: list[bytes], labels: list[int]) -> None:
-        """Newton's method on the logistic likelihood with a small ridge penalty."""
+        """Newton's method on the logistic likelihood, quadratic in the inputs, with a small ridge penalty."""
         x, y = _inputs(*zip(*map(self.sizes, texts), strict=True)), np.asarray(labels, float)
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-9
         a = np.c_[(x - self.mean) / self.scale, np.ones(len(x))]
         # the sample holds both kinds alike; weights bring back their shares
         share = min(max(self.share, 0.01), 0.99)
         weight = np.where(y == 1, share / max(y.mean(), 1e-9), (1 - share) / max(1 - y.mean(), 1e-9))
-        w, ridge = np.zeros(a.shape[1]), 1e-3 * len(y) * np.eye(a.shape[1])
+        w, ridge = np.zeros(a.shape[1]), 1e-5 * len(y) * np.eye(a.shape[1])
         for _ in range(50):
             p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
             move = np.linalg.solve((a * (weight * p * (1 - p))[:, None]).T @ a + ridge, a.T @ (weight * (p - y)) + ridge @ w)
@@ -97,14 +99,12 @@ def fit(good: list[bytes], bad: list[bytes], share: float) -> CompressionScorer:
     return scorer
 
 
-def fit_from(labelled: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id",
+def fit_from(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id",
              max_rows: int = FIT_ROWS, max_bytes: int = FIT_BYTES) -> CompressionScorer:
-    """Fit on the first ``max_rows`` labelled rows of each kind by a hash of ``key``."""
-    rows = labelled.where(F.col(label).isNotNull()).select(
-        F.xxhash64(key).alias("h"), text_bytes(text).alias("t"), F.col(label).cast("int").alias("y"))
-    share = rows.agg(F.avg("y")).first()[0]
-    kinds = [[bytes(r["t"]) for r in rows.where((F.col("y") == y) & (F.length("t") <= max_bytes))
-              .orderBy("h", "t").limit(max_rows).collect()] for y in (1, 0)]
+    """Fit on about ``max_rows`` labelled texts of each label, chosen by a hash of ``key``."""
+    share = labels.where(F.col(label).isNotNull()).agg(F.avg(F.col(label).cast("int"))).first()[0]
+    rows = labelled_sample(docs, labels, max_rows, max_bytes, per_label=True, text=text, label=label, key=key)
+    kinds = [[r["t"].encode("utf-8") for r in rows if r["y"] == y] for y in (1, 0)]
     return fit(*kinds, share=0.5 if share is None else float(share))
 
 
