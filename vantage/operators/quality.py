@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vantage.functions.columns import pct, week_ending
+from vantage.functions.columns import pct
 
 _N = "n"
 
