@@ -155,6 +155,73 @@ def test_rules_match_sequences_in_order(spark):
     assert licence_of(spark, "(c) 2019. All rights reserved.") == ("proprietary", 1, 1, 0)
 
 
+WRAPPED = {
+    "MIT": """The MIT License (MIT)
+
+Copyright (c) 2021 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM.
+""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution. 
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+""",
+    "GPL-3.0-or-later": """ * This program is free software: you can redistribute it and/or modify
+ * it under the terms of the GNU General Public License as published by
+ * the Free Software Foundation, either version 3 of the License, or
+ * (at your option) any later version.
+""",
+    "GPL-2.0-or-later": """# This program is free software; you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation; either version 2 of the License, or
+# (at your option) any later version.
+""",
+    "MPL-2.0": """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.
+""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+""",
+    "Apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+""",
+}
+
+
+def test_wrapped_licence_texts(spark):
+    rows = [(f"{name} {k}", text) for name, t in WRAPPED.items()
+            for k, text in enumerate((t, t.replace("\n", "\r\n"), "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),
+                                     f"Some heading\n{t}\nand a line after"))]
+    got = {r.doc_id: r.licenses for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {i: i.split()[0] for i, _ in rows}
+
+
 def test_licences_of_odd_rows(odd, empty):
     rows = licenses.scan(odd).collect()
     assert len(rows) == len(odd_texts()) and all(r.licenses == "" and r.n_sentences == 0 and r._digest == "y" for r in rows)

@@ -1,14 +1,17 @@
 """Licence scans by sentence rules (operator 2; DataFrame functions only).
 
-A text is cut into sentences, each is normalised and looked up among known licence sentences; the
-identifiers stand in the text's order, with a gap mark where unknown sentences lie between.  The
+A text is cut into parts, each is normalised and looked up among known licence sentences; the
+identifiers stand in the text's order, with a gap mark where other parts lie between.  The
 rules, sequences of identifiers, are tried in their order, longest and most specific first; each
 takes the places it matches, so a later rule can't claim them again.  Everything is one projection
 per row: no shuffle, no grouping, so no source or text can become a hot key.
 
-A sentence ends at a line end, or at one of ``.!?;:`` before white space.  Normal form: A-Z
-lower-cased, every run of other characters than a-z and 0-9 one space, ends trimmed; a line that
-begins with "copyright" and a year becomes "copyright".
+A part ends at a line end, or at one of ``.!?;:`` before white space.  Normal form: A-Z
+lower-cased, every run of other characters than a-z and 0-9 one space, ends trimmed; a part that
+begins with "copyright" and a year becomes "copyright".  Neighbouring parts that together are a known
+sentence, the longest one, are one part: wrapped lines, comment marks before them, and stops inside
+("v. 2.0", "free software: you") don't matter.  Parts without letters (empty ones, list numbers)
+show as gaps but don't part the sentences of a rule.
 
 Defined cases: null and empty texts have no sentences and no licence; a sentence that is known but
 in no matched rule counts as left over; repeated rows each give a row; other columns, whatever
@@ -79,9 +82,15 @@ RULES = [
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def normal(sentence: Column) -> Column:
-    plain = F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
-    return F.when(plain.rlike("^copyright (c )?[0-9]{4}"), F.lit("copyright")).otherwise(plain)
+# A year after "copyright" makes the rest of the part a copyright line.
+NOTICE = "copyright (?:c )?[0-9]{4}[^\n]*"
+
+
+def normal_parts(text: Column) -> Column:
+    """The normal forms of a text's parts, each between line ends."""
+    ends = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\n\r]+|[.!?;:]+[ \t]+", "\n")
+    plain = F.regexp_replace(F.translate(F.concat(F.lit("\n"), ends, F.lit("\n")), UPPER, LOWER), "[^a-z0-9\n]+", " ")
+    return F.regexp_replace(plain, " ?\n ?", "\n")
 
 
 def scan(df: DataFrame, text: str = "text", sentences: dict[str, str] | None = None,
@@ -91,11 +100,14 @@ def scan(df: DataFrame, text: str = "text", sentences: dict[str, str] | None = N
     n_rules (that matched) and n_left (known sentences that no rule took)."""
     sentences, rules = sentences or SENTENCES, rules or RULES
     known = F.create_map(*[F.lit(x) for name, s in sentences.items() for x in (s, f"|{name}|")])
-    state = fresh_name(df, "licence")
-    # split() keeps a regular expression's matches out; the ends of sentences go with them
-    parts = F.split(F.coalesce(F.col(text), F.lit("")), r"[\n\r]+|[.!?;:]+[ \t]+")
-    found = F.transform(parts, lambda s: F.coalesce(F.element_at(known, normal(s)), F.lit("|.|")))
-    marked = F.regexp_replace(F.array_join(found, ""), r"(\|\.\|)+", "|.|")
+    state, parts = fresh_name(df, "licence"), fresh_name(df, "parts")
+    # a known sentence may run over the ends of parts; of those that begin alike the longest is taken
+    whole = "|".join([s.replace(" ", "[ \n]+") for s in sorted(sentences.values(), key=len, reverse=True)] + [NOTICE])
+    found = F.transform(F.regexp_extract_all(F.col(parts), F.lit(f"\n((?:{whole}|[^\n]*))(?=\n)"), F.lit(1)), lambda p: F.when(
+        p.rlike("^[0-9 ]*$"), F.lit("|,|")).otherwise(F.coalesce(F.element_at(known, F.when(
+            p.rlike(f"^{NOTICE}$"), F.lit("copyright")).otherwise(F.regexp_replace(p, "\n+", " "))), F.lit("|.|"))))
+    marked = F.when(F.col(parts).rlike(f"\n(?:{whole})(?=\n)"), F.array_join(found, "")).otherwise(F.lit("|.|"))
+    gaps = lambda c: F.regexp_replace(c, r"(\|\.\|)+", "|.|")
 
     rule_rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{i}|" for i in ids)).alias("ids"))
                           for name, ids in rules])
@@ -105,14 +117,14 @@ def scan(df: DataFrame, text: str = "text", sentences: dict[str, str] | None = N
         return F.struct(F.replace(acc["rest"], rule["ids"], F.lit("|~|")).alias("rest"),
                         F.when(hit, F.concat(acc["hits"], F.array(rule["name"]))).otherwise(acc["hits"]).alias("hits"))
 
-    start = F.struct(F.col(state).alias("rest"), F.array().cast("array<string>").alias("hits"))
+    start = F.struct(gaps(F.replace(F.col(state), F.lit("|,|"), F.lit(""))).alias("rest"), F.array().cast("array<string>").alias("hits"))
     none = F.struct(F.lit("").alias("rest"), F.array().cast("array<string>").alias("hits"))
-    folded = F.when(F.length(F.regexp_replace(F.col(state), r"\|\.\|", "")) > 0,
+    folded = F.when(F.length(F.regexp_replace(F.col(state), r"\|[.,]\|", "")) > 0,
                     F.aggregate(rule_rows, start, step)).otherwise(none)
     out = fresh_name(df.withColumn(state, F.lit(0)), "folded")
-    count = lambda c: F.size(F.filter(F.split(c, r"\|"), lambda x: ~x.isin("", ".", "~"))).cast("long")
-    return (df.withColumn(state, marked).withColumn(out, folded)
-              .withColumns({"sentence_ids": F.col(state), "n_sentences": count(F.col(state)),
+    count = lambda c: F.size(F.filter(F.split(c, r"\|"), lambda x: ~x.isin("", ".", ",", "~"))).cast("long")
+    return (df.withColumn(parts, normal_parts(F.col(text))).withColumn(state, marked).withColumn(out, folded)
+              .withColumns({"sentence_ids": gaps(F.replace(F.col(state), F.lit("|,|"), F.lit("|.|"))), "n_sentences": count(F.col(state)),
                             "licenses": F.array_join(F.array_distinct(F.col(out)["hits"]), ","),
                             "n_rules": F.size(F.col(out)["hits"]).cast("long"),
-                            "n_left": count(F.col(out)["rest"])}).drop(state, out))
+                            "n_left": count(F.col(out)["rest"])}).drop(parts, state, out))
