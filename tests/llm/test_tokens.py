@@ -61,6 +61,13 @@ def test_counts_equal_sentencepiece():
         assert counter.count(t) == len(library.encode(t)), repr(t)
 
 
+@pytest.mark.parametrize("c", ["\ufffd", "\t", "😀", "\x00", "。"])
+def test_long_rows_of_one_character(c):
+    library, counter = sentencepiece.SentencePieceProcessor(model_file=PIECES), pieces.PieceCounter(PIECES)
+    for t in (c * 100_000, "word" + c * 100_000, "a  " + c * 3000 + "end " + c * 3000):
+        assert counter.count(t) == len(library.encode(t))
+
+
 def test_memory_is_bounded(monkeypatch):
     monkeypatch.setattr(pieces, "REMEMBER", 5)
     counter = pieces.PieceCounter(PIECES)

@@ -101,8 +101,12 @@ class _Memory(dict):
         self.counter, self.prefix = counter, prefix
 
     def __missing__(self, unit: str) -> int:
-        if len(unit) > 1 and not unit[-1].isalnum() and unit[-2:] not in self.counter.inner:
-            return self.remember(unit, self[unit[:-1]] + self.counter.unit(unit[-1]))
+        end, n = len(unit), 0
+        while end > 1 and not unit[end - 1].isalnum() and unit[end - 2:end] not in self.counter.inner:
+            end -= 1
+            n += self.counter.unit(unit[end])
+        if n:
+            return self.remember(unit, self[unit[:end]] + n)
         return self.remember(unit, self.counter.unit(self.prefix + unit))
 
     def remember(self, unit: str, n: int) -> int:
