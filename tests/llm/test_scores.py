@@ -297,6 +297,40 @@ def test_training_beats_the_start():
     assert np.allclose(again.log10(at, ids), model.log10(at, ids), atol=1e-5)
 
 
+def test_vocabulary_grows_with_the_corpus():
+    counts = np.array([100_000 // (k + 1) for k in range(5000)])
+    sizes = []
+    for times in (1, 10, 100):
+        known = lbl.Vocabulary([b"w%d" % k for k in range(5000)], counts * times, int(counts.sum()) * times + 9, 5001, 9)
+        sizes.append(known.shortlist)
+        assert (known.ids(np.arange(known.shortlist))[:-1] == np.arange(known.shortlist)).all()
+    assert 512 < sizes[0] < sizes[1] < sizes[2]
+
+
+def test_classes_of_words(monkeypatch):
+    """Factored outputs: probabilities sum to one, and words of classes are learned from their context."""
+    monkeypatch.setattr(lbl, "HEAD", 4)
+    monkeypatch.setattr(lbl, "CACHED", 6)
+    n = 40
+    text = b" ".join(b"w%d" % (k % n) for k in range(n * 40))
+    known = lbl.Vocabulary([b"w%d" % k for k in range(n)], np.full(n, 40), n * 40 + 1, n + 1, 1, shortlist=n)
+    ids = known.ids(known.ranks(text)[0])
+    at, model = lbl.contexts(ids, known.end), lbl.LogBilinear(known.noise())
+    assert len(model.outputs) > known.outputs and len(model.top) < known.outputs
+    before = model.log10(at, ids).mean()
+    squares = [np.zeros_like(p) for p in model.parts()]
+    for step in range(300):
+        model.train(at, ids, squares, np.random.default_rng(step))
+    model._log_z = None
+    assert model.log10(at, ids).mean() > before + 0.5
+    every = np.arange(known.outputs)
+    for a, b in [(0, 1), (20, 21), (39, known.end), (known.other, known.other), (3, 30)]:
+        assert abs((10 ** model.log10(np.tile([a, b], (known.outputs, 1)), every)).sum() - 1) < 1e-5
+    ones = [u + 1 for u in (np.zeros(len(model.inputs)), np.zeros(len(model.outputs)))]
+    again = lbl.LogBilinear(known.noise(), seed=9).unpack_weighted(model.weighted(*ones, 100))
+    assert np.allclose(again.log10(at, ids), model.log10(at, ids), atol=1e-4)
+
+
 def test_parameters_are_averaged_in_groups(spark, monkeypatch):
     monkeypatch.setattr(lbl, "FANIN", 3)
     rows = [(t, float(1 + t % 3), np.full(4, t, "<f4").tobytes()) for t in range(20)]

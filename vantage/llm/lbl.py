@@ -1,19 +1,25 @@
 """Language-model scores with a log-bilinear neural model (operator 9).
 
-Token counts over the whole training corpus are made by Spark.  The SHORTLIST most frequent words,
-the end of a text and one class for all other words are the model's outputs; its inputs are the
-two tokens before.  The log-bilinear model predicts a vector from the context's embeddings, one
-matrix per position, and scores an output by its dot product with that vector plus a bias.  It is
-trained in numpy by noise-contrastive estimation, in rounds: every task trains on its own texts
-from the round's parameters, and parameters are averaged by number of tokens in a tree of bounded
-groups.  Each round takes another share of the training texts and all rounds take all of them.
-
-A score sums normalised log10 probabilities: the softmax over all outputs is computed by batched
-matrix products, once for each context met; a word of the class of others also has its add-one
-share of that class, in which one more type stands for the words that training never saw.
-
-Counts of frequent words (at most FREQUENT, so the table is bounded) are broadcast; other words
-are joined with their counts by word, so no table of words is ever whole in one place.
+Token counts over the whole training corpus are made by Spark.  Every word that occurs at least as
+often as the cube root of the number of tokens (and at least the SHORTLIST most frequent), the end of
+a text and one class for the rarer words are the model's outputs and have embeddings as its inputs,
+the two tokens before: the vocabulary grows with the corpus.  The log-bilinear model predicts a
+vector from the context's embeddings, one matrix per position, and scores an output by its dot
+product with that vector plus a bias.  Outputs are factored: the HEAD most frequent words, the class
+of the rarer and the end stand beside classes of the remaining words, neighbours in frequency, about
+as many classes as a class has words; a word of a class is scored within it by the same vector.
+
+The model is trained in numpy by noise-contrastive estimation, in rounds: every task trains on its
+own texts from the round's parameters, and parameters are averaged in blocks, in a tree of bounded
+groups, each embedding by how often the tasks met its word.  Each round takes another share of the
+training texts and all rounds take all of them.
+
+A score sums normalised log10 probabilities: both softmaxes are computed by batched matrix products;
+a word of the class of others also has its add-one share of that class, in which one more type stands
+for the words that training never saw.
+
+Counts of frequent words (FREQUENT at most, or all with an output of their own) are broadcast; other
+words are joined with their counts by word, so no table of all words is ever in one place.
 
 Defined cases: a null or empty text is its end token alone; without training texts every count is
 0 and the model is uniform over its outputs; repeated rows score alike and give a row each; an
@@ -22,6 +28,7 @@ empty table gives no rows.
 
 from __future__ import annotations
 
+import copy
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,15 +40,25 @@ from pyspark.sql import functions as F
 
 from vantage.llm.common import small_batches, stage, text_bytes
 
-SHORTLIST = 512       # words with an output of their own
+SHORTLIST = 512       # words with an output of their own, at least
+HEAD = 256            # words that stand beside the classes
 DIMENSION = 32        # of an embedding
 NOISE = 64            # noise outputs that a batch of tokens is held against
+INNER_NOISE = 8       # noise words within the class of each token
 BATCH = 2048          # tokens of one step
 CHUNK = 1 << 16       # tokens that are shuffled together
 ROUNDS = 2            # shares of the training texts
 RATE = 0.08           # step size (AdaGrad)
 FREQUENT = 200_000    # words whose counts are broadcast, at most
 FANIN = 32            # parameter sets averaged by one task
+BLOCK = 1 << 20       # bytes of a parameter set that are averaged together
+CACHED = 1024         # words whose contexts keep their normalisers
+SLICE = 1 << 16       # tokens scored together
+
+
+def own_count(tokens: int) -> float:
+    """Occurrences that give a word an output of its own."""
+    return max(2.0, tokens ** (1 / 3))
 
 
 @dataclass
@@ -53,11 +70,13 @@ class Vocabulary:
     tokens: int               # N, with one end for each text
     types: int                # V, with the end
     texts: int
-    shortlist: int = SHORTLIST
+    shortlist: int | None = None
     rank: dict[bytes, int] = field(default_factory=dict)
 
     def __post_init__(self):
         self.rank = {w: k for k, w in enumerate(self.words)}
+        if self.shortlist is None:
+            self.shortlist = max(SHORTLIST, int((self.counts >= own_count(self.tokens)).sum()))
         self.shortlist = min(self.shortlist, len(self.words))
         self.other, self.end = self.shortlist, self.shortlist + 1
         self.outputs = self.shortlist + 2
@@ -85,7 +104,8 @@ class Vocabulary:
 
 
 class LogBilinear:
-    """Parameters: input embeddings, output embeddings, biases, one matrix per context position."""
+    """Parameters: input embeddings, output embeddings and biases (of outputs, then of classes), one
+    matrix per context position.  The last two outputs are the class of rarer words and the end."""
 
     CONTEXT = 2
 
@@ -93,9 +113,23 @@ class LogBilinear:
         random = np.random.default_rng(seed)
         n = len(noise)
         self.noise = noise
+        head = min(HEAD, n - 2)
+        count = int(np.ceil(np.sqrt(n - 2 - head)))
+        # class c holds the outputs from starts[c] up to starts[c + 1]
+        self.starts = np.linspace(head, n - 2, count + 1).astype(np.int64) if count else np.array([head])
+        # rows of the first softmax, and the row there of each output
+        self.top = np.concatenate([np.arange(head), [n - 2, n - 1], n + np.arange(count)])
+        self.first = np.arange(n)
+        self.first[head:n - 2] = n + np.repeat(np.arange(count), np.diff(self.starts))
+        self.below = np.concatenate([[0.0], np.cumsum(noise)])
+        mass = np.concatenate([noise, np.diff(self.below[self.starts])])
+        self.top_noise = mass[self.top] / mass[self.top].sum()
+        # log probability of a row as noise: in the first softmax, or within its class
+        self.log_noise = np.log(mass).astype(np.float32)
+        self.log_noise[head:n - 2] -= self.log_noise[self.first[head:n - 2]]
         self.inputs = random.normal(0, 0.1, (n, DIMENSION)).astype(np.float32)
-        self.outputs = random.normal(0, 0.1, (n, DIMENSION)).astype(np.float32)
-        self.bias = np.log(noise).astype(np.float32)
+        self.outputs = random.normal(0, 0.1, (n + count, DIMENSION)).astype(np.float32)
+        self.bias = self.log_noise.copy()
         self.mix = np.stack([np.eye(DIMENSION, dtype=np.float32)] * self.CONTEXT)
         self._log_z = self._mixed = None
 
@@ -113,59 +147,117 @@ class LogBilinear:
         self._log_z = None
         return self
 
+    def weighted(self, uses_in: np.ndarray, uses_out: np.ndarray, tokens: int) -> bytes:
+        """Parameters times the share of tokens that used their row, and these shares: means of such
+        sets by tokens give, divided, each row's mean by uses."""
+        a, b = ((u + 0.001) / tokens for u in (uses_in, uses_out))
+        parts = [self.inputs * a[:, None], self.outputs * b[:, None], self.bias * b, self.mix, a, b]
+        return b"".join(p.astype("<f4").tobytes() for p in parts)
+
+    def unpack_weighted(self, data: bytes) -> LogBilinear:
+        flat, rows = np.frombuffer(data, "<f4"), len(self.inputs) + len(self.outputs)
+        self.unpack(flat[:-rows].tobytes())
+        a, b = flat[-rows:][:len(self.inputs)], flat[-len(self.outputs):]
+        self.inputs /= a[:, None]
+        self.outputs /= b[:, None]
+        self.bias /= b
+        return self
+
     def predicted(self, context: np.ndarray) -> np.ndarray:
         return sum(self.inputs[context[:, j]] @ self.mix[j] for j in range(self.CONTEXT))
 
     def train(self, context: np.ndarray, target: np.ndarray, squares: list[np.ndarray], random) -> None:
-        """One step of noise-contrastive estimation; the noise is shared by the batch."""
-        noise = random.choice(len(self.noise), NOISE, p=self.noise)
-        log_noise = np.log(NOISE * self.noise).astype(np.float32)
+        """One step of noise-contrastive estimation; the noise of the first softmax is shared by the
+        batch, that within a class is drawn for each token."""
+        n = len(self.noise)
+        rows = self.first[target]
+        noise = self.top[random.choice(len(self.top), NOISE, p=self.top_noise)]
+        level = self.bias - self.log_noise
         q = self.predicted(context)
-        true = np.einsum("ij,ij->i", q, self.outputs[target]) + self.bias[target] - log_noise[target]
-        false = q @ self.outputs[noise].T + (self.bias[noise] - log_noise[noise])
-        up = 1 / (1 + np.exp(-np.clip(true, -30, 30))) - 1
-        down = 1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        dq = up[:, None] * self.outputs[target] + down @ self.outputs[noise]
-        g_in, g_out, g_bias, g_mix = (np.zeros_like(p) for p in self.parts())
-        _add_rows(g_out, target, up[:, None] * q)
-        _add_rows(g_out, noise, down.T @ q)
-        g_bias += np.bincount(target, up, len(g_bias)) + np.bincount(noise, down.sum(0), len(g_bias))
-        for j in range(self.CONTEXT):
-            g_mix[j] = self.inputs[context[:, j]].T @ dq
-            _add_rows(g_in, context[:, j], dq @ self.mix[j].T)
-        for p, g, s in zip(self.parts(), (g_in, g_out, g_bias, g_mix), squares, strict=True):
-            g /= len(target)
-            s += g * g
-            p -= RATE * g / np.sqrt(s + 1e-8)
+        true = np.einsum("ij,ij->i", q, self.outputs[rows]) + level[rows] - np.float32(np.log(NOISE))
+        false = q @ self.outputs[noise].T + level[noise] - np.float32(np.log(NOISE))
+        up, down = _sigmoid(true) - 1, _sigmoid(false)
+        dq = up[:, None] * self.outputs[rows] + down @ self.outputs[noise]
+        at, moves, shifts = [rows, noise], [up[:, None] * q, down.T @ q], [up, down.sum(0)]
+        inner = np.flatnonzero(rows >= n)
+        if len(inner):
+            words, k, p = target[inner], rows[inner] - n, q[inner]
+            low, high = self.starts[k], self.starts[k + 1]
+            drawn = random.random((INNER_NOISE, len(inner))) * (self.below[high] - self.below[low]) + self.below[low]
+            drawn = np.clip(np.searchsorted(self.below, drawn, "right") - 1, low, high - 1).T
+            own, other = self.outputs[words], self.outputs[drawn]
+            up = _sigmoid(np.einsum("ij,ij->i", p, own) + level[words] - np.float32(np.log(INNER_NOISE))) - 1
+            down = _sigmoid((other @ p[:, :, None])[:, :, 0] + level[drawn] - np.float32(np.log(INNER_NOISE)))
+            dq[inner] += up[:, None] * own + (down[:, None, :] @ other)[:, 0]
+            at += [words, drawn.ravel()]
+            moves += [up[:, None] * p, (down[:, :, None] * p[:, None, :]).reshape(-1, DIMENSION)]
+            shifts += [up, down.ravel()]
+        mixed = np.stack([self.inputs[context[:, j]].T @ dq for j in range(self.CONTEXT)])
+        back = np.concatenate([dq @ self.mix[j].T for j in range(self.CONTEXT)])
+        of_rows, (of_outputs, of_bias) = _summed(np.concatenate(at), np.concatenate(moves), np.concatenate(shifts))
+        of_words, (of_inputs,) = _summed(context.T.ravel(), back)
+        steps = ((of_words, of_inputs), (of_rows, of_outputs), (of_rows, of_bias), (slice(None), mixed))
+        for p, s, (rows, g) in zip(self.parts(), squares, steps, strict=True):
+            g = g / len(target)
+            s[rows] += g * g
+            p[rows] -= RATE * g / np.sqrt(s[rows] + 1e-8)
 
     def log10(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Normalised log10 P(target | context).  The normaliser of a context is computed once."""
+        """Normalised log10 P(target | context)."""
+        parts = [self._log(context[a:a + SLICE], target[a:a + SLICE]) for a in range(0, len(target), SLICE)]
+        return np.concatenate(parts) / np.log(10) if parts else np.zeros(0)
+
+    def _log(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         n = len(self.noise)
+        size = min(CACHED, n - 2) + 2
         if self._log_z is None:
-            self._log_z = np.full(n ** self.CONTEXT, np.nan)
+            self._log_z = np.full(size ** 2, np.nan)
             self._mixed = [self.inputs @ m for m in self.mix]
-        code = context @ (n ** np.arange(self.CONTEXT))
-        new = np.unique(code[np.isnan(self._log_z[code])])
+            self._top = np.ascontiguousarray(self.outputs[self.top].T), self.bias[self.top]
+        code, back = np.unique(context[:, 0] + n * context[:, 1], return_inverse=True)
+        pair = np.stack([code % n, code // n])
+        q = sum(m[i] for m, i in zip(self._mixed, pair, strict=True))
+        # normalisers of contexts of frequent words are kept
+        short = np.where(pair >= n - 2, pair - n + size, pair)
+        kept = ((pair >= n - 2) | (pair < size - 2)).all(0)
+        slot = short[0] + size * short[1]
+        z = np.full(len(code), np.nan)
+        z[kept] = self._log_z[slot[kept]]
+        new = np.flatnonzero(np.isnan(z))
         for a in range(0, len(new), 4096):
             part = new[a:a + 4096]
-            q = sum(m[part // n ** j % n] for j, m in enumerate(self._mixed))
-            scores = (q @ self.outputs.T + self.bias).astype(np.float64)
-            top = scores.max(1)
-            self._log_z[part] = np.log(np.exp(scores - top[:, None]).sum(1)) + top
-        q = sum(m[context[:, j]] for j, m in enumerate(self._mixed))
-        score = np.einsum("ij,ij->i", q, self.outputs[target]) + self.bias[target]
-        return (score - self._log_z[code]) / np.log(10)
+            z[part] = _log_sum(q[part] @ self._top[0] + self._top[1])
+        self._log_z[slot[kept]] = z[kept]
+        q, rows = q[back], self.first[target]
+        log = np.einsum("ij,ij->i", q, self.outputs[rows]) + self.bias[rows] - z[back]
+        inner = np.flatnonzero(rows >= n)
+        if len(inner):
+            inner = inner[np.argsort(rows[inner], kind="stable")]
+            for at in np.split(inner, np.flatnonzero(np.diff(rows[inner])) + 1):
+                low, high = self.starts[rows[at[0]] - n:][:2]
+                scores = q[at] @ self.outputs[low:high].T + self.bias[low:high]
+                log[at] += scores[np.arange(len(at)), target[at] - low] - _log_sum(scores)
+        return log
 
     def __getstate__(self):
-        return {**self.__dict__, "_log_z": None, "_mixed": None}
+        return {**self.__dict__, "_log_z": None, "_mixed": None, "_top": None}
+
+
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+
+
+def _log_sum(scores: np.ndarray) -> np.ndarray:
+    top = scores.max(1)
+    return np.log(np.exp(scores - top[:, None]).sum(1, dtype=np.float64)) + top
 
 
-def _add_rows(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
-    """Add each of ``rows`` to the row of ``to`` that ``at`` names."""
+def _summed(at: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct rows of ``at`` and the sums of the values for each."""
     order = np.argsort(at, kind="stable")
     at = at[order]
     first = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    to[at[first]] += np.add.reduceat(rows[order], first, axis=0)
+    return at[first], [np.add.reduceat(v[order], first, axis=0) for v in values]
 
 
 def contexts(ids: np.ndarray, end: int) -> np.ndarray:
@@ -193,9 +285,10 @@ def corpus_counts(df: DataFrame, text: str = "text") -> DataFrame:
               .groupBy("word").agg(F.sum("n").alias("c")))
 
 
-def vocabulary(counts: DataFrame, texts: int, frequent: int = FREQUENT, shortlist: int = SHORTLIST) -> Vocabulary:
+def vocabulary(counts: DataFrame, texts: int, frequent: int = FREQUENT, shortlist: int | None = None) -> Vocabulary:
     """Frequent words are those above a count that at most ``frequent`` words reach: it is found on
-    a histogram of the counts' logarithms, so nothing is sorted and ties stand together."""
+    a histogram of the counts' logarithms, so nothing is sorted and ties stand together.  Words that
+    occur often enough for an output of their own are always among them."""
     level = F.floor(F.log2("c") * 16).cast("long")
     steps = counts.groupBy(level.alias("k")).agg(F.count(F.lit(1)).alias("types"), F.sum("c").alias("tokens")).collect()
     least, room = None, frequent
@@ -204,10 +297,14 @@ def vocabulary(counts: DataFrame, texts: int, frequent: int = FREQUENT, shortlis
         if room < 0:
             break
         least = r["k"]
+    tokens = sum(r["tokens"] for r in steps) + texts
+    if shortlist is None and steps:
+        own = int(np.floor(np.log2(own_count(tokens)) * 16))
+        least = own if least is None else min(least, own)
     rows = counts.where(level >= F.lit(least)).collect() if least is not None else []
     rows = sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))
     return Vocabulary([w for w, _ in rows], np.array([c for _, c in rows], np.int64),
-                      tokens=sum(r["tokens"] for r in steps) + texts, types=sum(r["types"] for r in steps) + bool(texts),
+                      tokens=tokens, types=sum(r["types"] for r in steps) + bool(texts),
                       texts=texts, shortlist=shortlist)
 
 
@@ -224,13 +321,17 @@ def train(df: DataFrame, known: Vocabulary, text: str = "text", key: str = "doc_
             from pyspark import TaskContext
 
             known, task = held.value, TaskContext.get().partitionId()
-            mine = LogBilinear(now.value.noise).unpack(now.value.packed())
+            mine = copy.deepcopy(now.value)
+            uses_in, uses_out = np.zeros(len(mine.inputs)), np.zeros(len(mine.outputs))
             random = np.random.default_rng([r, task])
             squares = [np.zeros_like(p) for p in mine.parts()]
             tokens, waiting, parts = 0, 0, []
 
             def learn():
                 context, target = (np.concatenate(x) for x in zip(*parts, strict=True))
+                rows = mine.first[target]
+                uses_in[:] += np.bincount(context.ravel(), minlength=len(uses_in))
+                uses_out[:] += np.bincount(np.concatenate([rows, target[target != rows]]), minlength=len(uses_out))
                 order = random.permutation(len(target))
                 for a in range(0, len(order), BATCH):
                     at = order[a:a + BATCH]
@@ -248,13 +349,13 @@ def train(df: DataFrame, known: Vocabulary, text: str = "text", key: str = "doc_
             if parts:
                 learn()
             if tokens:
-                yield pd.DataFrame({"task": [task], "tokens": [float(tokens)], "model": [mine.packed()]})
+                yield pd.DataFrame({"task": [task], "tokens": [float(tokens)], "model": [mine.weighted(uses_in, uses_out, tokens)]})
 
         share = df.where(F.pmod(F.xxhash64(key), F.lit(rounds)) == r).select(text_bytes(text).alias("t"))
         made = stage(share.mapInPandas(trained, "task long, tokens double, model binary"), "models")
         rows = _averaged(made)
         if rows:
-            model = LogBilinear(known.noise()).unpack(rows)
+            model = LogBilinear(known.noise()).unpack_weighted(rows)
     return model
 
 
@@ -264,19 +365,24 @@ def _mean(models: list[bytes], tokens: np.ndarray) -> bytes:
 
 
 def _averaged(made: DataFrame) -> bytes | None:
-    """Weighted mean of all parameter sets: groups of FANIN are averaged until one group is left."""
+    """Weighted mean of all parameter sets: blocks of FANIN sets are averaged until one set is left."""
 
     def group(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("task")
         mean = _mean(rows["model"].tolist(), rows["tokens"].to_numpy())
-        return pd.DataFrame({"task": [rows["task"].iloc[0] // FANIN], "tokens": [rows["tokens"].sum()], "model": [mean]})
+        return pd.DataFrame({"task": [rows["task"].iloc[0] // FANIN], "tokens": [rows["tokens"].sum()], "model": [mean],
+                             "block": [rows["block"].iloc[0]]})
 
+    blocks = F.sequence(F.lit(0), F.floor((F.octet_length("model") - 1) / BLOCK).cast("int"))
+    now = (made.select("task", "tokens", "model", F.explode(blocks).alias("block"))
+               .withColumn("model", F.col("model").substr(F.col("block") * BLOCK + 1, F.lit(BLOCK))))
     most = made.agg(F.max("task")).first()[0]
-    while most is not None and most >= FANIN:
-        made = made.groupBy(F.floor(F.col("task") / FANIN)).applyInPandas(group, made.schema)
+    while most is not None:
+        now = now.groupBy("block", F.floor(F.col("task") / FANIN)).applyInPandas(group, now.schema)
         most //= FANIN
-    rows = sorted(made.collect(), key=lambda r: r["task"])
-    return _mean([bytes(r["model"]) for r in rows], np.array([r["tokens"] for r in rows])) if rows else None
+        if not most:
+            return b"".join(bytes(r["model"]) for r in sorted(now.collect(), key=lambda r: r["block"]))
+    return None
 
 
 def scored(df: DataFrame, known: Vocabulary, model: LogBilinear, counts: DataFrame, text: str = "text") -> DataFrame:
@@ -291,16 +397,19 @@ def scored(df: DataFrame, known: Vocabulary, model: LogBilinear, counts: DataFra
     def first(texts: pd.Series) -> pd.DataFrame:
         known, model = held.value
         rows, end_log = [], float(np.log10(known.texts + 1.0))
-        for t in texts:
-            ranks, words = known.ranks(t)
-            ids = known.ids(ranks)
+        split = [known.ranks(t) for t in texts]
+        ids = [known.ids(ranks) for ranks, _ in split]
+        ends = np.cumsum([0, *map(len, ids)])
+        # texts are scored together; each has an end, so none is without tokens
+        logs = model.log10(np.concatenate([contexts(i, known.end) for i in ids]), np.concatenate(ids)) if ids else np.zeros(0)
+        scores = np.add.reduceat(logs, ends[:-1]).tolist() if ids else []
+        for (ranks, words), i, score in zip(split, ids, scores, strict=True):
             rare = np.flatnonzero(ranks < 0)
             found = ranks[ranks >= 0]
-            score = float(model.log10(contexts(ids, known.end), ids).sum())
             # the share of a frequent word within the class of others
             others = found[found >= known.shortlist]
             score += float(known.log_counts[others].sum()) - known.log_other * len(others)
-            rows.append((len(ids), len(found) + (known.texts > 0), float(known.log_counts[found].sum()) + end_log,
+            rows.append((len(i), len(found) + (known.texts > 0), float(known.log_counts[found].sum()) + end_log,
                          score, b" ".join([words[k] for k in rare.tolist()])))
         return pd.DataFrame(rows, columns=["n_tokens", "n_known", "logs", "score", "rest"])
 
