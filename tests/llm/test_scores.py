@@ -45,6 +45,11 @@ def test_disguised_words_are_restored_and_scored(scorer, disguise):
     assert scorer.score(f"The house under the {disguise} bridge") >= 0.3
 
 
+@pytest.mark.parametrize("disguise", ["s_t_u_p_i_d", "st_upid", "stuupid", "stu pid", "st up id", "mo ron", "los_er", "w0r th less"])
+def test_more_disguises_are_restored(scorer, disguise):
+    assert scorer.score(f"The house under the {disguise} bridge") >= 0.3
+
+
 @pytest.mark.parametrize("text", ["", None, "The house under the open bridge", "a a a a a a", "1234 5678 90", "summmmmer 7able", "s l o w l y"])
 def test_clean_texts_score_low(scorer, text):
     assert scorer.score(text) < 0.3
