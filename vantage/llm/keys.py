@@ -8,7 +8,8 @@ import public_tokenizers
 
 from pyspark.sql import functions as F
 
-from vantage.llm import bytebpe, digest_index, lbl, licenses, pieces, planes, simhash, suffixes, toxicity, zquality
+from vantage.llm import (bytebpe, digest_index, lbl, licenses, line_index, negatives, pieces, planes, simhash, suffixes,
+                         toxicity, whitening, zquality)
 from vantage.llm.common import documents, id_remainder, scratch
 
 QUERIES: dict[str, Callable] = {}
@@ -133,3 +134,48 @@ def op9(spark, sf_dir):
     docs = documents(spark, sf_dir, "doc_id", "text")
     marked = lbl.score_documents(docs, ~held_out)
     return marked.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@_query("op11_line_index", """
+    WITH l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS place
+               FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents)),
+    k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                              'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+    c AS (SELECT key, max(doc_id) AS keep_id FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+    m AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id <> c.keep_id AS gone FROM k LEFT JOIN c ON k.key = c.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id""")
+def op11(spark, sf_dir):
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    index = line_index.fresh_index(spark, min_docs=3, min_chars=20)
+    for half in (0, 1):         # the second half is added to what the first left
+        index.add(docs.where(id_remainder(2) == half))
+    return index.clean(docs).select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+@_query("op12_feast_whitening")
+def op12(spark, sf_dir):
+    return whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
+@_query("op13_tree_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      CAST(list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS DOUBLE[]) AS x
+               FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+               AND len(list_filter(embedding, lambda c: coalesce(isfinite(c), false))) = len(embedding)),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+                 CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+          FROM v a, v b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT p.anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, id AS negative_id,
+           positive_score, score AS negative_score
+    FROM p JOIN s ON p.anchor_id = s.anchor_id AND NOT same
+     AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+    WINDOW best AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, id)
+    QUALIFY row_number() OVER best <= 3""")
+def op13(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = negatives.vector_rows(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), label)
+    return negatives.mine(rows, F.col("id") % 50 == 0)
