@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vantage.llm.common import fresh_name, scratch, small_batches
+from vantage.llm.common import fresh_name, scratch, small_batches, stage
 from vantage.llm.cuckoo import CuckooFilter
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -76,7 +76,14 @@ def hashes_of(digests) -> np.ndarray:
 
 
 def _shard(shards: int) -> Column:
-    return F.pmod(F.xxhash64("digest"), F.lit(shards)).cast("int")
+    """The last 4 bytes of the digest, as a number, modulo ``shards``."""
+    return F.pmod(F.conv(F.hex(F.substring("digest", 13, 4)), 16, 10).cast("long"), F.lit(shards)).cast("int")
+
+
+def shards_of(digests, shards: int) -> np.ndarray:
+    """``_shard`` of an Arrow column of digests."""
+    data = digests.to_pylist()
+    return (np.frombuffer(b"".join(data), dtype=">u4")[3::4] % shards).astype(np.int64) if data else np.zeros(0, dtype=np.int64)
 
 
 def build_filter(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -144,9 +151,11 @@ class LineIndex:
 
     def _lines(self, docs: DataFrame, text: str, doc_id: str) -> DataFrame:
         """(digest, doc_id, place) of the lines that count; ``same`` tells rows of one id apart."""
+        # the text itself must not be copied to each of its lines
         base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("same"),
-                           F.posexplode(lines_of(F.col(text))).alias("place", "line"))
-        keyed = base.select("doc_id", "same", "place", line_key(F.col("line")).alias("key"))
+                           lines_of(F.col(text)).alias("lines"))
+        lines = base.select("doc_id", "same", F.posexplode("lines").alias("place", "line"))
+        keyed = lines.select("doc_id", "same", "place", line_key(F.col("line")).alias("key"))
         return keyed.where(F.char_length("key") >= self.min_chars).select(
             key_digest(F.col("key")).alias("digest"), "doc_id", "same", "place")
 
@@ -250,14 +259,13 @@ class LineIndex:
 
     def _hits(self, lines: DataFrame) -> DataFrame:
         """Those of ``lines`` (with digest) that the filters hold."""
-        lines = lines.withColumn("shard", _shard(self.shards))
         filters = self.filters()
         size = filters.agg(F.sum(F.octet_length("slots")).alias("b"), F.sum("items").alias("n")).first()
         if not size["n"]:
-            return lines.where(F.lit(False)).drop("shard")
+            return lines.where(F.lit(False))
         if size["b"] <= SENT_BYTES:
             tables = {r["shard"]: bytes(r["slots"]) for r in filters.collect()}
-            return lines.where(_probe(tables)("shard", "digest")).drop("shard")
+            return lines.where(_probe(tables, self.shards)("digest"))
         return self._hits_in_shards(lines, filters)
 
     def _hits_in_shards(self, lines: DataFrame, filters: DataFrame) -> DataFrame:
@@ -265,6 +273,7 @@ class LineIndex:
         as keep a group near GROUP_LINES, with a copy of the filter each.  Lines of the few hottest
         keys need no filter and stay out of the groups."""
         counted = self.counts().agg(F.sum("n_docs").alias("n")).first()["n"] or 0
+        lines = lines.withColumn("shard", _shard(self.shards))
         groups = max(1, -(-counted // (self.shards * GROUP_LINES)))
         bound = max(64, counted // HOT_KEYS)
         hot = self.counts().where(F.col("n_docs") > bound).select(F.col("digest").alias("d"), F.lit(True).alias("hot"))
@@ -286,7 +295,7 @@ class LineIndex:
     def clean(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
         """All rows and columns of ``docs``, ``text`` without the lines that go, and ``n_lines`` (before),
         ``n_dropped`` (both replaced where ``docs`` has them)."""
-        lines = self._hits(self._lines(docs, text, doc_id))
+        lines = stage(self._hits(self._lines(docs, text, doc_id)), "line-hits")     # probed once
         active = self.counts().where(F.col("n_docs") >= self.min_docs).select("digest", "n_docs", "keep_id")
         repeated = self._with_entries(lines, active, "n_docs")
         drop = (repeated.where(~F.col("doc_id").eqNullSafe(F.col("keep_id"))).groupBy("doc_id", "same")
@@ -303,12 +312,12 @@ class LineIndex:
                    .drop(i, s, p, all_lines))
 
 
-def _probe(tables: dict):
+def _probe(tables: dict, shards: int):
     opened = {}
 
     @F.arrow_udf("boolean")
-    def probe(shards: pa.Array, digests: pa.Array) -> pa.Array:
-        numbers, hashes = shards.to_numpy(zero_copy_only=False), hashes_of(digests)
+    def probe(digests: pa.Array) -> pa.Array:
+        numbers, hashes = shards_of(digests, shards), hashes_of(digests)
         found = np.zeros(len(numbers), dtype=bool)
         for shard in np.unique(numbers):
             if shard in tables:
