@@ -9,7 +9,7 @@ from vantage.plans.catalog import load_all
 
 Q, _ = load_all()
 FORBIDDEN = ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "collect_list", "collect_set")
-STREAMING = {"stream_capture", "stream_dedup", "stream_tumbling"}
+STREAMING = {"stream_capture", "stream_dedup", "stream_tumbling", "stream_capture_counts", "stream_redelivery"}
 
 
 @pytest.mark.parametrize("key", sorted(k for k in Q if k not in STREAMING))
@@ -75,3 +75,49 @@ def test_medical_activity_reduces_before_the_registry(spark):
     plan = Q["medical_activity"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     below = plan[plan.index("Join"):]
     assert "partial_min(observation_time" in below and "partial_min(observation_time" not in plan[:plan.index("Join")]
+
+
+def _unhinted(spark, build):
+    """The plan without broadcasts that nobody asked for, as for large inputs."""
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "-1")
+        return build()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_keyed_append_leaves_the_target_where_it_lies(spark):
+    for key in ("keyed_append", "keyed_append_stats"):
+        for plan in (Q[key](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString(),
+                     _unhinted(spark, lambda key=key: Q[key](spark, SF_SMALL))):
+            target = plan[plan.index("LeftAnti"):]
+            target = target[target.rindex("+- Sort"):]
+            assert "Bucketed: true" in target and "key_period" in target.split("PartitionFilters: [")[1].split("]")[0]
+            assert "Exchange" not in target and plan.count("Exchange") == 1, key
+
+
+def test_metadata_answers_without_reading_rows(spark):
+    plan = Q["level_metadata"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "PushedAggregation: [COUNT(*), MIN(observation_epoch), MAX(observation_epoch)]" in plan
+    assert "PushedGroupBy: [capture_date]" in plan
+
+
+def test_sketches_are_merged_not_rescanned(spark):
+    import re
+    from vantage.operators import sketches as SK
+    from vantage.sources import fixtures as fx
+    from vantage.plans.keys_levels import daily
+    from vantage.session import staged
+    stored = staged(SK.level_sketches(daily(spark, SF_SMALL)), "sketches")
+    plan = SK.weekly_summary(stored)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "hex" not in re.findall(r"ReadSchema: (.*)", plan)[0]
+    assert fx.obs(spark, SF_SMALL).count() > stored.count()
+
+
+def test_fleet_and_daily_level_are_worked_out_once(spark):
+    plan = _unhinted(spark, lambda: Q["medical_paths"](spark, SF_SMALL))
+    assert plan.count("Scan parquet") <= 5 and plan.count("Exchange hashpartitioning") <= 12, plan.count("Scan parquet")
+    plan = _unhinted(spark, lambda: Q["pipeline_status"](spark, SF_SMALL))
+    assert plan.count("events.parquet") <= 2 * 3 and plan.count("Window [") <= 2

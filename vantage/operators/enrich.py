@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from vantage.functions.columns import (alt_ft, avg_half_up, decade, engines_label, has_callsign, pct,
                                        platform_label, power_label, size_class, year_int)
 from vantage.operators import paths as P
+from vantage.session import staged
 
 # Of the optimizer's estimate, which is of compressed files: several times that in memory.
 DEFAULT_BROADCAST_LIMIT = 8 * 1024 * 1024
@@ -222,10 +223,11 @@ def _layer(owner: Column) -> Column:
 
 def medical_paths(obs: DataFrame, af: DataFrame, min_obs: int = 2) -> DataFrame:
     """W12 + W5: the paths of the medical fleet, point by point, each with its layer and operator.
-    The fleet's flights are few; its points are found by a semi join before paths are ordered."""
+    The fleet's flights are few: they are worked out once and written, and the points are found by a
+    semi join with them before paths are ordered."""
     owner = F.coalesce(F.col("owner_operator"), F.lit("Unknown"))
-    fleet = (medical_fleet(obs, af).groupBy("hex", "flight")
-             .agg(F.min(owner).alias("operator")).withColumn("layer", _layer(F.col("operator"))))
+    fleet = staged(medical_fleet(obs, af).groupBy("hex", "flight")
+                   .agg(F.min(owner).alias("operator")).withColumn("layer", _layer(F.col("operator"))), "medical-fleet")
     points = P.flight_paths(obs.join(fleet.select("hex", "flight"), ["hex", "flight"], "left_semi"), min_obs)
     return points.join(fleet, ["hex", "flight"])
 

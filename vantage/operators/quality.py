@@ -140,7 +140,7 @@ def missing_days(files: DataFrame, today: str, days: int = 7) -> DataFrame:
     return missing_slots(present, "date", start, end, "1 DAY")
 
 
-def _per_file(level: DataFrame, col: str) -> DataFrame:
+def level_counts(level: DataFrame, col: str = "capture_date") -> DataFrame:
     """Rows and aircraft of each file of a level (aircraft are folded to one row per file first)."""
     return (level.groupBy(col, "hex").agg(F.count(F.lit(1)).alias("n"))
             .groupBy(col).agg(F.sum("n").alias("rows"), F.count("hex").alias("aircraft")))
@@ -150,7 +150,13 @@ def capture_health(level: DataFrame, files: DataFrame, min_size: int = 512 * 102
                    col: str = "capture_date") -> DataFrame:
     """Per daily file rows and aircraft beside its own listed size (``files``: ``col`` and
     size); flags for small files and low row counts (thresholds are parameters)."""
-    j = _per_file(level, col).join(files.select(col, "size"), col, "left")
+    return health_of(level_counts(level, col), files, min_size, min_rows, col)
+
+
+def health_of(counts: DataFrame, files: DataFrame, min_size: int = 512 * 1024, min_rows: int = 1000,
+              col: str = "capture_date") -> DataFrame:
+    """``capture_health`` from the ``level_counts`` of a level."""
+    j = counts.join(files.select(col, "size"), col, "left")
     size = F.coalesce(F.col("size"), F.lit(0))
     small, low = size < min_size, F.col("rows") < min_rows
     return j.select(col, "rows", "aircraft", size.alias("size_bytes"), small.alias("small_file"), low.alias("low_rows"),
@@ -196,9 +202,10 @@ def log_health(logs: DataFrame, text_col: str = "content", tail: int = 5, mtime_
             .drop("_l", "_t", text_col))
 
 
-def pipeline_status(files: DataFrame, hourly: DataFrame, daily: DataFrame, daily_files: DataFrame,
+def pipeline_status(files: DataFrame, hourly: DataFrame, daily_counts: DataFrame, daily_files: DataFrame,
                     weekly_files: DataFrame, now: str, hours: int = 48, days: int = 7, **health) -> DataFrame:
     """M9: per component what was expected, found and flagged, and ok; one clock for all.
+    ``daily_counts``: the ``level_counts`` of the daily level.
 
     The verdicts are the monitor's: hourly as ``hourly_status``; daily when any file of the last
     ``days`` days exists; weekly when any file exists.  Missing slots and flagged small files are
@@ -207,7 +214,7 @@ def pipeline_status(files: DataFrame, hourly: DataFrame, daily: DataFrame, daily
     h = hourly_status(files, hourly, now, hours).select(
         F.lit("hourly").alias("component"), "expected", "found", (~F.col("ok")).cast("long").alias("flagged"), "ok")
     inside = F.col("capture_date").between(F.date_sub(today, days), F.date_sub(today, 1))
-    recent = capture_health(daily.where(inside), daily_files.where(inside), **health)
+    recent = health_of(daily_counts.where(inside), daily_files.where(inside), **health)
     zero = F.lit(0).cast("long")
     listed = daily_files.where(inside).agg(F.count_distinct("capture_date").alias("found"), F.max(zero).alias("flagged"))
     flagged = recent.agg(zero.alias("found"), F.count_if(~F.col("ok")).alias("flagged"))

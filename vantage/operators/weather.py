@@ -57,10 +57,23 @@ def metar_temps(routed: DataFrame, content: str = "content") -> DataFrame:
     optimizer would inline the whole routing expression (regex + date parse) into it."""
     take = (F.col("route") == "metar") & ~F.col(content).contains(API_MOVED)
     lines = routed.select("name", "obs_date", F.explode(F.when(take, F.split(F.col(content), LINE_BREAK))).alias("line"))
-    sign = F.when(F.regexp_extract("line", T_GROUP, 1) == "1", F.lit(-1)).otherwise(F.lit(1))
-    temp = sign * F.regexp_extract("line", T_GROUP, 2).cast("int") / F.lit(10.0)
     return (lines.where(F.col("line").rlike(T_GROUP))
-            .select("name", "obs_date", temp.alias("temp_c")))
+            .select("name", "obs_date", _t_group(F.col("line")).alias("temp_c")))
+
+
+def metar_temps_by_line(lines: DataFrame) -> DataFrame:
+    """T1 over (name, line) rows, as ``sources.levels.read_lines`` gives them: a file is split over as
+    many tasks as its size asks for, and none is ever one row.  Files of which any line announces the
+    moved API are left out by an anti join on the name."""
+    metar = weather_route(lines).where(F.col("route") == "metar")
+    moved = metar.where(F.col("line").contains(API_MOVED)).select("name").distinct()
+    read = metar.where(F.col("line").rlike(T_GROUP)).join(moved, "name", "left_anti")
+    return read.select("name", "obs_date", _t_group(F.col("line")).alias("temp_c"))
+
+
+def _t_group(line: Column) -> Column:
+    sign = F.when(F.regexp_extract(line, T_GROUP, 1) == "1", F.lit(-1)).otherwise(F.lit(1))
+    return sign * F.regexp_extract(line, T_GROUP, 2).cast("int") / F.lit(10.0)
 
 
 def _geojson(content: Column) -> Column:
@@ -91,10 +104,7 @@ def all_temps(objects: DataFrame, content: str = "content") -> DataFrame:
     of temperatures (higher-order ``filter``/``transform``), exploded once."""
     r = weather_route(objects)
     c = F.col(content)
-    t = F.regexp_extract
-    metar = F.transform(F.filter(F.split(c, LINE_BREAK), lambda ln: ln.rlike(T_GROUP)),
-                        lambda ln: F.when(t(ln, T_GROUP, 1) == "1", F.lit(-1)).otherwise(F.lit(1))
-                        * t(ln, T_GROUP, 2).cast("int") / F.lit(10.0))
+    metar = F.transform(F.filter(F.split(c, LINE_BREAK), lambda ln: ln.rlike(T_GROUP)), _t_group)
     temps = (F.when((F.col("route") == "metar") & ~c.contains(API_MOVED), metar)
              .when(F.col("route") == "geojson", _geojson(c)).when(F.col("route") == "json", _flat_json(c)))
     return (r.select("name", "obs_date", F.explode(temps).alias("temp_c"))

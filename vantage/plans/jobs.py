@@ -23,7 +23,7 @@ from __future__ import annotations
 import datetime as dt
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from vantage import sinks
@@ -32,16 +32,22 @@ from vantage.plans import levels as L
 from vantage.plans import publish as P
 from vantage.sources import levels as S
 from vantage.sources import snapshots as SN
-from vantage.streaming.stream import path_exists
+from vantage.session import observed, path_exists
 
 
 def build_hourly(spark: SparkSession, snapshots: str, root: str, capture_ts: str, tz: str = "UTC") -> DataFrame:
-    """M1: snapshot files -> flattened, complete observations of one capture hour."""
+    """M1: snapshot files -> flattened, complete observations of one capture hour.  The files are
+    parsed once: the report reads the partition that was written."""
     flat = SN.flatten(SN.read_snapshots(spark, snapshots), tz)
     cap = flat.withColumn("capture_ts", F.date_trunc("hour", F.lit(capture_ts).cast("timestamp_ntz")).cast("timestamp_ntz"))
-    h = L.hourly_level(cap)
+    written = Observation()
+    h = L.hourly_level(cap).observe(written, F.count(F.lit(1)).alias("n"))
     sinks.write_level(h, root, "hourly", ("capture_date", "capture_hour"))
-    return L.capture_hourly(cap)
+    if not observed(written).get("n", 0):        # nothing was written, and an earlier capture of the hour stays
+        return L.capture_hourly(spark.createDataFrame([], cap.schema))
+    at = dt.datetime.fromisoformat(capture_ts).replace(minute=0, second=0, microsecond=0)
+    hour = S.read_level(spark, root, "hourly", dates=[str(at.date())]).where(F.col("capture_hour") == at.hour)
+    return L.capture_hourly(hour.drop("capture_date", "capture_hour"))
 
 
 def build_daily(spark: SparkSession, root: str, dates) -> DataFrame:
@@ -97,10 +103,13 @@ def publish(spark: SparkSession, root: str, uri: str, level: str, days_back: int
 
 
 def build_weather(spark: SparkSession, objects: str, root: str) -> DataFrame:
-    """Weather files -> the weekly temperature table.  Returns the counts per route."""
-    read = S.read_text_objects(spark, objects)
-    W.weather_weekly(W.all_temps(read)).write.mode("overwrite").parquet(f"{root.rstrip('/')}/weather_weekly")
-    return W.route_counts(W.weather_route(read))
+    """Weather files -> the weekly temperature table.  Returns the counts per route.  JSON files
+    are read whole, METAR files line by line; of other files only the names are looked at."""
+    json = S.read_text_objects(spark, objects, "*.json")
+    temps = W.all_temps(json).unionByName(W.metar_temps_by_line(S.read_lines(spark, objects)))
+    W.weather_weekly(temps).write.mode("overwrite").parquet(f"{root.rstrip('/')}/weather_weekly")
+    rest = S.list_files(spark, objects).where(~F.col("path").endswith(".json"))
+    return W.route_counts(W.weather_route(json.unionByName(rest.select(F.col("path").alias("name"), F.lit("").alias("content")))))
 
 
 def _settled(plan: DataFrame) -> DataFrame:

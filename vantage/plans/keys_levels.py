@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from vantage.functions.columns import alt_ft, on_ground
 from vantage.operators import dedup as D
+from vantage.operators import keyed as K
 from vantage.operators import reports as R
+from vantage.operators import sketches as SK
 from vantage.oracle import ALT_FT, WS, sql, week_ending
 from vantage import sinks
 from vantage.plans import levels as L
@@ -269,7 +273,14 @@ def _keyed_append_stats(spark, sf):
     a = _stats(spark, sf, "a")
     batch = a.unionByName(_stats(spark, sf, "b"))
     target = a.where(F.col("period") == "latest")
-    return D.append_new(target, batch, D.STATS_KEY, ("source_file",))
+    return _stored(spark, target, "stats", D.STATS_KEY, "end_epoch").new_rows(batch, ("source_file",))
+
+
+def _stored(spark, rows, name, keys, epoch):
+    """A keyed table of this query run that holds ``rows``."""
+    store = K.KeyedStore(spark, shared_dir(spark, unique_name(f"keyed-{name}")), rows.schema, keys, epoch)
+    store.append(rows)
+    return store
 
 
 @register("keyed_append", sql("""
@@ -280,7 +291,20 @@ SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM t WHERE t.hex = b.hex AND t.obse
                               "captures"))
 def _keyed_append(spark, sf):
     target = R.complete_only(fx.obs(spark, sf))
-    return D.append_new(target, fx.captures(spark, sf), D.OBS_KEY, ("source_file", "capture_ts"))
+    store = _stored(spark, target, "observations", D.OBS_KEY, "observation_epoch")
+    return store.new_rows(fx.captures(spark, sf), ("source_file", "capture_ts"))
+
+
+@register("keyed_append_rejects", sql("""
+SELECT missing_part, COUNT(*) AS rows FROM (SELECT CASE WHEN event_id % 53 = 0 THEN 'hex'
+ WHEN event_id % 59 = 0 THEN 'observation_epoch' END AS missing_part FROM captures) WHERE missing_part IS NOT NULL GROUP BY 1""", "captures"))
+def _keyed_append_rejects(spark, sf):
+    """Captures of which some lost a part of their key on the way, counted as the table rejects them."""
+    lost = fx.captures(spark, sf).withColumns({
+        "hex": F.when(F.col("event_id") % 53 != 0, F.col("hex")),
+        "observation_epoch": F.when(F.col("event_id") % 59 != 0, F.col("observation_epoch"))})
+    store = _stored(spark, lost, "lossy", D.OBS_KEY, "observation_epoch")
+    return store.rejects().groupBy("missing_part").agg(F.count(F.lit(1)).alias("rows"))
 
 
 @register("db_summary", sql(f"""
@@ -300,14 +324,63 @@ def _db_summary(spark, sf):
 
 
 @register("file_listing", sql("""
-SELECT 'capture_date=' || CAST(capture_date AS VARCHAR) AS folder, COUNT(*) AS rows FROM daily GROUP BY capture_date""", "daily"))
+SELECT 'capture_date=' || CAST(capture_date AS VARCHAR) AS folder, 1 AS files, CAST(SUM(strlen(hex) + 1) AS BIGINT) AS size,
+ TRUE AS named, TRUE AS current FROM daily GROUP BY capture_date""", "daily"))
 def _file_listing(spark, sf):
-    """S9 over a level written for it: the listing names every date's folder, and the rows are read
-    back from the listed files."""
-    root = shared_dir(spark, unique_name("listing"))
-    sinks.write_level(daily(spark, sf).select("hex", "capture_date"), root, "daily")
-    folder = F.regexp_extract("path", "(capture_date=[^/]+)/", 1)
-    listed = S.list_files(spark, f"{root}/daily", "*.parquet").select(folder.alias("folder")).distinct()
-    stored = S.read_level(spark, root, "daily").groupBy(F.concat(F.lit("capture_date="), F.col("capture_date").cast("string")).alias("folder")) \
-        .agg(F.count(F.lit(1)).alias("rows"))
-    return listed.join(stored, "folder")
+    """S9 over a level written for it, one text file a date: what the listing says of name, size and
+    time is held against what was written and when."""
+    root = shared_dir(spark, unique_name("listing-of"))
+    started = int(time.time()) - 300           # the store's clock may differ a little
+    daily(spark, sf).select("hex", "capture_date").repartition("capture_date").write.partitionBy("capture_date").text(root)
+    listed = S.list_tree(spark, root, "*.txt", prefixes=16)
+    seconds = F.unix_seconds("mtime")
+    return (listed.groupBy(F.regexp_extract("path", "(capture_date=[^/]+)/", 1).alias("folder"))
+            .agg(F.count(F.lit(1)).cast("int").alias("files"), F.sum("size").alias("size"),
+                 F.bool_and(F.col("name").rlike(r"^part-[^/]+\.txt$")).alias("named"),
+                 F.bool_and(seconds.between(started, int(time.time()) + 300)).alias("current")))
+
+
+@register("level_metadata", sql("""
+SELECT capture_date, COUNT(*) AS rows, MIN(observation_epoch) AS first_epoch, MAX(observation_epoch) AS last_epoch FROM daily GROUP BY capture_date""", "daily"))
+def _level_metadata(spark, sf):
+    root = shared_dir(spark, unique_name("metadata"))
+    path = sinks.write_level(daily(spark, sf).select("hex", "observation_epoch", "capture_date"), root, "daily")
+    return S.level_metadata(spark, path)
+
+
+def _sketched(spark, sf):
+    """The daily level stored with its sketches; both as read back."""
+    root = shared_dir(spark, unique_name("sketched"))
+    path = sinks.write_level(daily(spark, sf).select("hex", "observation_time", "capture_date"), root, "daily")
+    level = spark.read.parquet(path)
+    SK.store_sketches(level, root)
+    return level, SK.read_sketches(spark, root)
+
+
+def _held(approx, exact, *by):
+    """Approximate counts beside exact ones: ``within`` is true inside four standard errors."""
+    error = F.abs(F.col("approx_aircraft") - F.col("exact"))
+    j = approx.join(exact, list(by))
+    return j.select(*by, "total_records", "earliest", "latest", "dates",
+                    (error <= F.greatest(F.lit(1.0), 4 * SK.standard_error() * F.col("exact"))).alias("within"))
+
+
+@register("weekly_summary_sketch", sql("""
+SELECT week_ending, COUNT(*) AS total_records, MIN(observation_time) AS earliest, MAX(observation_time) AS latest,
+ COUNT(DISTINCT capture_date) AS dates, TRUE AS within FROM weekly GROUP BY week_ending""", "daily", extra=[("weekly", WEEKLY)]))
+def _weekly_summary_sketch(spark, sf):
+    """A3 from stored sketches; what they say of the aircraft is held against the exact count."""
+    level, sketches = _sketched(spark, sf)
+    exact = L.weekly_level(level).groupBy("week_ending").agg(F.count_distinct("hex").alias("exact"))
+    return _held(SK.weekly_summary(sketches), exact, "week_ending")
+
+
+@register("range_summary_sketch", sql(f"""
+SELECT COUNT(*) AS total_records, MIN(observation_time) AS earliest, MAX(observation_time) AS latest,
+ COUNT(DISTINCT capture_date) AS dates, TRUE AS within
+FROM daily WHERE capture_date BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'""", "daily"))
+def _range_summary_sketch(spark, sf):
+    level, sketches = _sketched(spark, sf)
+    month = level.where(F.col("capture_date").between(F.lit(MONTH[0]).cast("date"), F.lit(MONTH[1]).cast("date")))
+    exact = month.agg(F.lit(0).alias("total"), F.count_distinct("hex").alias("exact"))
+    return _held(SK.range_summary(sketches, *MONTH).withColumn("total", F.lit(0)), exact, "total").drop("total")

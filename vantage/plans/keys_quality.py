@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vantage.functions.columns import week_ending as week_ending_of
 from vantage.operators import quality as Q
 from vantage.operators import reports as R
 from vantage.oracle import sql, week_ending
@@ -11,6 +12,7 @@ from vantage.plans import levels as L
 from vantage.plans import publish as P
 from vantage.plans.catalog import register
 from vantage.plans.keys_levels import daily, hourly
+from vantage.session import staged
 from vantage.sources import fixtures as fx
 
 # Fixed clocks and thresholds of the registered queries.
@@ -174,9 +176,11 @@ SELECT * FROM parts
 UNION ALL SELECT 'overall', CAST(SUM(expected) AS BIGINT), CAST(SUM(found) AS BIGINT), CAST(SUM(flagged) AS BIGINT), bool_and(ok) FROM parts""",
                                  "daily", "files_with_gaps"))
 def _pipeline_status(spark, sf):
-    d = daily(spark, sf)
-    return Q.pipeline_status(fx.files_with_gaps(spark, sf), hourly(spark, sf), d, fx.level_files(d, "capture_date"),
-                             fx.level_files(L.weekly_level(d), "week_ending"), MONITOR_NOW)
+    # the daily level is folded once, to one row a date, from which both listings follow
+    counts = staged(Q.level_counts(daily(spark, sf)), "daily-counts")
+    sizes = counts.select("capture_date", (F.col("rows") * 41).alias("size"))
+    weeks = sizes.groupBy(week_ending_of("capture_date").alias("week_ending")).agg(F.sum("size").alias("size"))
+    return Q.pipeline_status(fx.files_with_gaps(spark, sf), hourly(spark, sf), counts, sizes, weeks, MONITOR_NOW)
 
 
 LOG_NOW = "2024-03-01 00:00:00"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from vantage.operators import weather as W
 from vantage.oracle import sql, week_ending
 from vantage.plans.catalog import register
@@ -20,12 +22,15 @@ routed AS (SELECT * EXCLUDE (day), TRY_CAST(day AS DATE) AS obs_date,
   WHEN name LIKE '%:15%.json' AND obs_date >= DATE '{USABLE_FROM}' THEN 'json'
   WHEN name LIKE '%.json' AND obs_date <= DATE '{GEOJSON_UNTIL}' THEN 'geojson' ELSE 'other' END AS route
  FROM dated)"""
-METAR = r"""
-ml AS (SELECT name, obs_date, unnest(regexp_split_to_array(content, '\r\n|\r|\n')) AS line FROM routed
-       WHERE route = 'metar' AND NOT contains(content, 'API endpoint has moved')),
-mt AS (SELECT name, obs_date, CASE WHEN regexp_extract(line, 'T([01])(\d{3})([01])(\d{3})', 1) = '1' THEN -1 ELSE 1 END
-        * CAST(regexp_extract(line, 'T([01])(\d{3})([01])(\d{3})', 2) AS INTEGER) / 10.0::DOUBLE AS temp_c
-       FROM ml WHERE regexp_matches(line, 'T([01])(\d{3})([01])(\d{3})'))"""
+# The same for METAR text: the group that holds the temperature (sign, tenths), the line ends and the
+# announcement that a file is none.
+T_GROUP, LINE_END, MOVED = r"T([01])(\d{3})([01])(\d{3})", r"\r\n|\r|\n", "API endpoint has moved"
+READING = (f"CASE WHEN regexp_extract(line, '{T_GROUP}', 1) = '1' THEN -1 ELSE 1 END"
+           f" * CAST(regexp_extract(line, '{T_GROUP}', 2) AS INTEGER) / 10.0::DOUBLE")
+METAR = f"""
+ml AS (SELECT name, obs_date, unnest(regexp_split_to_array(content, '{LINE_END}')) AS line FROM routed
+       WHERE route = 'metar' AND NOT contains(content, '{MOVED}')),
+mt AS (SELECT name, obs_date, {READING} AS temp_c FROM ml WHERE regexp_matches(line, '{T_GROUP}'))"""
 GEO = """
 gj AS (SELECT name, obs_date, unnest(from_json(content, '{"features":[{"properties":{"temp":"VARCHAR"}}]}').features) AS f
        FROM routed WHERE route = 'geojson' AND json_valid(content)),
@@ -55,6 +60,19 @@ def _metar_temps(spark, sf):
     return W.metar_temps(_routed(spark, sf))
 
 
+LINES = f"""
+fl AS (SELECT name, obs_date, unnest(regexp_split_to_array(content, '{LINE_END}')) AS line FROM routed WHERE route = 'metar'),
+gone AS (SELECT DISTINCT name FROM fl WHERE contains(line, '{MOVED}')),
+lt AS (SELECT name, obs_date, {READING} AS temp_c FROM fl WHERE regexp_matches(line, '{T_GROUP}') AND name NOT IN (SELECT name FROM gone))"""
+
+
+@register("metar_temps_by_line", sql("WITH " + ROUTED + "," + LINES + " SELECT * FROM lt", "weather_objects"))
+def _metar_temps_by_line(spark, sf):
+    """All objects of one name are the lines of one file here, so that files differ in length."""
+    objects = fx.weather_objects(spark, sf)
+    return W.metar_temps_by_line(objects.select("name", F.explode(F.split("content", W.LINE_BREAK)).alias("line")))
+
+
 @register("geojson_temps", sql("WITH " + ROUTED + "," + GEO + " SELECT * FROM gt", "weather_objects"))
 def _geojson_temps(spark, sf):
     return W.geojson_temps(_routed(spark, sf))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 # Settings the operators rely on.  The session zone only matters for streaming
 # (event time must be TIMESTAMP there); batch operators work on TIMESTAMP_NTZ and
@@ -78,5 +78,24 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return base.rstrip("/") + "/" + name
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once however often it is used, its
+    size known to the planner, and safe from lost executors."""
+    path = shared_dir(df.sparkSession, unique_name(name))
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def observed(metrics: Observation) -> dict:
+    """The observed metrics; none where the plan was found empty before it ran, as Spark then has
+    nothing to report."""
+    return metrics.get if metrics._jo.getRow().schema() is not None else {}
+
+
 def unique_name(prefix: str) -> str:
     return f"{prefix}-{os.getpid()}-{os.urandom(4).hex()}"

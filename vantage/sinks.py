@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import time
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +25,28 @@ def _write_partitions(df: DataFrame, path: str, partition_cols, mode: str) -> No
        .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_cols).parquet(path))
 
 
-def refresh_table(df: DataFrame, name: str) -> None:
-    """K2: full refresh (drop + create as select)."""
-    df.write.mode("overwrite").saveAsTable(name)
+def refresh_table(df: DataFrame, name: str, root: str | None = None, keep: int = 2) -> str:
+    """K2: full refresh that no reader meets half done.
+
+    The rows go to a new folder under ``root`` (by default beside the warehouse's tables); only when
+    it is complete does one catalog step point the view ``name`` to it.  Readers see the old rows or
+    the new ones, a write that fails leaves the old ones, and a query that runs goes on reading its
+    own folder: the newest ``keep`` versions stay, older ones are deleted.  Returns the folder."""
+    spark = df.sparkSession
+    root = (root or f"{spark.conf.get('spark.sql.warehouse.dir')}/{name}.versions").rstrip("/")
+    folder = f"{root}/{time.time_ns():020d}-{os.urandom(3).hex()}"
+    df.write.parquet(folder)
+    if any(t.name == name.split(".")[-1] and t.tableType in ("MANAGED", "EXTERNAL") for t in spark.catalog.listTables()):
+        spark.sql(f"DROP TABLE {name}")         # a plain table of an earlier layout
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    parent = spark._jvm.org.apache.hadoop.fs.Path(root)
+    fs = parent.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = sorted((s.getPath() for s in fs.listStatus(parent) if s.isDirectory()), key=lambda p: p.getName())
+    complete = [p for p in folders if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    for old in folders:
+        if len(complete) > keep and old.getName() < complete[-keep].getName():
+            fs.delete(old, True)
+    return folder
 
 
 def publish(df: DataFrame, uri: str, partition_cols=("capture_date",)) -> str:

@@ -81,18 +81,25 @@ SNAPSHOT_FIELDS = {
 }
 
 
+def with_snapshot_fields(o: DataFrame) -> DataFrame:
+    modes = (F.when(F.col("event_id") % 3 == 0, F.array(F.lit("autopilot"), F.lit("vnav")))
+             .when(F.col("event_id") % 3 == 1, F.array(F.lit("tcas"))))
+    return o.withColumns({n: F.expr(x) for n, x in SNAPSHOT_FIELDS.items()}).withColumn("nav_modes", modes)
+
+
 def snapshot_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return docs_of(with_snapshot_fields(obs(spark, sf_dir)))
+
+
+def docs_of(o: DataFrame, *keep: str) -> DataFrame:
     """Snapshot documents of two aircraft each: the observation with all its fields, and one of a
     non-standard address that has hardly any."""
     from vantage.schemas import AIRCRAFT
     from vantage.sources.snapshots import to_snapshot_docs
-    modes = (F.when(F.col("event_id") % 3 == 0, F.array(F.lit("autopilot"), F.lit("vnav")))
-             .when(F.col("event_id") % 3 == 1, F.array(F.lit("tcas"))))
-    o = obs(spark, sf_dir).withColumns({n: F.expr(x) for n, x in SNAPSHOT_FIELDS.items()}).withColumn("nav_modes", modes)
     full = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in AIRCRAFT.fields])
     bare = {"hex": F.concat(F.lit("~"), F.col("hex")), "flight": F.lit("   "), "rssi": F.col("rssi"), "alt_baro": F.lit("ground")}
     other = F.struct(*[bare.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in AIRCRAFT.fields])
-    return to_snapshot_docs(o, [full, other])
+    return to_snapshot_docs(o, [full, other], *keep)
 
 
 def airframe_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

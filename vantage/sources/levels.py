@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from vantage.schemas import AIRFRAME_RAW, OBSERVATION
+from vantage.session import shared_dir, unique_name
 
 
 def read_level(spark: SparkSession, root: str, level: str, dates=None, pattern: str | None = None) -> DataFrame:
@@ -27,6 +28,21 @@ def read_level(spark: SparkSession, root: str, level: str, dates=None, pattern:
     return df
 
 
+def level_metadata(spark: SparkSession, path: str, by: str = "capture_date", epoch: str = "observation_epoch") -> DataFrame:
+    """A7, M5, M6 without reading rows: per partition of a stored level the number of rows and the
+    first and last ``epoch``, answered from the Parquet footers alone (aggregates pushed into the
+    scan).  Turns ``spark.sql.parquet.aggregatePushdown`` on for the session."""
+    spark.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    v1 = "spark.sql.sources.useV1SourceList"
+    before = spark.conf.get(v1)
+    try:        # only the newer reader takes aggregates; which one is chosen when the path is loaded
+        spark.conf.set(v1, ",".join(f for f in before.split(",") if f != "parquet"))
+        df = spark.read.parquet(path)
+    finally:
+        spark.conf.set(v1, before)
+    return df.groupBy(by).agg(F.count(F.lit(1)).alias("rows"), F.min(epoch).alias("first_epoch"), F.max(epoch).alias("last_epoch"))
+
+
 def latest_captures(df: DataFrame, n: int, col: str = "capture_date", dates_of: DataFrame | None = None) -> DataFrame:
     """Rows of the latest ``n`` values of ``col``.  ``dates_of`` may name a cheaper frame with
     the same dates (the level that ``df`` is built from).  The n values are a bounded relation
@@ -72,38 +88,68 @@ def union_by_name(dfs, schema: StructType = OBSERVATION) -> DataFrame:
 
 
 def read_drifted(spark: SparkSession, paths, schema: StructType = OBSERVATION) -> DataFrame:
-    """S7 over files whose column types differ.  The footers are read by tasks, a share of the files
-    each; the driver gets one row per distinct schema with its files, reads each group as one scan,
-    conforms it and unions the groups."""
-    paths = list(paths)
-    listed = spark.createDataFrame([(p,) for p in paths], "path string").repartition(max(1, min(len(paths), 256)))
-    schemas = listed.mapInPandas(_footers, "path string, fields string")
-    groups = schemas.groupBy("fields").agg(F.sort_array(F.collect_list("path")).alias("paths")).collect()
-    found = [spark.read.parquet(*r["paths"]) for r in sorted(groups, key=lambda r: r["paths"][0])]
-    return union_by_name(found, schema)
-
-
-def _footers(batches):
-    """(path, column names and types) of Parquet files or folders, from their footers alone."""
-    import pandas as pd
-    from pyarrow import fs
-    from pyarrow import parquet as pq
-    for batch in batches:
-        rows = []
-        for path in batch["path"]:
-            uri = path if "://" in path else "file://" + path if path.startswith("/") else path
-            store, inner = fs.FileSystem.from_uri(uri)
-            if store.get_file_info(inner).type == fs.FileType.Directory:
-                inner = sorted(f.path for f in store.get_file_info(fs.FileSelector(inner, recursive=True))
-                               if f.path.endswith(".parquet"))[0]
-            read = pq.read_schema(inner, filesystem=store)
-            rows.append((path, ", ".join(f"{f.name} {f.type}" for f in read)))
-        yield pd.DataFrame(rows, columns=["path", "fields"])
-
-
-def list_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+    """S7 over files and folders whose column types differ.  Every footer is read by Spark's own
+    Parquet reader in tasks, so any file system that Spark is set up for will do; files of one set of
+    types become one scan, each scan is conformed and the scans are united."""
+    return union_by_name([_reader(spark, base).schema(s).parquet(*files)
+                          for s, files, base in schema_groups(spark, paths)], schema)
+
+
+def _reader(spark: SparkSession, base: str | None):
+    return spark.read.option("basePath", base) if base else spark.read
+
+
+def schema_groups(spark: SparkSession, paths) -> list[tuple[StructType, list[str], str | None]]:
+    """(schema, paths, base) of the groups of ``paths`` whose types agree; a folder is one path as
+    long as its own files agree, and else the ``base`` of their partition columns.  Columns that a
+    file lacks are no disagreement.
+
+    A list whose footers merge is one group after one job.  One that does not is cut in half, in the
+    order of the names: where types change k times along it, some k log n jobs find the changes."""
+    found: list[tuple[StructType, list[str], str | None]] = []
+
+    def split(part: list[str], base: str | None) -> None:
+        try:
+            found.append((_reader(spark, base).option("mergeSchema", "true").parquet(*part).schema, part, base))
+            return
+        except Exception as e:
+            if not _types_differ(e):
+                raise
+        if len(part) == 1:
+            base, part = part[0], sorted(r["path"] for r in list_files(spark, part[0], "*.parquet").select("path").collect())
+        middle = len(part) // 2
+        split(part[:middle], base)
+        split(part[middle:], base)
+
+    split(sorted(paths), None)
+    groups: list[tuple[StructType, list[str], str | None]] = []
+    for s, part, base in found:
+        for k, (known, files, root) in enumerate(groups):
+            merged = _united(known, s) if root == base else None
+            if merged is not None:
+                groups[k] = (merged, files + part, base)
+                break
+        else:
+            groups.append((s, part, base))
+    return groups
+
+
+def _types_differ(e: Exception) -> bool:
+    return "CANNOT_MERGE" in str(e)
+
+
+def _united(a: StructType, b: StructType) -> StructType | None:
+    """All columns of two schemas, None where a shared one has two types."""
+    have = {f.name: f.dataType for f in a.fields}
+    if any(f.name in have and have[f.name] != f.dataType for f in b.fields):
+        return None
+    return StructType(a.fields + [f for f in b.fields if f.name not in have])
+
+
+def list_files(spark: SparkSession, path: str | list, glob: str | None = None, recursive: bool = True) -> DataFrame:
     """Name, size and modification time of every file under ``path`` (content not read:
-    the binaryFile source prunes the ``content`` column)."""
+    the binaryFile source prunes the ``content`` column).  Spark's scans pass over files of no bytes;
+    ``list_tree`` names those too."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", str(recursive).lower())
     if glob:
         r = r.option("pathGlobFilter", glob)
@@ -112,12 +158,60 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None, recursiv
                      F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
-def read_text_objects(spark: SparkSession, path: str) -> DataFrame:
+def list_tree(spark: SparkSession, root: str, glob: str | None = None, prefixes: int = 1000) -> DataFrame:
+    """S9 for large stores: the files under ``root``, listed ``prefixes`` folders at a time.
+
+    The driver learns the names of the folders right under ``root`` only.  Each share of them is
+    listed by Spark tasks and written to the shared folder before the next one is, so that no process
+    ever holds more than one share; what is returned reads the written rows.  Files right under
+    ``root`` are one share of their own."""
+    fs_path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    statuses = list(fs_path.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(fs_path))
+    folders = sorted(s.getPath().toString() for s in statuses if s.isDirectory())
+    shares = [folders[k:k + prefixes] for k in range(0, len(folders), prefixes)]
+    shares.append([s.getPath().toString() for s in statuses if s.isFile()])
+    out = shared_dir(spark, unique_name("listing"))
+    in_tasks = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before = spark.conf.get(in_tasks)
+    try:
+        spark.conf.set(in_tasks, "1")
+        for k, share in enumerate(shares):
+            if share:
+                part = list_files(spark, share, glob)
+                part.unionByName(_without_bytes(spark, part)).write.mode("overwrite").parquet(f"{out}/share={k}")
+    finally:
+        spark.conf.set(in_tasks, before)
+    listed = "path string, name string, size bigint, mtime timestamp"
+    return (spark.read.schema(listed + ", share int").parquet(out).drop("share") if any(shares)
+            else spark.createDataFrame([], listed))
+
+
+def _without_bytes(spark: SparkSession, listed: DataFrame) -> DataFrame:
+    """The files of a listing that its scan passes over; few, so they are asked for one by one."""
+    names = spark.createDataFrame([(p,) for p in listed.inputFiles()], "path string")
+    rows = []
+    for r in names.join(listed, "path", "left_anti").collect():
+        path = spark._jvm.org.apache.hadoop.fs.Path(r["path"])
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        if status.getLen() == 0:
+            rows.append((r["path"], path.getName(), 0, status.getModificationTime()))
+    found = spark.createDataFrame(rows, "path string, name string, size bigint, millis bigint")
+    return found.select("path", "name", "size", F.timestamp_millis("millis").alias("mtime"))
+
+
+def read_text_objects(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
     """One row per object with its whole text; bytes that are not UTF-8 are replaced."""
-    df = spark.read.text(path, wholetext=True)
+    df = (spark.read.option("pathGlobFilter", glob) if glob else spark.read).text(path, wholetext=True)
     return df.select(F.col("_metadata.file_path").alias("name"), F.make_valid_utf8("value").alias("content"))
 
 
+def read_lines(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+    """S10 for line-wise files: (name, line), each file split over tasks by size; bytes that are not
+    UTF-8 are replaced."""
+    df = spark.read.option("pathGlobFilter", glob).text(path)
+    return df.select(F.col("_metadata.file_path").alias("name"), F.make_valid_utf8("value").alias("line"))
+
+
 def read_airframes(spark: SparkSession, path: str) -> DataFrame:
     """S3 + P7: registry NDJSON with a fixed schema, renamed to the table's column names."""
     raw = spark.read.schema(AIRFRAME_RAW).json(path)

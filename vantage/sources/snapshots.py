@@ -47,10 +47,10 @@ def rejected_snapshots(snapshots: DataFrame) -> DataFrame:
     return snapshots.agg(F.count(F.lit(1)).alias("read"), F.count_if(bad).alias("rejected"))
 
 
-def to_snapshot_docs(obs: DataFrame, aircraft) -> DataFrame:
+def to_snapshot_docs(obs: DataFrame, aircraft, *keep: str) -> DataFrame:
     """Rows -> snapshot JSON text with its slot name: one document per row, holding the aircraft
     structs ``aircraft`` (columns).  Used to feed the JSON path from the driver tables; no grouping,
     so no group can grow."""
     doc = F.to_json(F.struct(F.col("observation_epoch").alias("now"), F.col("event_id").alias("messages"),
                              F.array(*aircraft).alias("aircraft")))
-    return obs.select(doc.alias("doc"), "source_file")
+    return obs.select(doc.alias("doc"), "source_file", *keep)
