@@ -116,7 +116,7 @@ def test_refresh_table(spark):
         sinks.refresh_table(df.union(df), name)
         assert spark.table(name).count() == 2
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
 
 
 def test_log_health_tail_and_age(spark):

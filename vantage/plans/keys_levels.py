@@ -360,7 +360,11 @@ def _sketched(spark, sf):
 def _held(approx, exact, *by):
     """Approximate counts beside exact ones: ``within`` is true inside four standard errors."""
     error = F.abs(F.col("approx_aircraft") - F.col("exact"))
-    j = approx.join(exact, list(by))
+    if by:
+        j = approx.join(exact, list(by))
+    else:           # one row each
+        both = approx.unionByName(exact, allowMissingColumns=True)
+        j = both.agg(*[F.max(c).alias(c) for c in both.columns])
     return j.select(*by, "total_records", "earliest", "latest", "dates",
                     (error <= F.greatest(F.lit(1.0), 4 * SK.standard_error() * F.col("exact"))).alias("within"))
 
@@ -382,5 +386,4 @@ FROM daily WHERE capture_date BETWEEN DATE '{MONTH[0]}' AND DATE '{MONTH[1]}'"""
 def _range_summary_sketch(spark, sf):
     level, sketches = _sketched(spark, sf)
     month = level.where(F.col("capture_date").between(F.lit(MONTH[0]).cast("date"), F.lit(MONTH[1]).cast("date")))
-    exact = month.agg(F.lit(0).alias("total"), F.count_distinct("hex").alias("exact"))
-    return _held(SK.range_summary(sketches, *MONTH).withColumn("total", F.lit(0)), exact, "total").drop("total")
+    return _held(SK.range_summary(sketches, *MONTH), month.agg(F.count_distinct("hex").alias("exact")))
