@@ -10,7 +10,7 @@ import numpy as np
 
 SLOTS = 4
 LOAD = 0.8
-ROUNDS = 200
+ROUNDS = 500
 
 
 class CuckooFilter:
@@ -67,23 +67,21 @@ class CuckooFilter:
         """Insert all; false (the filter is then of no use) where there is no room."""
         prints, buckets = self._home(hashes)
         rng = np.random.default_rng(len(hashes))
+        left = self._settle(prints, buckets)
+        prints, buckets = prints[left], buckets[left]
+        buckets = self._other(prints, buckets)
         for _ in range(ROUNDS):
-            if not len(prints):
-                return True
             left = self._settle(prints, buckets)
             prints, buckets = prints[left], buckets[left]
             if not len(prints):
                 return True
-            buckets = self._other(prints, buckets)
-            left = self._settle(prints, buckets)
-            prints, buckets = prints[left], buckets[left]
-            # one item a bucket pushes another out, which goes to its own other bucket
+            # one item a bucket pushes another out, which goes on to its own other bucket
             _, pushers = np.unique(buckets, return_index=True)
             at, slot = buckets[pushers], rng.integers(0, SLOTS, len(pushers))
             out = self.table[at, slot].copy()
             self.table[at, slot] = prints[pushers]
             prints[pushers], buckets[pushers] = out, self._other(out, at)
-        return not len(prints)
+        return False
 
     def remove(self, hashes: np.ndarray) -> None:
         """Take back one insertion of each."""

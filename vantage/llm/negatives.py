@@ -17,8 +17,8 @@ best few rows per anchor; the final choice is made by Spark.  The bounds only sp
 could enter a result is passed over, and all scores are exact integers.
 
 Defined cases: a row whose key, label or vector is null, or whose vector is empty, holds null, NaN or
-infinite entries or has not the most frequent length (of ties the longest) takes no part; rows that
-repeat key, label and vector count once; a row that has the anchor's key is no positive of it; an
+infinite entries, entries so large that a score could pass 64 bits, or has not the most frequent
+length (of ties the longest) takes no part; rows that repeat key, label and vector count once; a row that has the anchor's key is no positive of it; an
 anchor without positives, or a positive without negatives, gives no rows; an empty table gives an
 empty result; other columns are left alone, whatever their names.
 """
@@ -26,6 +26,7 @@ empty result; other columns are left alone, whatever their names.
 from __future__ import annotations
 
 import heapq
+import math
 
 import numpy as np
 import pandas as pd
@@ -47,7 +48,9 @@ RESULT = ("anchor_id bigint, positive_id bigint, rank int, negative_id bigint, p
 def vector_rows(df: DataFrame, label: Column, vec: str = "embedding", key: str = "vec_id", scale: int = 256) -> DataFrame:
     """(id, label, x) of the rows that take part, each once."""
     width = dimension(df, vec)
-    usable = df.where(finite(vec) & (F.size(vec) == width))
+    most = math.isqrt((1 << 62) // max(width, 1))
+    usable = df.where(finite(vec) & (F.size(vec) == width)).where(
+        F.forall(integers(vec, scale), lambda c: F.abs(c) <= F.lit(most)))
     rows = usable.select(F.col(key).cast("long").alias("id"), label.cast("long").alias("label"),
                          integers(vec, scale).alias("x"))
     return rows.where(F.col("id").isNotNull() & F.col("label").isNotNull()).distinct()

@@ -28,6 +28,7 @@ from vantage.llm.common import small_batches, stage
 from vantage.llm.vectors import dimension, exact_dtype, finite, integers, magnitude, matrix
 
 SUM = pa.decimal128(38, 0)
+PART = 10 ** 18
 
 
 @dataclass
@@ -62,13 +63,16 @@ def _added(rows: DataFrame, width: int, part, size: int) -> list:
                     total = total + values
                 else:
                     fast, bound = fast + values, bound + reach
-        sums = [int(t) + int(f) for t, f in zip(total, fast)]
-        yield pa.record_batch([pa.array(np.arange(size, dtype=np.int32)), pa.array(sums, SUM)], ["i", "s"])
+        # in two parts, as products of large entries have more digits than a decimal
+        parts = [divmod(int(t) + int(f), PART) for t, f in zip(total, fast)]
+        high, low = (pa.array([p[k] for p in parts], SUM) for k in (0, 1))
+        yield pa.record_batch([pa.array(np.arange(size, dtype=np.int32)), high, low], ["i", "high", "low"])
 
-    found = rows.select("x").mapInArrow(add, "i int, s decimal(38,0)").groupBy("i").agg(F.sum("s").alias("s")).collect()
+    found = rows.select("x").mapInArrow(add, "i int, high decimal(38,0), low decimal(38,0)").groupBy("i").agg(
+        F.sum("high").alias("high"), F.sum("low").alias("low")).collect()
     out = [0] * size
     for r in found:
-        out[r["i"]] = int(r["s"])
+        out[r["i"]] = int(r["high"]) * PART + int(r["low"])
     return out
 
 
