@@ -90,6 +90,15 @@ def test_every_codepoint_class(tiktoken_encoding):
         assert np.frombuffer(ids, "<u4").tolist() == tiktoken_encoding.encode_ordinary(t), repr(t)
 
 
+def test_every_codepoint_before_a_contraction(tiktoken_encoding):
+    """Letters, numbers and others before 's, which is a match of its own after the first two only."""
+    coder = bytebpe.BytePairs(RANKS)
+    points = [c for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    some = ["".join(f"{chr(c)}'s a{chr(c)}1" for c in points[k:k + 512]) for k in range(0, len(points), 512)]
+    for t, ids in zip(some, coder.encode_all(some), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tiktoken_encoding.encode_ordinary(t), hex(ord(t[0]))
+
+
 def test_transition_functions_compose_associatively():
     n = len(bytebpe.THEN)
     a, b, c = np.meshgrid(*[np.arange(n)] * 3)

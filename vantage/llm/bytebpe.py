@@ -34,6 +34,16 @@ LONGEST = 64           # longer slices are merged each time
 SHORT = 32             # bytes of a slice that is merged without a heap
 CHUNK = 1 << 20        # characters that are scanned together, at least one text
 
+# The letters and numbers of Unicode 16.0, by which the library matches, that are
+# unassigned in the tables of Python 3.13 (Unicode 15.1).
+LATER_LETTERS = [(0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
+                 (0x10D6F, 0x10D85), (0x10EC2, 0x10EC4), (0x11380, 0x11389), (0x1138B, 0x1138B), (0x1138E, 0x1138E),
+                 (0x11390, 0x113B5), (0x113B7, 0x113B7), (0x113D1, 0x113D1), (0x113D3, 0x113D3), (0x11BC0, 0x11BE0),
+                 (0x13460, 0x143FA), (0x16100, 0x1611D), (0x16D40, 0x16D6C), (0x18CFF, 0x18CFF), (0x1E5D0, 0x1E5ED),
+                 (0x1E5F0, 0x1E5F0)]
+LATER_NUMBERS = [(0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
+                 (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA)]
+
 # codepoint classes
 OTHER, LETTER, NUMBER, SPACE, WHITE, QUOTE = range(6)
 # input symbols: a space before a non-space, white space before white space or the end, other
@@ -89,7 +99,7 @@ THEN, FROM_FRESH = _monoid()
 
 @lru_cache(maxsize=1)
 def _classes() -> np.ndarray:
-    """Class of every codepoint, by its general category and the White_Space property."""
+    """Class of every codepoint, by its general category and the White_Space property in Unicode 16.0."""
     table = np.zeros(sys.maxunicode + 1, np.uint8)
     category = unicodedata.category
     for c in range(sys.maxunicode + 1):
@@ -100,6 +110,9 @@ def _classes() -> np.ndarray:
             table[c] = NUMBER
         elif kind == "Z":
             table[c] = WHITE
+    for ranges, kind in ((LATER_LETTERS, LETTER), (LATER_NUMBERS, NUMBER)):
+        for first, last in ranges:
+            table[first:last + 1] = kind
     table[[9, 10, 11, 12, 13, 0x85]] = WHITE
     table[ord(" ")] = SPACE
     table[ord("'")] = QUOTE
