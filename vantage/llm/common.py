@@ -60,6 +60,27 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, max_rows: int, max_bytes
     return sorted(found, key=lambda r: (r["h"], r["t"]))
 
 
+HOT_KEYS = 50_000
+
+
+def join_unique(rows: DataFrame, entries: DataFrame, key: str) -> DataFrame:
+    """``rows`` with the columns of their entry; ``entries`` has each ``key`` once.
+
+    Keys of very many rows would each be one task of the join.  They are counted, by partial sums,
+    and their entries broadcast: as all counts add up to the number of rows, at most HOT_KEYS keys
+    lie above the bound.  All others are joined by key.  ``rows`` is read four times."""
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    bound = max(64, rows.count() // HOT_KEYS)
+    hot = counts.where(F.col("_n") > bound).select(F.col(key).alias("_h"), F.lit(True).alias("_hot"))
+    entries = entries.withColumnRenamed(key, "_e")
+    marked = rows.join(F.broadcast(hot), F.col(key) == F.col("_h"), "left")
+    few = entries.join(F.broadcast(hot), F.col("_e") == F.col("_h"), "left_semi")
+    same = F.col(key) == F.col("_e")
+    found = marked.where("_hot").join(F.broadcast(few), same)
+    rest = marked.where("_hot IS NULL").join(entries, same)
+    return found.drop("_h", "_hot", "_e").unionByName(rest.drop("_h", "_hot", "_e"))
+
+
 def fresh_name(df: DataFrame, base: str) -> str:
     """A column name that does not clash with those of ``df``."""
     taken = {c.lower() for c in df.columns}

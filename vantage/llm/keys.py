@@ -91,7 +91,7 @@ def op3(spark, sf_dir):
     FROM d WINDOW same AS (PARTITION BY text_sha256)""")
 def op4(spark, sf_dir):
     index = digest_index.fresh_index(spark)
-    marked = digest_index.mark_duplicates(documents(spark, sf_dir, "doc_id", "text"), index)
+    marked = digest_index.mark_in_batches(documents(spark, sf_dir, "doc_id", "text"), index, batches=2)
     index.close()
     return marked
 
