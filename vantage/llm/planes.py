@@ -13,7 +13,9 @@ share a ``doc_id`` are kept apart and sorted by text; an empty table gives files
 
 from __future__ import annotations
 
+import sys
 import zlib
+from array import array
 from functools import lru_cache
 from typing import Iterator
 
@@ -23,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import small_batches
+from vantage.llm.common import small_batches, stage
 
 BLOCK = 1 << 16        # ids in a block
 LEVEL = 3              # zstandard level
@@ -85,9 +87,11 @@ class WordEncoder:
         for a in range(0, len(cores), 4096):
             part = cores[a:a + 4096]
             for w, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = np.array(found.ids, "<u4").tobytes()
+                known[w] = _bytes_of(found.ids)
+        tails = self.tails
         for w, (core, tail) in new.items():
-            known[w] = known[core] + self.tails[tail]
+            if tail or core != w:
+                known[w] = known[core] + tails[tail]
         out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in words]
         for w in [w for w in new if len(w) > LONGEST] + [c for c in cores if len(c) > LONGEST]:
             known.pop(w, None)
@@ -95,12 +99,22 @@ class WordEncoder:
 
     def _core(self, word: str) -> tuple[str, str]:
         """(what the library is asked for, the mark after it)."""
-        tail = ""
-        if len(word) > 1 and word[-1] in self.tails and word[-2].isalpha() and ord(word[-2].lower()[-1]) < 0x250:
-            word, tail = word[:-1], word[-1]
+        tail = word[-1]
+        if (tail == "." or tail == ",") and len(word) > 1 and word[-2].isalpha() and ord(word[-2].lower()[-1]) < 0x250:
+            word = word[:-1]
+        else:
+            tail = ""
         return (word.lower() if word.isascii() and "<" not in word else word), tail
 
 
+def _bytes_of(ids: list[int]) -> bytes:
+    """The ids as little-endian unsigned 32-bit integers."""
+    found = array("I", ids)
+    if sys.byteorder == "big":
+        found.byteswap()
+    return found.tobytes()
+
+
 @lru_cache(maxsize=2)
 def _encoder(path: str) -> WordEncoder:
     import os
@@ -208,20 +222,21 @@ def crc32_joined(first: int, second: int, second_bytes: int) -> int:
 
 def document_checksums(spark: SparkSession, path: str) -> DataFrame:
     """Per document, from the files alone: doc_id, start, n_tokens, ids_crc32 (of its ids as
-    little-endian unsigned 32-bit integers).  A document in several blocks has its blocks'
-    checksums joined in order, so no task ever holds more ids than one block."""
+    little-endian unsigned 32-bit integers).  A document inside one block is done where the block is
+    read.  Only what touches a block's end may go on in the next one: those pieces are brought
+    together and their checksums joined in order, so no task ever holds more ids than one block."""
 
     def parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for b in batch.itertuples(index=False):
                 ids = restore_block(b.planes, list(b.plane_ends), b.n_ids, b.kind)
-                at = 0
-                for no, doc_id, n in zip(b.doc_nos, b.doc_ids, b.doc_n_ids, strict=True):
+                at, last = 0, len(b.doc_nos) - 1
+                for k, (no, doc_id, n) in enumerate(zip(b.doc_nos, b.doc_ids, b.doc_n_ids, strict=True)):
                     key = None if doc_id is None or doc_id != doc_id else int(doc_id)
-                    rows.append((b.shard, int(no), key, b.start + at, int(n), zlib.crc32(ids[at:at + n].tobytes())))
+                    rows.append((b.shard, int(no), key, b.start + at, int(n), zlib.crc32(ids[at:at + n]), 0 < k < last))
                     at += n
-            out = pd.DataFrame(rows, columns=["shard", "doc_no", "doc_id", "start", "n", "crc"])
+            out = pd.DataFrame(rows, columns=["shard", "doc_no", "doc_id", "start", "n", "crc", "whole"])
             yield out.astype({"doc_id": "Int64"})
 
     @F.pandas_udf("long")
@@ -234,10 +249,12 @@ def document_checksums(spark: SparkSession, path: str) -> DataFrame:
             out.append(crc)
         return pd.Series(out, dtype="int64")
 
-    found = (read_blocks(spark, path)
-             .select("shard", "start", "n_ids", "kind", "planes", "plane_ends", "doc_nos", "doc_ids", "doc_n_ids")
-             .mapInPandas(parts, "shard int, doc_no long, doc_id long, start long, n int, crc long"))
+    found = stage(read_blocks(spark, path)
+                  .select("shard", "start", "n_ids", "kind", "planes", "plane_ends", "doc_nos", "doc_ids", "doc_n_ids")
+                  .mapInPandas(parts, "shard int, doc_no long, doc_id long, start long, n int, crc long, whole boolean"), "pieces")
+    whole = found.where("whole").select("doc_id", "start", F.col("n").cast("long").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
     pieces: Column = F.sort_array(F.collect_list(F.struct("start", "n", "crc")))  # one for each of its blocks
-    return (found.groupBy("shard", "doc_no", "doc_id")
-            .agg(F.min("start").alias("start"), F.sum("n").alias("n_tokens"), pieces.alias("_pieces"))
-            .select("doc_id", "start", "n_tokens", joined("_pieces").alias("ids_crc32")))
+    cut = (found.where("NOT whole").groupBy("shard", "doc_no", "doc_id")
+           .agg(F.min("start").alias("start"), F.sum("n").alias("n_tokens"), pieces.alias("_pieces"))
+           .select("doc_id", "start", "n_tokens", joined("_pieces").alias("ids_crc32")))
+    return whole.unionByName(cut)
