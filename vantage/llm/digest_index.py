@@ -53,7 +53,9 @@ class DigestIndex:
         """Append the digests that are not in the index yet.  ``rows``: digest, doc_id, n."""
         groups = rows.groupBy("digest").agg(F.max("doc_id").alias("keep_id"), F.sum("n").alias("group_size"))
         placed = groups.repartition(self.buckets, "digest")
-        new = placed.join(self.entries().select("digest").hint("merge"), "digest", "left_anti")
+        known = self.entries().select(F.col("digest").alias("d"))
+        # the second condition keeps the join above the sums: below them every row would be shuffled
+        new = placed.join(known.hint("merge"), (F.col("digest") == F.col("d")) & (F.col("group_size") > 0), "left_anti")
         (new.select("digest", "keep_id", "group_size", F.lit(batch).cast("long").alias("batch"))
             .write.format("parquet").mode("append").bucketBy(self.buckets, "digest").sortBy("digest")
             .option("path", self.path).saveAsTable(self.table))
