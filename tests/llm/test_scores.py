@@ -293,12 +293,12 @@ def test_training_beats_the_start():
     ids = known.ids(known.ranks(text)[0])
     at, model = lbl.contexts(ids, known.end), lbl.LogBilinear(known.noise())
     before = model.log10(at, ids).mean()
-    squares = [np.zeros_like(p) for p in model.parts()]
+    squares = model.squares()
     for step in range(300):
         model.train(at, ids, squares, np.random.default_rng(step))
     model._log_z = None
     assert model.log10(at, ids).mean() > before + 0.3
-    again = lbl.LogBilinear(known.noise(), seed=9).unpack(model.packed())
+    again, _ = lbl.LogBilinear(known.noise(), seed=9).take_table(model.table(squares))
     assert np.allclose(again.log10(at, ids), model.log10(at, ids), atol=1e-5)
 
 
@@ -323,7 +323,7 @@ def test_classes_of_words(monkeypatch):
     at, model = lbl.contexts(ids, known.end), lbl.LogBilinear(known.noise())
     assert len(model.outputs) > known.outputs and len(model.top) < known.outputs
     before = model.log10(at, ids).mean()
-    squares = [np.zeros_like(p) for p in model.parts()]
+    squares = model.squares()
     for step in range(300):
         model.train(at, ids, squares, np.random.default_rng(step))
     model._log_z = None
@@ -331,18 +331,67 @@ def test_classes_of_words(monkeypatch):
     every = np.arange(known.outputs)
     for a, b in [(0, 1), (20, 21), (39, known.end), (known.other, known.other), (3, 30)]:
         assert abs((10 ** model.log10(np.tile([a, b], (known.outputs, 1)), every)).sum() - 1) < 1e-5
-    ones = [u + 1 for u in (np.zeros(len(model.inputs)), np.zeros(len(model.outputs)))]
-    again = lbl.LogBilinear(known.noise(), seed=9).unpack_weighted(model.weighted(*ones, 100))
+    again, _ = lbl.LogBilinear(known.noise(), seed=9).take_table(model.table(squares))
     assert np.allclose(again.log10(at, ids), model.log10(at, ids), atol=1e-4)
 
 
 def test_parameters_are_averaged_in_groups(spark, monkeypatch):
+    """Rows that some share moved become the mean by uses, others stay."""
     monkeypatch.setattr(lbl, "FANIN", 3)
-    rows = [(t, float(1 + t % 3), np.full(4, t, "<f4").tobytes()) for t in range(20)]
-    made = spark.createDataFrame(rows, "task long, tokens double, model binary")
-    want = sum(t * n for t, n, _ in rows) / sum(n for _, n, _ in rows)
-    assert np.allclose(np.frombuffer(lbl._averaged(made), "<f4"), want, rtol=1e-5)
-    assert lbl._averaged(made.limit(0)) is None
+    rng = np.random.default_rng(5)
+    table = rng.standard_normal((3000, lbl.DIMENSION + 3)).astype(np.float32)
+    uses, sums, records = np.zeros(3000), np.zeros(table.shape), []
+    for share in range(0, 40, 2):
+        at = np.sort(rng.choice(2900, 200, replace=False))
+        u, rows = rng.random(200) + 0.1, rng.standard_normal((200, lbl.DIMENSION + 3))
+        uses[at] += u
+        sums[at] += rows * u[:, None]
+        records.append(lbl._records(share, at, u, rows * u[:, None]))
+    made = spark.createDataFrame([tuple(r) for part in records for r in part.itertuples(index=False)], lbl.MOVED).repartition(7)
+    want = table.copy()
+    want[uses > 0] = sums[uses > 0] / uses[uses > 0, None]
+    assert np.allclose(lbl._averaged(made, table), want, rtol=1e-4, atol=1e-5)
+    assert (lbl._averaged(made.limit(0), table) == table).all()
+
+
+def slow_score(t, known, model, counts):
+    """The sum over tokens of the model's log10 probability, token by token."""
+    words = [w for w in (t or "").encode().lower().split()]
+    ids, total = [known.rank[w] if -1 < known.rank[w] < known.shortlist else known.other for w in words] + [known.end], 0.0
+    before = [known.end, known.end]
+    for k, i in enumerate(ids):
+        total += float(model.log10(np.array([before]), np.array([i]))[0])
+        before = [i, before[0]]
+        if i == known.other:
+            total += math.log10(counts[words[k]] + 1) - known.log_other
+    return total
+
+
+def test_scores_equal_token_by_token_and_do_not_depend_on_partitions(spark, odd, monkeypatch):
+    monkeypatch.setattr(lbl, "SHARE_TOKENS", 20_000)      # several shares, two rounds
+    monkeypatch.setattr(lbl, "SHORTLIST", 300)
+    kept = {}
+
+    def remember(*args, made=lbl.train, **more):
+        kept["model"], kept["known"] = made(*args, **more), args[1]
+        return kept["model"]
+
+    monkeypatch.setattr(lbl, "train", remember)
+    rows = [(i, t) for i, t in odd_texts()] + [(100 + k, " ".join(f"w{(k * j) % 97}" for j in range(40))) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = []
+    for parts in (1, 6):
+        found.append(sorted((str(r.doc_id), r.n_tokens, round(r.score, 3)) for r in lbl.score_documents(docs.repartition(parts), F.lit(True)).collect()))
+    assert found[0] == found[1]
+    counts = Counter(w for _, t in rows for w in (t or "").encode().lower().split())
+    short = [(i, t) for i, t in rows if len(t or "") < 10_000]
+    want = sorted((str(i), round(slow_score(t, kept["known"], kept["model"], counts), 2)) for i, t in short)
+    got = sorted((i, round(x, 2)) for i, n, x in found[0] if n < 2000)
+    assert [i for i, _ in got] == [i for i, _ in want] and np.allclose([x for _, x in got], [x for _, x in want], atol=0.05)
+    # the odd table's columns, and a table of texts alone
+    assert lbl.score_documents(odd, F.lit(True)).columns[:3] == ["doc_id", "digest", "fp"]
+    alone = lbl.score_documents(docs.select("text"), F.lit(True))
+    assert alone.columns == ["n_tokens", "n_known", "train_tokens", "base_score", "score"] and alone.count() == len(rows)
 
 
 def test_language_model_query(spark, empty):
