@@ -219,6 +219,72 @@ copyright notice and this permission notice appear in all copies.
 }
 
 
+HEADED = {
+    "BSD-3-Clause": "Copyright (c) 2020, Some One\nAll rights reserved.\n\n" + WRAPPED["BSD-3-Clause"] + """
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL ANYONE BE LIABLE.
+""",
+    "Apache-2.0": "# Copyright 2019 Some One. All rights reserved.\n#\n" + WRAPPED["Apache-2.0"] + """#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.
+""",
+    "LGPL-2.1-or-later": """ * This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+""",
+    "AGPL-3.0-or-later": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+""",
+    "zlib": """This software is provided 'as-is', without any express or implied
+warranty. In no event will the authors be held liable for any damages
+arising from the use of this software.
+
+Permission is granted to anyone to use this software for any purpose,
+including commercial applications, and to alter it and redistribute it
+freely, subject to the following restrictions:
+""",
+    "Unlicense": "This is free and unencumbered software released into the public domain.\n",
+    "BSL-1.0": "// Distributed under the Boost Software License, Version 1.0. (See accompanying file)\n",
+    "EPL-2.0": " * This program and the accompanying materials are made available under the\n * terms of the Eclipse Public License 2.0 which\n"
+               " * accompanies this distribution, and is available at\n * https://www.eclipse.org/legal/epl-2.0/\n",
+    "MIT": "Read me\n\nThis project is licensed under the MIT License.\n",
+    "GPL-2.0-only": "// SPDX-License-Identifier: GPL-2.0-only\n#include <x.h>\n",
+    "proprietary": "Copyright (c) 2018 A Firm. All rights reserved.\nNothing else.",
+    "": "Some text about the MIT License and all rights.\n",
+}
+
+
+def test_licences_with_notices_and_headers(spark):
+    rows = [(name, t) for name, t in HEADED.items()]
+    got = {r.doc_id: (r.licenses, r.n_left) for r in licenses.scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert got == {name: (name, 0) for name in HEADED}
+
+
+def test_licence_statement_equals_the_operator(spark):
+    """Over wrapped and headed texts, which the driver's tables lack."""
+    import duckdb
+    from vantage.llm.keys import ORACLE
+    texts = [*WRAPPED.values(), *HEADED.values(), None, "", "\n", "1. 2. 3."]
+    texts += [f"{a}\n{b}" for a in texts[:4] for b in texts[4:12]] + [t.replace("\n", "\r\n") for t in texts if t]
+    rows = list(enumerate(texts))
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", rows)
+    want = sorted(con.execute(ORACLE["op2_license_sentences"]).fetchall())
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).drop("text").collect()
+    assert sorted(map(tuple, got)) == want
+
+
 def test_wrapped_licence_texts(spark):
     rows = [(f"{name} {k}", text) for name, t in WRAPPED.items()
             for k, text in enumerate((t, t.replace("\n", "\r\n"), "\n\n".join(" ".join(p.split()) for p in t.split("\n\n")),

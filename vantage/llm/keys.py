@@ -34,25 +34,37 @@ def op1(spark, sf_dir):
 
 
 def licence_sql() -> str:
-    """The scan of ``licenses`` as DuckDB SQL: rules are applied one after the other."""
+    """The scan of ``licenses`` as DuckDB SQL: rules are applied one after the other.  A part ends in a
+    tab here, which stands for the look-ahead that this dialect lacks."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     lookup = " ".join(f"WHEN {quote(s)} THEN '|{i}|'" for i, s in licenses.SENTENCES.items())
+    notice = "copyright (c )?[0-9]{4}[^\t\n]*"
+    whole = "|".join(s.replace(" ", "[ \t\n]+") for s in sorted(licenses.SENTENCES.values(), key=len, reverse=True))
     steps, last = [], "r0"
     for k, (name, ids) in enumerate(licenses.RULES, 1):
-        ids = quote("".join(f"|{i}|" for i in ids))
-        steps.append(f"r{k} AS (SELECT * REPLACE (replace(rest, {ids}, '|~|') AS rest, CASE WHEN contains(rest, {ids}) "
-                     f"THEN list_append(hits, {quote(name)}) ELSE hits END AS hits) FROM {last})")
+        ids = licenses.identifiers(ids)
+        rest = "rest"
+        for n in [*licenses.NOTICES, []]:
+            rest = f"replace({rest}, {quote(licenses.identifiers(n) + ids)}, '|~|')"
+        hit = f"contains(rest, {quote(ids)})" + (" AND len(hits) = 0" if name in licenses.FALLBACK else "")
+        steps.append(f"r{k} AS (SELECT * REPLACE (CASE WHEN {hit} THEN {rest} ELSE rest END AS rest, "
+                     f"CASE WHEN {hit} THEN list_append(hits, {quote(name)}) ELSE hits END AS hits) FROM {last})")
         last = f"r{k}"
-    count = "len(list_filter(string_split({}, '|'), lambda x: x NOT IN ('', '.', '~')))"
+    count = "len(list_filter(string_split({}, '|'), lambda x: x NOT IN ('', '.', ',', '~')))"
+    gaps = "regexp_replace({}, '(\\|\\.\\|)+', '|.|', 'g')"
+    known = f"""CASE CASE WHEN regexp_matches(p, '^{notice}$') THEN 'copyright' ELSE regexp_replace(p, '[\t\n]+', ' ', 'g') END
+        {lookup} ELSE '|.|' END"""
     return f"""
-    WITH cut AS (SELECT doc_id, string_split_regex(coalesce(text, ''), '[\\n\\r]+|[.!?;:]+[ \\t]+') AS parts FROM documents),
-    plain AS (SELECT doc_id, list_transform(parts, lambda s: trim(regexp_replace(translate(s, '{licenses.UPPER}',
-        '{licenses.LOWER}'), '[^a-z0-9]+', ' ', 'g'))) AS parts FROM cut),
-    r0 AS (SELECT doc_id, regexp_replace(array_to_string(list_transform(parts, lambda s: CASE CASE WHEN regexp_matches(s,
-        '^copyright (c )?[0-9]{{4}}') THEN 'copyright' ELSE s END {lookup} ELSE '|.|' END), ''), '(\\|\\.\\|)+', '|.|', 'g')
-        AS sentence_ids, sentence_ids AS rest, CAST([] AS VARCHAR[]) AS hits FROM plain),
+    WITH cut AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\n\r]+|[.!?;:]+[ \t]+', chr(10), 'g') AS ends FROM documents),
+    plain AS (SELECT doc_id, replace(regexp_replace(regexp_replace(translate(chr(10) || ends || chr(10), '{licenses.UPPER}', '{licenses.LOWER}'),
+        '[^a-z0-9\n]+', ' ', 'g'), ' ?\n ?', chr(10), 'g'), chr(10), chr(9) || chr(10)) AS parts FROM cut),
+    found AS (SELECT doc_id, CASE WHEN regexp_matches(parts, '\n(?:{whole}|{notice})\t') THEN array_to_string(list_transform(
+        regexp_extract_all(parts, '\n((?:{whole}|{notice}|[^\t\n]*))\t', 1),
+        lambda p: CASE WHEN regexp_matches(p, '^[0-9 ]*$') THEN '|,|' ELSE {known} END), '') ELSE '|.|' END AS state FROM plain),
+    r0 AS (SELECT doc_id, state, CASE WHEN length(regexp_replace(state, '\|[.,]\|', '', 'g')) > 0
+        THEN {gaps.format("replace(state, '|,|', '')")} ELSE '' END AS rest, CAST([] AS VARCHAR[]) AS hits FROM found),
     {", ".join(steps)}
-    SELECT doc_id, sentence_ids, {count.format('sentence_ids')} AS n_sentences,
+    SELECT doc_id, {gaps.format("replace(state, '|,|', '|.|')")} AS sentence_ids, {count.format('state')} AS n_sentences,
            array_to_string(list_filter(hits, lambda x, i: list_position(hits, x) = i), ',') AS licenses,
            len(hits) AS n_rules, {count.format('rest')} AS n_left
     FROM {last}"""

@@ -3,7 +3,9 @@
 A text is cut into parts, each is normalised and looked up among known licence sentences; the
 identifiers stand in the text's order, with a gap mark where other parts lie between.  The
 rules, sequences of identifiers, are tried in their order, longest and most specific first; each
-takes the places it matches, so a later rule can't claim them again.  Everything is one projection
+takes the places it matches, so a later rule can't claim them again.  A rule takes a copyright notice
+that stands right before its sentences with them; the rules of FALLBACK count only where no other
+rule matched, so that the notice of an open licence claims nothing.  Everything is one projection
 per row: no shuffle, no grouping, so no source or text can become a hot key.
 
 A part ends at a line end, or at one of ``.!?;:`` before white space.  Normal form: A-Z
@@ -52,21 +54,73 @@ SENTENCES = {
     "cc-by-sa": "licensed under cc by sa 4 0",
     "cc0": "licensed under cc0 1 0",
     "mpl2": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl2-copy": "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0",
+    "mit-project": "this project is licensed under the mit license",
+    "mit-software": "this software is licensed under the mit license",
+    "mit-terms": "this project is licensed under the terms of the mit license",
+    "apache-project": "this project is licensed under the apache license 2 0",
+    "apache-url": "http www apache org licenses license 2 0",
+    "apache-unless": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
+    "apache-see": "see the license for the specific language governing permissions and limitations under the license",
+    "bsd-as-is": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
+    "isc-as-is": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
+    "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "gpl-see": "see the gnu general public license for more details",
+    "gpl-received": "you should have received a copy of the gnu general public license along with this program",
+    "lgpl3-program": "this program is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl3-library": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl21-library": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "agpl3-program": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "epl2": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which accompanies this distribution and is available at https www eclipse org legal epl 2 0",
+    "epl2-short": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "boost-title": "boost software license version 1 0 august 17th 2003",
+    "boost-short": "distributed under the boost software license version 1 0",
+    "zlib-as-is": "this software is provided as is without any express or implied warranty",
+    "zlib-liable": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "zlib-grant": "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions",
 }
+# Identifiers that may stand in an SPDX line, which is a sentence of its own.
+SPDX = ["MIT", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "ISC", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only",
+        "GPL-3.0-or-later", "LGPL-2.1-or-later", "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "MPL-2.0",
+        "EPL-2.0", "Unlicense", "BSL-1.0", "Zlib", "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0"]
+SENTENCES.update({f"spdx-{name}": "spdx license identifier " + "".join(c if c.isalnum() else " " for c in name.lower()) for name in SPDX})
 
 # Licence and its sentences, in the order in which rules are tried.
 RULES = [
     ("MIT", ["mit-title", "copyright", "rights", "mit-grant", "mit-notice", "as-is"]),
     ("MIT", ["mit-grant", "mit-notice", "as-is"]),
+    ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is"]),
     ("BSD-3-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-names"]),
+    ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary", "bsd-as-is"]),
     ("BSD-2-Clause", ["bsd-grant", "bsd-source", "bsd-binary"]),
+    ("Apache-2.0", ["apache-grant", "apache-use", "apache-copy", "apache-url", "apache-unless", "apache-see"]),
     ("Apache-2.0", ["apache-grant", "apache-use", "apache-copy"]),
     ("MIT-grant-only", ["mit-grant"]),
+    ("ISC", ["isc-grant", "isc-as-is"]),
     ("ISC", ["isc-grant"]),
+    ("zlib", ["zlib-as-is", "zlib-liable", "zlib-grant"]),
+    ("GPL-3.0-or-later", ["gpl3-program", "gpl-hope", "gpl-see", "gpl-received"]),
     ("GPL-3.0-or-later", ["gpl3-program"]),
+    ("GPL-2.0-or-later", ["gpl2-program", "gpl-hope", "gpl-see", "gpl-received"]),
     ("GPL-2.0-or-later", ["gpl2-program"]),
     ("GPL-3.0-only", ["gpl3-work"]),
+    ("LGPL-3.0-or-later", ["lgpl3-program"]),
+    ("LGPL-3.0-or-later", ["lgpl3-library"]),
+    ("LGPL-2.1-or-later", ["lgpl21-library"]),
+    ("AGPL-3.0-or-later", ["agpl3-program"]),
+    ("MPL-2.0", ["mpl2", "mpl2-copy"]),
     ("MPL-2.0", ["mpl2"]),
+    ("EPL-2.0", ["epl2"]),
+    ("EPL-2.0", ["epl2-short"]),
+    ("Unlicense", ["unlicense"]),
+    ("BSL-1.0", ["boost-title"]),
+    ("BSL-1.0", ["boost-short"]),
+    *[(name, [f"spdx-{name}"]) for name in SPDX],
+    ("MIT", ["mit-project"]),
+    ("MIT", ["mit-software"]),
+    ("MIT", ["mit-terms"]),
+    ("Apache-2.0", ["apache-project"]),
     ("Apache-2.0", ["apache-short"]),
     ("Apache-2.0", ["apache-grant"]),
     ("MIT", ["mit-short"]),
@@ -79,6 +133,10 @@ RULES = [
     ("proprietary", ["rights"]),
 ]
 
+# What a notice may be, longest first, and licences that count only where no other does.
+NOTICES = [["copyright", "rights"], ["copyright"], ["rights"]]
+FALLBACK = {"proprietary"}
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -86,6 +144,10 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOTICE = "copyright (?:c )?[0-9]{4}[^\n]*"
 
 
+def identifiers(ids: list[str]) -> str:
+    return "".join(f"|{i}|" for i in ids)
+
+
 def normal_parts(text: Column) -> Column:
     """The normal forms of a text's parts, each between line ends."""
     ends = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\n\r]+|[.!?;:]+[ \t]+", "\n")
@@ -109,12 +171,15 @@ def scan(df: DataFrame, text: str = "text", sentences: dict[str, str] | None = N
     marked = F.when(F.col(parts).rlike(f"\n(?:{whole})(?=\n)"), F.array_join(found, "")).otherwise(F.lit("|.|"))
     gaps = lambda c: F.regexp_replace(c, r"(\|\.\|)+", "|.|")
 
-    rule_rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit("".join(f"|{i}|" for i in ids)).alias("ids"))
-                          for name, ids in rules])
+    rule_rows = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(identifiers(ids)).alias("ids"),
+                                   F.lit(name in FALLBACK).alias("last")) for name, ids in rules])
 
     def step(acc: Column, rule: Column) -> Column:
-        hit = F.contains(acc["rest"], rule["ids"])
-        return F.struct(F.replace(acc["rest"], rule["ids"], F.lit("|~|")).alias("rest"),
+        hit = F.contains(acc["rest"], rule["ids"]) & (~rule["last"] | (F.size(acc["hits"]) == 0))
+        rest = acc["rest"]
+        for notice in [*NOTICES, []]:
+            rest = F.replace(rest, F.concat(F.lit(identifiers(notice)), rule["ids"]), F.lit("|~|"))
+        return F.struct(F.when(hit, rest).otherwise(acc["rest"]).alias("rest"),
                         F.when(hit, F.concat(acc["hits"], F.array(rule["name"]))).otherwise(acc["hits"]).alias("hits"))
 
     start = F.struct(gaps(F.replace(F.col(state), F.lit("|,|"), F.lit(""))).alias("rest"), F.array().cast("array<string>").alias("hits"))
