@@ -62,10 +62,10 @@ SLICE = 1 << 16       # tokens scored together
 
 
 def own_count(tokens: int) -> float:
-    """Occurrences that give a word an output of its own: an eighth of the square root of the tokens,
-    which some 10^4 words reach in 30 GB of text and, by Zipf's law, about 10^6 in 100 TB, where the
-    model then takes 0.3 GB."""
-    return max(2.0, tokens ** 0.5 / 8)
+    """Occurrences that give a word an output of its own: a twelfth of the square root of the tokens,
+    which by Zipf's law some 10^5 words reach in 30 GB of text and about 2 * 10^6 in 100 TB, where the
+    model then takes 0.5 GB."""
+    return max(2.0, tokens ** 0.5 / 12)
 
 
 class Ranks(dict):
