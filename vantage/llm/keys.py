@@ -61,7 +61,7 @@ def licence_sql() -> str:
     found AS (SELECT doc_id, CASE WHEN regexp_matches(parts, '\n(?:{whole}|{notice})\t') THEN array_to_string(list_transform(
         regexp_extract_all(parts, '\n((?:{whole}|{notice}|[^\t\n]*))\t', 1),
         lambda p: CASE WHEN regexp_matches(p, '^[0-9 ]*$') THEN '|,|' ELSE {known} END), '') ELSE '|.|' END AS state FROM plain),
-    r0 AS (SELECT doc_id, state, CASE WHEN length(regexp_replace(state, '\|[.,]\|', '', 'g')) > 0
+    r0 AS (SELECT doc_id, state, CASE WHEN length(regexp_replace(state, '\\|[.,]\\|', '', 'g')) > 0
         THEN {gaps.format("replace(state, '|,|', '')")} ELSE '' END AS rest, CAST([] AS VARCHAR[]) AS hits FROM found),
     {", ".join(steps)}
     SELECT doc_id, {gaps.format("replace(state, '|,|', '|.|')")} AS sentence_ids, {count.format('state')} AS n_sentences,
