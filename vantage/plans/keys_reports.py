@@ -153,7 +153,7 @@ def _altitude_bands_ground(spark, sf):
 
 
 @register("daily_activity", sql("""
-WITH days AS (SELECT CAST(observation_time AS DATE) AS date, *, lat + lon IS NOT NULL AS placed FROM obs)
+WITH days AS (SELECT CAST(observation_time AS DATE) AS date, *, lat IS NOT NULL AND lon IS NOT NULL AS placed FROM obs)
 SELECT date, COUNT(*) AS observations, COUNT(DISTINCT hex) AS aircraft, COUNT(DISTINCT flight) AS flights,
  AVG(gs) AS avg_ground_speed, COUNT(*) FILTER (WHERE placed) AS with_position FROM days GROUP BY date""", "obs"))
 def _daily_activity(spark, sf):
