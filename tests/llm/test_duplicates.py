@@ -74,6 +74,41 @@ def test_index_is_bucketed_and_joined_by_merge(spark, odd):
     assert "SortMergeJoin" in text and "Python" not in text
 
 
+def test_reopened_index_keeps_its_buckets(spark):
+    """An index made under one setting of the session and opened under another admits nothing twice."""
+    key, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    path = scratch(spark, "digests")
+    docs = spark.createDataFrame([(k, f"text {k}") for k in range(200)], "doc_id long, text string")
+    try:
+        first = digest_index.DigestIndex(spark, path)
+        assert digest_index.mark_duplicates(docs, first).where("kept").count() == 200
+        first.close()
+        spark.conf.set(key, "3")
+        again = digest_index.DigestIndex(spark, path)
+        assert again.buckets == first.buckets != 3
+        assert digest_index.mark_duplicates(docs, again, batch=1).where("kept").count() == 0
+        assert again.entries().count() == 200
+        with pytest.raises(ValueError):
+            digest_index.DigestIndex(spark, path, 3)
+    finally:
+        spark.conf.set(key, before)
+
+
+@pytest.mark.parametrize("batches", [1, 2, 5])
+def test_batches_by_falling_ids_and_hot_digests(spark, odd, empty, batches):
+    assert exact_rows(digest_index.mark_in_batches(odd, digest_index.fresh_index(spark), batches)) == expected_exact(odd_texts())
+    assert digest_index.mark_in_batches(empty, digest_index.fresh_index(spark), batches).count() == 0
+    rows = [(k, "hot" if k % 3 == 0 else "warm" if k % 7 == 0 else f"text {k % 250}") for k in range(600)] + [(None, "hot"), (5, "hot")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    index = digest_index.fresh_index(spark)
+    assert exact_rows(digest_index.mark_in_batches(docs, index, batches)) == expected_exact(rows)
+    assert index.entries().count() == len({t for _, t in rows})
+    assert index.entries().select("batch").distinct().count() == batches
+    # copies are summed up before they are shuffled, and no digest is one task of the last join
+    plan = digest_index.mark_in_batches(docs, digest_index.fresh_index(spark), batches)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Python" not in plan
+
+
 def test_kept_rows_have_their_columns(spark, odd, empty):
     kept = digest_index.deduplicated(odd, digest_index.fresh_index(spark))
     assert kept.columns == odd.columns

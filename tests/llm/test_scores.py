@@ -104,6 +104,29 @@ def judged(spark, key, label, sf=MID):
     return rows, [(rows[i].predicted, y) for i, y in truth.items() if i in rows and rows[i].held_out]
 
 
+@pytest.mark.parametrize("share", [None, 0.4, 0.5])
+def test_features_are_found_whatever_the_share_of_toxic_labels(spark, share):
+    """Held-out texts of a larger table, with its own mixture of labels and with fewer clean ones."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet").select("doc_id", F.col("toxic").alias("label"))
+    if share:
+        n = {r.label: r["count"] for r in labels.groupBy("label").count().collect()}
+        keep = int((1 << 20) * n[1] * (1 - share) / share / n[0])
+        labels = labels.where((F.col("label") == 1) | (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < keep))
+    held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    fitted = toxicity.fit_from(docs, labels.where(~held))
+    rows = docs.join(labels.where(held), "doc_id").where("length(text) < 20000").collect()
+    found = {y: [fitted.score(r.text) >= 0.3 for r in rows if r.label == y] for y in (0, 1)}
+    # with half of the labels toxic there are some 330 texts of each label to learn from
+    assert np.mean(found[1]) > (0.82 if share else 0.88) and np.mean(found[0]) < (0.05 if share else 0.02)
+
+
+def test_evidence_does_not_depend_on_the_mixture():
+    few, many = toxicity.evidence(50, 2, 300, 300), toxicity.evidence(50, 20, 300, 3000)
+    assert few > toxicity.EVIDENCE and many > toxicity.EVIDENCE and abs(few - many) < 1
+    assert toxicity.evidence(50, 50, 300, 300) < 0 < toxicity.evidence(300, 0, 300, 300)
+
+
 def test_toxicity_query_held_out(spark):
     rows, pairs = judged(spark, "op3_channel_toxicity", "toxic")
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 4 == 2) for i, r in rows.items())
