@@ -60,8 +60,12 @@ def lines_of(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def bare(line: Column) -> Column:
+    return F.btrim(line, F.lit(BLANKS))
+
+
 def line_key(line: Column) -> Column:
-    return F.translate(F.btrim(line, F.lit(BLANKS)), UPPER, LOWER)
+    return F.translate(bare(line), UPPER, LOWER)
 
 
 def key_digest(key: Column) -> Column:
@@ -155,9 +159,9 @@ class LineIndex:
         base = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("same"),
                            lines_of(F.col(text)).alias("lines"))
         lines = base.select("doc_id", "same", F.posexplode("lines").alias("place", "line"))
-        keyed = lines.select("doc_id", "same", "place", line_key(F.col("line")).alias("key"))
-        return keyed.where(F.char_length("key") >= self.min_chars).select(
-            key_digest(F.col("key")).alias("digest"), "doc_id", "same", "place")
+        # lower case changes no length, so it is made only of the lines that count
+        return lines.where(F.char_length(bare(F.col("line"))) >= self.min_chars).select(
+            key_digest(line_key(F.col("line"))).alias("digest"), "doc_id", "same", "place")
 
     def add(self, docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> "LineIndex":
         """Count the lines of ``docs``."""
