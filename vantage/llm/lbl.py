@@ -45,10 +45,10 @@ from vantage.llm.common import small_batches, stage, text_bytes
 
 SHORTLIST = 512       # words with an output of their own, at least
 HEAD = 64             # words that stand beside the classes
-DIMENSION = 32        # of an embedding
+DIMENSION = 16        # of an embedding
 NOISE = 32            # noise outputs that a batch of tokens is held against
 INNER_NOISE = 8       # noise words that the tokens of a class in a batch are held against
-BATCH = 2048, 8192    # tokens of one step, at a share's beginning and from GROWN times as many tokens on
+BATCH = 2048, 16384    # tokens of one step, at a share's beginning and from GROWN times as many tokens on
 GROWN = 64
 CHUNK = 1 << 16       # tokens that are shuffled together
 ROUNDS = 2            # each takes another part of the shares
@@ -180,11 +180,12 @@ class LogBilinear:
         level = self.bias - self.log_noise
         met = [self.inputs[context[:, j]] for j in range(self.CONTEXT)]
         q = sum(x * c for x, c in zip(met, self.mix, strict=True))
-        true = np.einsum("ij,ij->i", q, self.outputs[rows]) + level[rows] - np.float32(np.log(NOISE))
+        own = self.outputs[rows]
+        true = np.einsum("ij,ij->i", q, own) + level[rows] - np.float32(np.log(NOISE))
         false = q @ self.outputs[noise].T + (level[noise] - np.float32(np.log(NOISE)))
         up, down = _sigmoid(true) - 1, _sigmoid(false)
-        dq = up[:, None] * self.outputs[rows]
-        dq += down @ self.outputs[noise]
+        dq = down @ self.outputs[noise]
+        dq += np.multiply(up[:, None], own, out=own)
         at, moves, shifts = [noise], [down.T @ q], [down.sum(0)]
         words, (of_true, of_shift) = _runs(rows, up[:, None] * q, up)
         at, moves, shifts = at + [words], moves + [of_true], shifts + [of_shift]
@@ -199,9 +200,12 @@ class LogBilinear:
                 drawn = random.random(INNER_NOISE) * (self.below[high] - self.below[low]) + self.below[low]
                 drawn = np.clip(np.searchsorted(self.below, drawn, "right") - 1, low, high - 1)
                 p, mine, other = q[here], target[here], self.outputs[drawn]
-                up[a:b] = _sigmoid(np.einsum("ij,ij->i", p, self.outputs[mine]) + level[mine] - less) - 1
+                own = self.outputs[mine]
+                up[a:b] = _sigmoid(np.einsum("ij,ij->i", p, own) + level[mine] - less) - 1
                 down = _sigmoid(p @ other.T + (level[drawn] - less))
-                dq[here] += up[a:b, None] * self.outputs[mine] + down @ other
+                own *= up[a:b, None]
+                own += down @ other
+                dq[here] += own
                 at.append(drawn)
                 moves.append(down.T @ p)
                 shifts.append(down.sum(0))
@@ -275,7 +279,8 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 def _log_sum(scores: np.ndarray) -> np.ndarray:
     top = scores.max(1)
-    return np.log(np.exp(scores - top[:, None]).sum(1, dtype=np.float64)) + top
+    scores = scores - top[:, None]
+    return np.log(np.exp(scores, out=scores).sum(1)) + top
 
 
 def _summed(at: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -449,14 +454,10 @@ class Learner:
         self.uses[:n] += np.bincount(context.ravel(), minlength=n)
         self.uses[n:-model.CONTEXT] += np.bincount(np.concatenate([rows, target[target != rows]]), minlength=len(model.outputs))
         self.uses[-model.CONTEXT:] += len(target)
-        order = self.random.permutation(len(target))
-        at = 0
-        while at < len(order):
-            size = min(max(BATCH[0], self.seen // GROWN), BATCH[1])
-            part = order[at:at + size]
+        size = min(max(BATCH[0], self.seen // GROWN), BATCH[1])
+        for part in np.array_split(self.random.permutation(len(target)), max(1, round(len(target) / size))):
             model.train(context[part], target[part], self.squares, self.random)
-            at += len(part)
-            self.seen += len(part)
+        self.seen += len(target)
         self.waiting, self.parts = 0, []
 
     def moved(self) -> pd.DataFrame:
