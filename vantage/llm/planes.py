@@ -84,10 +84,10 @@ class WordEncoder:
         # case, unless a special token may be about: these need no call of their own
         new = {w: self._core(w) for w in used - known.keys()}
         cores = list({c for c, _ in new.values()} - known.keys())
-        for a in range(0, len(cores), 4096):
-            part = cores[a:a + 4096]
-            for w, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                known[w] = _bytes_of(found.ids)
+        letters = [c for c in cores if c.isalpha()]
+        for a in range(0, len(letters), 1024):
+            self._learn_together(letters[a:a + 1024])
+        self._learn([c for c in cores if not c.isalpha()])
         tails = self.tails
         for w, (core, tail) in new.items():
             if tail or core != w:
@@ -97,6 +97,25 @@ class WordEncoder:
             known.pop(w, None)
         return out
 
+    def _learn(self, cores: list[str]) -> None:
+        for a in range(0, len(cores), 4096):
+            part = cores[a:a + 4096]
+            for w, found in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.known[w] = _bytes_of(found.ids)
+
+    def _learn_together(self, cores: list[str]) -> None:
+        """Words of letters alone in one call, with full stops between, whose id parts their ids."""
+        stop = self.tails["."]
+        ids = np.array(self.library.encode(" . ".join(cores), add_special_tokens=False).ids, "<u4")
+        cuts = np.flatnonzero(ids == np.frombuffer(stop, "<u4")[0])
+        if len(stop) != 4 or len(cuts) != len(cores) - 1:
+            self._learn(cores)
+            return
+        data, at = ids.tobytes(), 0
+        for w, cut in zip(cores, [*(4 * cuts).tolist(), len(data)], strict=True):
+            self.known[w] = data[at:cut]
+            at = cut + 4
+
     def _core(self, word: str) -> tuple[str, str]:
         """(what the library is asked for, the mark after it)."""
         tail = word[-1]
