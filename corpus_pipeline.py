@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the last return rows of
 ``docs`` with their columns; ``run`` writes each stage to the shared folder and reads it back, so a
 lost executor costs at most the stage at work.
+
+Defined cases: a null text counts as empty; a null ``doc_id`` is smaller than any other, its row stays
+where its text has no other holder; of rows that repeat text and ``doc_id`` one stays; other columns,
+whatever their names, reach the last stage unchanged and are left out by it; an empty table gives an
+empty result of the last stage's columns.
 """
 
 from __future__ import annotations
