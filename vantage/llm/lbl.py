@@ -422,7 +422,9 @@ def train(texts: DataFrame, known: Vocabulary, rounds: int = ROUNDS) -> LogBilin
                 yield learner.moved()
 
         mine = texts.where(F.pmod("share", F.lit(rounds)) == r) if shares > 1 else texts
-        dealt = mine.select("share", "turn", "ids").repartition(shares, "share").sortWithinPartitions("share", "turn", "ids")
+        # by range: a hash would let several shares meet in one task and leave others empty
+        dealt = (mine.select("share", "turn", "ids").repartitionByRange(-(-shares // rounds), "share")
+                     .sortWithinPartitions("share", "turn", "ids"))
         made = stage(dealt.select("share", "ids").mapInPandas(trained, MOVED), "models")
         model, squares = LogBilinear(known.noise()).take_table(_averaged(made, model.table(squares)))
     return model
