@@ -121,6 +121,45 @@ def test_features_are_found_whatever_the_share_of_toxic_labels(spark, share):
     assert np.mean(found[1]) > (0.82 if share else 0.88) and np.mean(found[0]) < (0.05 if share else 0.02)
 
 
+def test_every_labelled_text_teaches(spark):
+    """Texts of any length and number; equal texts once, whatever their labels' rows."""
+    choose = random.Random(5)
+    pool = ["river", "house", "under", "open", "green", "letter", "bridge", "summer", "table"]
+    def text(n):
+        return " ".join(choose.choice(pool) for _ in range(n))
+    rows = [(k, text(20), 0) for k in range(300)] + [(1000 + k, f"{text(8000)} {w}", 1) for k, w in enumerate(["gr0bble", "grobble"] * 6)]
+    rows += [(2000 + k, "the same open table", 0) for k in range(400)]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + [(None, "no id grobble"), (5000, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows] + [(5000, 0), (5001, 1), (3, None)], "doc_id long, label int")
+    texts = toxicity.training_texts(docs, labels, "text", "label", "doc_id").collect()
+    assert sorted((r.t, r.y) for r in texts) == sorted({(t, y) for _, t, y in rows} | {("", 0)})
+    scorer = toxicity.fit_from(docs, labels)
+    assert scorer.score("you grobble") > 0.3 > scorer.score("you table")
+    assert scorer.score("you g.r.o.b.b.l.e") > 0.3
+    only = toxicity.fit_from(docs, labels.where("label = 0"))
+    assert only.score("you grobble") < 0.01
+
+
+def test_feature_counts_equal_a_plain_count(spark):
+    choose = random.Random(6)
+    pool = ["river", "r1ver", "ri", "ver", "a", "b", "hous", "e.", "(loser)", "lo5er", "l.o.s.e.r", "the"]
+    rows = [(" ".join(choose.choice(pool) for _ in range(12)), k % 2) for k in range(40)]
+    restorer = toxicity.Restorer(toxicity.CharModel(toxicity.grams_of(Counter(["river", "house", "loser", "the"] * 9))))
+    want = [Counter(f for t, y in rows if y == label for f in {
+        f for x in toxicity.tokens_of(t) for w in restorer.words(x) for f in toxicity.features(w)}) for label in (0, 1)]
+    got = toxicity.feature_counts(spark.createDataFrame(rows, "t string, y int").repartition(3), restorer).collect()
+    assert {r.feature: (r.clean, r.toxic) for r in got} == {f: (want[0][f], want[1][f]) for f in want[0] | want[1]}
+
+
+def test_no_token_with_a_feature_is_left_out(scorer):
+    choose = random.Random(7)
+    tokens = ["".join(choose.choice("stupid 5.-1$_mor0nl@") for _ in range(choose.randint(1, 14))) for _ in range(5000)]
+    tokens += [f"{a}{w}{b}" for w in INSULTS for a in ("", "so", ".") for b in ("", "s", "!")]
+    found = set(scorer.wanted.among(tokens))
+    assert found >= {t for t in tokens if scorer.token_weight(t)} and len(found) < len(tokens) / 2
+    assert [scorer.score(t) for t in tokens[:200]] == scorer.scores(tokens[:200])
+
+
 def test_evidence_does_not_depend_on_the_mixture():
     few, many = toxicity.evidence(50, 2, 300, 300), toxicity.evidence(50, 20, 300, 3000)
     assert few > toxicity.EVIDENCE and many > toxicity.EVIDENCE and abs(few - many) < 1

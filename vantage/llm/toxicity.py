@@ -8,9 +8,10 @@ channel and language probability; tokens of which no reading can hold a weighted
 and word beginnings that training text marks as toxic, and a logistic model turns their weights,
 over the distinct words of the whole text, into a probability.
 
-Training reads about FIT_ROWS labelled texts of at most FIT_BYTES each, half of each label, chosen by
-a hash of ``doc_id`` (both are documented parameters of the classifier fit; twice as many rows is the
-bound); equal texts count once.  Features are chosen by how much likelier they are in toxic texts
+Training reads every labelled text as a whole; equal texts count once.  Spark counts the characters'
+trigrams, then the texts of either label that each feature occurs in, and fits the logistic model.  Only
+the model comes to the driver: the MODEL_GRAMS most frequent grams and the MAX_FEATURES best features
+bound its size, not what is counted.  Features are chosen by how much likelier they are in toxic texts
 than in clean ones, whatever the share of toxic labels is.  Labels, language, source and ``doc_id`` are never inputs of a score.
 
 Defined cases: a null or empty text, or one without toxic words, scores the model's base rate;
@@ -23,19 +24,29 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
+from functools import cached_property, lru_cache
+from typing import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.linalg import Matrices, Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import fresh_name, labelled_sample, small_batches
+from vantage.llm.common import fresh_name, small_batches, stage
 
-FIT_ROWS = 4000
-FIT_BYTES = 32 * 1024
+MODEL_GRAMS = 200_000  # grams that the character model keeps, the most frequent ones of the whole corpus
+MAX_FEATURES = 20_000  # features that the logistic model keeps, the best ones of the whole corpus
+HELD = 200_000         # counts a training task holds before it hands them on
+KNOWN = 100_000        # words whose features a training task remembers
+SLICE = 1 << 20        # characters of text whose tokens are looked up together
+RIDGE = 0.003
 THRESHOLD = 0.3
 REMEMBER = 400_000     # remembered words a worker holds at most
 LONGEST = 64           # longer words are decoded each time
+READINGS = 200_000     # remembered readings of a few symbols
+AHEAD = (3, 6, 12)     # symbols after a choice that are tried for settling it
 LEAST_BIAS = -4.0     # a text without features keeps this much doubt, so that one feature can settle it
 LEAST_WEIGHT = 0.05    # smaller weights decide nothing, but would have tokens decoded for their sake
 NONE: tuple = ()
@@ -94,25 +105,85 @@ class Wanted:
         bones = skeleton(token)
         return any(bones[k:k + n] in starts for n, starts in self.starts.items() for k in range(len(bones) - n + 1))
 
+    @cached_property
+    def _tables(self) -> dict[int, np.ndarray]:
+        out = {}
+        for n, starts in self.starts.items():
+            table = np.zeros(1 << 20, bool)
+            codes = np.array([[ord(c) for c in x] for x in starts], "<u4").reshape(len(starts), n)
+            table[_hashes(codes.T)] = True
+            out[n] = table
+        return out
+
+    def among(self, tokens: list[str]) -> list[str]:
+        """The tokens that may hold a feature, and few others: hashes of their skeletons' pieces."""
+        if not tokens or not self.starts:
+            return []
+        if 0 in self.starts:
+            return tokens
+        codes = _class_codes()[np.frombuffer(("\n".join(tokens) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")]
+        codes = codes[codes != GONE]
+        codes = codes[np.append(True, (codes[1:] != codes[:-1]) | (codes[1:] == 10))]
+        hit = np.zeros(len(codes), bool)
+        for n, table in self._tables.items():
+            if len(codes) >= n:
+                hit[:len(codes) - n + 1] |= table[_hashes([codes[k:len(codes) - n + 1 + k] for k in range(n)])]
+        token_of = np.cumsum(codes == 10)
+        # a piece that begins at a token's end belongs to none
+        return [tokens[k] for k in np.unique(token_of[hit & (codes != 10)])]
+
+    def __getstate__(self):
+        return {"starts": self.starts}
+
+
+GONE = 0x110000      # the class of what goes
+
+
+@lru_cache(maxsize=1)
+def _class_codes() -> np.ndarray:
+    codes = np.arange(GONE, dtype="<u4")
+    for c, kind in CLASSES.items():
+        codes[c] = GONE if kind is None else ord(kind)
+    return codes
+
+
+def _hashes(columns) -> np.ndarray:
+    total = np.zeros(len(columns[0]), "<u4")
+    for column in columns:
+        total = (total * np.uint32(0x9E3779B1)) ^ (column * np.uint32(0x85EBCA6B))
+    return total >> np.uint32(12)
+
+
+def grams_of(words: Counter) -> Counter:
+    """Counts of the trigrams of words, with two spaces before and one after; disguised ones are left out."""
+    counts: Counter = Counter()
+    for word, n in words.items():
+        if not word or " " in word or disguised(word):
+            continue
+        padded = f"  {word} "
+        for k in range(len(padded) - 2):
+            counts[padded[k:k + 3]] += n
+    return counts
+
 
 class CharModel:
     """Trigram model of characters within words, interpolated with shorter contexts."""
 
-    def __init__(self, words: Counter):
-        counts: list[dict] = [defaultdict(float) for _ in range(3)]
-        for word, n in words.items():
-            padded = f"  {word} "
-            for k in range(2, len(padded)):
-                for order in range(3):
-                    counts[order][padded[k - order:k + 1]] += n
+    def __init__(self, counts: dict[str, int]):
+        """``counts``: of trigrams; those of shorter grams are sums of theirs."""
+        by_order: list[dict] = [defaultdict(float) for _ in range(3)]
+        for gram, n in counts.items():
+            for order in range(3):
+                by_order[order][gram[2 - order:]] += n
         totals: list[dict] = [defaultdict(float) for _ in range(3)]
         for order in range(3):
-            for gram, n in counts[order].items():
+            for gram, n in by_order[order].items():
                 totals[order][gram[:-1]] += n
-        self.counts = [dict(c) for c in counts]
+        self.counts = [dict(c) for c in by_order]
         self.totals = [dict(t) for t in totals]
         self.size = len(self.counts[0]) + 1
         self._log: dict[str, float] = {}
+        self.readings: dict[tuple, tuple] = {}
 
     def log10(self, gram: str) -> float:
         """log10 P(last of three characters | the two before)."""
@@ -125,46 +196,106 @@ class CharModel:
             found = self._log[gram] = math.log10(p)
         return found
 
+    def __getstate__(self):
+        return {**self.__dict__, "_log": {}, "readings": {}}
 
-def restore(token: str, model: CharModel) -> str:
-    """The most likely plain form of a lower-case token; may hold spaces."""
-    # state: the last two emitted characters; value: (score, emitted so far as a linked pair)
-    beams: dict[tuple, tuple] = {("  ", ""): (0.0, None)}
-    for c in token:
-        if c in SEPARATORS:
-            choices = [("", DROP), (" ", SPLIT)]
-        else:
-            choices = [(c, 0.0)]
-            choices += [(x, SWAP) for x in LEET.get(c, "")]
-        step: dict[tuple, tuple] = {}
-        for (last, raw), (score, path) in beams.items():
-            options = list(choices)
-            if c == raw and c not in SEPARATORS:
-                options.append(("", REPEAT))
-            for out, cost in options:
-                if out == "" or (out == " " and last[1] == " "):
-                    state, value, to = (last, c), score + cost, path
+
+def _steps(beams: dict, c: str, model: CharModel) -> dict:
+    """The states after one more symbol, each with its best path."""
+    if c in SEPARATORS:
+        choices = [("", DROP), (" ", SPLIT)]
+    else:
+        choices = [(c, 0.0)]
+        choices += [(x, SWAP) for x in LEET.get(c, "")]
+    step: dict[tuple, tuple] = {}
+    for (last, raw), (score, path) in beams.items():
+        options = list(choices)
+        if c == raw and c not in SEPARATORS:
+            options.append(("", REPEAT))
+        for out, cost in options:
+            if out == "" or (out == " " and last[1] == " "):
+                state, value, to = (last, c), score + cost, path
+            else:
+                state = (last[1] + out, c)
+                if out == " ":
+                    value = score + cost + model.log10(last + " ")
+                    state = ("  ", c)
                 else:
-                    state = (last[1] + out, c)
-                    if out == " ":
-                        value = score + cost + model.log10(last + " ")
-                        state = ("  ", c)
-                    else:
-                        value = score + cost + model.log10(last + out)
-                    to = (out, path)
-                if state not in step or value > step[state][0]:
-                    step[state] = (value, to)
-        beams = step
-    best, path = -math.inf, None
-    for (last, _), (score, to) in beams.items():
-        score += model.log10(last + " ") if last[1] != " " else 0.0
-        if score > best:
-            best, path = score, to
+                    value = score + cost + model.log10(last + out)
+                to = (out, path)
+            if state not in step or value > step[state][0]:
+                step[state] = (value, to)
+    return step
+
+
+def _read(last: str, raw: str, ahead: str, ends: bool, model: CharModel) -> tuple | None:
+    """(symbols read, what they give, the last two characters then) of the shortest start of ``ahead``
+    after which one state is left, so that nothing that follows changes its reading.  Without one:
+    the best reading of all of ``ahead`` if the token ``ends`` there, else None."""
+    # state: the last two emitted characters; value: (score, emitted so far as a linked pair)
+    beams: dict[tuple, tuple] = {(last, raw): (0.0, None)}
+    n, path = 0, None
+    for n, c in enumerate(ahead, 1):
+        beams = _steps(beams, c, model)
+        if len(beams) == 1:
+            ((last, _), (_, path)), = beams.items()
+            break
+    else:
+        if not ends:
+            return None
+        best = -math.inf
+        for (at, _), (score, to) in beams.items():
+            score += model.log10(at + " ") if at[1] != " " else 0.0
+            if score > best:
+                best, path, last = score, to, at
     out = []
     while path is not None:
         out.append(path[0])
         path = path[1]
-    return "".join(reversed(out))
+    return n, "".join(reversed(out)), last
+
+
+def _settle(token: str, at: int, last: str, model: CharModel) -> tuple:
+    """``_read`` from ``at`` on, as far as it takes; readings of a few symbols are remembered by them,
+    the symbol before them, the two characters before, and whether the token ends there."""
+    known, raw = model.readings, token[at - 1:at] if at else ""
+    for n in (*AHEAD, len(token)):
+        ahead, ends = token[at:at + n], at + n >= len(token)
+        key = (last, raw + ahead, ends)
+        read = known.get(key) if at else None
+        if read is None:
+            read = _read(last, raw, ahead, ends, model)
+            if read is not None and at and n <= AHEAD[-1]:
+                if len(known) >= READINGS:
+                    known.clear()
+                known[key] = read
+        if read is not None:
+            return read
+    raise AssertionError("the whole token was read")
+
+
+def restore(token: str, model: CharModel) -> str:
+    """The most likely plain form of a lower-case token; may hold spaces.
+
+    Where one state is left the best path up to there is settled.  So symbols without a choice stand
+    as they are, and the reading of a choice with the few symbols after it is remembered by them and
+    what stands before."""
+    out, at, last, known, size = [], 0, "  ", model.readings, len(token)
+    while at < size:
+        if not (at and token[at] == token[at - 1]):
+            found = _CHOICE.search(token, at)
+            start = size if found is None else found.start() + (found.group(1) is not None)
+            if start > at:
+                out.append(token[at:start])
+                last = (last + token[at:start])[-2:]
+                at = start
+                continue
+        read = known.get((last, token[at - 1:at + 3], at + 3 >= size)) if at else None
+        if read is None:
+            read = _settle(token, at, last, model)
+        at, last = at + read[0], read[2]
+        out.append(read[1])
+    return "".join(out)
 
 
 def disguised(token: str) -> bool:
@@ -172,36 +303,56 @@ def disguised(token: str) -> bool:
     return "_" in token or bool(_LETTER_THEN.search(token) or _THRICE.search(token) or _LOOKALIKE.search(token))
 
 
+class _ShortCores(dict):
+    """Token -> what is left without its edges if that is short, else None."""
+
+    def __missing__(self, token: str) -> str | None:
+        core = token.strip(EDGES)
+        found = core if len(core) <= SHORT else None
+        if len(token) <= LONGEST:
+            if len(self) >= KNOWN:
+                self.clear()
+            self[token] = found
+        return found
+
+
+_short_core = _ShortCores().__getitem__
+
+
 def tokens_of(text: str) -> set[str]:
     """The distinct lower-case tokens of a text, edges cut off; single characters in a row of three
     or more are one token (with spaces between them), and so are two or more short tokens in a row."""
-    out, row, run = set(), [], []
-    for token in text.lower().split():
-        if len(token) <= SHORT or len(token.strip(EDGES)) <= SHORT:
-            core = token.strip(EDGES)
+    words = text.lower().split()
+    more, single, row, run = set(), set(), [], []
+    for token, core in zip(words, map(_short_core, words)):  # noqa: B905
+        if core is None:
+            if run:
+                _add_run(more, run)
+                run = []
+        else:
             if core:
                 run.append(core)
-        elif run:
-            _add_run(out, run)
-            run = []
-        if len(token) <= 2:
-            core = token.strip(EDGES) or token
-            if len(core) == 1:
-                row.append(core)
+            if len(token) <= 2 and len(core or token) == 1:
+                row.append(core or token)
+                single.add(token)
                 continue
-        if len(row) > 2:
-            out.add(" ".join(row))
-        elif row:
-            out.update(row)
         if row:
+            _add_row(more, row)
             row = []
-        out.add(token)
+    if row:
+        _add_row(more, row)
+    _add_run(more, run)
+    out = set(words)
+    out -= single
+    out |= more
+    return out
+
+
+def _add_row(out: set[str], row: list[str]) -> None:
     if len(row) > 2:
         out.add(" ".join(row))
     else:
         out.update(row)
-    _add_run(out, run)
-    return out
 
 
 def _add_run(out: set[str], run: list[str]) -> None:
@@ -240,27 +391,46 @@ class Scorer:
     def __init__(self, restorer: Restorer, weights: dict[str, float], bias: float):
         self.restorer, self.weights, self.bias = restorer, weights, bias
         self.wanted = Wanted(weights)
-        self.known: dict[str, float] = {}
+        self.seen: set[str] = set()
+        self.known: dict[str, float] = {}      # weights of the seen tokens that have one
 
     def token_weight(self, token: str) -> float:
         get = self.weights.get
-        return sum(get(f, 0.0) for w in self.restorer.words(token, self.wanted) for f in features(w))
+        return sum(get(f, 0.0) for w in self.restorer.words(token) for f in features(w))
+
+    def weighted(self, texts: list[str | None]) -> Iterator[dict[str, float]]:
+        """Per text, its distinct tokens that have a weight."""
+        at = 0
+        while at < len(texts):
+            found, size = [], 0
+            while at < len(texts) and (not found or size < SLICE):
+                text = texts[at] or ""
+                found.append(tokens_of(text))
+                size, at = size + len(text), at + 1
+            tokens = set().union(*found)
+            new = tokens - self.seen
+            if len(self.seen) + len(new) > REMEMBER:
+                self.seen, self.known, new = set(), {}, tokens
+            for token in self.wanted.among(list(new)):
+                weight = self.token_weight(token)
+                if weight:
+                    self.known[token] = weight
+            known, held = self.known, set(self.known)
+            for one in found:
+                yield {token: known[token] for token in one & held}
+            self.seen.update(t for t in new if len(t) <= LONGEST)
+            for token in [t for t in new & held if len(t) > LONGEST]:
+                del known[token]
+
+    def scores(self, texts: list[str | None]) -> list[float]:
+        return [1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.bias + math.fsum(found.values())))))
+                for found in self.weighted(texts)]
 
     def score(self, text: str | None) -> float:
-        known, total = self.known, 0.0
-        for token in tokens_of(text or ""):
-            weight = known.get(token)
-            if weight is None:
-                weight = self.token_weight(token)
-                if len(token) <= LONGEST:
-                    if len(known) >= REMEMBER:
-                        known.clear()
-                    known[token] = weight
-            total += weight
-        return 1.0 / (1.0 + math.exp(-max(-30.0, min(30.0, self.bias + total))))
+        return self.scores([text])[0]
 
     def __getstate__(self):
-        return {**self.__dict__, "known": {}}
+        return {**self.__dict__, "seen": set(), "known": {}}
 
 
 def evidence(a: int, c: int, toxic: int, clean: int) -> float:
@@ -271,24 +441,17 @@ def evidence(a: int, c: int, toxic: int, clean: int) -> float:
     return ratio - DOUBT * math.sqrt(max(spread, 0.0))
 
 
-def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = None) -> Scorer:
-    """Character model from the words of all texts, feature weights by logistic regression with a
-    ridge penalty.  ``totals``: how many texts of each label there are, where ``texts`` hold another
-    mixture; probabilities are of the former.  Texts are read again for each step; what is held are
-    counts."""
+def fit(texts: list[str], labels: list[int]) -> Scorer:
+    """``fit_from`` for a few texts in a list, without Spark: character model from the words of all
+    texts, feature weights by logistic regression with a ridge penalty."""
     once = list({t: y for t, y in zip(texts, labels, strict=True)}.items())
     words: Counter = Counter()
     for t, _ in once:
-        for token in tokens_of(t):
-            core = token.strip(EDGES)
-            if core and not (" " in core or disguised(core)):
-                words[core] += 1
-    restorer = Restorer(CharModel(words))
-    del words
+        words.update(cores_of(t))
+    restorer = Restorer(CharModel(grams_of(words)))
     y = np.array([y for _, y in once], float)
     if not len(y) or y.min() == y.max():
-        share = float(y.mean()) if len(y) else 0.0
-        return Scorer(restorer, {}, math.log((share + 1e-9) / (1 - share + 1e-9)))
+        return _without_features(restorer, float(y.mean()) if len(y) else 0.0)
 
     toxic: Counter = Counter()
     for t, label in once:
@@ -336,35 +499,161 @@ def fit(texts: list[str], labels: list[int], totals: dict[int, int] | None = Non
     for _ in range(300):   # full-batch descent with a step per coordinate
         margin = b + np.bincount(i, w[k] * v, len(y)) if len(chosen) else np.full(len(y), b)
         error = 1 / (1 + np.exp(-np.clip(margin, -30, 30))) - y
-        g = np.append((np.bincount(k, error[i] * v, len(chosen)) if len(chosen) else []) + 0.003 * w, error.sum())
+        g = np.append((np.bincount(k, error[i] * v, len(chosen)) if len(chosen) else []) + RIDGE * w, error.sum())
         rate = 0.95 * rate + g * g
         move = 0.3 * g / np.sqrt(rate + 1e-6)
         w, b = np.maximum(w - move[:-1], 0.0), max(b - move[-1], LEAST_BIAS)
-    if totals:      # from the mixture that was read to the one that is there
-        b += math.log(totals[1] / totals[0]) - math.log(base / (1 - base))
     return Scorer(restorer, {f: float(x) for f, x in zip(chosen, w, strict=True) if x > LEAST_WEIGHT}, float(b))
 
 
-def fit_from(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id",
-             max_rows: int = FIT_ROWS, max_bytes: int = FIT_BYTES) -> Scorer:
-    """Fit on about ``max_rows`` labelled texts of at most ``max_bytes`` bytes, half of them of each
-    label where there are as many, chosen by a hash of ``key``, which is the same in every order of
-    the input.  The labels' own shares are put back into the probabilities."""
-    rows = labelled_sample(docs, labels, max_rows // 2, max_bytes, per_label=True, text=text, label=label, key=key)
-    known = labels.where(F.col(label).isNotNull()).groupBy(F.col(label).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n"))
-    totals = {r["y"]: r["n"] for r in known.collect()}
-    return fit([r["t"] for r in rows], [r["y"] for r in rows], totals if totals.get(0) and totals.get(1) else None)
+def cores_of(text: str) -> list[str]:
+    return [word.strip(EDGES) for word in set(text.lower().split())]
+
+
+def _without_features(restorer: Restorer, share: float) -> Scorer:
+    return Scorer(restorer, {}, math.log((share + 1e-9) / (1 - share + 1e-9)))
+
+
+def training_texts(docs: DataFrame, labels: DataFrame, text: str, label: str, key: str) -> DataFrame:
+    """(t, y): every labelled text once; of equal texts the label of the row whose ``key`` has the
+    largest hash counts (of repeated labels of a ``key``, 1)."""
+    known = (labels.where(F.col(label).isNotNull()).groupBy(F.col(key).alias("k"))
+             .agg(F.max((F.col(label).cast("int") != 0).cast("long")).alias("y")))
+    # labels grow with the texts, so neither side is broadcast; theirs is the small one, texts are not sorted
+    texts = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")).join(known.hint("shuffle_hash"), "k")
+    # hash and label in one number, so that texts are grouped by hashing, without a sort
+    rank = F.xxhash64("k").bitwiseAND(F.lit(-2)).bitwiseOR(F.col("y"))
+    return texts.groupBy("t").agg(F.max(rank).alias("r")).select("t", F.col("r").bitwiseAND(F.lit(1)).cast("int").alias("y"))
+
+
+def gram_counts(texts: DataFrame) -> DataFrame:
+    """(gram, n): how often each trigram occurs in the plain words of all texts, a text's distinct words once."""
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words: Counter = Counter()
+
+        def grams() -> pd.DataFrame:
+            cores: Counter = Counter()
+            for word, n in words.items():
+                cores[word.strip(EDGES)] += n
+            words.clear()
+            found = grams_of(cores)
+            return pd.DataFrame({"gram": list(found), "n": list(found.values())})
+
+        for batch in batches:
+            for t in batch["t"]:
+                words.update(set(t.lower().split()))
+                if len(words) > HELD:
+                    yield grams()
+        yield grams()
+
+    return texts.select("t").mapInPandas(counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+
+
+def feature_counts(texts: DataFrame, restorer: Restorer) -> DataFrame:
+    """(feature, toxic, clean): in how many texts of either label each feature occurs."""
+    held = texts.sparkSession.sparkContext.broadcast(restorer)
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        words, known = held.value.words, {}
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+
+        def rows() -> pd.DataFrame:
+            clean, toxic = counts
+            names = list(clean.keys() | toxic.keys())
+            found = pd.DataFrame({"feature": names, "toxic": [toxic[f] for f in names], "clean": [clean[f] for f in names]})
+            clean.clear()
+            toxic.clear()
+            return found
+
+        for batch in batches:
+            for t, y in zip(batch["t"], batch["y"], strict=True):
+                found: set[str] = set()
+                for token in tokens_of(t):
+                    own = known.get(token)
+                    if own is None:
+                        own = tuple(f for w in words(token) for f in features(w)) or NONE
+                        # runs of tokens hardly ever come again
+                        if len(token) <= LONGEST and " " not in token:
+                            if len(known) >= KNOWN:
+                                known.clear()
+                            known[token] = own
+                    found.update(own)
+                counts[y].update(found)
+                if len(counts[0]) + len(counts[1]) > HELD:
+                    yield rows()
+        yield rows()
+
+    return (texts.mapInPandas(counted, "feature string, toxic long, clean long")
+            .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+
+
+def choose_features(counts: DataFrame, n_toxic: int, n_clean: int, most: int = MAX_FEATURES) -> list[str]:
+    """The features that are likelier in toxic texts beyond doubt, best first."""
+    @F.pandas_udf("double")
+    def low(toxic: pd.Series, clean: pd.Series) -> pd.Series:
+        return pd.Series([evidence(a, c, n_toxic, n_clean) for a, c in zip(toxic, clean, strict=True)], dtype="float64")
+
+    rows = (counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("low", low("toxic", "clean")).where(F.col("low") > EVIDENCE)
+            .select("feature", (F.col("low") * F.log1p("toxic")).alias("rank")))
+    return [r["feature"] for r in rows.orderBy(F.desc("rank"), "feature").limit(most).collect()]
+
+
+def fit_weights(texts: DataFrame, restorer: Restorer, chosen: list[str], n_texts: int) -> tuple[list[float], float]:
+    """Weights, none below zero, and bias of a logistic regression with a ridge penalty over all texts;
+    those of the same features and label are one weighted row."""
+    number = {f: k for k, f in enumerate(chosen)}
+    held = texts.sparkSession.sparkContext.broadcast(Scorer(restorer, dict.fromkeys(chosen, 1.0), 0.0))
+
+    def vectors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer, words, own = held.value, held.value.restorer.words, {}
+        for batch in batches:
+            at, value = [], []
+            for found in scorer.weighted(batch["t"].tolist()):
+                for token in found.keys() - own.keys():
+                    own[token] = [number[f] for w in words(token) for f in features(w) if f in number]
+                n = Counter(k for token in found for k in own[token])
+                if len(own) > KNOWN:
+                    own.clear()
+                at.append(sorted(n))
+                value.append([float(min(n[k], 3)) for k in sorted(n)])
+            yield pd.DataFrame({"at": at, "value": value, "y": batch["y"].astype(float).tolist()})
+
+    size = len(chosen)
+    sparse = F.udf(lambda at, value: Vectors.sparse(size, at, value), VectorUDT())
+    rows = stage(texts.mapInPandas(vectors, "at array<int>, value array<double>, y double")
+                 .groupBy("at", "value", "y").agg(F.count(F.lit(1)).cast("double").alias("n")), "toxic-vectors")
+    model = LogisticRegression(
+        featuresCol="x", labelCol="y", weightCol="n", regParam=RIDGE / n_texts, standardization=False, maxIter=100,
+        lowerBoundsOnCoefficients=Matrices.dense(1, size, [0.0] * size), lowerBoundsOnIntercepts=Vectors.dense([LEAST_BIAS]),
+    ).fit(rows.select(sparse("at", "value").alias("x"), "y", "n"))
+    return model.coefficients.toArray().tolist(), float(model.intercept)
+
+
+def fit_from(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "label", key: str = "doc_id") -> Scorer:
+    """Fit on all labelled texts, each as a whole."""
+    small_batches(docs.sparkSession)
+    texts = stage(training_texts(docs, labels, text, label, key), "toxic-texts")
+    n = {r["y"]: r["n"] for r in texts.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_clean, n_toxic = n.get(0, 0), n.get(1, 0)
+    if not (n_clean and n_toxic):
+        return _without_features(Restorer(CharModel({})), float(n_toxic > 0))
+    grams = gram_counts(texts).orderBy(F.desc("n"), "gram").limit(MODEL_GRAMS).collect()
+    restorer = Restorer(CharModel({r["gram"]: r["n"] for r in grams}))
+    chosen = choose_features(feature_counts(texts, restorer), n_toxic, n_clean)
+    if not chosen:
+        return Scorer(restorer, {}, max(math.log(n_toxic / n_clean), LEAST_BIAS))
+    weights, bias = fit_weights(texts, restorer, chosen, n_toxic + n_clean)
+    return Scorer(restorer, {f: x for f, x in zip(chosen, weights, strict=True) if x > LEAST_WEIGHT}, bias)
 
 
 def with_scores(df: DataFrame, scorer: Scorer, text: str = "text", out: str = "score") -> DataFrame:
-    """``df`` with the probability of label 1.  The model is as small as its fit sample."""
+    """``df`` with the probability of label 1."""
     small_batches(df.sparkSession)
     held = df.sparkSession.sparkContext.broadcast(scorer)
 
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
-        score = held.value.score   # one object, with its memory, per worker
-        return pd.Series([score(t) for t in texts], dtype="float64")
+        return pd.Series(held.value.scores(texts.tolist()), dtype="float64")   # one object, with its memory, per worker
 
     return df.withColumn(out, scores(F.col(text)))
 
