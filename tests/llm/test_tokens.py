@@ -172,6 +172,27 @@ def test_words_forget_and_stay_right(monkeypatch, words_library):
         assert encoder.encode_all([t])[0].tolist() == words_library.encode(t, add_special_tokens=False).ids
 
 
+def test_words_of_letters_are_learned_in_few_calls(words_library):
+    """Joined by spaces alone: no call and no mark for each word."""
+    encoder = planes.WordEncoder(WORDS)
+    letters = [f"{a}{b}" for a in ("river", "Haus", "señor", "été", "日本", "ǅ", "ﬁ", "ſ", "ß") for b in ("", "x", "ly", "ñ", "語")]
+    calls = []
+    encoder.library = type("Counted", (), {"encode_batch_fast": lambda self, texts, **k: calls.append(texts) or words_library.encode_batch_fast(texts, **k)})()
+    found = encoder.encode_all([" ".join(letters)])[0]
+    assert found.tolist() == words_library.encode(" ".join(letters), add_special_tokens=False).ids
+    assert len(calls[0]) == 1 and "." not in calls[0][0] and [t for c in calls[1:] for t in c] == []
+    # the marks after a known word are asked for once
+    calls.clear()
+    marked = " ".join(f"{w}{m}" for w in ("river", "Haus", "señor", "été") for m in ("***", "&&&", "!", ").", "%%%%", "'"))
+    for _ in range(2):
+        assert encoder.encode_all([marked])[0].tolist() == words_library.encode(marked, add_special_tokens=False).ids
+    assert len([x for c in calls for x in c]) == 4 + 4 * 2
+    # a letter that is no letter in lower case: its words are asked for one by one
+    calls.clear()
+    for t in ("İzmir one two", "one İ two", "İ"):
+        assert encoder.encode_all([t])[0].tolist() == words_library.encode(t, add_special_tokens=False).ids
+
+
 def expected_files(rows, library):
     out, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):

@@ -31,6 +31,7 @@ BLOCK = 1 << 16        # ids in a block
 LEVEL = 3              # zstandard level
 REMEMBER = 1_000_000     # remembered words a worker holds at most
 LONGEST = 64           # longer words are encoded each time
+MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"     # marks that no special token or contraction is made of
 
 FILE_SCHEMA = ("shard int, block int, first long, n_ids int, kind string, planes binary, plane_ends array<int>, "
                "doc_nos array<long>, doc_ids array<long>, doc_n_ids array<int>")
@@ -71,8 +72,13 @@ class WordEncoder:
         self.library = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
         self.tails = {"": b""}
-        for mark in ".,":
-            self.tails[mark] = np.array(self.library.encode(mark, add_special_tokens=False).ids, "<u4").tobytes()
+        # ids of pieces that a word's end alone can have
+        suffix = getattr(self.library.model, "end_of_word_suffix", None)
+        self.word_ends: np.ndarray | None = None
+        if suffix:
+            pieces = self.library.get_vocab(with_added_tokens=False)
+            self.word_ends = np.zeros(max(self.library.get_vocab().values(), default=0) + 1, bool)
+            self.word_ends[[i for piece, i in pieces.items() if piece.endswith(suffix)]] = True
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
         words = [t.replace("\n", " ").split(" ") for t in texts]
@@ -80,7 +86,7 @@ class WordEncoder:
         if len(self.known) + len(used) > REMEMBER:
             self.known = {w: self.known[w] for w in used & self.known.keys()}
         known = self.known
-        # a full stop or comma after a Latin letter is a token of its own, and ASCII letters lose their
+        # a few marks after a Latin letter are cut from it, whatever it is, and ASCII letters lose their
         # case, unless a special token may be about: these need no call of their own
         new = {w: self._core(w) for w in used - known.keys()}
         cores = list({c for c, _ in new.values()} - known.keys())
@@ -89,6 +95,10 @@ class WordEncoder:
             self._learn_together(letters[a:a + 1024])
         self._learn([c for c in cores if not c.isalpha()])
         tails = self.tails
+        unknown = list({tail for _, tail in new.values()} - tails.keys())
+        if unknown:
+            for tail, found in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
+                tails[tail] = _bytes_of(found.ids)
         for w, (core, tail) in new.items():
             if tail or core != w:
                 known[w] = known[core] + tails[tail]
@@ -104,25 +114,26 @@ class WordEncoder:
                 self.known[w] = _bytes_of(found.ids)
 
     def _learn_together(self, cores: list[str]) -> None:
-        """Words of letters alone in one call, with full stops between, whose id parts their ids."""
-        stop = self.tails["."]
-        ids = np.array(self.library.encode(" . ".join(cores), add_special_tokens=False).ids, "<u4")
-        cuts = np.flatnonzero(ids == np.frombuffer(stop, "<u4")[0])
-        if len(stop) != 4 or len(cuts) != len(cores) - 1:
+        """Words of letters alone in one call, if each of them ends in an id that only ends words."""
+        if self.word_ends is None:
             self._learn(cores)
             return
-        data, at = ids.tobytes(), 0
-        for w, cut in zip(cores, [*(4 * cuts).tolist(), len(data)], strict=True):
-            self.known[w] = data[at:cut]
-            at = cut + 4
+        ids = np.array(self.library.encode_batch_fast([" ".join(cores)], add_special_tokens=False)[0].ids, "<u4")
+        cuts = np.flatnonzero(self.word_ends[ids]) + 1
+        if len(cuts) != len(cores) or cuts[-1] != len(ids):
+            # some word is not one for the library
+            self._learn(cores)
+            return
+        ends = (4 * cuts).tolist()
+        self.known.update(zip(cores, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
 
     def _core(self, word: str) -> tuple[str, str]:
-        """(what the library is asked for, the mark after it)."""
-        tail = word[-1]
-        if (tail == "." or tail == ",") and len(word) > 1 and word[-2].isalpha() and ord(word[-2].lower()[-1]) < 0x250:
-            word = word[:-1]
-        else:
-            tail = ""
+        """(what the library is asked for, the marks after it)."""
+        tail = ""
+        if word[-1] in MARKS:
+            stem = word.rstrip(MARKS)
+            if stem and len(word) - len(stem) <= 3 and stem[-1].isalpha() and ord(stem[-1].lower()[-1]) < 0x250:
+                word, tail = stem, word[len(stem):]
         return (word.lower() if word.isascii() and "<" not in word else word), tail
 
 
