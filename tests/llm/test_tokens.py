@@ -193,6 +193,16 @@ def test_words_of_letters_are_learned_in_few_calls(words_library):
         assert encoder.encode_all([t])[0].tolist() == words_library.encode(t, add_special_tokens=False).ids
 
 
+def test_words_that_differ_by_case_and_marks_are_remembered_once(words_library):
+    encoder = planes.WordEncoder(WORDS)
+    some = ["River, river RIVER! (river) river", "", " river.\nRiver***", "r\u00edo R\u00edo, \u65e5\u672c. a<b A<B !!! \u0130. x" + "y" * 80 + "?", "\n"]
+    for t, ids in zip(some, encoder.encode_all(some), strict=True):
+        assert ids.tolist() == words_library.encode(t, add_special_tokens=False).ids, repr(t)
+    # before, each form had an entry and was looked up wherever it stood
+    assert {w for w in encoder.known if "river" in w.lower()} == {"river", "(river"}
+    assert encoder.encode_all([]) == [] and max(map(len, encoder.known)) <= planes.LONGEST
+
+
 def expected_files(rows, library):
     out, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):

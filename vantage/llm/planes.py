@@ -21,6 +21,8 @@ from typing import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -81,31 +83,39 @@ class WordEncoder:
             self.word_ends[[i for piece, i in pieces.items() if piece.endswith(suffix)]] = True
 
     def encode_all(self, texts: list[str]) -> list[np.ndarray]:
-        words = [t.replace("\n", " ").split(" ") for t in texts]
-        used = set().union(*words)
-        if len(self.known) + len(used) > REMEMBER:
-            self.known = {w: self.known[w] for w in used & self.known.keys()}
-        known = self.known
+        if not texts:
+            return []
+        lists = pc.split_pattern(pa.array([t.replace("\n", " ") for t in texts], pa.large_string()), " ")
+        ends = lists.offsets.to_numpy()[1:]
+        coded = pc.dictionary_encode(lists.flatten())
         # a few marks after a Latin letter are cut from it, whatever it is, and ASCII letters lose their
         # case, unless a special token may be about: these need no call of their own
-        new = {w: self._core(w) for w in used - known.keys()}
-        cores = list({c for c, _ in new.values()} - known.keys())
-        letters = [c for c in cores if c.isalpha()]
+        cores, tails = map(pc.dictionary_encode, self._cores(coded.dictionary))
+        used = cores.dictionary.to_pylist()
+        known = self.known
+        new = [w for w in used if w not in known]
+        if len(known) + len(new) > REMEMBER:
+            known = self.known = {w: known[w] for w in used if w in known}
+        letters = [w for w in new if w.isalpha()]
         for a in range(0, len(letters), 1024):
             self._learn_together(letters[a:a + 1024])
-        self._learn([c for c in cores if not c.isalpha()])
-        tails = self.tails
-        unknown = list({tail for _, tail in new.values()} - tails.keys())
+        self._learn([w for w in new if w and not w.isalpha()])
+        known.setdefault("", b"")
+        marks = tails.dictionary.to_pylist()
+        unknown = [m for m in marks if m not in self.tails]
         if unknown:
             for tail, found in zip(unknown, self.library.encode_batch_fast(unknown, add_special_tokens=False), strict=True):
-                tails[tail] = _bytes_of(found.ids)
-        for w, (core, tail) in new.items():
-            if tail or core != w:
-                known[w] = known[core] + tails[tail]
-        out = [np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4") for ws in words]
-        for w in [w for w in new if len(w) > LONGEST] + [c for c in cores if len(c) > LONGEST]:
-            known.pop(w, None)
-        return out
+                self.tails[tail] = _bytes_of(found.ids)
+        # the ids of each word, its core's and its marks', then those of all words
+        pieces = [*map(known.__getitem__, used), *map(self.tails.__getitem__, marks)]
+        order = np.stack([cores.indices.to_numpy(), tails.indices.to_numpy() + len(used)], axis=1).ravel()
+        ids, sizes = _picked(np.frombuffer(b"".join(pieces), "<u4"), np.array([len(p) >> 2 for p in pieces]), order)
+        ids, sizes = _picked(ids, sizes.reshape(-1, 2).sum(axis=1), coded.indices.to_numpy())
+        cuts = np.append(0, np.cumsum(sizes))[ends].tolist()
+        for w in new:
+            if len(w) > LONGEST:
+                known.pop(w, None)
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts)]  # noqa: B905
 
     def _learn(self, cores: list[str]) -> None:
         for a in range(0, len(cores), 4096):
@@ -127,14 +137,34 @@ class WordEncoder:
         ends = (4 * cuts).tolist()
         self.known.update(zip(cores, map(ids.tobytes().__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
 
-    def _core(self, word: str) -> tuple[str, str]:
-        """(what the library is asked for, the marks after it)."""
-        tail = ""
-        if word[-1] in MARKS:
-            stem = word.rstrip(MARKS)
-            if stem and len(word) - len(stem) <= 3 and stem[-1].isalpha() and ord(stem[-1].lower()[-1]) < 0x250:
-                word, tail = stem, word[len(stem):]
-        return (word.lower() if word.isascii() and "<" not in word else word), tail
+    def _cores(self, words: pa.Array) -> tuple[pa.Array, pa.Array]:
+        """(what the library is asked for, the marks after it) of each word."""
+        stems = pc.utf8_rtrim(words, MARKS)
+        n = pc.subtract(pc.utf8_length(words), pc.utf8_length(stems))
+        last = pc.dictionary_encode(pc.utf8_slice_codeunits(stems, -1))
+        latin = pa.array([c.isalpha() and ord(c.lower()[-1]) < 0x250 for c in last.dictionary.to_pylist()], pa.bool_())
+        cut = pc.and_(pc.less_equal(n, 3), latin.take(last.indices))
+        cores = pc.if_else(cut, stems, words)
+        plain = pc.and_(pc.string_is_ascii(cores), pc.invert(pc.match_substring(cores, "<")))
+        return pc.if_else(plain, pc.ascii_lower(cores), cores), self._marks(words, pc.if_else(cut, n, 0))
+
+    @staticmethod
+    def _marks(ends: pa.Array, n: pa.Array) -> pa.Array:
+        """The last ``n`` characters, up to three, of each."""
+        out = pa.array([""], ends.type).take(pa.array(np.zeros(len(ends), int)))
+        for k in (1, 2, 3):
+            out = pc.if_else(pc.equal(n, k), pc.utf8_slice_codeunits(ends, -k), out)
+        return out
+
+
+def _picked(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``flat`` holds pieces of these sizes end to end: the pieces in this order, and their sizes."""
+    sizes = sizes.astype(np.int64)
+    starts, picked = np.cumsum(sizes) - sizes, sizes[order]
+    ends = np.cumsum(picked)
+    at = np.repeat(starts[order] - (ends - picked), picked)
+    at += np.arange(len(at))
+    return flat[at], picked
 
 
 def _bytes_of(ids: list[int]) -> bytes:
