@@ -160,6 +160,14 @@ def test_no_token_with_a_feature_is_left_out(scorer):
     assert [scorer.score(t) for t in tokens[:200]] == scorer.scores(tokens[:200])
 
 
+def test_tokens_are_searched_where_words_begin_and_end():
+    wanted = toxicity.Wanted(["mor$", "stupidly$", "idio"])
+    some = ["(m0r)", "x-mmor!", "m o r", "$tup1dly", "a.s-tupid.ly", "1diotic", "a idi ot", "...mor", "m\u200bor"]
+    assert wanted.among(some) == some
+    # in the middle of a word none can be read; before, all were decoded
+    assert wanted.among(["more", "amor", "unstupidly", "stupendous", "anidiot", "", "...", "ror m"]) == []
+
+
 def test_evidence_does_not_depend_on_the_mixture():
     few, many = toxicity.evidence(50, 2, 300, 300), toxicity.evidence(50, 20, 300, 3000)
     assert few > toxicity.EVIDENCE and many > toxicity.EVIDENCE and abs(few - many) < 1

@@ -55,6 +55,7 @@ EVIDENCE = math.log(3)   # a feature's share among toxic texts is at least thric
 DOUBT = 1.3            # even so many standard errors below what was counted
 SHORT = 4              # characters of a token that may be a piece of a word
 STEMS = (4, 5)         # lengths of word beginnings that are features
+PIECE = 6              # symbols of a feature's skeleton that tokens are searched for
 
 # What symbols are used for, and which are put between letters.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -96,44 +97,56 @@ class Wanted:
     """Tells tokens of which some reading may hold one of the features; never wrongly says no."""
 
     def __init__(self, chosen):
+        # what words may begin with, and the whole of short words
         self.starts: dict[int, set] = defaultdict(set)
+        self.wholes: dict[int, set] = defaultdict(set)
         for f in chosen:
-            start = skeleton(f.removesuffix("$"))[:4]
-            self.starts[len(start)].add(start)
+            bones = skeleton(f.removesuffix("$"))
+            pieces = self.wholes if f.endswith("$") and len(bones) <= PIECE else self.starts
+            pieces[min(len(bones), PIECE)].add(bones[:PIECE])
 
     def __call__(self, token: str) -> bool:
         bones = skeleton(token)
-        return any(bones[k:k + n] in starts for n, starts in self.starts.items() for k in range(len(bones) - n + 1))
+        return any(bones[k:k + n] in pieces for kind in (self.starts, self.wholes) for n, pieces in kind.items()
+                   for k in range(len(bones) - n + 1))
 
     @cached_property
-    def _tables(self) -> dict[int, np.ndarray]:
-        out = {}
-        for n, starts in self.starts.items():
-            table = np.zeros(1 << 20, bool)
-            codes = np.array([[ord(c) for c in x] for x in starts], "<u4").reshape(len(starts), n)
-            table[_hashes(codes.T)] = True
-            out[n] = table
+    def _tables(self) -> list[tuple[int, bool, np.ndarray]]:
+        out = []
+        for kind in (self.starts, self.wholes):
+            for n, pieces in kind.items():
+                table = np.zeros(1 << 20, bool)
+                codes = np.array([[ord(c) for c in x] for x in pieces], "<u4").reshape(len(pieces), n)
+                table[_hashes(codes.T)] = True
+                out.append((n, kind is self.wholes, table))
         return out
 
     def among(self, tokens: list[str]) -> list[str]:
-        """The tokens that may hold a feature, and few others: hashes of their skeletons' pieces."""
-        if not tokens or not self.starts:
+        """The tokens that may hold a feature, and few others.  A word of a reading begins where the token does,
+        its edges cut off, or after a separator, and ends likewise; only there are skeletons' pieces looked up,
+        by their hashes."""
+        if not tokens or not (self.starts or self.wholes):
             return []
-        if 0 in self.starts:
+        if 0 in self.starts or 0 in self.wholes:
             return tokens
-        codes = _class_codes()[np.frombuffer(("\n".join(tokens) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")]
-        codes = codes[codes != GONE]
-        codes = codes[np.append(True, (codes[1:] != codes[:-1]) | (codes[1:] == 10))]
+        raw = np.frombuffer(("\n".join(tokens) + "\n").encode("utf-32-le", "surrogatepass"), "<u4")
+        loose, codes = _loose()[raw], _class_codes()[raw]
+        stays = np.flatnonzero(codes != GONE)
+        codes, begins, ends = codes[stays], np.append(True, loose[:-1])[stays], np.append(loose[1:], True)[stays]
+        # symbols of one class in a row are one, which begins or ends a word if any of them does
+        first = np.flatnonzero(np.append(True, (codes[1:] != codes[:-1]) | (codes[1:] == 10)))
+        codes, begins, ends = codes[first], np.logical_or.reduceat(begins, first), np.logical_or.reduceat(ends, first)
+        at = np.flatnonzero(begins & (codes != 10))
         hit = np.zeros(len(codes), bool)
-        for n, table in self._tables.items():
-            if len(codes) >= n:
-                hit[:len(codes) - n + 1] |= table[_hashes([codes[k:len(codes) - n + 1 + k] for k in range(n)])]
-        token_of = np.cumsum(codes == 10)
-        # a piece that begins at a token's end belongs to none
-        return [tokens[k] for k in np.unique(token_of[hit & (codes != 10)])]
+        for n, whole, table in self._tables:
+            here = at[at <= len(codes) - n]
+            if whole:
+                here = here[ends[here + (n - 1)]]
+            hit[here[table[_hashes([codes[here + k] for k in range(n)])]]] = True
+        return [tokens[k] for k in np.unique(np.cumsum(codes == 10)[hit])]
 
     def __getstate__(self):
-        return {"starts": self.starts}
+        return {"starts": self.starts, "wholes": self.wholes}
 
 
 GONE = 0x110000      # the class of what goes
@@ -147,6 +160,14 @@ def _class_codes() -> np.ndarray:
     return codes
 
 
+@lru_cache(maxsize=1)
+def _loose() -> np.ndarray:
+    """What may stand beside a word within a token."""
+    loose = np.zeros(GONE, bool)
+    loose[[ord(c) for c in EDGES + SEPARATORS + "\n"]] = True
+    return loose
+
+
 def _hashes(columns) -> np.ndarray:
     total = np.zeros(len(columns[0]), "<u4")
     for column in columns:
