@@ -151,6 +151,36 @@ def test_feature_counts_equal_a_plain_count(spark):
     assert {r.feature: (r.clean, r.toxic) for r in got} == {f: (want[0][f], want[1][f]) for f in want[0] | want[1]}
 
 
+@pytest.mark.parametrize("most", [toxicity.CANDIDATES, 2, 0])
+def test_candidates_counted_by_halves_are_chosen_alike(spark, most):
+    """Only what the first half leaves open is looked for in the other one; before, everything was counted there."""
+    choose = random.Random(8)
+    pool = ["river", "house", "r1ver", "ri", "ver", "a", "the", "under", "open"]
+    toxic = ["loser", "lo5er", "l.o.s.e.r", "lo ser", "(loser)", "moron", "m0ron", "mo ron", "opens"]
+    rows = [(" ".join([*(choose.choice(pool) for _ in range(12)), *choose.sample(toxic, 3 if k % 5 == 0 else k % 3 == 0)]) + f" x{k}", int(k % 5 == 0))
+            for k in range(400)]
+    restorer = toxicity.Restorer(toxicity.CharModel(toxicity.grams_of(Counter(["river", "house", "loser", "moron", "the"] * 9))))
+    texts = spark.createDataFrame(rows, "t string, y int").repartition(3)
+    every, some = toxicity.feature_counts(texts, restorer), toxicity.candidate_counts(texts, restorer, 80, 320, most)
+    want = toxicity.choose_features(every, 80, 320)
+    assert {"loser$", "moron$"} <= set(want) and toxicity.choose_features(some, 80, 320) == want
+    full, got = ({r.feature: (r.toxic, r.clean) for r in df.collect()} for df in (every, some))
+    assert {f: got[f] for f in want} == {f: full[f] for f in want}
+    assert not most > 2 or "the$" in full and not {"the$", "river$"} & got.keys() and len(got) < len(full) / 5
+
+
+def test_no_candidates_without_evidence(spark):
+    texts = spark.createDataFrame([(f"the river {k}", k % 2) for k in range(40)], "t string, y int")
+    assert toxicity.candidate_counts(texts, toxicity.Restorer(toxicity.CharModel({})), 20, 20).count() == 0
+
+
+def test_more_clean_texts_never_add_evidence():
+    for n_toxic, n_clean in [(4, 1), (4, 2), (5, 3), (7, 40), (300, 5), (300, 300), (20, 2000)]:
+        for a in range(toxicity.MIN_TEXTS, n_toxic + 1):
+            passes = [toxicity.evidence(a, c, n_toxic, n_clean) > toxicity.EVIDENCE for c in range(n_clean + 1)]
+            assert passes == sorted(passes, reverse=True)
+
+
 def test_no_token_with_a_feature_is_left_out(scorer):
     choose = random.Random(7)
     tokens = ["".join(choose.choice("stupid 5.-1$_mor0nl@") for _ in range(choose.randint(1, 14))) for _ in range(5000)]
@@ -168,6 +198,14 @@ def test_tokens_are_searched_where_words_begin_and_end():
     assert wanted.among(["more", "amor", "unstupidly", "stupendous", "anidiot", "", "...", "ror m"]) == []
 
 
+def test_long_words_are_searched_as_wholes():
+    wanted = toxicity.Wanted(["stupidly$", "worthlessness$", "a" + "bc" * 10 + "$"])
+    some = ["$tupidly", "so.s-t-u-p-i-d-l-y!", "stupid ly", "w0rthlessne5s", "a" + "bc" * 10, "worthle ss ness"]
+    assert wanted.among(some) == some and all(map(wanted, some))
+    # they begin like a wanted word, but none of their words ends where it does; before, these were decoded
+    assert wanted.among(["stupidest", "stupid", "stupidlyest", "worthless", "worthlessnesses", "stu pid el y"]) == []
+
+
 def test_evidence_does_not_depend_on_the_mixture():
     few, many = toxicity.evidence(50, 2, 300, 300), toxicity.evidence(50, 20, 300, 3000)
     assert few > toxicity.EVIDENCE and many > toxicity.EVIDENCE and abs(few - many) < 1

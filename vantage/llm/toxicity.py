@@ -9,10 +9,12 @@ and word beginnings that training text marks as toxic, and a logistic model turn
 over the distinct words of the whole text, into a probability.
 
 Training reads every labelled text as a whole; equal texts count once.  Spark counts the characters'
-trigrams, then the texts of either label that each feature occurs in, and fits the logistic model.  Only
-the model comes to the driver: the MODEL_GRAMS most frequent grams and the MAX_FEATURES best features
-bound its size, not what is counted.  Features are chosen by how much likelier they are in toxic texts
-than in clean ones, whatever the share of toxic labels is.  Labels, language, source and ``doc_id`` are never inputs of a score.
+trigrams, then the texts of either label that each feature occurs in, and fits the logistic model.  All
+features are counted in the toxic texts and half of the clean ones; in the other half only those that
+may still be chosen.  Only the model comes to the driver, and the names of these, if they are few: the
+MODEL_GRAMS most frequent grams and the MAX_FEATURES best features bound its size, not what is counted.
+Features are chosen by how much likelier they are in toxic texts than in clean ones, whatever the share
+of toxic labels is.  Labels, language, source and ``doc_id`` are never inputs of a score.
 
 Defined cases: a null or empty text, or one without toxic words, scores the model's base rate;
 without labels of both kinds every score is the share of label 1 (0 without labels); repeated rows
@@ -38,6 +40,7 @@ from vantage.llm.common import fresh_name, small_batches, stage
 
 MODEL_GRAMS = 200_000  # grams that the character model keeps, the most frequent ones of the whole corpus
 MAX_FEATURES = 20_000  # features that the logistic model keeps, the best ones of the whole corpus
+CANDIDATES = 100_000   # features that are looked for by name; where more may be chosen, all are counted
 HELD = 200_000         # counts a training task holds before it hands them on
 KNOWN = 100_000        # words whose features a training task remembers
 SLICE = 1 << 20        # characters of text whose tokens are looked up together
@@ -56,6 +59,7 @@ DOUBT = 1.3            # even so many standard errors below what was counted
 SHORT = 4              # characters of a token that may be a piece of a word
 STEMS = (4, 5)         # lengths of word beginnings that are features
 PIECE = 6              # symbols of a feature's skeleton that tokens are searched for
+WHOLE = 16             # symbols of a word's skeleton that is searched for as a whole, where its first PIECE are found
 
 # What symbols are used for, and which are put between letters.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -97,13 +101,14 @@ class Wanted:
     """Tells tokens of which some reading may hold one of the features; never wrongly says no."""
 
     def __init__(self, chosen):
-        # what words may begin with, and the whole of short words
+        # what words may begin with, and the whole of words that are not very long
         self.starts: dict[int, set] = defaultdict(set)
         self.wholes: dict[int, set] = defaultdict(set)
         for f in chosen:
             bones = skeleton(f.removesuffix("$"))
-            pieces = self.wholes if f.endswith("$") and len(bones) <= PIECE else self.starts
-            pieces[min(len(bones), PIECE)].add(bones[:PIECE])
+            pieces = self.wholes if f.endswith("$") and len(bones) <= WHOLE else self.starts
+            bones = bones if pieces is self.wholes else bones[:PIECE]
+            pieces[len(bones)].add(bones)
 
     def __call__(self, token: str) -> bool:
         bones = skeleton(token)
@@ -112,14 +117,15 @@ class Wanted:
 
     @cached_property
     def _tables(self) -> list[tuple[int, bool, np.ndarray]]:
-        out = []
-        for kind in (self.starts, self.wholes):
-            for n, pieces in kind.items():
-                table = np.zeros(1 << 20, bool)
-                codes = np.array([[ord(c) for c in x] for x in pieces], "<u4").reshape(len(pieces), n)
-                table[_hashes(codes.T)] = True
-                out.append((n, kind is self.wholes, table))
-        return out
+        return [(n, kind is self.wholes, _table(pieces)) for kind in (self.starts, self.wholes)
+                for n, pieces in kind.items() if n <= PIECE]
+
+    @cached_property
+    def _longer(self) -> tuple[np.ndarray | None, list[tuple[int, np.ndarray]]]:
+        """What longer words begin with, and their wholes."""
+        longer = {n: pieces for n, pieces in self.wholes.items() if n > PIECE}
+        begin = _table({x[:PIECE] for pieces in longer.values() for x in pieces}) if longer else None
+        return begin, [(n, _table(pieces)) for n, pieces in longer.items()]
 
     def among(self, tokens: list[str]) -> list[str]:
         """The tokens that may hold a feature, and few others.  A word of a reading begins where the token does,
@@ -143,6 +149,14 @@ class Wanted:
             if whole:
                 here = here[ends[here + (n - 1)]]
             hit[here[table[_hashes([codes[here + k] for k in range(n)])]]] = True
+        begin, longer = self._longer
+        if begin is not None:
+            at = at[at <= len(codes) - PIECE]
+            at = at[begin[_hashes([codes[at + k] for k in range(PIECE)])]]
+        for n, table in longer:
+            here = at[at <= len(codes) - n]
+            here = here[ends[here + (n - 1)]]
+            hit[here[table[_hashes([codes[here + k] for k in range(n)])]]] = True
         return [tokens[k] for k in np.unique(np.cumsum(codes == 10)[hit])]
 
     def __getstate__(self):
@@ -175,6 +189,14 @@ def _hashes(columns) -> np.ndarray:
     return total >> np.uint32(12)
 
 
+def _table(pieces) -> np.ndarray:
+    """Which hashes pieces of one length have."""
+    table = np.zeros(1 << 20, bool)
+    codes = np.array([[ord(c) for c in x] for x in pieces], "<u4")
+    table[_hashes(codes.reshape(len(pieces), -1).T)] = True
+    return table
+
+
 def grams_of(words: Counter) -> Counter:
     """Counts of the trigrams of words, with two spaces before and one after; disguised ones are left out."""
     counts: Counter = Counter()
@@ -570,6 +592,16 @@ def gram_counts(texts: DataFrame) -> DataFrame:
     return texts.select("t").mapInPandas(counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
 
+def _handed_on(counts: tuple[Counter, Counter]) -> Iterator[pd.DataFrame]:
+    """What was counted since the last time; nothing instead of a frame without rows, which Spark can't convert."""
+    clean, toxic = counts
+    names = list(clean.keys() | toxic.keys())
+    if names:
+        yield pd.DataFrame({"feature": names, "toxic": [toxic[f] for f in names], "clean": [clean[f] for f in names]})
+    clean.clear()
+    toxic.clear()
+
+
 def feature_counts(texts: DataFrame, restorer: Restorer) -> DataFrame:
     """(feature, toxic, clean): in how many texts of either label each feature occurs."""
     held = texts.sparkSession.sparkContext.broadcast(restorer)
@@ -578,44 +610,78 @@ def feature_counts(texts: DataFrame, restorer: Restorer) -> DataFrame:
         words, known = held.value.words, {}
         counts: tuple[Counter, Counter] = (Counter(), Counter())
 
-        def rows() -> pd.DataFrame:
-            clean, toxic = counts
-            names = list(clean.keys() | toxic.keys())
-            found = pd.DataFrame({"feature": names, "toxic": [toxic[f] for f in names], "clean": [clean[f] for f in names]})
-            clean.clear()
-            toxic.clear()
-            return found
-
         for batch in batches:
             for t, y in zip(batch["t"], batch["y"], strict=True):
-                found: set[str] = set()
-                for token in tokens_of(t):
-                    own = known.get(token)
+                tokens = list(tokens_of(t))
+                owns = list(map(known.get, tokens))
+                for k, own in enumerate(owns):
                     if own is None:
-                        own = tuple(f for w in words(token) for f in features(w)) or NONE
+                        token = tokens[k]
+                        owns[k] = own = tuple(f for w in words(token) for f in features(w)) or NONE
                         # runs of tokens hardly ever come again
                         if len(token) <= LONGEST and " " not in token:
                             if len(known) >= KNOWN:
                                 known.clear()
                             known[token] = own
-                    found.update(own)
+                found = set().union(*owns)
                 counts[y].update(found)
                 if len(counts[0]) + len(counts[1]) > HELD:
-                    yield rows()
-        yield rows()
+                    yield from _handed_on(counts)
+        yield from _handed_on(counts)
 
     return (texts.mapInPandas(counted, "feature string, toxic long, clean long")
             .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
 
 
-def choose_features(counts: DataFrame, n_toxic: int, n_clean: int, most: int = MAX_FEATURES) -> list[str]:
-    """The features that are likelier in toxic texts beyond doubt, best first."""
+def counts_among(texts: DataFrame, restorer: Restorer, names: list[str]) -> DataFrame:
+    """``feature_counts`` of the features in ``names`` alone; tokens that can't hold one are not decoded."""
+    held = texts.sparkSession.sparkContext.broadcast(Scorer(restorer, dict.fromkeys(names, 1.0), 0.0))
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        scorer, own = held.value, {}
+        words, wanted = scorer.restorer.words, scorer.weights
+        counts: tuple[Counter, Counter] = (Counter(), Counter())
+        for batch in batches:
+            for found, y in zip(scorer.weighted(batch["t"].tolist()), batch["y"], strict=True):
+                for token in found.keys() - own.keys():
+                    own[token] = [f for w in words(token) for f in features(w) if f in wanted]
+                counts[y].update({f for token in found for f in own[token]})
+                if len(own) > KNOWN:
+                    own.clear()
+        yield from _handed_on(counts)
+
+    return (texts.mapInPandas(counted, "feature string, toxic long, clean long")
+            .groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
+
+
+def candidate_counts(texts: DataFrame, restorer: Restorer, n_toxic: int, n_clean: int, most: int = CANDIDATES) -> DataFrame:
+    """``feature_counts`` with the whole counts of all features that ``choose_features`` may take; others may lack.
+
+    Further clean texts never bring a feature above EVIDENCE that was not above it, so the toxic texts and half
+    of the clean ones tell which features the other half is searched for.  If these are more than ``most``, all
+    features are counted there too, with the same result."""
+    first = (F.col("y") == 1) | (F.pmod(F.xxhash64("t"), F.lit(2)) == 0)
+    known = stage(_likely(feature_counts(texts.where(first), restorer), n_toxic, n_clean).drop("low"), "toxic-features")
+    names = [r["feature"] for r in known.select("feature").limit(most + 1).collect()]
+    if not names:
+        return known
+    rest = texts.where(~first)
+    more = feature_counts(rest, restorer) if len(names) > most else counts_among(rest, restorer, names)
+    return known.unionByName(more).groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+
+
+def _likely(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
+    """The features that are likelier in toxic texts beyond doubt, with their evidence ``low``."""
     @F.pandas_udf("double")
     def low(toxic: pd.Series, clean: pd.Series) -> pd.Series:
         return pd.Series([evidence(a, c, n_toxic, n_clean) for a, c in zip(toxic, clean, strict=True)], dtype="float64")
 
-    rows = (counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("low", low("toxic", "clean")).where(F.col("low") > EVIDENCE)
-            .select("feature", (F.col("low") * F.log1p("toxic")).alias("rank")))
+    return counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("low", low("toxic", "clean")).where(F.col("low") > EVIDENCE)
+
+
+def choose_features(counts: DataFrame, n_toxic: int, n_clean: int, most: int = MAX_FEATURES) -> list[str]:
+    """The features that are likelier in toxic texts beyond doubt, best first."""
+    rows = _likely(counts, n_toxic, n_clean).select("feature", (F.col("low") * F.log1p("toxic")).alias("rank"))
     return [r["feature"] for r in rows.orderBy(F.desc("rank"), "feature").limit(most).collect()]
 
 
@@ -660,7 +726,7 @@ def fit_from(docs: DataFrame, labels: DataFrame, text: str = "text", label: str
         return _without_features(Restorer(CharModel({})), float(n_toxic > 0))
     grams = gram_counts(texts).orderBy(F.desc("n"), "gram").limit(MODEL_GRAMS).collect()
     restorer = Restorer(CharModel({r["gram"]: r["n"] for r in grams}))
-    chosen = choose_features(feature_counts(texts, restorer), n_toxic, n_clean)
+    chosen = choose_features(candidate_counts(texts, restorer, n_toxic, n_clean), n_toxic, n_clean)
     if not chosen:
         return Scorer(restorer, {}, max(math.log(n_toxic / n_clean), LEAST_BIAS))
     weights, bias = fit_weights(texts, restorer, chosen, n_toxic + n_clean)
