@@ -3,8 +3,11 @@
 import math
 import random
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -140,6 +143,48 @@ def test_every_labelled_text_teaches(spark):
     assert only.score("you grobble") < 0.01
 
 
+def test_the_fit_runs_in_one_kind_of_python_worker(spark, monkeypatch):
+    """Workers of another kind would stand idle beside those that count, each with its own memory."""
+    plans = []
+
+    class Seen(toxicity.LogisticRegression):
+        def fit(self, rows):
+            plans.append(rows._jdf.queryExecution().executedPlan().toString())
+            return super().fit(rows)
+
+    monkeypatch.setattr(toxicity, "LogisticRegression", Seen)
+    rows = [("the river grobble", 1)] * 3 + [(f"grobble house {k}", 1) for k in range(9)] + [(f"open house {k}", 0) for k in range(90)]
+    texts = spark.createDataFrame(rows, "t string, y int")
+    weights, bias = toxicity.fit_weights(texts, toxicity.Restorer(toxicity.CharModel({})), ["grobble$", "river$"], len(rows))
+    assert weights[0] > weights[1] >= 0 > bias
+    assert "ArrowEvalPython" in plans[0] and "BatchEvalPython" not in plans[0]
+
+
+def test_evidence_is_computed_once_by_a_task(spark):
+    counts = spark.createDataFrame([("loser$", 40, 2), ("the$", 90, 900), ("rare$", 1, 0)], "feature string, toxic long, clean long")
+    likely = toxicity._likely(counts, 100, 1000)
+    assert [(r.feature, r.low) for r in likely.collect()] == [("loser$", toxicity.evidence(40, 2, 100, 1000))]
+    for rows in (likely, likely.drop("low"), likely.select("feature", F.log1p("low"))):
+        assert rows._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_freed_memory_goes_back_to_the_system():
+    """A worker that is done with a batch keeps what it uses, not what it used."""
+    code = """
+import re
+from vantage.llm.common import give_back
+size = lambda: int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) >> 10
+texts = [b"x" * 5000 for _ in range(20000)]
+held = texts[::1000]
+del texts
+before = size()
+give_back()
+print(before - size())
+"""
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[2], capture_output=True, text=True, check=True).stdout
+    assert int(out) > 50
+
+
 def test_feature_counts_equal_a_plain_count(spark):
     choose = random.Random(6)
     pool = ["river", "r1ver", "ri", "ver", "a", "b", "hous", "e.", "(loser)", "lo5er", "l.o.s.e.r", "the"]

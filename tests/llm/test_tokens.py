@@ -2,10 +2,12 @@
 
 import base64
 import hashlib
+import pickle
 import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -131,6 +133,26 @@ def test_byte_bpe_over_odd_rows(odd, empty, tiktoken_encoding):
     assert bytebpe.encode(empty, RANKS, ids="a", ends="b").count() == 0
 
 
+def test_byte_bpe_leaves_no_coder_in_the_workers(odd, spark):
+    """Workers are used again by whatever comes next, which needs their memory."""
+    def coders(batches):
+        import gc
+        list(batches)
+        gc.collect()
+        yield pd.DataFrame({"n": [sum(type(x).__name__ == "BytePairs" for x in gc.get_objects())]})
+
+    bytebpe.digests(odd, RANKS).collect()
+    assert {r.n for r in spark.range(0, 64, 1, 16).mapInPandas(coders, "n long").collect()} == {0}
+
+
+def test_a_sent_coder_gives_the_same_ids_without_what_it_remembered():
+    coder = bytebpe.BytePairs(RANKS)
+    want = coder.encode_all(["some words here", "and zxqvw"])
+    sent = pickle.loads(pickle.dumps(coder))
+    assert coder.known and not sent.known
+    assert sent.encode_all(["some words here", "and zxqvw"]) == want
+
+
 def test_counts_over_odd_rows(odd, empty):
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     rows = pieces.with_token_counts(odd, PIECES, out="n").collect()

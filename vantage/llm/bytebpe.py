@@ -23,10 +23,11 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import fresh_name, small_batches
+from vantage.llm.common import fresh_name, give_back, small_batches
 from vantage.llm.merges import merge_pairs
 
 REMEMBER = 400_000     # remembered slices a worker holds at most
@@ -197,6 +198,13 @@ class BytePairs:
         self.single = [bytes([i]) for i in range(256)]
         self.known = _Known(self)
 
+    def __getstate__(self):
+        return {**self.__dict__, "known": None}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self.known = _Known(self)
+
     def merge(self, piece: bytes) -> bytes:
         """Ids of one slice, little-endian, 4 bytes each."""
         rank = self.ranks.get(piece)
@@ -290,19 +298,20 @@ class _Known(dict):
         return ids
 
 
-@lru_cache(maxsize=2)
-def _coder(ranks_path: str) -> BytePairs:
-    return BytePairs(ranks_path)
+def _coder(df: DataFrame, ranks_path: str) -> Broadcast:
+    """One coder, with its memory, per worker; it goes with the first task that does without it."""
+    return df.sparkSession.sparkContext.broadcast(BytePairs(ranks_path))
 
 
 def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids", ends: str = "ends") -> DataFrame:
     """``df`` with the ids of ``text`` (binary, 4 bytes each) and the byte offset at which each id
-    ends (binary, 8 bytes each).  ``ranks_path`` names the rank file on every executor."""
+    ends (binary, 8 bytes each).  ``ranks_path`` names the rank file on the driver."""
     small_batches(df.sparkSession)
+    held = _coder(df, ranks_path)
 
     @F.pandas_udf("ids binary, ends binary")
     def encoded(texts: pd.Series) -> pd.DataFrame:
-        coder = _coder(ranks_path)
+        coder = held.value
         found = coder.encode_all([t if t is not None else "" for t in texts])
         return pd.DataFrame({"ids": found, "ends": [coder.ends(x) for x in found]})
 
@@ -314,10 +323,11 @@ def encode(df: DataFrame, ranks_path: str, text: str = "text", ids: str = "ids",
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with the bytes that ``ids`` stand for."""
     small_batches(df.sparkSession)
+    held = _coder(df, ranks_path)
 
     @F.pandas_udf("binary")
     def decoded(found: pd.Series) -> pd.Series:
-        coder = _coder(ranks_path)
+        coder = held.value
         return pd.Series([coder.decode(x or b"") for x in found], dtype=object)
 
     return df.withColumn(out, decoded(F.col(ids)))
@@ -328,16 +338,18 @@ def digests(df: DataFrame, ranks_path: str, text: str = "text") -> DataFrame:
     Each text is encoded and its ids decoded where it lies, so ids never leave the worker; the
     decoded length is held against the last offset."""
     small_batches(df.sparkSession)
+    held = _coder(df, ranks_path)
 
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def digest(texts: pd.Series) -> pd.DataFrame:
-        coder, rows = _coder(ranks_path), []
+        coder, rows = held.value, []
         for ids in coder.encode_each([t if t is not None else "" for t in texts]):
             decoded, ends = coder.decode(ids), coder.ends(ids)
             if len(decoded) != int.from_bytes(ends[-8:], "little"):
                 raise ValueError("decoded length differs from the last offset")
             decimal = " ".join(map(coder.decimals.__getitem__, np.frombuffer(ids, "<u4").tolist()))
             rows.append((len(ids) // 4, hashlib.sha256(decimal.encode("ascii")).hexdigest(), hashlib.sha256(decoded).hexdigest()))
+        give_back()
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     both = fresh_name(df, "digest")

@@ -36,14 +36,14 @@ from pyspark.ml.linalg import Matrices, Vectors, VectorUDT
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vantage.llm.common import fresh_name, small_batches, stage
+from vantage.llm.common import fresh_name, give_back, small_batches, stage
 
 MODEL_GRAMS = 200_000  # grams that the character model keeps, the most frequent ones of the whole corpus
 MAX_FEATURES = 20_000  # features that the logistic model keeps, the best ones of the whole corpus
 CANDIDATES = 100_000   # features that are looked for by name; where more may be chosen, all are counted
 HELD = 200_000         # counts a training task holds before it hands them on
 KNOWN = 100_000        # words whose features a training task remembers
-SLICE = 1 << 20        # characters of text whose tokens are looked up together
+SLICE = 1 << 18        # characters of text whose tokens are looked up together
 RIDGE = 0.003
 THRESHOLD = 0.3
 REMEMBER = 400_000     # remembered words a worker holds at most
@@ -587,6 +587,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 words.update(set(t.lower().split()))
                 if len(words) > HELD:
                     yield grams()
+            give_back()
         yield grams()
 
     return texts.select("t").mapInPandas(counted, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n"))
@@ -627,6 +628,7 @@ def feature_counts(texts: DataFrame, restorer: Restorer) -> DataFrame:
                 counts[y].update(found)
                 if len(counts[0]) + len(counts[1]) > HELD:
                     yield from _handed_on(counts)
+            give_back()
         yield from _handed_on(counts)
 
     return (texts.mapInPandas(counted, "feature string, toxic long, clean long")
@@ -648,6 +650,7 @@ def counts_among(texts: DataFrame, restorer: Restorer, names: list[str]) -> Data
                 counts[y].update({f for token in found for f in own[token]})
                 if len(own) > KNOWN:
                     own.clear()
+            give_back()
         yield from _handed_on(counts)
 
     return (texts.mapInPandas(counted, "feature string, toxic long, clean long")
@@ -676,7 +679,9 @@ def _likely(counts: DataFrame, n_toxic: int, n_clean: int) -> DataFrame:
     def low(toxic: pd.Series, clean: pd.Series) -> pd.Series:
         return pd.Series([evidence(a, c, n_toxic, n_clean) for a, c in zip(toxic, clean, strict=True)], dtype="float64")
 
-    return counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("low", low("toxic", "clean")).where(F.col("low") > EVIDENCE)
+    # asked for once: else the condition is computed beside the column, by a second worker for each task
+    once = low.asNondeterministic()
+    return counts.where(F.col("toxic") >= MIN_TEXTS).withColumn("low", once("toxic", "clean")).where(F.col("low") > EVIDENCE)
 
 
 def choose_features(counts: DataFrame, n_toxic: int, n_clean: int, most: int = MAX_FEATURES) -> list[str]:
@@ -704,9 +709,11 @@ def fit_weights(texts: DataFrame, restorer: Restorer, chosen: list[str], n_texts
                 at.append(sorted(n))
                 value.append([float(min(n[k], 3)) for k in sorted(n)])
             yield pd.DataFrame({"at": at, "value": value, "y": batch["y"].astype(float).tolist()})
+            give_back()
 
     size = len(chosen)
-    sparse = F.udf(lambda at, value: Vectors.sparse(size, at, value), VectorUDT())
+    # by Arrow as all else here: other workers with a daemon of their own would stand beside these
+    sparse = F.udf(lambda at, value: Vectors.sparse(size, at, value), VectorUDT(), useArrow=True)
     rows = stage(texts.mapInPandas(vectors, "at array<int>, value array<double>, y double")
                  .groupBy("at", "value", "y").agg(F.count(F.lit(1)).cast("double").alias("n")), "toxic-vectors")
     model = LogisticRegression(
@@ -740,7 +747,9 @@ def with_scores(df: DataFrame, scorer: Scorer, text: str = "text", out: str = "s
 
     @F.pandas_udf("double")
     def scores(texts: pd.Series) -> pd.Series:
-        return pd.Series(held.value.scores(texts.tolist()), dtype="float64")   # one object, with its memory, per worker
+        found = pd.Series(held.value.scores(texts.tolist()), dtype="float64")   # one object, with its memory, per worker
+        give_back()
+        return found
 
     return df.withColumn(out, scores(F.col(text)))
 
