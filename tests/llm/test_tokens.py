@@ -246,6 +246,18 @@ def test_id_files_over_odd_rows(spark, odd, empty, tmpdir_path, words_library, k
     assert planes.document_checksums(spark, tmpdir_path + "/none").count() == 0
 
 
+def test_places_pass_32_bits(spark, tmpdir_path, words_library):
+    rows = [(k, t) for k, t in enumerate(["one two three", "", "four words of text", None, "long " * 70000, "five six seven"])]
+    planes.write_ids(spark.createDataFrame(rows, "doc_id long, text string"), tmpdir_path + "/ids", WORDS, 1)
+    blocks, expected = spark.read.parquet(tmpdir_path + "/ids"), expected_files(rows, words_library)
+    # the first passes 32 bits inside of a block, which gave negative places, the others failed
+    for before in (2 ** 31 - 4, 2 ** 31, 2 ** 33 + 1):
+        path = f"{tmpdir_path}/after-{before}"
+        blocks.withColumn("first", blocks["first"] + before).write.parquet(path)
+        got = planes.document_checksums(spark, path).collect()
+        assert sorted((str(r.doc_id), r.start - before, r.n_tokens, r.ids_crc32) for r in got) == expected
+
+
 def test_queries_on_whole_table(spark, tiktoken_encoding, words_library):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = QUERIES["op1_plane_files"](spark, SF).collect()

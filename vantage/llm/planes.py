@@ -292,9 +292,10 @@ def document_checksums(spark: SparkSession, path: str) -> DataFrame:
             for b in batch.itertuples(index=False):
                 ids = restore_block(b.planes, list(b.plane_ends), b.n_ids, b.kind)
                 at, last = 0, len(b.doc_nos) - 1
-                for k, (no, doc_id, n) in enumerate(zip(b.doc_nos, b.doc_ids, b.doc_n_ids, strict=True)):
+                # counts come as 32-bit integers; places among all ids pass these
+                for k, (no, doc_id, n) in enumerate(zip(b.doc_nos, b.doc_ids, map(int, b.doc_n_ids), strict=True)):
                     key = None if doc_id is None or doc_id != doc_id else int(doc_id)
-                    rows.append((b.shard, int(no), key, b.start + at, int(n), zlib.crc32(ids[at:at + n]), 0 < k < last))
+                    rows.append((b.shard, int(no), key, b.start + at, n, zlib.crc32(ids[at:at + n]), 0 < k < last))
                     at += n
             out = pd.DataFrame(rows, columns=["shard", "doc_no", "doc_id", "start", "n", "crc", "whole"])
             yield out.astype({"doc_id": "Int64"})
