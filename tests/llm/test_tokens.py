@@ -4,6 +4,7 @@ import base64
 import hashlib
 import pickle
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -225,6 +226,20 @@ def test_words_that_differ_by_case_and_marks_are_remembered_once(words_library):
     assert encoder.encode_all([]) == [] and max(map(len, encoder.known)) <= planes.LONGEST
 
 
+def test_ids_are_put_together_in_little_memory():
+    parts = [[], [7], [1, 2, 3], [4, 5]]
+    order = np.random.default_rng(3).integers(0, 4, 300_000)
+    flat, sizes = np.array(sum(parts, []), "<u4"), np.array([len(p) for p in parts])
+    tracemalloc.start()
+    ids, n = planes._picked(flat, sizes, order)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert ids.tolist() == [i for k in order for i in parts[k]] and n.tolist() == sizes[order].tolist()
+    # before, two more numbers of 64 bits for each id
+    assert peak < ids.nbytes + n.nbytes + 4_000_000
+    assert [x.tolist() for x in planes._picked(flat[:0], sizes[:1], order[:0])] == [[], []]
+
+
 def expected_files(rows, library):
     out, start = [], 0
     for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or "")):

@@ -27,12 +27,13 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from vantage.llm.common import small_batches, stage
+from vantage.llm.common import give_back, small_batches, stage
 
 BLOCK = 1 << 16        # ids in a block
 LEVEL = 3              # zstandard level
 REMEMBER = 1_000_000     # remembered words a worker holds at most
 LONGEST = 64           # longer words are encoded each time
+PICK = 1 << 16         # words whose ids are put together at a time
 MARKS = "!\"#$%&()*+,-./:;=?@[\\]^_`{}~"     # marks that no special token or contraction is made of
 
 FILE_SCHEMA = ("shard int, block int, first long, n_ids int, kind string, planes binary, plane_ends array<int>, "
@@ -161,10 +162,16 @@ def _picked(flat: np.ndarray, sizes: np.ndarray, order: np.ndarray) -> tuple[np.
     """``flat`` holds pieces of these sizes end to end: the pieces in this order, and their sizes."""
     sizes = sizes.astype(np.int64)
     starts, picked = np.cumsum(sizes) - sizes, sizes[order]
-    ends = np.cumsum(picked)
-    at = np.repeat(starts[order] - (ends - picked), picked)
-    at += np.arange(len(at))
-    return flat[at], picked
+    out, done = np.empty(picked.sum(), flat.dtype), 0
+    # numbers of 64 bits for each of all ids would be several times what is returned
+    for a in range(0, len(order), PICK):
+        some = picked[a:a + PICK]
+        ends = np.cumsum(some)
+        at = np.repeat(starts[order[a:a + PICK]] - (ends - some), some)
+        at += np.arange(len(at))
+        out[done:done + len(at)] = flat[at]
+        done += len(at)
+    return out, picked
 
 
 def _bytes_of(ids: list[int]) -> bytes:
@@ -234,6 +241,7 @@ def write_ids(df: DataFrame, path: str, tokenizer_path: str, end_id: int, text:
                 rows.extend(shard.add(None if key is pd.NA else int(key), np.concatenate([ids, end])))
             if rows:
                 yield pd.DataFrame(rows, columns=names)
+            give_back()
         if shard.docs:
             yield pd.DataFrame([shard.cut()], columns=names)
 
